@@ -53,9 +53,28 @@ def weekday_counts(df: DataFrame, date: str = "occ_date") -> DataFrame:
               .orderBy("weekday_index"))
 
 
+def exact_mean_expr(col: str, digits: int = 6, int_div: str = "div") -> str:
+    """Mean rounded half-up to ``digits``, independent of summation order.
+
+    Values are scaled to integers (``round(x * 10^d)``), summed exactly as
+    BIGINT, and the rounded quotient is formed by integer division, so every
+    engine and every partitioning gives the same double.  ``int_div`` is the
+    integer-division operator of the SQL dialect (``div`` / ``//``).
+    """
+    f = 10 ** digits
+    s = f"sum(CAST(round({col} * {f}) AS BIGINT))"
+    n = f"count({col})"
+    return f"sign({s}) * ((abs({s}) * 2 + {n}) {int_div} ({n} * 2)) / {float(f)!r}"
+
+
 def group_means(df: DataFrame, by, cols: Iterable[str], digits: int = 6) -> DataFrame:
-    """Feature means per group (rounded for stable comparison)."""
-    return df.groupBy(*_cols(by)).agg(*[F.round(F.avg(c), digits).alias(f"avg_{c}") for c in cols])
+    """Feature means per group, rounded half-up to ``digits``.
+
+    Uses ``exact_mean_expr`` so the result does not depend on the order in
+    which partial sums are merged.
+    """
+    return df.groupBy(*_cols(by)).agg(
+        *[F.expr(exact_mean_expr(c, digits)).alias(f"avg_{c}") for c in cols])
 
 
 def summary_stats(df: DataFrame, col: str, digits: int = 6) -> DataFrame:

@@ -447,7 +447,8 @@ def a10_location_counts(spark, sf):
 
 
 @register("a15_area_centre", with_base(
-    "SELECT area, round(avg(lat), 6) AS avg_lat, round(avg(lon), 6) AS avg_lon FROM prepared GROUP BY area"))
+    f"SELECT area, {profile.exact_mean_expr('lat', 6, '//')} AS avg_lat, "
+    f"{profile.exact_mean_expr('lon', 6, '//')} AS avg_lon FROM prepared GROUP BY area"))
 def a15_area_centre(spark, sf):
     return profile.group_means(prep(spark, sf), "area", ["lat", "lon"])
 
@@ -599,3 +600,162 @@ def u2_distinct(spark, sf):
 def flagship_area_shift(spark, sf):
     from hotbeat.plans.flagship import incidents_per_area_and_shift
     return incidents_per_area_and_shift(spark, sf)
+
+
+# ---------------------------------------------------------------- spatial J6, J7, W7, A25, A26
+
+from hotbeat.operators import dbscan as dbs  # noqa: E402
+from hotbeat.operators import spatial  # noqa: E402
+
+EPS = 0.00055       # fixture radius: two lattice steps in lat, one in lon
+MIN_SAMPLES = 5
+KNN_K = 5
+KNN_CELL = 0.0005
+
+
+def pts_sql(by: str = "area", src: str = "prepared") -> str:
+    return (f"pts AS (SELECT {by}, lat, lon, count(*) AS w, min(incident_id) AS pid FROM {src} "
+            f"GROUP BY {by}, lat, lon)")
+
+
+def nb_sql(eps: float, by: str = "area") -> str:
+    return (f"nb AS (SELECT a.{by}, a.pid AS p, b.pid AS q, b.w FROM pts a JOIN pts b ON a.{by} = b.{by} "
+            f"AND (a.lat - b.lat) * (a.lat - b.lat) + (a.lon - b.lon) * (a.lon - b.lon) <= {eps!r} * {eps!r})")
+
+
+def dbscan_ctes(eps: float, min_samples: int, by: str = "area", src: str = "prepared") -> str:
+    return ",\n".join([
+        pts_sql(by, src), nb_sql(eps, by),
+        f"core AS (SELECT p FROM nb GROUP BY p HAVING sum(w) >= {min_samples})",
+        "ce AS (SELECT nb.p, nb.q FROM nb JOIN core c1 ON nb.p = c1.p JOIN core c2 ON nb.q = c2.p)",
+        "reach(node, lab) AS (SELECT p, p FROM core UNION SELECT ce.q, r.lab FROM reach r JOIN ce ON r.node = ce.p)",
+        "comp AS (SELECT node, min(lab) AS lab FROM reach GROUP BY node)",
+        "border AS (SELECT nb.p AS node, min(comp.lab) AS lab FROM nb JOIN comp ON nb.q = comp.node "
+        "WHERE nb.p NOT IN (SELECT p FROM core) GROUP BY nb.p)",
+        "labs AS (SELECT node, lab FROM comp UNION ALL SELECT node, lab FROM border)",
+        f"num AS (SELECT pts.{by}, pts.lat, pts.lon, CAST(dense_rank() OVER (PARTITION BY pts.{by} ORDER BY lab) - 1 "
+        f"AS INTEGER) AS cluster FROM pts JOIN labs ON pts.pid = labs.node)",
+        f"clustered AS (SELECT s.*, COALESCE(num.cluster, -1) AS cluster FROM {src} s LEFT JOIN num "
+        f"ON s.{by} = num.{by} AND s.lat = num.lat AND s.lon = num.lon)",
+    ])
+
+
+def clustered(spark, sf):
+    """Enriched incidents labelled by density cluster per area (M7)."""
+    return dbs.dbscan(enr(spark, sf), EPS, MIN_SAMPLES, by="area")
+
+
+CLUSTER_CTES = dbscan_ctes(EPS, MIN_SAMPLES, "area", "enriched")
+
+
+@register("j6_radius_neighbours", with_base(
+    "SELECT p AS pid, CAST(sum(w) AS BIGINT) AS nw, count(*) AS n_points FROM nb GROUP BY p",
+    pts_sql() + ",\n" + nb_sql(EPS)))
+def j6_radius_neighbours(spark, sf):
+    pts = spatial.weighted_points(prep(spark, sf), "area")
+    return spatial.neighbour_weight(pts, EPS, "area").select(F.col("p").alias("pid"), "nw", "n_points")
+
+
+KNN_SQL_CTES = pts_sql() + ",\n" + (
+    "d AS (SELECT a.pid, sqrt((a.lat - b.lat) * (a.lat - b.lat) + (a.lon - b.lon) * (a.lon - b.lon)) AS dist, "
+    "b.w FROM pts a JOIN pts b ON a.area = b.area),\n"
+    "cw AS (SELECT pid, dist, sum(w) OVER (PARTITION BY pid ORDER BY dist ROWS UNBOUNDED PRECEDING) AS c FROM d),\n"
+    f"kd AS (SELECT pid, min(dist) AS kdist FROM cw WHERE c >= {KNN_K} GROUP BY pid)")
+
+
+@register("j7_knn_distance", with_base(
+    "SELECT pts.pid, round(kd.kdist, 9) AS kdist FROM pts LEFT JOIN kd ON pts.pid = kd.pid", KNN_SQL_CTES))
+def j7_knn_distance(spark, sf):
+    pts = spatial.weighted_points(prep(spark, sf), "area")
+    kd = spatial.knn_distance(pts, KNN_K, KNN_CELL, "area")
+    return kd.select("pid", F.round("kdist", 9).alias("kdist"))
+
+
+@register("w7_m10_kdistance_curve", with_base(
+    "SELECT pid, round(kdist, 9) AS kdist, row_number() OVER (ORDER BY kdist, pid) AS rank FROM kd",
+    KNN_SQL_CTES))
+def w7_m10_kdistance_curve(spark, sf):
+    pts = spatial.weighted_points(prep(spark, sf), "area")
+    c = spatial.kdistance_curve(pts, KNN_K, KNN_CELL, "area")
+    return c.select("pid", F.round("kdist", 9).alias("kdist"), F.col("rank").cast("long").alias("rank"))
+
+
+@register("a25_heat_grid", with_base(
+    "SELECT CAST(floor(lat / 0.001) AS BIGINT) AS gx, CAST(floor(lon / 0.001) AS BIGINT) AS gy, count(*) AS n "
+    "FROM prepared GROUP BY ALL"))
+def a25_heat_grid(spark, sf):
+    return spatial.heat_grid(prep(spark, sf), 0.001)
+
+
+@register("a26_heat_grid_by_category", with_base(
+    "SELECT category, CAST(floor(lat / 0.001) AS BIGINT) AS gx, CAST(floor(lon / 0.001) AS BIGINT) AS gy, "
+    "count(*) AS n FROM prepared GROUP BY ALL"))
+def a26_heat_grid_by_category(spark, sf):
+    return spatial.heat_grid(prep(spark, sf), 0.001, by="category")
+
+
+# ---------------------------------------------------------------- density clustering M3, M7, M9 and users
+
+@register("m7_dbscan_by_area", with_base(
+    "SELECT incident_id, area, cluster FROM clustered", CLUSTER_CTES))
+def m7_dbscan_by_area(spark, sf):
+    return clustered(spark, sf).select("incident_id", "area", "cluster")
+
+
+@register("m9_dbscan_by_category", with_base(
+    "SELECT incident_id, category, cluster FROM clustered",
+    dbscan_ctes(EPS, 20, "category", "enriched")))
+def m9_dbscan_by_category(spark, sf):
+    d = dbs.dbscan(enr(spark, sf), EPS, 20, by="category")
+    return d.select("incident_id", "category", "cluster")
+
+
+@register("m3_density_outliers", with_base(
+    "SELECT incident_id, area FROM clustered WHERE cluster = -1",
+    dbscan_ctes(0.0004, 2, "area", "prepared")))
+def m3_density_outliers(spark, sf):
+    return dbs.density_outliers(prep(spark, sf), 0.0004, 2, by="area").select("incident_id", "area")
+
+
+@register("p16_exclude_noise", with_base(
+    "SELECT incident_id, cluster FROM clustered WHERE cluster <> -1", CLUSTER_CTES))
+def p16_exclude_noise(spark, sf):
+    return clean.exclude_noise(clustered(spark, sf)).select("incident_id", "cluster")
+
+
+@register("a11_rows_per_cluster", with_base(
+    "SELECT area, cluster, count(*) AS n, count(*) OVER (PARTITION BY area) AS n_clusters "
+    "FROM clustered WHERE cluster <> -1 GROUP BY area, cluster", CLUSTER_CTES))
+def a11_rows_per_cluster(spark, sf):
+    from pyspark.sql import Window
+    c = profile.counts_by(clean.exclude_noise(clustered(spark, sf)), ["area", "cluster"])
+    return c.withColumn("n_clusters", F.count(F.lit(1)).over(Window.partitionBy("area")))
+
+
+@register("a12_means_per_cluster", with_base(
+    "SELECT area, cluster, " + ", ".join(f"{profile.exact_mean_expr(c, 6, '//')} AS avg_{c}"
+                                         for c in ["vict_age", "lat", "lon"])
+    + " FROM clustered GROUP BY area, cluster", CLUSTER_CTES))
+def a12_means_per_cluster(spark, sf):
+    return profile.group_means(clustered(spark, sf), ["area", "cluster"], ["vict_age", "lat", "lon"])
+
+
+@register("a13_cluster_age_counts", with_base(
+    "SELECT area, cluster, age_group, count(*) AS n FROM clustered GROUP BY ALL", CLUSTER_CTES))
+def a13_cluster_age_counts(spark, sf):
+    return profile.counts_by(clustered(spark, sf), ["area", "cluster", "age_group"])
+
+
+@register("a22_daily_per_cluster", with_base(
+    "SELECT area, cluster, occ_date, count(*) AS n FROM clustered WHERE cluster <> -1 GROUP BY ALL",
+    CLUSTER_CTES))
+def a22_daily_per_cluster(spark, sf):
+    return profile.counts_by(clean.exclude_noise(clustered(spark, sf)), ["area", "cluster", "occ_date"])
+
+
+@register("m15_top_hotspots", with_base(
+    "SELECT lat, lon, count(*) AS n FROM clustered WHERE cluster <> -1 GROUP BY lat, lon "
+    "ORDER BY n DESC, lat, lon LIMIT 10", CLUSTER_CTES))
+def m15_top_hotspots(spark, sf):
+    c = profile.counts_by(clean.exclude_noise(clustered(spark, sf)), ["lat", "lon"])
+    return profile.top_n(c, [F.desc("n"), F.asc("lat"), F.asc("lon")], 10)

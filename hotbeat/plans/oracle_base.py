@@ -54,7 +54,7 @@ LEFT JOIN {category_values_sql()} ON c.crm_cd = cat.crm_cd
 
 
 def base_ctes() -> str:
-    return (f"WITH incidents AS ({INCIDENTS_DUCK_SQL}),\n"
+    return (f"WITH RECURSIVE incidents AS ({INCIDENTS_DUCK_SQL}),\n"
             f"prepared AS ({PREPARED_SQL}),\n"
             f"enriched AS ({ENRICHED_SQL})")
 

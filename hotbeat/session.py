@@ -30,6 +30,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
               app: str = "hotbeat", extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
