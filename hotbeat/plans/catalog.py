@@ -9,6 +9,7 @@ Keys without an oracle entry are checked by invariants in ``tests/``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -759,3 +760,151 @@ def a22_daily_per_cluster(spark, sf):
 def m15_top_hotspots(spark, sf):
     c = profile.counts_by(clean.exclude_noise(clustered(spark, sf)), ["lat", "lon"])
     return profile.top_n(c, [F.desc("n"), F.asc("lat"), F.asc("lon")], 10)
+
+
+# ---------------------------------------------------------------- outliers M1, M2
+
+from hotbeat.operators import outliers  # noqa: E402
+
+
+def _quartile_sql(method: str) -> str:
+    s = {"iqr": "(q3_{c} - q1_{c})", "qstd": "sd_{c}"}[method]
+    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}"
+                       for c in ("lat", "lon"))
+    return ("SELECT p.incident_id, p.lat, p.lon FROM prepared p, (SELECT "
+            "quantile_cont(lat, 0.25) AS q1_lat, quantile_cont(lat, 0.75) AS q3_lat, stddev_samp(lat) AS sd_lat, "
+            "quantile_cont(lon, 0.25) AS q1_lon, quantile_cont(lon, 0.75) AS q3_lon, stddev_samp(lon) AS sd_lon "
+            f"FROM prepared) b WHERE {cond}")
+
+
+@register("m1_outliers_iqr", with_base(_quartile_sql("iqr")))
+def m1_outliers_iqr(spark, sf):
+    return outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "iqr").select("incident_id", "lat", "lon")
+
+
+@register("m1_outliers_qstd", with_base(_quartile_sql("qstd")))
+def m1_outliers_qstd(spark, sf):
+    return outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "qstd").select("incident_id", "lat", "lon")
+
+
+@register("m2_outliers_zscore", with_base(
+    "SELECT p.incident_id, p.area FROM prepared p JOIN (SELECT area, avg(lat) AS m_lat, stddev_pop(lat) AS s_lat, "
+    "avg(lon) AS m_lon, stddev_pop(lon) AS s_lon FROM prepared GROUP BY area) b USING (area) "
+    "WHERE abs(p.lat - m_lat) / s_lat > 2.0 OR abs(p.lon - m_lon) / s_lon > 2.0"))
+def m2_outliers_zscore(spark, sf):
+    return outliers.zscore_outliers(prep(spark, sf), ["lat", "lon"], 2.0, by="area").select("incident_id", "area")
+
+
+# ---------------------------------------------------------------- density M11, M12, M13
+
+from hotbeat.operators import density  # noqa: E402
+
+KDE_GRID = 40
+KDE_PAD = 0.01
+
+
+def kde_ctes(by: list[str], src: str, grid: int = KDE_GRID, pad: float = KDE_PAD) -> str:
+    g = ", ".join(by)
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in by)
+    f = "pow(n, -1.0 / 3.0)"
+    return ",\n".join([
+        f"kst AS (SELECT {g}, count(*) AS n, var_samp(lat) AS sxx, var_samp(lon) AS syy, covar_samp(lat, lon) AS sxy, "
+        f"min(lat) AS x_lo, max(lat) AS x_hi, min(lon) AS y_lo, max(lon) AS y_hi FROM {src} GROUP BY {g})",
+        f"kb1 AS (SELECT *, sxx * {f} AS hxx, syy * {f} AS hyy, sxy * {f} AS hxy FROM kst)",
+        "kb2 AS (SELECT *, hxx * hyy - hxy * hxy AS det FROM kb1)",
+        f"kb3 AS (SELECT *, hyy / det AS ixx, hxx / det AS iyy, -hxy / det AS ixy, "
+        f"1.0 / ({2 * math.pi!r} * sqrt(det) * n) AS norm, x_lo - {pad!r} AS x0, y_lo - {pad!r} AS y0, "
+        f"sqrt(hxx * {density.CUTOFF!r}) AS rx, sqrt(hyy * {density.CUTOFF!r}) AS ry FROM kb2 WHERE det > 0)",
+        f"kb AS (SELECT *, (x_hi + {pad!r} - x0) / {grid - 1} AS dx, (y_hi + {pad!r} - y0) / {grid - 1} AS dy FROM kb3)",
+        f"kpts AS (SELECT {g}, lat, lon, count(*) AS w FROM {src} GROUP BY {g}, lat, lon)",
+        f"kc AS (SELECT {', '.join('b.' + c for c in by)}, gi.i, gj.j, b.x0 + gi.i * b.dx AS gx, b.y0 + gj.j * b.dy AS gy, "
+        f"p.w, p.lat, p.lon, b.ixx, b.iyy, b.ixy, b.norm FROM kpts p JOIN kb b ON {on('p', 'b')} "
+        f"JOIN range({grid}) gi(i) ON gi.i BETWEEN greatest(0, ceil((p.lat - b.rx - b.x0) / b.dx)) "
+        f"AND least({grid - 1}, floor((p.lat + b.rx - b.x0) / b.dx)) "
+        f"JOIN range({grid}) gj(j) ON gj.j BETWEEN greatest(0, ceil((p.lon - b.ry - b.y0) / b.dy)) "
+        f"AND least({grid - 1}, floor((p.lon + b.ry - b.y0) / b.dy)))",
+        f"kd AS (SELECT {g}, i, j, gx, gy, sum(w * exp(-0.5 * (ixx * (gx - lat) * (gx - lat) + "
+        f"2.0 * ixy * (gx - lat) * (gy - lon) + iyy * (gy - lon) * (gy - lon)))) * max(norm) AS density "
+        f"FROM kc GROUP BY {g}, i, j, gx, gy)",
+        f"kpk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY density DESC, i, j) AS r "
+        f"FROM kd) WHERE r = 1)",
+        f"kmean AS (SELECT {g}, avg(lat) AS mx, avg(lon) AS my, count(*) AS n FROM {src} GROUP BY {g})",
+        f"kpeak AS (SELECT {', '.join('m.' + c for c in by)}, COALESCE(k.gx, m.mx) AS peak_lat, "
+        f"COALESCE(k.gy, m.my) AS peak_lon, k.density, m.n FROM kmean m LEFT JOIN kpk k ON {on('m', 'k')})",
+    ])
+
+
+def _peak_cols(by):
+    return [*by, F.round("peak_lat", 6).alias("peak_lat"), F.round("peak_lon", 6).alias("peak_lon"),
+            F.round("density", 2).alias("density"), "n"]
+
+
+PEAK_SELECT = "round(peak_lat, 6) AS peak_lat, round(peak_lon, 6) AS peak_lon, round(density, 2) AS density, n"
+
+
+@register("m12_kde_peak_per_area", with_base(
+    f"SELECT area, {PEAK_SELECT} FROM kpeak", kde_ctes(["area"], "prepared")))
+def m12_kde_peak_per_area(spark, sf):
+    return density.kde_peak(prep(spark, sf), "area", KDE_GRID, KDE_PAD).select(*_peak_cols(["area"]))
+
+
+@register("m11_kde_peak_per_cluster", with_base(
+    f"SELECT area, cluster, {PEAK_SELECT} FROM kpeak",
+    CLUSTER_CTES + ",\nnonnoise AS (SELECT * FROM clustered WHERE cluster <> -1),\n"
+    + kde_ctes(["area", "cluster"], "nonnoise")))
+def m11_kde_peak_per_cluster(spark, sf):
+    c = clean.exclude_noise(clustered(spark, sf))
+    return density.kde_peak(c, ["area", "cluster"], KDE_GRID, KDE_PAD).select(*_peak_cols(["area", "cluster"]))
+
+
+@register("m13_kde_surface", with_base(
+    "SELECT area, i, j, round(gx, 6) AS gx, round(gy, 6) AS gy, round(density, 2) AS density FROM kd",
+    kde_ctes(["area"], "prepared")))
+def m13_kde_surface(spark, sf):
+    g = density.kde_grid(prep(spark, sf), "area", KDE_GRID, KDE_PAD)
+    return g.select("area", "i", "j", F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"),
+                    F.round("density", 2).alias("density"))
+
+
+# ---------------------------------------------------------------- k-means M4, M5, M6, M14
+
+from hotbeat.operators import kmeans as km  # noqa: E402
+
+
+@register("m4_kmeans_by_area")
+def m4_kmeans_by_area(spark, sf):
+    """k = 10 per area on (lat, lon); invariant-checked (nearest own centre)."""
+    return km.kmeans_labels(prep(spark, sf), ["lat", "lon"], 10, by="area").select("incident_id", "area", "cluster")
+
+
+@register("m5_assign_to_area_centres", with_base(
+    "SELECT incident_id, cluster FROM (SELECT p.incident_id, c.area AS cluster, row_number() OVER "
+    "(PARTITION BY p.incident_id ORDER BY (p.lat - c.clat) * (p.lat - c.clat) + (p.lon - c.clon) * (p.lon - c.clon), "
+    "c.area) AS r FROM prepared p, (SELECT area, " + profile.exact_mean_expr("lat", 6, "//") + " AS clat, "
+    + profile.exact_mean_expr("lon", 6, "//") + " AS clon FROM prepared GROUP BY area) c) t WHERE r = 1"))
+def m5_assign_to_area_centres(spark, sf):
+    p = prep(spark, sf)
+    centres = (profile.group_means(p, "area", ["lat", "lon"])
+               .select(F.col("area").alias("cluster"), F.col("avg_lat").alias("lat"), F.col("avg_lon").alias("lon")))
+    return km.assign(p, centres, ["lat", "lon"], None, out="cluster").select("incident_id", "cluster")
+
+
+@register("m6_elbow")
+def m6_elbow(spark, sf):
+    """WCSS per (area, k) for k = 1..8 in one keyed fit; invariant-checked."""
+    return km.elbow(prep(spark, sf), ["lat", "lon"], range(1, 9), by="area")
+
+
+@register("m6_elbow_k1", with_base(
+    "SELECT area, round((var_pop(lat) + var_pop(lon)) * count(*) * 1e6, 3) AS wcss_e6 FROM prepared GROUP BY area"))
+def m6_elbow_k1(spark, sf):
+    e = km.elbow(prep(spark, sf), ["lat", "lon"], [1], by="area")
+    return e.select("area", F.round(F.col("wcss") * 1e6, 3).alias("wcss_e6"))
+
+
+@register("m14_kprototypes")
+def m14_kprototypes(spark, sf):
+    """K-prototypes on (lat, lon, vict_age) + (category, vict_sex), k = 10 per area."""
+    d = km.kprototypes(prep(spark, sf), ["lat", "lon", "vict_age"], ["category", "vict_sex"], 10, by="area",
+                       n_init=2)
+    return d.select("incident_id", "area", "cluster")
