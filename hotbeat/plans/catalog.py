@@ -908,3 +908,397 @@ def m14_kprototypes(spark, sf):
     d = km.kprototypes(prep(spark, sf), ["lat", "lon", "vict_age"], ["category", "vict_sex"], 10, by="area",
                        n_init=2)
     return d.select("incident_id", "area", "cluster")
+
+
+# ---------------------------------------------------------------- series A23 / R1, R2, R3, R4, R5
+
+from hotbeat.operators import series as ts  # noqa: E402
+
+SERIES_KEY_SPARK = "CAST(o_custkey % 500 AS INT)"
+
+
+def order_series(spark, sf):
+    o = fixtures.orders(spark, sf).withColumn("grp", F.expr(SERIES_KEY_SPARK))
+    return ts.gap_filled_counts(o, "grp", "o_orderdate", "month")
+
+
+SERIES_CTES = (
+    f"oc AS (SELECT {SERIES_KEY_SPARK} AS grp, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, "
+    "count(*) AS n FROM orders GROUP BY ALL),\n"
+    "span AS (SELECT grp, min(period) AS lo, max(period) AS hi FROM oc GROUP BY grp),\n"
+    "grid AS (SELECT grp, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS period FROM span),\n"
+    "ser AS (SELECT g.grp, g.period, CAST(COALESCE(oc.n, 0) AS BIGINT) AS n FROM grid g "
+    "LEFT JOIN oc ON g.grp = oc.grp AND g.period = oc.period)")
+
+
+@register("a23_r1_gap_filled_series", with_base("SELECT grp, period, n FROM ser", SERIES_CTES))
+def a23_r1_gap_filled_series(spark, sf):
+    return order_series(spark, sf)
+
+
+@register("r2_stationarity", with_base(
+    "SELECT grp, n, round(slope, 6) AS slope, round(t_stat, 6) AS t_stat, t_stat > -2.86 AS difference FROM ("
+    "SELECT grp, regr_count(dx, lx) AS n, regr_slope(dx, lx) AS slope, "
+    "CASE WHEN regr_count(dx, lx) > 2 AND regr_sxx(dx, lx) > 0 AND "
+    "regr_syy(dx, lx) - regr_sxy(dx, lx) * regr_sxy(dx, lx) / regr_sxx(dx, lx) > 0 THEN "
+    "regr_slope(dx, lx) / sqrt((regr_syy(dx, lx) - regr_sxy(dx, lx) * regr_sxy(dx, lx) / regr_sxx(dx, lx)) "
+    "/ (regr_count(dx, lx) - 2) / regr_sxx(dx, lx)) END AS t_stat FROM ("
+    "SELECT grp, n - lag(n) OVER (PARTITION BY grp ORDER BY period) AS dx, "
+    "lag(n) OVER (PARTITION BY grp ORDER BY period) AS lx FROM ser) s WHERE lx IS NOT NULL GROUP BY grp) r",
+    SERIES_CTES))
+def r2_stationarity(spark, sf):
+    r = ts.stationarity(order_series(spark, sf), "grp")
+    return r.select("grp", "n", F.round("slope", 6).alias("slope"), F.round("t_stat", 6).alias("t_stat"),
+                    "difference")
+
+
+@register("r5_ar_diff_forecast", with_base(
+    "SELECT grp, h, period, round(phi, 6) AS phi, round(c, 6) AS c, round(forecast, 3) AS forecast FROM ("
+    "SELECT f.grp, h.h, CAST(f.last_period + h.h * INTERVAL 1 MONTH AS DATE) AS period, f.phi, f.c, "
+    "f.x_last + f.c / (1.0 - f.phi) * (h.h - f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) "
+    "+ f.dx_last * (f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) AS forecast FROM ("
+    "SELECT grp, regr_slope(dx, dx1) AS phi, regr_intercept(dx, dx1) AS c, arg_max(n, period) AS x_last, "
+    "arg_max(dx, period) AS dx_last, max(period) AS last_period FROM ("
+    "SELECT grp, period, n, dx, lag(dx) OVER (PARTITION BY grp ORDER BY period) AS dx1 FROM ("
+    "SELECT grp, period, n, n - lag(n) OVER (PARTITION BY grp ORDER BY period) AS dx FROM ser) a) b "
+    "GROUP BY grp) f, range(1, 7) h(h) WHERE f.phi IS NOT NULL AND f.phi <> 1.0) t", SERIES_CTES))
+def r5_ar_diff_forecast(spark, sf):
+    f = ts.ar_diff_forecast(order_series(spark, sf), "grp", 6)
+    return f.select("grp", F.col("h").cast("long").alias("h"), "period", F.round("phi", 6).alias("phi"),
+                    F.round("c", 6).alias("c"), F.round("forecast", 3).alias("forecast"))
+
+
+def cluster_month_series(spark, sf):
+    """Monthly incident counts per density cluster (orders stand in for the
+    multi-year calendar: clusters of customers by key, as FIXTURES allows)."""
+    o = fixtures.orders(spark, sf).withColumn("grp", F.expr("CAST(o_custkey % 20 AS INT)"))
+    return ts.gap_filled_counts(o, "grp", "o_orderdate", "month")
+
+
+@register("r3_arima_111_forecast")
+def r3_arima_111_forecast(spark, sf):
+    """ARIMA(1,1,1) per series, 12 months ahead with 95 % band (grouped map)."""
+    return ts.forecast(cluster_month_series(spark, sf), "grp", (1, 1, 1), 12)
+
+
+@register("r4_auto_arima_forecast")
+def r4_auto_arima_forecast(spark, sf):
+    """Lowest-AIC order per series among 18 candidates, 12 months ahead."""
+    return ts.auto_forecast(cluster_month_series(spark, sf), "grp", None, 12)
+
+
+# ---------------------------------------------------------------- splits T*, features F*
+
+from hotbeat.operators import classify as clf  # noqa: E402
+from hotbeat.operators import features as feat  # noqa: E402
+from hotbeat.operators import split as sp  # noqa: E402
+
+
+@register("t1_hash_split")
+def t1_hash_split(spark, sf):
+    """80/20 by hash of the incident id (stable under repartitioning)."""
+    return sp.hash_split(enr(spark, sf), "incident_id").select("incident_id", "time_slot", "split")
+
+
+@register("t2_stratified_split")
+def t2_stratified_split(spark, sf):
+    return sp.stratified_split(enr(spark, sf), "time_slot", "incident_id").select("incident_id", "time_slot", "split")
+
+
+@register("t3_stratified_folds")
+def t3_stratified_folds(spark, sf):
+    return sp.stratified_folds(enr(spark, sf), "time_slot", "incident_id", 5).select("incident_id", "time_slot", "fold")
+
+
+@register("f1_one_hot")
+def f1_one_hot(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    d = feat.one_hot(enr(spark, sf), ["category", "vict_sex", "age_group"])
+    return d.select("incident_id", vector_to_array("features").alias("features"))
+
+
+@register("f2_one_hot_numeric")
+def f2_one_hot_numeric(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    d = feat.one_hot(enr(spark, sf), ["category", "vict_sex"], ["lat", "lon", "vict_age", "occ_month"])
+    return d.select("incident_id", vector_to_array("features").alias("features"))
+
+
+CATEGORY_LEVELS = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("f3_dummies_drop_first", with_base(
+    "SELECT incident_id, " + ", ".join(f"CASE WHEN category = '{v}' THEN 1 ELSE 0 END AS category_{v}"
+                                       for v in CATEGORY_LEVELS[1:]) + " FROM enriched"))
+def f3_dummies_drop_first(spark, sf):
+    d = feat.dummies(enr(spark, sf).select("incident_id", "category"), "category")
+    return d.drop("category")
+
+
+@register("f4_label_encode", with_base(
+    "SELECT incident_id, category, CAST(dense_rank() OVER (ORDER BY category) - 1 AS DOUBLE) AS category_index "
+    "FROM enriched"))
+def f4_label_encode(spark, sf):
+    d, _ = feat.label_encode(enr(spark, sf).select("incident_id", "category"), "category")
+    return d
+
+
+@register("f5_standardise", with_base(
+    "SELECT incident_id, round((lat - avg(lat) OVER ()) / stddev_pop(lat) OVER (), 6) AS lat_z, "
+    "round((vict_age - avg(vict_age) OVER ()) / stddev_pop(vict_age) OVER (), 6) AS vict_age_z FROM prepared"))
+def f5_standardise(spark, sf):
+    d = feat.standardise(prep(spark, sf).select("incident_id", "lat", "vict_age"), ["lat", "vict_age"])
+    return d.select("incident_id", F.round("lat_z", 6).alias("lat_z"), F.round("vict_age_z", 6).alias("vict_age_z"))
+
+
+@register("f6_w5_pca_report")
+def f6_w5_pca_report(spark, sf):
+    """Explained variance with running total (W5) of the 64-d embeddings."""
+    emb = feat.embedding_vectors(fixtures.table(spark, sf, "embeddings"))
+    var, _, _ = feat.pca_report(emb, vector_col="features", target=0.9)
+    return var
+
+
+@register("f6_pca_feature_ranking")
+def f6_pca_feature_ranking(spark, sf):
+    """Feature contributions over the components reaching 90 % variance."""
+    _, rank, _ = feat.pca_report(prep(spark, sf), ["lat", "lon", "vict_age", "amount", "crm_cd"], target=0.9)
+    return rank
+
+
+# ---------------------------------------------------------------- classification L*
+
+SHIFT_FEATURES = ["lat", "lon", "occ_month", "occ_weekday"]
+
+
+def labelled(spark, sf):
+    d = clf.with_label(enr(spark, sf))
+    d = sp.stratified_split(d, "time_slot", "incident_id")
+    return sp.stratified_folds(d, "time_slot", "incident_id", 5)
+
+
+@register("l1_logistic_regression")
+def l1_logistic_regression(spark, sf):
+    d = labelled(spark, sf)
+    m = clf.logistic_pipeline(SHIFT_FEATURES, 200).fit(d.filter("split = 'train'"))
+    return m.transform(d.filter("split = 'test'")).select("incident_id", "label", "prediction")
+
+
+def _cv(spark, sf, family: str):
+    from pyspark.ml import Pipeline
+    d = labelled(spark, sf).filter("split = 'train'")
+    if family == "rf":
+        est = clf.forest()
+        grid = clf.forest_grid(est, full=False)
+    else:
+        est = clf.boosted()
+        grid = clf.boosted_grid(est, family, full=False)
+    pipe = Pipeline(stages=[clf.assembler(SHIFT_FEATURES), est])
+    # grid maps address the estimator's params; the pipeline forwards them
+    return clf.grid_search(d, pipe, grid, "fold", parallelism=2), grid
+
+
+def _cv_scores(spark, m, grid, family):
+    rows = [(family, i, float(s)) for i, s in enumerate(m.avgMetrics)]
+    return spark.createDataFrame(rows, "family string, setting int, cv_accuracy double")
+
+
+@register("l2_random_forest_cv")
+def l2_random_forest_cv(spark, sf):
+    m, grid = _cv(spark, sf, "rf")
+    return _cv_scores(spark, m, grid, "random_forest")
+
+
+@register("l3_gbt_one_vs_rest_cv")
+def l3_gbt_one_vs_rest_cv(spark, sf):
+    m, grid = _cv(spark, sf, "gb")
+    return _cv_scores(spark, m, grid, "gradient_boosting")
+
+
+@register("l4_boosting_xgb_grid_cv")
+def l4_boosting_xgb_grid_cv(spark, sf):
+    m, grid = _cv(spark, sf, "xgb")
+    return _cv_scores(spark, m, grid, "xgb_style")
+
+
+@register("l5_l6_s5_best_model_roundtrip")
+def l5_l6_s5_best_model_roundtrip(spark, sf):
+    """Cross-validate two families, keep the best, save, reload, predict the test split."""
+    res = {"random_forest": _cv(spark, sf, "rf")[0], "gradient_boosting": _cv(spark, sf, "gb")[0]}
+    name, model, score = clf.best_of(res)
+    path = io.save_model(model.bestModel, io.scratch(spark, "best_model"))
+    loaded = io.load_model(path)
+    test = labelled(spark, sf).filter("split = 'test'")
+    return (loaded.transform(test).select("incident_id", "label", "prediction")
+                  .withColumn("family", F.lit(name)).withColumn("cv_accuracy", F.lit(float(score))))
+
+
+@register("l7_class_report", with_base(
+    "SELECT cls, round(CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END, 6) AS precision, "
+    "round(CASE WHEN support > 0 THEN tp / support ELSE 0.0 END, 6) AS recall, "
+    "round(CASE WHEN tp > 0 THEN 2.0 * (tp / predicted) * (tp / support) / (tp / predicted + tp / support) "
+    "ELSE 0.0 END, 6) AS f1, CAST(support AS BIGINT) AS support, "
+    "round(sum(tp) OVER () / sum(support) OVER (), 6) AS accuracy FROM ("
+    "SELECT COALESCE(s.cls, p.cls) AS cls, COALESCE(s.support, 0) AS support, COALESCE(p.predicted, 0) AS predicted, "
+    "COALESCE(t.tp, 0) AS tp FROM (SELECT time_slot AS cls, count(*) AS support FROM scored GROUP BY 1) s "
+    "FULL JOIN (SELECT predicted_slot AS cls, count(*) AS predicted FROM scored GROUP BY 1) p ON s.cls = p.cls "
+    "LEFT JOIN (SELECT time_slot AS cls, count(*) AS tp FROM scored WHERE time_slot = predicted_slot GROUP BY 1) t "
+    "ON COALESCE(s.cls, p.cls) = t.cls) r",
+    "base AS (SELECT area, occ_weekday, time_slot AS predicted_slot FROM (SELECT area, occ_weekday, time_slot, "
+    "row_number() OVER (PARTITION BY area, occ_weekday ORDER BY count(*) DESC, time_slot) AS r FROM enriched "
+    "WHERE time_slot IS NOT NULL GROUP BY area, occ_weekday, time_slot) x WHERE r = 1),\n"
+    "scored AS (SELECT e.time_slot, b.predicted_slot FROM enriched e JOIN base b USING (area, occ_weekday))"))
+def l7_class_report(spark, sf):
+    e = enr(spark, sf)
+    base = clf.baseline_shift(e, ["area", "occ_weekday"]).drop("support")
+    scored = e.join(base, ["area", "occ_weekday"])
+    return clf.class_report(scored, "time_slot", "predicted_slot")
+
+
+@register("l8_feature_importance")
+def l8_feature_importance(spark, sf):
+    from pyspark.ml import Pipeline
+    d = labelled(spark, sf).filter("split = 'train'")
+    names = SHIFT_FEATURES + ["vict_age", "amount"]
+    m = Pipeline(stages=[clf.assembler(names), clf.forest().setNumTrees(20)]).fit(d)
+    return clf.feature_importance(m.stages[-1], names, 20, spark)
+
+
+@register("l9_per_area_models")
+def l9_per_area_models(spark, sf):
+    d = labelled(spark, sf)
+    models = clf.per_area_models(d.filter("split = 'train'"), [1, 2, 3], SHIFT_FEATURES)
+    out = None
+    for a, m in models.items():
+        p = m.transform(d.filter((F.col("split") == "test") & (F.col("area") == a)))
+        p = p.select("incident_id", "area", "label", "prediction")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("l10_cluster_feature")
+def l10_cluster_feature(spark, sf):
+    """Logistic regression with the density-cluster id as an extra feature."""
+    d = clf.with_label(clustered(spark, sf))
+    d = sp.stratified_split(d, "time_slot", "incident_id")
+    m = clf.logistic_pipeline(SHIFT_FEATURES + ["cluster"], 100).fit(d.filter("split = 'train'"))
+    return m.transform(d.filter("split = 'test'")).select("incident_id", "label", "prediction")
+
+
+@register("l12_baseline_shift", with_base(
+    "SELECT area, occ_weekday, predicted_slot, support FROM (SELECT area, occ_weekday, time_slot AS predicted_slot, "
+    "count(*) AS support, row_number() OVER (PARTITION BY area, occ_weekday ORDER BY count(*) DESC, time_slot) AS r "
+    "FROM enriched WHERE time_slot IS NOT NULL GROUP BY area, occ_weekday, time_slot) x WHERE r = 1"))
+def l12_baseline_shift(spark, sf):
+    return clf.baseline_shift(enr(spark, sf), ["area", "occ_weekday"])
+
+
+# ---------------------------------------------------------------- hotspot grid J3, J4, J5, A14, routes G*
+
+from hotbeat.operators import joins as jn  # noqa: E402
+from hotbeat.operators import routes as rt  # noqa: E402
+from hotbeat.plans import patrol  # noqa: E402
+
+HOTSPOT_CTES = (
+    "hs AS (SELECT area, CAST(r - 1 AS INTEGER) AS hotspot_id, lat, lon, n_incidents FROM (SELECT area, lat, lon, "
+    "count(*) AS n_incidents, row_number() OVER (PARTITION BY area ORDER BY count(*) DESC, lat, lon) AS r "
+    "FROM prepared GROUP BY area, lat, lon) x WHERE r <= 10),\n"
+    "base AS (SELECT area, occ_weekday, time_slot AS predicted_slot FROM (SELECT area, occ_weekday, time_slot, "
+    "row_number() OVER (PARTITION BY area, occ_weekday ORDER BY count(*) DESC, time_slot) AS r FROM enriched "
+    "WHERE time_slot IS NOT NULL GROUP BY area, occ_weekday, time_slot) x WHERE r = 1),\n"
+    "grid AS (SELECT hs.area, hs.hotspot_id, CAST(w.w AS INTEGER) AS occ_weekday, CAST(m.m AS INTEGER) AS occ_month "
+    "FROM hs, range(1, 8) w(w), range(1, 13) m(m)),\n"
+    "scoredgrid AS (SELECT g.*, b.predicted_slot FROM grid g LEFT JOIN base b USING (area, occ_weekday))")
+
+
+def hotspots_top(spark, sf):
+    return jn.top_locations(prep(spark, sf), "area", 10)
+
+
+@register("j3_scoring_grid", with_base(
+    "SELECT area, hotspot_id, occ_weekday, occ_month FROM grid", HOTSPOT_CTES))
+def j3_scoring_grid(spark, sf):
+    return jn.scoring_grid(hotspots_top(spark, sf)).select("area", "hotspot_id", "occ_weekday", "occ_month")
+
+
+@register("j4_match_back", with_base(
+    "SELECT s.area, s.hotspot_id, s.occ_weekday, s.occ_month, s.predicted_slot, hs.lat, hs.lon "
+    "FROM scoredgrid s JOIN hs USING (area, hotspot_id)", HOTSPOT_CTES))
+def j4_match_back(spark, sf):
+    hs = hotspots_top(spark, sf)
+    scored = patrol.baseline_scores(enr(spark, sf), hs.drop("lat", "lon"))
+    return jn.match_back(scored.select("area", "hotspot_id", "occ_weekday", "occ_month", "predicted_slot"), hs)
+
+
+@register("l11_score_hotspot_grid")
+def l11_score_hotspot_grid(spark, sf):
+    """Model-scored grid: every hotspot x weekday x month gets a predicted shift."""
+    d = labelled(spark, sf)
+    m = clf.logistic_pipeline(SHIFT_FEATURES, 100).fit(d.filter("split = 'train'"))
+    grid = jn.scoring_grid(hotspots_top(spark, sf))
+    return patrol.model_scores(grid, m).select("area", "hotspot_id", "occ_weekday", "occ_month", "predicted_slot")
+
+
+@register("a14_shift_sets", with_base(
+    "SELECT area, predicted_slot, array_to_string(list_sort(list(DISTINCT hotspot_id)), ',') AS hotspots, "
+    "count(DISTINCT hotspot_id) AS n_hotspots FROM scoredgrid GROUP BY area, predicted_slot", HOTSPOT_CTES))
+def a14_shift_sets(spark, sf):
+    hs = hotspots_top(spark, sf)
+    s = patrol.shift_sets(patrol.baseline_scores(enr(spark, sf), hs))
+    return s.select("area", "predicted_slot", F.array_join("hotspots", ",").alias("hotspots"),
+                    F.col("n_hotspots").cast("long").alias("n_hotspots"))
+
+
+@register("j5_distance_matrix", with_base(
+    "SELECT a.area, a.hotspot_id AS a, b.hotspot_id AS b, round(" + sphere_km_sql("a.lat", "a.lon", "b.lat", "b.lon")
+    + ", 6) AS km FROM hs a JOIN hs b ON a.area = b.area AND a.hotspot_id < b.hotspot_id", HOTSPOT_CTES))
+def j5_distance_matrix(spark, sf):
+    d = rt.distance_matrix(hotspots_top(spark, sf), "area")
+    return d.select("area", "a", "b", F.round("km", 6).alias("km"))
+
+
+@register("w6_g1_route_length", with_base(
+    "SELECT area, round(COALESCE(sum(km), 0.0), 6) AS km, count(*) AS stops FROM (SELECT area, CASE WHEN plat IS NOT NULL "
+    "THEN " + sphere_km_sql("plat", "plon", "lat", "lon") + " END AS km FROM (SELECT area, lat, lon, "
+    "lag(lat) OVER (PARTITION BY area ORDER BY hotspot_id) AS plat, lag(lon) OVER (PARTITION BY area ORDER BY "
+    "hotspot_id) AS plon FROM hs) l) x GROUP BY area", HOTSPOT_CTES))
+def w6_g1_route_length(spark, sf):
+    r = rt.route_length(hotspots_top(spark, sf), "area", "hotspot_id")
+    return r.select("area", F.round("km", 6).alias("km"), "stops")
+
+
+@register("g4_route_stops", with_base(
+    "SELECT area, row_number() OVER (PARTITION BY area ORDER BY lon, hotspot_id) AS seq, hotspot_id, lat, lon FROM hs",
+    HOTSPOT_CTES))
+def g4_route_stops(spark, sf):
+    hs = hotspots_top(spark, sf)
+    # a west-to-east sweep as the given route: array of ids per area (<= 10)
+    r = hs.groupBy("area").agg(F.sort_array(F.collect_list(F.struct("lon", "hotspot_id"))).alias("__s"))
+    r = r.select("area", F.transform("__s", lambda s: s["hotspot_id"]).alias("route"))
+    out = rt.route_stops(r, hs.select("area", "hotspot_id", "lat", "lon"), "area")
+    return out.select("area", F.col("seq").cast("long").alias("seq"), "hotspot_id", "lat", "lon")
+
+
+@register("g2_plan_routes")
+def g2_plan_routes(spark, sf):
+    """Best open path over each area's 10 hotspots (4 islands, 100 x 500 GA)."""
+    r = rt.plan_routes(hotspots_top(spark, sf), "area", islands=4, generations=500)
+    return r.select("area", "route", F.round("km", 6).alias("km"))
+
+
+@register("g3_plan_routes_fixed_start")
+def g3_plan_routes_fixed_start(spark, sf):
+    """Same, always starting at the area's busiest hotspot (id 0)."""
+    r = rt.plan_routes(hotspots_top(spark, sf), "area", islands=4, generations=500, fixed_start=True)
+    return r.select("area", "route", F.round("km", 6).alias("km"))
+
+
+@register("flagship_patrol_plan")
+def flagship_patrol_plan(spark, sf):
+    """incidents -> k-means + KDE hotspots per area -> baseline shift per grid row
+    -> shift sets -> GA route per (area, shift) -> ordered stops."""
+    from hotbeat.plans.hotspots import find_hotspots
+    e = enr(spark, sf)
+    hs = find_hotspots(e, k=10, by="area", grid=KDE_GRID)
+    scored = patrol.baseline_scores(e, hs)
+    return patrol.plan(scored, hs, islands=2, generations=200)
