@@ -17,19 +17,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hotbeat.operators.graph import connected_components
-from hotbeat.operators.spatial import _cols, radius_pairs, weighted_points
+from hotbeat.operators.spatial import _cols, radius_pairs, radius_pairs_nd, weighted_points
 from hotbeat.session import cut_lineage
 
 
 def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
-                  x: str = "lat", y: str = "lon") -> DataFrame:
-    """Cluster weighted distinct points -> (by, x, y, pid, w, is_core, cluster)."""
+                  x: str = "lat", y: str = "lon", grid_cols=None, extra_cols=()) -> DataFrame:
+    """Cluster weighted distinct points -> (by, coords, pid, w, is_core, cluster).
+
+    Default: 2-d points (x, y).  ``grid_cols`` / ``extra_cols`` switch to
+    d-dimensional features (M8): grid on at most three columns, the others
+    only in the exact distance.
+    """
     by = _cols(by)
     if not by:
         pts, by, tmp = pts.withColumn("__g", F.lit(0)), ["__g"], True
     else:
         tmp = False
-    pairs = cut_lineage(radius_pairs(pts, eps, by, x, y).select(*by, "p", "q", "q_w"))
+    if grid_cols:
+        pairs = cut_lineage(radius_pairs_nd(pts, eps, grid_cols, extra_cols, by))
+    else:
+        pairs = cut_lineage(radius_pairs(pts, eps, by, x, y).select(*by, "p", "q", "q_w"))
     nw = pairs.groupBy("p").agg(F.sum("q_w").alias("nw"))
     core = cut_lineage(nw.filter(F.col("nw") >= min_samples).select(F.col("p").alias("node")))
     edges = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_semi")
@@ -67,3 +75,20 @@ def density_outliers(df: DataFrame, eps: float, min_samples: int = 2, by=None,
     """M3: rows that density clustering leaves as noise."""
     return dbscan(df, eps, min_samples, by, x, y, id_col, out="outlier_cluster").filter(
         F.col("outlier_cluster") == -1)
+
+
+def dbscan_features(df: DataFrame, eps: float, min_samples: int, grid_cols, extra_cols=(), by=None,
+                    id_col: str = "incident_id", out: str = "cluster") -> DataFrame:
+    """M8: density clustering on mixed numeric + one-hot features.
+
+    Rows with a null feature are left out of the clustering and labelled -1.
+    """
+    feats = list(grid_cols) + list(extra_cols)
+    byl = _cols(by)
+    ok = df.na.drop(subset=feats)
+    pts = ok.groupBy(*byl, *feats).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid"))
+    lab = dbscan_points(pts, eps, min_samples, byl or None, grid_cols=grid_cols, extra_cols=extra_cols)
+    keys = byl + feats
+    lab = lab.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("cluster").alias("__lab"))
+    j = df.join(lab, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)], "left")
+    return j.withColumn(out, F.coalesce("__lab", F.lit(-1))).drop("__lab", *[f"__k{i}" for i in range(len(keys))])

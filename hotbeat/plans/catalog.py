@@ -1302,3 +1302,50 @@ def flagship_patrol_plan(spark, sf):
     hs = find_hotspots(e, k=10, by="area", grid=KDE_GRID)
     scored = patrol.baseline_scores(e, hs)
     return patrol.plan(scored, hs, islands=2, generations=200)
+
+
+# ---------------------------------------------------------------- M8: density clustering on mixed features
+
+M8_CATS = CATEGORY_LEVELS
+
+
+def m8_frame(e):
+    d = e.select("incident_id", "area", F.col("vict_age").cast("double").alias("age"),
+                 F.col("hour").cast("double").alias("hr"), F.col("occ_weekday").cast("double").alias("wd"),
+                 *[F.when(F.col("category") == v, 1.0).otherwise(0.0).alias(f"is_{v}") for v in M8_CATS])
+    return d
+
+
+def _m8_sql() -> str:
+    cols = ["age", "hr", "wd"] + [f"is_{v}" for v in M8_CATS]
+    sel = ("SELECT incident_id, area, CAST(vict_age AS DOUBLE) AS age, CAST(hour AS DOUBLE) AS hr, "
+           "CAST(occ_weekday AS DOUBLE) AS wd, "
+           + ", ".join(f"CASE WHEN category = '{v}' THEN 1.0 ELSE 0.0 END AS is_{v}" for v in M8_CATS)
+           + " FROM enriched")
+    d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols)
+    g = ", ".join(cols)
+    return ",\n".join([
+        f"m8 AS ({sel})",
+        f"pts AS (SELECT area, {g}, count(*) AS w, min(incident_id) AS pid FROM m8 "
+        f"WHERE age IS NOT NULL AND hr IS NOT NULL AND wd IS NOT NULL GROUP BY area, {g})",
+        f"nb AS (SELECT a.area, a.pid AS p, b.pid AS q, b.w FROM pts a JOIN pts b ON a.area = b.area "
+        f"AND {d2} <= 3.0 * 3.0)",
+        "core AS (SELECT p FROM nb GROUP BY p HAVING sum(w) >= 10)",
+        "ce AS (SELECT nb.p, nb.q FROM nb JOIN core c1 ON nb.p = c1.p JOIN core c2 ON nb.q = c2.p)",
+        "reach(node, lab) AS (SELECT p, p FROM core UNION SELECT ce.q, r.lab FROM reach r JOIN ce ON r.node = ce.p)",
+        "comp AS (SELECT node, min(lab) AS lab FROM reach GROUP BY node)",
+        "border AS (SELECT nb.p AS node, min(comp.lab) AS lab FROM nb JOIN comp ON nb.q = comp.node "
+        "WHERE nb.p NOT IN (SELECT p FROM core) GROUP BY nb.p)",
+        "labs AS (SELECT node, lab FROM comp UNION ALL SELECT node, lab FROM border)",
+        f"num AS (SELECT pts.area, {', '.join('pts.' + c for c in cols)}, CAST(dense_rank() OVER "
+        f"(PARTITION BY pts.area ORDER BY lab) - 1 AS INTEGER) AS cluster FROM pts JOIN labs ON pts.pid = labs.node)",
+        "clustered8 AS (SELECT m8.incident_id, m8.area, COALESCE(num.cluster, -1) AS cluster FROM m8 LEFT JOIN num "
+        "ON m8.area = num.area AND " + " AND ".join(f"m8.{c} IS NOT DISTINCT FROM num.{c}" for c in cols) + ")",
+    ])
+
+
+@register("m8_dbscan_mixed_features", with_base("SELECT incident_id, area, cluster FROM clustered8", _m8_sql()))
+def m8_dbscan_mixed_features(spark, sf):
+    d = m8_frame(enr(spark, sf))
+    out = dbs.dbscan_features(d, 3.0, 10, ["age", "hr", "wd"], [f"is_{v}" for v in M8_CATS], by="area")
+    return out.select("incident_id", "area", "cluster")

@@ -17,12 +17,17 @@ from hotbeat.functions import codes
 from hotbeat.operators import clean
 
 
-def prepare(df: DataFrame, *, require_age: bool = True, age: str = "vict_age",
+def prepare(df: DataFrame, *, require_age: bool = True, dedupe_rows: bool = True, age: str = "vict_age",
             sex: str = "vict_sex", lat: str = "lat", lon: str = "lon",
             required: tuple[str, ...] = ("crm_cd", "lat", "lon")) -> DataFrame:
     """Dedupe -> clean age -> (drop unknown age) -> fill/merge sex ->
-    fill text -> drop rows missing required fields -> drop (0,0)."""
-    df = clean.dedupe(df)
+    fill text -> drop rows missing required fields -> drop (0,0).
+
+    ``dedupe_rows=False`` keeps the chain stateless (for streams, where
+    duplicate removal would need unbounded state without a watermark).
+    """
+    if dedupe_rows:
+        df = clean.dedupe(df)
     df = clean.clean_age(df, age)
     if require_age:
         df = clean.drop_null(df, [age])
