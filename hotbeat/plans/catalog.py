@@ -1349,3 +1349,25 @@ def m8_dbscan_mixed_features(spark, sf):
     d = m8_frame(enr(spark, sf))
     out = dbs.dbscan_features(d, 3.0, 10, ["age", "hr", "wd"], [f"is_{v}" for v in M8_CATS], by="area")
     return out.select("incident_id", "area", "cluster")
+
+
+def _quartile_by_area_sql(method: str) -> str:
+    s = {"iqr": "(q3_{c} - q1_{c})", "qstd": "sd_{c}"}[method]
+    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}"
+                       for c in ("lat", "lon"))
+    return ("SELECT p.incident_id, p.area, p.lat, p.lon FROM prepared p JOIN (SELECT area, "
+            "quantile_cont(lat, 0.25) AS q1_lat, quantile_cont(lat, 0.75) AS q3_lat, stddev_samp(lat) AS sd_lat, "
+            "quantile_cont(lon, 0.25) AS q1_lon, quantile_cont(lon, 0.75) AS q3_lon, stddev_samp(lon) AS sd_lon "
+            f"FROM prepared GROUP BY area) b USING (area) WHERE {cond}")
+
+
+@register("m1_outliers_iqr_by_area", with_base(_quartile_by_area_sql("iqr")))
+def m1_outliers_iqr_by_area(spark, sf):
+    d = outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "iqr", by="area")
+    return d.select("incident_id", "area", "lat", "lon")
+
+
+@register("m1_outliers_qstd_by_area", with_base(_quartile_by_area_sql("qstd")))
+def m1_outliers_qstd_by_area(spark, sf):
+    d = outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "qstd", by="area")
+    return d.select("incident_id", "area", "lat", "lon")
