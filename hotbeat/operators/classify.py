@@ -99,11 +99,11 @@ def balanced_weights(df: DataFrame, label: str = LABEL, out: str = "class_weight
 
 
 def grid_search(train: DataFrame, estimator, grid, fold_col: str = "fold", parallelism: int = 4,
-                metric: str = "accuracy"):
+                metric: str = "accuracy", folds: int = 5):
     """Cross-validated search over ``grid`` with stratified folds."""
     ev = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName=metric)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=42)
+                        numFolds=folds, parallelism=parallelism, seed=42)
     return cv.fit(train)
 
 

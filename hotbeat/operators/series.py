@@ -136,18 +136,25 @@ def _nelder_mead(fun, x0: np.ndarray, iters: int = 400, tol: float = 1e-10) -> n
 
 
 def _css_residuals(z: np.ndarray, c: float, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
+    """One-step residuals for t >= p (pre-sample shocks are zero)."""
     p, q = len(ar), len(ma)
-    e = np.zeros(len(z))
-    for t in range(len(z)):
+    n = len(z)
+    if q == 0:  # pure AR: vectorised
+        pred = np.full(n - p, c, dtype=float)
+        for i in range(p):
+            pred += ar[i] * z[p - 1 - i:n - 1 - i]
+        return z[p:] - pred
+    zl, arl, mal = z.tolist(), [float(a) for a in ar], [float(m) for m in ma]
+    e = [0.0] * n
+    for t in range(p, n):
         pred = c
         for i in range(p):
-            if t - 1 - i >= 0:
-                pred += ar[i] * z[t - 1 - i]
+            pred += arl[i] * zl[t - 1 - i]
         for j in range(q):
             if t - 1 - j >= 0:
-                pred += ma[j] * e[t - 1 - j]
-        e[t] = z[t] - pred if t >= p else 0.0
-    return e[p:]
+                pred += mal[j] * e[t - 1 - j]
+        e[t] = zl[t] - pred
+    return np.asarray(e[p:])
 
 
 def fit_arima(x: np.ndarray, p: int, d: int, q: int, h: int, z95: float = 1.959964):

@@ -1086,7 +1086,9 @@ def l1_logistic_regression(spark, sf):
 
 def _cv(spark, sf, family: str):
     from pyspark.ml import Pipeline
-    d = labelled(spark, sf).filter("split = 'train'")
+    from hotbeat.session import cut_lineage
+    # one materialisation of the small projected frame instead of one per fold x setting
+    d = cut_lineage(labelled(spark, sf).filter("split = 'train'").select(*SHIFT_FEATURES, "label", "fold"))
     if family == "rf":
         est = clf.forest()
         grid = clf.forest_grid(est, full=False)
@@ -1095,7 +1097,7 @@ def _cv(spark, sf, family: str):
         grid = clf.boosted_grid(est, family, full=False)
     pipe = Pipeline(stages=[clf.assembler(SHIFT_FEATURES), est])
     # grid maps address the estimator's params; the pipeline forwards them
-    return clf.grid_search(d, pipe, grid, "fold", parallelism=2), grid
+    return clf.grid_search(d, pipe, grid, "fold", parallelism=4), grid
 
 
 def _cv_scores(spark, m, grid, family):
