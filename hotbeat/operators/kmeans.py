@@ -65,8 +65,20 @@ def _centre_struct(cols: Sequence[str], prefix: str = "") -> Column:
                     *[F.col(f"{prefix}{c}").cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
 
 
-def _pack(centres: DataFrame, cols: Sequence[str], by: list[str]) -> DataFrame:
-    return centres.groupBy(*by).agg(F.collect_list(_centre_struct(cols)).alias("__centres"))
+# Largest packed centre table (one row per group, <= k centres each) that is
+# broadcast; above it the join falls back to a shuffle on the group key.
+MAX_BROADCAST_GROUPS = 200_000
+
+
+def _pack(centres: DataFrame, cols: Sequence[str], by: list[str], n_groups: int | None = None) -> DataFrame:
+    packed = centres.groupBy(*by).agg(F.collect_list(_centre_struct(cols)).alias("__centres"))
+    if n_groups is not None and n_groups <= MAX_BROADCAST_GROUPS:
+        return F.broadcast(packed)
+    return packed
+
+
+def _group_count(pts: DataFrame, by: list[str]) -> int:
+    return pts.select(*by).distinct().count()
 
 
 def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: int = 42) -> DataFrame:
@@ -79,8 +91,9 @@ def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: in
     first = (pts.groupBy(*by).agg(F.min_by(F.struct(*cols), _uniform(F.col("pid"), seed, 0)).alias("__p"))
                 .select(*by, F.lit(0).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cols]))
     centres = cut_lineage(first)
+    n_groups = centres.count()
     for j in range(1, max_k):
-        arr = _pack(centres, cols, by)
+        arr = _pack(centres, cols, by, n_groups)
         cand = (pts.filter(kcol > j).join(arr, by)
                    .withColumn("__d2", _nearest(cols).getField("d2"))
                    .filter(F.col("__d2") > 0))
@@ -92,22 +105,30 @@ def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: in
 
 
 def lloyd(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str],
-          max_iter: int = 50, tol: float = 1e-9) -> DataFrame:
-    """Weighted Lloyd iterations until every centre moves less than ``tol``."""
+          max_iter: int = 300, tol: float = 1e-4) -> DataFrame:
+    """Weighted Lloyd iterations until no centre moves by more than ``tol``
+    times the mean feature variance (squared distance), as is customary."""
+    # the tightest group sets the bar: tol x (smallest within-group mean variance)
+    per_group = pts.groupBy(*by).agg((sum(F.coalesce(F.var_pop(c), F.lit(0.0)) for c in cols)
+                                      / F.lit(float(len(cols)))).alias("__v"))
+    v = per_group.filter(F.col("__v") > 0).agg(F.min("__v")).first()[0]
+    limit = tol * float(v or 0.0)
+    n_groups = _group_count(centres, by)
     for _ in range(max_iter):
-        arr = _pack(centres, cols, by)
+        arr = _pack(centres, cols, by, n_groups)
         a = pts.join(arr, by).withColumn("cluster", _nearest(cols).getField("cluster"))
         upd = a.groupBy(*by, "cluster").agg(
             *[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"__n_{c}") for c in cols])
         # clusters that lost every point keep their old centre
-        new = (centres.join(upd, by + ["cluster"], "left")
+        # both sides are groups x k rows
+        new = (centres.join(F.broadcast(upd), by + ["cluster"], "left")
                       .select(*by, "cluster", *[F.coalesce(f"__n_{c}", c).alias(c) for c in cols],
                               sum([(F.coalesce(F.col(f"__n_{c}"), F.col(c)) - F.col(c)) ** 2
                                    for c in cols]).alias("__shift")))
         new = cut_lineage(new)
         moved = new.agg(F.max("__shift")).first()[0]
         centres = new.drop("__shift")
-        if moved is None or moved <= tol * tol:
+        if moved is None or moved <= limit:
             break
     return centres
 
@@ -123,7 +144,7 @@ def assign(df: DataFrame, centres: DataFrame, cols: Sequence[str], by=None,
     d, tmp = (df, False) if by else (df.withColumn("__g", F.lit(0)), True)
     c = centres if by else centres.withColumn("__g", F.lit(0))
     b = by or ["__g"]
-    arr = F.broadcast(_pack(c, cols, b))
+    arr = _pack(c, cols, b, _group_count(c, b))
     r = d.join(arr, b).withColumn("__near", _nearest(cols))
     r = r.withColumn(out, F.col("__near.cluster"))
     if dist:
@@ -132,8 +153,8 @@ def assign(df: DataFrame, centres: DataFrame, cols: Sequence[str], by=None,
     return r.drop("__g") if tmp else r
 
 
-def kmeans(df: DataFrame, cols: Sequence[str], k, by=None, seed: int = 42, max_iter: int = 50,
-           tol: float = 1e-9, weight: str | None = None, id_col: str = "incident_id") -> DataFrame:
+def kmeans(df: DataFrame, cols: Sequence[str], k, by=None, seed: int = 42, max_iter: int = 300,
+           tol: float = 1e-4, weight: str | None = None, id_col: str = "incident_id") -> DataFrame:
     """M4: centres (by, cluster, cols, size, wcss) of weighted k-means per group."""
     by = _as_list(by)
     b = by or ["__g"]

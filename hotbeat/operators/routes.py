@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hotbeat.functions.geo import MEAN_RADIUS_KM, geo_km
+from hotbeat.session import spread_groups
 
 EXACT_MAX = 8
 
@@ -186,6 +187,7 @@ def plan_routes(stops: DataFrame, by, id_col: str = "hotspot_id", lat: str = "la
     s = s.withColumn("__island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
     types = {f.name: f.dataType.simpleString() for f in stops.schema.fields}
     schema = ", ".join(f"{k} {types[k]}" for k in by) + ", island int, route array<bigint>, km double"
+    s = spread_groups(s, by + ["__island"])
     res = s.groupBy(*by, "__island").applyInPandas(
         _search(by, id_col, lat, lon, pop_size, generations, mutation, fixed_start, seed), schema)
     best = res.groupBy(*by).agg(F.min_by(F.struct("route", "km"), F.struct("km", "island")).alias("__b"))

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hotbeat.session import spread_groups
+
 # FIXED VALUES: 5 % critical value of the Dickey-Fuller t statistic with a
 # constant and no trend (large-sample).
 DF_CRITICAL_5PCT = -2.86
@@ -248,6 +250,7 @@ def auto_forecast(series: DataFrame, key, orders: Sequence[tuple[int, int, int]]
                        F.col("__o.q").alias("__q")))
     key_types = {f.name: f.dataType.simpleString() for f in series.schema.fields}
     schema = ", ".join(f"{k} {key_types[k]}" for k in key) + ", " + FORECAST_SCHEMA
+    s = spread_groups(s, key + ["__p", "__d", "__q"])
     fc = s.groupBy(*key, "__p", "__d", "__q").applyInPandas(_forecast_group(h, key, period, value), schema)
     if not pick_best:
         return fc

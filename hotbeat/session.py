@@ -80,3 +80,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = No
     from pyspark.sql import functions as F
     n = known_rows if known_rows is not None else df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def spread_groups(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``keys`` into an explicit number of partitions.
+
+    Used before CPU-heavy grouped Python (route search, ARIMA fits): their
+    input is tiny, so adaptive execution would coalesce the shuffle into one
+    task and run every group serially.  A user-specified partition count is
+    kept by AQE, and the following ``groupBy(keys)`` reuses the partitioning
+    (no second exchange).
+    """
+    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
