@@ -56,13 +56,15 @@ def weekday_counts(df: DataFrame, date: str = "occ_date") -> DataFrame:
 def exact_mean_expr(col: str, digits: int = 6, int_div: str = "div") -> str:
     """Mean rounded half-up to ``digits``, independent of summation order.
 
-    Values are scaled to integers (``round(x * 10^d)``), summed exactly as
-    BIGINT, and the rounded quotient is formed by integer division, so every
-    engine and every partitioning gives the same double.  ``int_div`` is the
-    integer-division operator of the SQL dialect (``div`` / ``//``).
+    Values are scaled to integers (``round(x * 10^d)``), summed exactly in a
+    38-digit integer type (no overflow even for 10^15 rows of coordinates),
+    and the rounded quotient is formed by integer division, so every engine
+    and every partitioning gives the same double.  ``int_div`` selects the
+    dialect: ``div`` (Spark, DECIMAL(38,0)) or ``//`` (DuckDB, HUGEINT).
     """
     f = 10 ** digits
-    s = f"sum(CAST(round({col} * {f}) AS BIGINT))"
+    wide = "DECIMAL(38,0)" if int_div == "div" else "HUGEINT"
+    s = f"sum(CAST(round({col} * {f}) AS {wide}))"
     n = f"count({col})"
     return f"sign({s}) * ((abs({s}) * 2 + {n}) {int_div} ({n} * 2)) / {float(f)!r}"
 

@@ -57,6 +57,32 @@ def gap_filled_counts(df: DataFrame, key, ts: str, freq: str = "month",
                 .select(*key, "period", F.coalesce(out, F.lit(0)).cast("long").alias(out)))
 
 
+def ols_exprs(y: str, x: str, dialect: str = "spark") -> dict[str, str]:
+    """Aggregate SQL for simple OLS y = a + b x from exact integer sums.
+
+    For integer series (counts and their differences) every sum is exact in
+    a 38-digit integer type; slope, intercept and the slope's t statistic
+    are then a fixed sequence of IEEE operations on those sums, so any
+    engine and any partitioning gives bit-identical results.
+    """
+    wide = "DECIMAL(38,0)" if dialect == "spark" else "HUGEINT"
+    both = f"{y} IS NOT NULL AND {x} IS NOT NULL"
+
+    def sm(e):
+        return f"sum(CASE WHEN {both} THEN CAST({e} AS {wide}) END)"
+    n = f"count(CASE WHEN {both} THEN 1 END)"
+    sx, sy, sxy, sxx, syy = sm(x), sm(y), sm(f"{x} * {y}"), sm(f"{x} * {x}"), sm(f"{y} * {y}")
+    num = f"CAST({n} * {sxy} - {sx} * {sy} AS DOUBLE)"
+    den = f"CAST({n} * {sxx} - {sx} * {sx} AS DOUBLE)"
+    vyy = f"CAST({n} * {syy} - {sy} * {sy} AS DOUBLE)"
+    slope = f"CASE WHEN {n} >= 2 AND {den} > 0 THEN {num} / {den} END"
+    intercept = f"CASE WHEN {n} >= 2 AND {den} > 0 THEN (CAST({sy} AS DOUBLE) - ({num} / {den}) * CAST({sx} AS DOUBLE)) / {n} END"
+    ssr = f"(({vyy}) - ({num}) * ({num}) / ({den})) / {n}"
+    t = (f"CASE WHEN {n} > 2 AND {den} > 0 AND {ssr} > 0 THEN ({num} / {den}) / "
+         f"sqrt({ssr} / ({n} - 2) / (({den}) / {n})) END")
+    return {"n": n, "slope": slope, "intercept": intercept, "t": t}
+
+
 def stationarity(series: DataFrame, key, period: str = "period", value: str = "n",
                  critical: float = DF_CRITICAL_5PCT) -> DataFrame:
     """R2: Dickey-Fuller regression dx_t = a + b * x_{t-1} per key.
@@ -68,15 +94,10 @@ def stationarity(series: DataFrame, key, period: str = "period", value: str = "n
     w = Window.partitionBy(*key).orderBy(period)
     s = series.withColumn("__lag", F.lag(value).over(w)).withColumn("__dx", F.col(value) - F.col("__lag"))
     s = s.filter(F.col("__lag").isNotNull())
-    g = s.groupBy(*key).agg(F.regr_count("__dx", "__lag").alias("n"),
-                            F.regr_slope("__dx", "__lag").alias("slope"),
-                            F.regr_sxx("__dx", "__lag").alias("sxx"), F.regr_syy("__dx", "__lag").alias("syy"),
-                            F.regr_sxy("__dx", "__lag").alias("sxy"))
-    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    se = F.sqrt(ssr / (F.col("n") - 2) / F.col("sxx"))
-    t = F.when((F.col("n") > 2) & (F.col("sxx") > 0) & (ssr > 0), F.col("slope") / se)
-    return g.select(*key, "n", "slope", t.alias("t_stat"),
-                    F.when(t.isNull(), F.lit(None)).otherwise(t > critical).alias("difference"))
+    o = ols_exprs("__dx", "__lag")
+    g = s.groupBy(*key).agg(F.expr(o["n"]).alias("n"), F.expr(o["slope"]).alias("slope"),
+                            F.expr(o["t"]).alias("t_stat"))
+    return g.withColumn("difference", F.col("t_stat") > critical)
 
 
 def ar_diff_forecast(series: DataFrame, key, h: int, period: str = "period", value: str = "n") -> DataFrame:
@@ -89,8 +110,9 @@ def ar_diff_forecast(series: DataFrame, key, h: int, period: str = "period", val
     w = Window.partitionBy(*key).orderBy(period)
     s = series.withColumn("__dx", F.col(value) - F.lag(value).over(w))
     s = s.withColumn("__dx1", F.lag("__dx").over(w))
+    o = ols_exprs("__dx", "__dx1")
     fit = s.groupBy(*key).agg(
-        F.regr_slope("__dx", "__dx1").alias("phi"), F.regr_intercept("__dx", "__dx1").alias("c"),
+        F.expr(o["slope"]).alias("phi"), F.expr(o["intercept"]).alias("c"),
         F.max_by(F.col(value), F.col(period)).alias("x_last"), F.max_by("__dx", F.col(period)).alias("dx_last"),
         F.max(period).alias("last_period"))
     fit = fit.filter(F.col("phi").isNotNull() & (F.col("phi") != 1.0))

@@ -936,13 +936,13 @@ def a23_r1_gap_filled_series(spark, sf):
     return order_series(spark, sf)
 
 
+_OLS_R2 = ts.ols_exprs("dx", "lx", "duck")
+_OLS_R5 = ts.ols_exprs("dx", "dx1", "duck")
+
+
 @register("r2_stationarity", with_base(
-    "SELECT grp, n, round(slope, 6) AS slope, round(t_stat, 6) AS t_stat, t_stat > -2.86 AS difference FROM ("
-    "SELECT grp, regr_count(dx, lx) AS n, regr_slope(dx, lx) AS slope, "
-    "CASE WHEN regr_count(dx, lx) > 2 AND regr_sxx(dx, lx) > 0 AND "
-    "regr_syy(dx, lx) - regr_sxy(dx, lx) * regr_sxy(dx, lx) / regr_sxx(dx, lx) > 0 THEN "
-    "regr_slope(dx, lx) / sqrt((regr_syy(dx, lx) - regr_sxy(dx, lx) * regr_sxy(dx, lx) / regr_sxx(dx, lx)) "
-    "/ (regr_count(dx, lx) - 2) / regr_sxx(dx, lx)) END AS t_stat FROM ("
+    f"SELECT grp, n, round(slope, 6) AS slope, round(t_stat, 6) AS t_stat, t_stat > -2.86 AS difference FROM ("
+    f"SELECT grp, {_OLS_R2['n']} AS n, {_OLS_R2['slope']} AS slope, {_OLS_R2['t']} AS t_stat FROM ("
     "SELECT grp, n - lag(n) OVER (PARTITION BY grp ORDER BY period) AS dx, "
     "lag(n) OVER (PARTITION BY grp ORDER BY period) AS lx FROM ser) s WHERE lx IS NOT NULL GROUP BY grp) r",
     SERIES_CTES))
@@ -957,7 +957,8 @@ def r2_stationarity(spark, sf):
     "SELECT f.grp, h.h, CAST(f.last_period + h.h * INTERVAL 1 MONTH AS DATE) AS period, f.phi, f.c, "
     "f.x_last + f.c / (1.0 - f.phi) * (h.h - f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) "
     "+ f.dx_last * (f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) AS forecast FROM ("
-    "SELECT grp, regr_slope(dx, dx1) AS phi, regr_intercept(dx, dx1) AS c, arg_max(n, period) AS x_last, "
+    f"SELECT grp, {_OLS_R5['slope']} AS phi, {_OLS_R5['intercept']} AS c, "
+    "arg_max(n, period) AS x_last, "
     "arg_max(dx, period) AS dx_last, max(period) AS last_period FROM ("
     "SELECT grp, period, n, dx, lag(dx) OVER (PARTITION BY grp ORDER BY period) AS dx1 FROM ("
     "SELECT grp, period, n, n - lag(n) OVER (PARTITION BY grp ORDER BY period) AS dx FROM ser) a) b "
@@ -1373,3 +1374,12 @@ def m1_outliers_iqr_by_area(spark, sf):
 def m1_outliers_qstd_by_area(spark, sf):
     d = outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "qstd", by="area")
     return d.select("incident_id", "area", "lat", "lon")
+
+
+@register("s1_raw_extract_roundtrip", with_base(
+    "SELECT incident_id, occ_date, rptd_date, time_occ, area, crm_cd, vict_age, vict_sex, category, lat, lon, "
+    "CAST(NULL AS DOUBLE) AS amount FROM incidents"))
+def s1_raw_extract_roundtrip(spark, sf):
+    """incidents -> 28-column raw text layout (CSV) -> declared-schema scan -> incident schema."""
+    path = io.write_csv(io.to_raw_layout(inc(spark, sf)), io.scratch(spark, "raw_extract_csv"))
+    return io.from_raw(io.read_raw_incidents(spark, path))

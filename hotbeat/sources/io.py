@@ -135,3 +135,40 @@ def describe_table(df: DataFrame) -> DataFrame:
 def head_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """First rows (the feature is a preview, so the limit stays)."""
     return df.limit(n)
+
+
+def to_raw_layout(inc: DataFrame) -> DataFrame:
+    """Incident rows in the public extract's 28-column text layout (for round trips).
+
+    Dates become ``MM/dd/yyyy hh:mm:ss a`` text, the clock an integer without
+    leading zeros; columns the stand-in view lacks are null.
+    """
+    txt = "MM/dd/yyyy hh:mm:ss a"
+    known = {
+        "DR_NO": F.col("incident_id"),
+        "Date Rptd": F.date_format(F.col("rptd_date").cast("timestamp"), txt),
+        "DATE OCC": F.date_format(F.col("occ_date").cast("timestamp"), txt),
+        "TIME OCC": F.col("time_occ").try_cast("int"),
+        "AREA": F.col("area"), "Crm Cd": F.col("crm_cd"), "Crm Cd Desc": F.col("category"),
+        "Vict Age": F.col("vict_age"), "Vict Sex": F.col("vict_sex"),
+        "LAT": F.col("lat"), "LON": F.col("lon"),
+    }
+    return inc.select(*[(known[f.name] if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in RAW_SCHEMA.fields])
+
+
+def from_raw(raw: DataFrame) -> DataFrame:
+    """Raw snake_case extract -> the incident schema used by every operator.
+
+    Text dates go through ``try_to_timestamp`` (junk -> null, Q11) and the
+    integer clock keeps its 4-digit text form; DATE OCC is never overwritten
+    by the day of month (Q4).
+    """
+    from hotbeat.functions.calendar import parse_date
+    return raw.select(
+        F.col("dr_no").alias("incident_id"), parse_date("date_occ").alias("occ_date"),
+        parse_date("date_rptd").alias("rptd_date"),
+        F.lpad(F.col("time_occ").cast("string"), 4, "0").alias("time_occ"),
+        F.col("area"), F.col("crm_cd"), F.col("vict_age"), F.col("vict_sex"),
+        F.col("crm_cd_desc").alias("category"), F.col("lat"), F.col("lon"),
+        F.lit(None).cast("double").alias("amount"))
