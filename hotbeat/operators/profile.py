@@ -92,9 +92,15 @@ def summary_stats(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
                   F.max(c).cast("double").alias("max"))
 
 
-def sums_by(df: DataFrame, by, cols: Iterable[str], digits: int = 6) -> DataFrame:
-    """Numeric sums per key."""
-    return df.groupBy(*_cols(by)).agg(*[F.round(F.sum(c), digits).alias(f"sum_{c}") for c in cols])
+def sums_by(df: DataFrame, by, cols: Iterable[str], scale: int = 2) -> DataFrame:
+    """Numeric sums per key.
+
+    Summed as DECIMAL(38, scale) - exact and independent of partitioning -
+    then returned as DOUBLE.  ``scale`` is the number of decimals the
+    source values carry (2 for money).
+    """
+    return df.groupBy(*_cols(by)).agg(
+        *[F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double").alias(f"sum_{c}") for c in cols])
 
 
 def distinct_sorted(df: DataFrame, cols) -> DataFrame:

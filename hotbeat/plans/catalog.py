@@ -464,12 +464,12 @@ def a16_summary_stats(spark, sf):
 
 
 @register("a17_sums_per_year",
-          "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, round(sum(o_totalprice), 6) AS sum_o_totalprice, "
-          "round(sum(o_custkey), 6) AS sum_o_custkey FROM orders GROUP BY 1")
+          "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, "
+          "CAST(sum(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE) AS sum_o_totalprice, "
+          "CAST(sum(CAST(o_custkey AS DECIMAL(38,2))) AS DOUBLE) AS sum_o_custkey FROM orders GROUP BY 1")
 def a17_sums_per_year(spark, sf):
     o = fixtures.orders(spark, sf).withColumn("y", cal.year_of("o_orderdate"))
-    out = profile.sums_by(o, "y", ["o_totalprice", "o_custkey"])
-    return out.withColumn("sum_o_custkey", F.col("sum_o_custkey").cast("double"))
+    return profile.sums_by(o, "y", ["o_totalprice", "o_custkey"])
 
 
 @register("a18_distinct_sorted", with_base("SELECT DISTINCT category FROM enriched"))
