@@ -81,6 +81,24 @@ def _group_count(pts: DataFrame, by: list[str]) -> int:
     return pts.select(*by).distinct().count()
 
 
+# Centre tables up to this many rows (groups x k) are model state small
+# enough to keep on the driver between rounds, as Spark ML's own KMeans does:
+# one job per round, no checkpoint.  Larger tables stay distributed.
+MAX_DRIVER_CENTRES = 100_000
+
+
+def _packed_from_rows(spark, pts: DataFrame, by: list[str], cols: Sequence[str], state: dict) -> DataFrame:
+    """Broadcast table (by, __centres) built on the driver from {(by..., cluster): coords}."""
+    from pyspark.sql import types as T
+    groups: dict = {}
+    for key, val in state.items():
+        groups.setdefault(key[:-1], []).append((int(key[-1]), *[float(x) for x in val]))
+    centre_t = T.ArrayType(T.StructType([T.StructField("cluster", T.IntegerType())] +
+                                        [T.StructField(f"v{i}", T.DoubleType()) for i in range(len(cols))]))
+    schema = T.StructType([pts.schema[c] for c in by] + [T.StructField("__centres", centre_t)])
+    return F.broadcast(spark.createDataFrame([(*g, sorted(v)) for g, v in groups.items()], schema))
+
+
 def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: int = 42) -> DataFrame:
     """k-means++ seeding per group; ``k`` is an int or the name of a per-group column."""
     kcol = F.col(k) if isinstance(k, str) else F.lit(int(k))
@@ -90,18 +108,32 @@ def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: in
         max_k = int(k)
     first = (pts.groupBy(*by).agg(F.min_by(F.struct(*cols), _uniform(F.col("pid"), seed, 0)).alias("__p"))
                 .select(*by, F.lit(0).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cols]))
-    centres = cut_lineage(first)
-    n_groups = centres.count()
+    spark = pts.sparkSession
+    local = max_k * _group_count(pts, by) <= MAX_DRIVER_CENTRES
+    if local:
+        schema = first.schema
+        rows = first.collect()
+        centres = None
+    else:
+        centres = cut_lineage(first)
+        n_groups = _group_count(centres, by)
+    keyn = len(by) + 1
     for j in range(1, max_k):
-        arr = _pack(centres, cols, by, n_groups)
+        if local:
+            arr = _packed_from_rows(spark, pts, by, cols, {tuple(r[:keyn]): tuple(r[keyn:]) for r in rows})
+        else:
+            arr = _pack(centres, cols, by, n_groups)
         cand = (pts.filter(kcol > j).join(arr, by)
                    .withColumn("__d2", _nearest(cols).getField("d2"))
                    .filter(F.col("__d2") > 0))
         key = -F.log(_uniform(F.col("pid"), seed, j)) / (F.col("w") * F.col("__d2"))
         nxt = (cand.groupBy(*by).agg(F.min_by(F.struct(*cols), key).alias("__p"))
                    .select(*by, F.lit(j).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cols]))
-        centres = cut_lineage(centres.unionByName(nxt))
-    return centres
+        if local:
+            rows = rows + nxt.collect()
+        else:
+            centres = cut_lineage(centres.unionByName(nxt))
+    return spark.createDataFrame(rows, schema) if local else centres
 
 
 def lloyd(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str],
@@ -114,6 +146,8 @@ def lloyd(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str]
     v = per_group.filter(F.col("__v") > 0).agg(F.min("__v")).first()[0]
     limit = tol * float(v or 0.0)
     n_groups = _group_count(centres, by)
+    if centres.count() <= MAX_DRIVER_CENTRES:
+        return _lloyd_driver_state(pts, centres, cols, by, max_iter, limit, n_groups)
     for _ in range(max_iter):
         arr = _pack(centres, cols, by, n_groups)
         a = pts.join(arr, by).withColumn("cluster", _nearest(cols).getField("cluster"))
@@ -133,6 +167,35 @@ def lloyd(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str]
     return centres
 
 
+def _lloyd_driver_state(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str],
+                        max_iter: int, limit: float, n_groups: int) -> DataFrame:
+    """Lloyd rounds with the (bounded) centre table held on the driver.
+
+    Each round is one job: points join the broadcast centre arrays, the
+    weighted sums are partially aggregated map-side, and only groups x k
+    rows come back.  Clusters that lose every point keep their centre.
+    """
+    spark = pts.sparkSession
+    schema = centres.select(*by, "cluster", *cols).schema
+    keyn = len(by) + 1
+    state = {tuple(r[:keyn]): tuple(r[keyn:]) for r in centres.select(*by, "cluster", *cols).collect()}
+    for _ in range(max_iter):
+        arr = _packed_from_rows(spark, pts, by, cols, state)
+        a = pts.join(arr, by).withColumn("cluster", _nearest(cols).getField("cluster"))
+        upd = a.groupBy(*by, "cluster").agg(
+            *[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c) for c in cols]).collect()
+        moved = 0.0
+        for r in upd:
+            key, val = tuple(r[:keyn]), tuple(r[keyn:])
+            old = state.get(key)
+            if old is not None:
+                moved = max(moved, sum((a_ - b_) ** 2 for a_, b_ in zip(val, old)))
+            state[key] = val
+        if moved <= limit:
+            break
+    return spark.createDataFrame([k + v for k, v in state.items()], schema)
+
+
 def assign(df: DataFrame, centres: DataFrame, cols: Sequence[str], by=None,
            out: str = "cluster", dist: str | None = None) -> DataFrame:
     """M5: nearest centre (ties to the smaller cluster id) for every row.
