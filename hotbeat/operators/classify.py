@@ -20,7 +20,6 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hotbeat.operators import split as sp
 
 LABEL = "label"
 
@@ -144,7 +143,8 @@ def feature_importance(model, names: Sequence[str], top: int = 20, spark=None) -
     """Top-n impurity importances of a fitted forest, joined to names."""
     imp = model.featureImportances.toArray()
     rows = sorted(((names[i], float(v)) for i, v in enumerate(imp)), key=lambda t: (-t[1], t[0]))[:top]
-    spark = spark or __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    from pyspark.sql import SparkSession
+    spark = spark or SparkSession.getActiveSession()
     return spark.createDataFrame(rows, "feature string, importance double")
 
 

@@ -14,6 +14,7 @@ Design for scale:
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,7 +90,6 @@ def radius_pairs_nd(pts: DataFrame, eps: float, grid_cols: Sequence[str], extra_
     b = pts.select(*by, *cells, F.col("pid").alias("q"), F.col("w").alias("q_w"),
                    *[F.col(c).alias(f"__b{i}") for i, c in enumerate(cols)])
     g = len(grid_cols)
-    import itertools
     offs = [F.array(*[F.lit(v) for v in o]) for o in itertools.product((-1, 0, 1), repeat=g)]
     b = b.withColumn("__o", F.explode(F.array(*offs)))
     for i in range(g):

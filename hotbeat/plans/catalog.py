@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hotbeat import fixed
 from hotbeat.functions import calendar as cal
 from hotbeat.functions import codes
 from hotbeat.functions.geo import geo_km, sphere_km_sql
@@ -322,7 +323,7 @@ def d12_mean_age_int(spark, sf):
 @register("c1_descent_label", with_base(
     f"SELECT incident_id, d AS descent, COALESCE(m.label, 'Unknown') AS descent_label FROM "
     f"(SELECT incident_id, {DESCENT_DUCK} AS d FROM incidents) x LEFT JOIN (VALUES "
-    + ", ".join(f"('{c}', '{lab}')" for c, lab in __import__('hotbeat.fixed', fromlist=['x']).descent_codes())
+    + ", ".join(f"('{c}', '{lab}')" for c, lab in fixed.descent_codes())
     + ") AS m(code, label) ON x.d = m.code"))
 def c1_descent_label(spark, sf):
     d = inc(spark, sf).select("incident_id", F.expr(DESCENT_SPARK).alias("descent"))
@@ -342,7 +343,7 @@ def c3_category_of(spark, sf):
     return codes.category_of(inc(spark, sf).select("incident_id", "crm_cd"))
 
 
-VIOLENT_SQL = ", ".join(f"'{v}'" for v in __import__('hotbeat.fixed', fromlist=['x']).VIOLENT_CATEGORIES)
+VIOLENT_SQL = ", ".join(f"'{v}'" for v in fixed.VIOLENT_CATEGORIES)
 
 
 @register("c4_crime_type", with_base(
