@@ -21,6 +21,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hotbeat.operators.attach import attach
+
 CUTOFF = 80.0
 
 
@@ -33,9 +35,8 @@ def _as_list(by) -> list[str]:
 def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str = "lat", y: str = "lon",
              cutoff: float = CUTOFF) -> DataFrame:
     """Density surface rows (by, i, j, gx, gy, density) per group."""
-    by = _as_list(by) or ["__g"]
-    d = df if by != ["__g"] else df.withColumn("__g", F.lit(0))
-    d = d.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    by = _as_list(by)
+    d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     st = d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.var_samp(x).alias("sxx"), F.var_samp(y).alias("syy"),
         F.covar_samp(x, y).alias("sxy"), F.min(x).alias("x_lo"), F.max(x).alias("x_hi"),
@@ -52,9 +53,9 @@ def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
             .withColumn("dx", (F.col("x_hi") + pad - F.col("x0")) / (grid - 1))
             .withColumn("dy", (F.col("y_hi") + pad - F.col("y0")) / (grid - 1))
             .withColumn("rx", F.sqrt(F.col("hxx") * cutoff)).withColumn("ry", F.sqrt(F.col("hyy") * cutoff)))
-    # One row per group: broadcast is bounded by the number of groups.
+    # One row per group: broadcast (or a scalar subquery without groups).
     pts = d.groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("w"))
-    p = pts.join(F.broadcast(st), by)
+    p = attach(pts, st, by)
     last = F.lit(grid - 1)
     i_lo = F.greatest(F.lit(0), F.ceil((F.col(x) - F.col("rx") - F.col("x0")) / F.col("dx")))
     i_hi = F.least(last, F.floor((F.col(x) + F.col("rx") - F.col("x0")) / F.col("dx")))
@@ -74,7 +75,7 @@ def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
             .select(*by, "i", "j", (F.col("x0") + F.col("i") * F.col("dx")).alias("gx"),
                     (F.col("y0") + F.col("j") * F.col("dy")).alias("gy"),
                     (F.col("s") * F.col("norm")).alias("density")))
-    return out.drop("__g") if by == ["__g"] else out
+    return out
 
 
 def kde_peak(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str = "lat", y: str = "lon") -> DataFrame:
@@ -84,18 +85,13 @@ def kde_peak(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
     covariance is singular (one point, or all points on a line) have no
     density; their peak is the weighted mean point, flagged ``density`` null.
     """
-    byl = _as_list(by)
-    g = kde_grid(df, byl, grid, pad, x, y)
-    b = byl or ["__g"]
-    if not byl:
-        g = g.withColumn("__g", F.lit(0))
+    b = _as_list(by)
+    g = kde_grid(df, b, grid, pad, x, y)
     best = (g.groupBy(*b).agg(F.max(F.struct("density", (-F.col("i")).alias("ni"), (-F.col("j")).alias("nj"),
                                              "gx", "gy")).alias("__b"))
               .select(*b, F.col("__b.gx").alias(f"peak_{x}"), F.col("__b.gy").alias(f"peak_{y}"),
                       F.col("__b.density").alias("density")))
-    d = df if byl else df.withColumn("__g", F.lit(0))
-    means = d.groupBy(*b).agg(F.avg(x).alias("__mx"), F.avg(y).alias("__my"), F.count(F.lit(1)).alias("n"))
-    out = (means.join(best, b, "left")
-                .select(*b, F.coalesce(f"peak_{x}", "__mx").alias(f"peak_{x}"),
-                        F.coalesce(f"peak_{y}", "__my").alias(f"peak_{y}"), "density", "n"))
-    return out.drop("__g") if not byl else out
+    means = df.groupBy(*b).agg(F.avg(x).alias("__mx"), F.avg(y).alias("__my"), F.count(F.lit(1)).alias("n"))
+    joined = means.join(best, b, "left") if b else attach(means, best, [])
+    return joined.select(*b, F.coalesce(f"peak_{x}", "__mx").alias(f"peak_{x}"),
+                         F.coalesce(f"peak_{y}", "__my").alias(f"peak_{y}"), "density", "n")

@@ -16,6 +16,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hotbeat.operators.attach import attach
+
 
 def one_hot_pipeline(cats: Sequence[str], nums: Sequence[str] = (), out: str = "features",
                      order: str = "frequencyDesc", drop_last: bool = True) -> Pipeline:
@@ -67,15 +69,12 @@ def standardise(df: DataFrame, cols: Sequence[str], by=None, suffix: str = "_z")
     The statistics are one row (per group), joined back by broadcast.
     """
     g = [by] if isinstance(by, str) else list(by or [])
-    base = df if g else df.withColumn("__g", F.lit(0))
-    key = g or ["__g"]
-    st = base.groupBy(*key).agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
-                                *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
-    out = base.join(F.broadcast(st), key)
+    st = df.groupBy(*g).agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
+                            *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
+    out = attach(df, st, g)
     for c in cols:
         out = out.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}"))
-    out = out.drop(*[x for x in st.columns if x.startswith("__")])
-    return out.drop("__g") if not g else out
+    return out.drop(*[x for x in st.columns if x.startswith("__")])
 
 
 def pca_report(df: DataFrame, cols: Sequence[str] | None = None, vector_col: str | None = None,

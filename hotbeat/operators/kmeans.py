@@ -204,16 +204,17 @@ def assign(df: DataFrame, centres: DataFrame, cols: Sequence[str], by=None,
     per group; it is broadcast because its size is groups x k.
     """
     by = _as_list(by)
-    d, tmp = (df, False) if by else (df.withColumn("__g", F.lit(0)), True)
-    c = centres if by else centres.withColumn("__g", F.lit(0))
-    b = by or ["__g"]
-    arr = _pack(c, cols, b, _group_count(c, b))
-    r = d.join(arr, b).withColumn("__near", _nearest(cols))
+    if by:
+        r = df.join(_pack(centres, cols, by, _group_count(centres, by)), by)
+    else:
+        # one centre list for everything: a scalar subquery, not a join
+        arr = centres.agg(F.collect_list(_centre_struct(cols))).scalar()
+        r = df.withColumn("__centres", arr)
+    r = r.withColumn("__near", _nearest(cols))
     r = r.withColumn(out, F.col("__near.cluster"))
     if dist:
         r = r.withColumn(dist, F.col("__near.d2"))
-    r = r.drop("__centres", "__near")
-    return r.drop("__g") if tmp else r
+    return r.drop("__centres", "__near")
 
 
 def kmeans(df: DataFrame, cols: Sequence[str], k, by=None, seed: int = 42, max_iter: int = 300,

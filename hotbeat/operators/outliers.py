@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hotbeat.operators.attach import attach
+
 
 def _group(df: DataFrame, by):
-    if not by:
-        return df.withColumn("__g", F.lit(0)), ["__g"]
-    return df, [by] if isinstance(by, str) else list(by)
+    return df, ([] if not by else [by] if isinstance(by, str) else list(by))
 
 
 def quartile_outliers(df: DataFrame, cols: Sequence[str], method: str = "iqr", by=None,
@@ -41,7 +41,7 @@ def quartile_outliers(df: DataFrame, cols: Sequence[str], method: str = "iqr", b
         if method not in ("iqr", "qstd"):
             raise ValueError(method)
         cond = cond | (F.col(c) < q1 - k * s) | (F.col(c) > q3 + k * s)
-    out = d.join(F.broadcast(b), g).filter(cond)
+    out = attach(d, b, g).filter(cond)
     return out.drop(*[x for x in b.columns if x.startswith("__")])
 
 
@@ -55,5 +55,5 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0,
     cond = F.lit(False)
     for c in cols:
         cond = cond | (F.abs(F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}") > threshold)
-    out = d.join(F.broadcast(b), g).filter(cond)
+    out = attach(d, b, g).filter(cond)
     return out.drop(*[x for x in b.columns if x.startswith("__")])
