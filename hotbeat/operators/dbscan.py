@@ -13,6 +13,8 @@ Labels are joined back to the rows on (by, x, y).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +45,17 @@ def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
     edges = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_semi")
                   .join(core.withColumnRenamed("node", "q"), "q", "left_semi")
                   .select(F.col("p").alias("src"), F.col("q").alias("dst")))
-    comp = connected_components(core, edges)
+    if not grid_cols:
+        # Core points inside one sub-cell of side eps / sqrt(2) are pairwise
+        # within eps, hence connected: start them with a shared label.
+        side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
+        sub = (pts.join(core.withColumnRenamed("node", "pid"), "pid", "left_semi")
+                  .select("pid", *by, F.floor(F.col(x) / side).alias("__sx"), F.floor(F.col(y) / side).alias("__sy")))
+        seed = sub.groupBy(*by, "__sx", "__sy").agg(F.min("pid").alias("label"))
+        core_nodes = sub.join(seed, by + ["__sx", "__sy"]).select(F.col("pid").alias("node"), "label")
+    else:
+        core_nodes = core
+    comp = connected_components(core_nodes, edges)
     # border points: not core, adjacent to at least one core point
     border = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_anti")
                    .join(comp.withColumnRenamed("node", "q"), "q")

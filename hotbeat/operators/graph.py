@@ -16,13 +16,19 @@ from hotbeat.session import cut_lineage
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """nodes(node), edges(src, dst) -> (node, label = smallest node id in its component).
+    """nodes(node[, label]), edges(src, dst) -> (node, label = smallest node id in its component).
 
-    Edges are treated as undirected.  Every node appears in the output.
+    Edges are treated as undirected.  Every node appears in the output.  An
+    optional starting ``label`` column may group nodes already known to be
+    connected (each label must be the id of a node in that group); it only
+    shortens the propagation, the result is the same.
     """
     e = edges.select("src", "dst").filter(F.col("src") != F.col("dst"))
     e = cut_lineage(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = cut_lineage(nodes.select("node").distinct().withColumn("label", F.col("node")))
+    if "label" in nodes.columns:
+        labels = cut_lineage(nodes.select("node", "label").distinct())
+    else:
+        labels = cut_lineage(nodes.select("node").distinct().withColumn("label", F.col("node")))
     while True:
         # propagate: each node takes the smallest label among itself and its neighbours
         cand = e.join(labels.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "label")
