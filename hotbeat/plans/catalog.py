@@ -1074,9 +1074,14 @@ SHIFT_FEATURES = ["lat", "lon", "occ_month", "occ_weekday"]
 
 
 def labelled(spark, sf):
+    """Enriched rows with label, split and fold, materialised once (reliable
+    checkpoint) because model fitting and scoring read them several times."""
+    from hotbeat.session import cut_lineage
     d = clf.with_label(enr(spark, sf))
     d = sp.stratified_split(d, "time_slot", "incident_id")
-    return sp.stratified_folds(d, "time_slot", "incident_id", 5)
+    d = sp.stratified_folds(d, "time_slot", "incident_id", 5)
+    return cut_lineage(d.select("incident_id", "area", *SHIFT_FEATURES, "vict_age", "amount", "time_slot",
+                                "label", "split", "fold"))
 
 
 @register("l1_logistic_regression")
