@@ -5,7 +5,7 @@ of hotspots chosen per area (k), never by incident rows.  Route search is a
 grouped map over (group x island): every island is an independent genetic
 search with its own seed, islands run in parallel tasks, and the shortest
 route per group wins through ``min_by``.  With at most ``EXACT_MAX`` stops
-the search is exhaustive, so those groups get the optimal open path.
+the route is the exact optimum (Held-Karp dynamic programming).
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from hotbeat.functions.geo import MEAN_RADIUS_KM, geo_km
 from hotbeat.session import spread_groups
 
-EXACT_MAX = 8
+# Up to this many stops the optimal open path is computed exactly (Held-Karp).
+EXACT_MAX = 12
 
 
 def _as_list(by) -> list[str]:
@@ -69,17 +70,38 @@ def _path_len(route: Sequence[int], d: np.ndarray) -> float:
 
 
 def _exhaustive(d: np.ndarray, fixed_start: bool) -> list[int]:
+    """Optimal open path by Held-Karp dynamic programming, O(2^n n^2).
+
+    dp[mask, j] = shortest path that visits exactly ``mask`` and ends at j;
+    the path may start anywhere (or only at stop 0 with ``fixed_start``).
+    Ties resolve to the smallest index, so the result is deterministic.
+    """
     n = len(d)
-    best, best_len = None, math.inf
-    rest = range(1, n) if fixed_start else range(n)
-    for perm in itertools.permutations(rest):
-        r = (0,) + perm if fixed_start else perm
-        if not fixed_start and r[0] > r[-1]:
-            continue  # a path and its reverse have the same length
-        ln = _path_len(r, d)
-        if ln < best_len - 1e-12:
-            best, best_len = list(r), ln
-    return best
+    full = (1 << n) - 1
+    dp = np.full((1 << n, n), np.inf)
+    parent = np.full((1 << n, n), -1, dtype=np.int64)
+    for j in ([0] if fixed_start else range(n)):
+        dp[1 << j, j] = 0.0
+    for mask in range(1, full + 1):
+        row = dp[mask]
+        if not np.isfinite(row).any():
+            continue
+        for k in range(n):
+            if mask & (1 << k):
+                continue
+            cand = row + d[:, k]
+            j = int(np.argmin(cand))
+            nm = mask | (1 << k)
+            if cand[j] < dp[nm, k]:
+                dp[nm, k] = cand[j]
+                parent[nm, k] = j
+    end = int(np.argmin(dp[full]))
+    route, mask = [end], full
+    while parent[mask, route[-1]] >= 0:
+        j = int(parent[mask, route[-1]])
+        mask ^= 1 << route[-1]
+        route.append(j)
+    return route[::-1]
 
 
 def _nearest_neighbour(d: np.ndarray, start: int) -> list[int]:
