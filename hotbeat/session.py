@@ -9,9 +9,12 @@ unset (local tests) do we pick a scratch folder ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,18 +52,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="hotbeat-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for written tables)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table written below ``scratch_path`` once nothing reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which see only what is on their own path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_hotbeat_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="hotbeat-package-")  # served to executors while the driver lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = os.path.join(folder, "hotbeat_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for top, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(top, f)
+                    z.write(full, os.path.join("hotbeat", os.path.relpath(full, root)))
+    sc.addPyFile(name)
+    sc._hotbeat_shipped = True
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
