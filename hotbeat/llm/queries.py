@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hotbeat.llm import token_store
-from hotbeat.llm.common import table
+from hotbeat.llm import ann, html_text, license_scan, packing, quality, token_store, topk, toxicity
+from hotbeat.llm.common import held_out, table
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +30,88 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_store.write_store(docs, WORD_BPE, "word", end_id=2)
     found = token_store.locate(store, docs.select("doc_id"))
     return token_store.read_digests(store, found).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten largest integer inner products of every hundredth vector among all vectors."""
+    return topk.top_k_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
+ORACLE["op7_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
+@query
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest of every twentieth vector among all vectors."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+ORACLE["op8_nearest"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20
+"""
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels of every document by base phrases and signature rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).drop("text")
+
+
+ORACLE["op10_license_scan"] = license_scan.oracle()
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, "byte", end_id=0, length=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by compression distance."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs.select("doc_id", "text"), model, column="score")
+            .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by gated attention over its passages."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return (quality.score(docs.select("doc_id", "text"), model, column="score")
+            .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
