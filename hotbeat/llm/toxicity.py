@@ -1,15 +1,16 @@
 """Toxicity by compression distance.
 
-One zstandard dictionary is trained on windows of toxic documents, one on windows of ordinary ones.
-A window that the toxic dictionary shortens more than the ordinary one does is suspicious.  Most of a
-toxic document is ordinary prose, so the toxic dictionary is trained again on the windows that speak
-most for it.  A document's windows give the excess saved bytes of its most suspicious windows, the
-share of windows beyond a threshold and the mean; a logistic calibration, fitted on documents that no
-dictionary has seen, turns them into a score.
+Two zstandard dictionaries are trained: one on ordinary text, its commonest words; one on toxic text,
+the words that stand in many different surroundings there and in no ordinary document of the sample,
+followed by the ordinary dictionary.  Both shorten ordinary prose alike, so a window of words that the
+toxic dictionary shortens more holds toxic wording.  A document's windows give the bytes saved on its
+most suspicious windows, the share of windows beyond a threshold and the mean; a logistic calibration,
+fitted on documents that no dictionary has seen, turns them into a score.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +26,13 @@ from hotbeat.llm.logistic import fit_logistic, logistic
 PER_CLASS = 2000
 #: Words of a window.
 WINDOW = 8
-DICTIONARY_BYTES = 32_768
-LEVEL = 3
-#: Of a toxic document's windows, the share that the second toxic dictionary is trained on.
-KEPT_SHARE = 0.2
+ORDINARY_BYTES = 100_000
+TOXIC_BYTES = 4096
+LEVEL = 9
+#: A word enters the toxic dictionary after so many different words, as a share of the toxic documents
+#: learnt from, and after ``LEAST`` at least.  Copies of a document repeat the surroundings, too.
+SURROUNDINGS = 0.012
+LEAST = 4
 TOP = 6
 
 
@@ -43,19 +47,39 @@ class ToxicityModel:
     constant: float | None = None
 
 
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "replace").split()
+
+
 def windows(text: str) -> list[bytes]:
-    words = text.lower().encode("utf-8", "replace").split()
-    return [b" ".join(words[i:i + WINDOW]) for i in range(0, len(words), WINDOW)]
+    words = words_of(text)
+    return [b" " + b" ".join(words[i:i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)]
 
 
 def compressor(dictionary: bytes):
     import zstandard
 
-    data = zstandard.ZstdCompressionDict(dictionary)
+    data = zstandard.ZstdCompressionDict(dictionary or b"\n", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     data.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False).compress
 
 
+def train_dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionary content, the most telling words last, where they cost least."""
+    common = Counter(w for t in ordinary for w in {*words_of(t)})
+    around: dict[bytes, set[bytes]] = {}
+    for t in toxic:
+        words = words_of(t)
+        for before, w in zip([b"", *words], words):
+            if w not in common:
+                around.setdefault(w, set()).add(before)
+    least = max(LEAST, int(len(toxic) * SURROUNDINGS))
+    telling = sorted((len(s), w) for w, s in around.items() if len(s) >= least)
+    joined = lambda words: b"".join(b" " + w + b" " for w in words)
+    content = joined(sorted(common, key=lambda w: (common[w], w)))[-ORDINARY_BYTES:]
+    return content, joined(w for _, w in telling)[-TOXIC_BYTES:] + content
+
+
 def excess(ws: list[bytes], ordinary, toxic) -> np.ndarray:
     """Bytes that the toxic dictionary saves on each window beyond the ordinary one."""
     return np.array([len(ordinary(w)) - len(toxic(w)) for w in ws], np.float64)
@@ -70,15 +94,6 @@ def features(d: np.ndarray, threshold: float) -> np.ndarray:
     return np.concatenate([top, [over.mean() if len(d) else 0.0, np.log1p(over.sum()), d.mean() if len(d) else 0.0, np.log1p(len(d))]])
 
 
-def _train(samples: list[bytes]) -> bytes:
-    import zstandard
-
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8, level=LEVEL).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on: the text itself serves as dictionary
-        return b"\n".join(samples)[-DICTIONARY_BYTES:] or b"-"
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> ToxicityModel:
     """Fit on at most ``per_class`` labelled documents of each label that are not held out."""
     rows = training_sample(docs, labels, label, per_class)
@@ -86,23 +101,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     if min(n) < 4:
         return ToxicityModel(constant=float(n[1] > n[0]))
     counts = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-    by = {k: [windows(t) for t, y in rows if y == k] for k in (0, 1)}
-    learn = {k: [w for w in v[::2]] for k, v in by.items()}
-    held = {k: [w for w in v[1::2]] for k, v in by.items()}
-    ordinary_windows = [w for ws in learn[0] for w in ws]
-    ordinary = _train(ordinary_windows)
-    toxic = _train([w for ws in learn[1] for w in ws])
-    for _ in range(2):
-        a, b = compressor(ordinary), compressor(toxic)
-        kept = []
-        for ws in learn[1]:
-            d = excess(ws, a, b)
-            kept += [ws[i] for i in np.argsort(-d, kind="stable")[:max(1, int(len(ws) * KEPT_SHARE))]]
-        toxic = _train(kept + ordinary_windows[:: max(1, len(ordinary_windows) // max(1, len(kept)))])
+    by = {k: [t for t, y in rows if y == k] for k in (0, 1)}
+    ordinary, toxic = train_dictionaries(by[0][::2], by[1][::2])
+    held = {k: [windows(t) for t in v[1::2]] for k, v in by.items()}
     a, b = compressor(ordinary), compressor(toxic)
     d = {k: [excess(ws, a, b) for ws in held[k]] for k in (0, 1)}
     pooled = np.concatenate([x for x in d[0] if len(x)] or [np.zeros(1)])
-    threshold = float(np.quantile(pooled, 0.99))
+    threshold = float(np.quantile(pooled, 0.998))
     x = np.array([features(v, threshold) for k in (0, 1) for v in d[k]])
     y = np.concatenate([np.zeros(len(d[0])), np.ones(len(d[1]))])
     mean, scale, w = fit_logistic(x, y)
