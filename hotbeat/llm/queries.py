@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotbeat.llm import ann, html_text, license_scan, packing, quality, token_store, topk, toxicity
+from hotbeat.llm import ann, html_text, jaccard_join, license_scan, packing, quality, token_store, topk, toxicity
 from hotbeat.llm.common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,3 +115,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
