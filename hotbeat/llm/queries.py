@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotbeat.llm import ann, html_text, jaccard_join, license_scan, packing, quality, token_store, topk, toxicity
+from hotbeat.llm import ann, html_text, jaccard_join, license_scan, packing, pieces, quality, token_store, topk, toxicity
 from hotbeat.llm.common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +123,15 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the crc32 of the text that they decode to."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECE_BPE)
+    return (pieces.decode(encoded, PIECE_BPE)
+            .select("doc_id", (F.length("ids") / 2).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+                    F.length("text").cast("long").alias("n_chars"), F.crc32(F.col("text").cast("binary")).alias("text_crc32")))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
