@@ -40,6 +40,7 @@ def search_cells(rows: DataFrame, is_query: Column, per_cell, k: int) -> DataFra
     every = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     candidates = rows.withColumn("s", deal(s_groups)).withColumn("u", every(u_groups)).withColumn("d", F.size("v"))
     queries = rows.where(is_query).withColumn("u", deal(u_groups)).withColumn("s", every(s_groups)).withColumn("d", F.size("v"))
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])  # columns of its own beside the candidates'
     kind = rows.schema["id"].dataType.simpleString()
     score = "long" if per_cell.__name__ == "exact_cell" else "double"
 
