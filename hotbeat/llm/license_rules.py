@@ -192,7 +192,7 @@ RULES_TEXT = r"""
 1 psf psf licen = (?:the )?psf licen[cs]e(?: version| v)?(?: 2)?
 1 php php licen = (?:the )?php licen[cs]e(?: version| v)?(?: 3 01| 3 0)?
 1 ruby ruby licen = (?:the )?ruby licen[cs]e
-1 zend zend licen = (?:the )?zend (?:engine )?licen[cs]e
+1 zend zend = (?:the )?zend (?:engine )?licen[cs]e
 1 postgresql postgresql licen = (?:the )?postgresql licen[cs]e
 1 openssl openssl licen = (?:the )?openssl licen[cs]e
 1 ssleay original ssleay licen = (?:the )?original ssleay licen[cs]e
@@ -221,7 +221,7 @@ RULES_TEXT = r"""
 1 spl-1.0 sun public licen = (?:the )?sun public licen[cs]e(?: version| v)?(?: 1 0)?
 1 npl netscape public licen = (?:the )?netscape public licen[cs]e(?: version| v)?(?: 1 1)?
 1 rpl-1.5 reciprocal public licen = (?:the )?reciprocal public licen[cs]e(?: version| v)?(?: 1 5)?
-1 cecill cecill licen = (?:the )?cecill(?: b| c)? licen[cs]e
+1 cecill cecill = (?:the )?cecill(?: b| c)? licen[cs]e
 1 mulanpsl-2 mulan permissive software licen = (?:the )?mulan permissive software licen[cs]e(?: version| v)?(?: 2)?
 1 blueoak-1.0 blue oak model licen = (?:the )?blue oak model licen[cs]e(?: 1 0 0)?
 1 elastic-2 elastic licen = (?:the )?elastic licen[cs]e(?: version| v)?(?: 2 0)?
@@ -249,7 +249,7 @@ RULES_TEXT = r"""
 1 ogl open government licen = (?:the )?open government licen[cs]e(?: version| v)?(?: 3 0| 2 0| 1 0)?
 1 cdla-permissive community data license agreement permissive = (?:the )?community data license agreement permissive(?: version| v)?(?: 2 0| 1 0)?
 1 cdla-sharing community data license agreement sharing = (?:the )?community data license agreement sharing(?: version| v)?(?: 1 0)?
-1 openrail open rail licen = (?:the )?(?:creativeml )?open rail(?: m)? licen[cs]e
+1 openrail open rail = (?:the )?(?:creativeml )?open rail(?: m)? licen[cs]e
 1 openrail openrail m licen = (?:the )?(?:creativeml )?openrail m licen[cs]e
 1 ogl-rpg open game licen = (?:the )?open game licen[cs]e(?: version| v)?(?: 1 0a?)?
 1 fal free art licen = (?:the )?free art licen[cs]e(?: 1 3)?
@@ -257,7 +257,7 @@ RULES_TEXT = r"""
 1 opl open publication licen = (?:the )?open publication licen[cs]e(?: version| v)?(?: 1 0)?
 1 cern-ohl cern open hardware licen = (?:the )?cern open hardware licen[cs]e(?: version| v)?(?: 2| 1 2)?
 1 tapr-ohl tapr open hardware licen = (?:the )?tapr open hardware licen[cs]e
-1 sleepycat sleepycat licen = (?:the )?sleepycat (?:public )?licen[cs]e
+1 sleepycat sleepycat = (?:the )?sleepycat (?:public )?licen[cs]e
 1 hpnd historical permission notice = (?:the )?historical permission notice and disclaimer
 1 gl2ps gl2ps licen = (?:the )?gl2ps licen[cs]e
 1 nokia nokia open source licen = (?:the )?nokia open source licen[cs]e
