@@ -5,13 +5,11 @@ Same estimator as a Scott-bandwidth Gaussian KDE: per group, H = S * n^(-1/3)
 N(g; x_i, H), evaluated on a G x G grid from min - pad to max + pad
 (inclusive ends) on each axis.
 
-Computed as kernel splatting, not grid x points: each weighted distinct
-point emits only the grid nodes inside its kernel's box |dx_a| <=
-sqrt(c * H_aa) (c = 80, where exp(-c/2) ~ 4e-18 is below double precision
-of the sum), then contributions are summed per (group, node) with
-partial aggregation.  Work per point is bounded by G^2 and by the kernel
-size, never by the group's point count, so a hot group spreads over all
-tasks.  The arg-max per group is a ``max`` of a struct (map-side partial).
+Every node takes a contribution of every point, as the estimator says.  A
+weighted distinct point is spread over the grid in short runs of nodes; the
+nodes of a run are sums of one aggregate row, so partial aggregation leaves
+one row a run and task, and a hot group spreads over all tasks.  The
+arg-max per group is a ``max`` of a struct (map-side partial).
 """
 
 from __future__ import annotations
@@ -23,7 +21,11 @@ from pyspark.sql import functions as F
 
 from hotbeat.operators.attach import attach
 
-CUTOFF = 80.0
+#: Sums that agree to so many decimals are equal when peaks are compared: the
+#: order of addition must not decide between mirror-image nodes.
+PEAK_DECIMALS = 9
+#: Nodes of a run.
+RUN = 10
 
 
 def _as_list(by) -> list[str]:
@@ -32,8 +34,7 @@ def _as_list(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str = "lat", y: str = "lon",
-             cutoff: float = CUTOFF) -> DataFrame:
+def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str = "lat", y: str = "lon") -> DataFrame:
     """Density surface rows (by, i, j, gx, gy, density) per group."""
     by = _as_list(by)
     d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -51,31 +52,27 @@ def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
             .withColumn("norm", F.lit(1.0) / (F.lit(2 * math.pi) * F.sqrt("det") * F.col("n")))
             .withColumn("x0", F.col("x_lo") - pad).withColumn("y0", F.col("y_lo") - pad)
             .withColumn("dx", (F.col("x_hi") + pad - F.col("x0")) / (grid - 1))
-            .withColumn("dy", (F.col("y_hi") + pad - F.col("y0")) / (grid - 1))
-            .withColumn("rx", F.sqrt(F.col("hxx") * cutoff)).withColumn("ry", F.sqrt(F.col("hyy") * cutoff)))
+            .withColumn("dy", (F.col("y_hi") + pad - F.col("y0")) / (grid - 1)))
     # One row per group: broadcast (or a scalar subquery without groups).
     pts = d.groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("w"))
     p = attach(pts, st, by)
-    last = F.lit(grid - 1)
-    i_lo = F.greatest(F.lit(0), F.ceil((F.col(x) - F.col("rx") - F.col("x0")) / F.col("dx")))
-    i_hi = F.least(last, F.floor((F.col(x) + F.col("rx") - F.col("x0")) / F.col("dx")))
-    j_lo = F.greatest(F.lit(0), F.ceil((F.col(y) - F.col("ry") - F.col("y0")) / F.col("dy")))
-    j_hi = F.least(last, F.floor((F.col(y) + F.col("ry") - F.col("y0")) / F.col("dy")))
-    p = (p.filter((i_lo <= i_hi) & (j_lo <= j_hi))
-          .withColumn("i", F.explode(F.sequence(i_lo.cast("int"), i_hi.cast("int"))))
-          .withColumn("j", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int")))))
-    gx = F.col("x0") + F.col("i") * F.col("dx")
-    gy = F.col("y0") + F.col("j") * F.col("dy")
-    ex, ey = gx - F.col(x), gy - F.col(y)
-    q = F.col("ixx") * ex * ex + F.lit(2.0) * F.col("ixy") * ex * ey + F.col("iyy") * ey * ey
-    p = p.withColumn("c", F.col("w") * F.exp(F.lit(-0.5) * q))
-    out = (p.groupBy(*by, "i", "j").agg(F.sum("c").alias("s"), F.first("norm").alias("norm"),
-                                         F.first("x0").alias("x0"), F.first("dx").alias("dx"),
-                                         F.first("y0").alias("y0"), F.first("dy").alias("dy"))
-            .select(*by, "i", "j", (F.col("x0") + F.col("i") * F.col("dx")).alias("gx"),
-                    (F.col("y0") + F.col("j") * F.col("dy")).alias("gy"),
-                    (F.col("s") * F.col("norm")).alias("density")))
-    return out
+    p = (p.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+          .withColumn("ex", F.col("x0") + F.col("i") * F.col("dx") - F.col(x))
+          .withColumn("jb", F.explode(F.sequence(F.lit(0), F.lit(grid - 1), F.lit(RUN)))))
+
+    def kernel(t: int):
+        ey = F.col("y0") + (F.col("jb") + t) * F.col("dy") - F.col(y)
+        q = F.col("ixx") * F.col("ex") * F.col("ex") + F.lit(2.0) * F.col("ixy") * F.col("ex") * ey + F.col("iyy") * ey * ey
+        return F.sum(F.col("w") * F.exp(F.lit(-0.5) * q)).alias(f"s{t}")
+
+    runs = p.groupBy(*by, "i", "jb").agg(*[kernel(t) for t in range(RUN)],
+                                         *[F.first(c).alias(c) for c in ("norm", "x0", "dx", "y0", "dy")])
+    nodes = (runs.select(*by, "i", "jb", "norm", "x0", "dx", "y0", "dy",
+                         F.posexplode(F.array(*[f"s{t}" for t in range(RUN)])).alias("t", "s"))
+                 .withColumn("j", F.col("jb") + F.col("t")).filter(F.col("j") < grid))
+    return nodes.select(*by, "i", "j", (F.col("x0") + F.col("i") * F.col("dx")).alias("gx"),
+                        (F.col("y0") + F.col("j") * F.col("dy")).alias("gy"),
+                        (F.col("s") * F.col("norm")).alias("density"), F.col("s").alias("kernel_sum"))
 
 
 def kde_peak(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str = "lat", y: str = "lon") -> DataFrame:
@@ -87,8 +84,8 @@ def kde_peak(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
     """
     b = _as_list(by)
     g = kde_grid(df, b, grid, pad, x, y)
-    best = (g.groupBy(*b).agg(F.max(F.struct("density", (-F.col("i")).alias("ni"), (-F.col("j")).alias("nj"),
-                                             "gx", "gy")).alias("__b"))
+    best = (g.groupBy(*b).agg(F.max(F.struct(F.round("kernel_sum", PEAK_DECIMALS).alias("r"), (-F.col("i")).alias("ni"), (-F.col("j")).alias("nj"),
+                                             "gx", "gy", "density")).alias("__b"))
               .select(*b, F.col("__b.gx").alias(f"peak_{x}"), F.col("__b.gy").alias(f"peak_{y}"),
                       F.col("__b.density").alias("density")))
     means = df.groupBy(*b).agg(F.avg(x).alias("__mx"), F.avg(y).alias("__my"), F.count(F.lit(1)).alias("n"))

@@ -800,7 +800,7 @@ def m2_outliers_zscore(spark, sf):
 
 from hotbeat.operators import density  # noqa: E402
 
-KDE_GRID = 40
+KDE_GRID = 100
 KDE_PAD = 0.01
 
 
@@ -814,20 +814,17 @@ def kde_ctes(by: list[str], src: str, grid: int = KDE_GRID, pad: float = KDE_PAD
         f"kb1 AS (SELECT *, sxx * {f} AS hxx, syy * {f} AS hyy, sxy * {f} AS hxy FROM kst)",
         "kb2 AS (SELECT *, hxx * hyy - hxy * hxy AS det FROM kb1)",
         f"kb3 AS (SELECT *, hyy / det AS ixx, hxx / det AS iyy, -hxy / det AS ixy, "
-        f"1.0 / ({2 * math.pi!r} * sqrt(det) * n) AS norm, x_lo - {pad!r} AS x0, y_lo - {pad!r} AS y0, "
-        f"sqrt(hxx * {density.CUTOFF!r}) AS rx, sqrt(hyy * {density.CUTOFF!r}) AS ry FROM kb2 WHERE det > 0)",
+        f"1.0 / ({2 * math.pi!r} * sqrt(det) * n) AS norm, x_lo - {pad!r} AS x0, y_lo - {pad!r} AS y0 "
+        "FROM kb2 WHERE det > 0)",
         f"kb AS (SELECT *, (x_hi + {pad!r} - x0) / {grid - 1} AS dx, (y_hi + {pad!r} - y0) / {grid - 1} AS dy FROM kb3)",
         f"kpts AS (SELECT {g}, lat, lon, count(*) AS w FROM {src} GROUP BY {g}, lat, lon)",
         f"kc AS (SELECT {', '.join('b.' + c for c in by)}, gi.i, gj.j, b.x0 + gi.i * b.dx AS gx, b.y0 + gj.j * b.dy AS gy, "
         f"p.w, p.lat, p.lon, b.ixx, b.iyy, b.ixy, b.norm FROM kpts p JOIN kb b ON {on('p', 'b')} "
-        f"JOIN range({grid}) gi(i) ON gi.i BETWEEN greatest(0, ceil((p.lat - b.rx - b.x0) / b.dx)) "
-        f"AND least({grid - 1}, floor((p.lat + b.rx - b.x0) / b.dx)) "
-        f"JOIN range({grid}) gj(j) ON gj.j BETWEEN greatest(0, ceil((p.lon - b.ry - b.y0) / b.dy)) "
-        f"AND least({grid - 1}, floor((p.lon + b.ry - b.y0) / b.dy)))",
+        f"CROSS JOIN range({grid}) gi(i) CROSS JOIN range({grid}) gj(j))",
         f"kd AS (SELECT {g}, i, j, gx, gy, sum(w * exp(-0.5 * (ixx * (gx - lat) * (gx - lat) + "
-        f"2.0 * ixy * (gx - lat) * (gy - lon) + iyy * (gy - lon) * (gy - lon)))) * max(norm) AS density "
+        f"2.0 * ixy * (gx - lat) * (gy - lon) + iyy * (gy - lon) * (gy - lon)))) AS s, max(norm) AS norm "
         f"FROM kc GROUP BY {g}, i, j, gx, gy)",
-        f"kpk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY density DESC, i, j) AS r "
+        f"kpk AS (SELECT * FROM (SELECT *, s * norm AS density, row_number() OVER (PARTITION BY {g} ORDER BY round(s, 9) DESC, i, j) AS r "
         f"FROM kd) WHERE r = 1)",
         f"kmean AS (SELECT {g}, avg(lat) AS mx, avg(lon) AS my, count(*) AS n FROM {src} GROUP BY {g})",
         f"kpeak AS (SELECT {', '.join('m.' + c for c in by)}, COALESCE(k.gx, m.mx) AS peak_lat, "
@@ -859,7 +856,7 @@ def m11_kde_peak_per_cluster(spark, sf):
 
 
 @register("m13_kde_surface", with_base(
-    "SELECT area, i, j, round(gx, 6) AS gx, round(gy, 6) AS gy, round(density, 2) AS density FROM kd",
+    "SELECT area, i, j, round(gx, 6) AS gx, round(gy, 6) AS gy, round(s * norm, 2) AS density FROM kd",
     kde_ctes(["area"], "prepared")))
 def m13_kde_surface(spark, sf):
     g = density.kde_grid(prep(spark, sf), "area", KDE_GRID, KDE_PAD)
