@@ -66,14 +66,15 @@ def label_encode(df: DataFrame, col: str, out: str | None = None):
 def standardise(df: DataFrame, cols: Sequence[str], by=None, suffix: str = "_z") -> DataFrame:
     """(x - mean) / population sd per column (optionally per group).
 
-    The statistics are one row (per group), joined back by broadcast.
+    The statistics are one row (per group).  A column without spread becomes 0.
     """
     g = [by] if isinstance(by, str) else list(by or [])
     st = df.groupBy(*g).agg(*[F.avg(c).alias(f"__m_{c}") for c in cols],
                             *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
     out = attach(df, st, g)
     for c in cols:
-        out = out.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}"))
+        out = out.withColumn(f"{c}{suffix}", F.when(F.col(f"__s_{c}") == 0, F.col(c) - F.col(f"__m_{c}"))
+                             .otherwise((F.col(c) - F.col(f"__m_{c}")) / F.nullif(F.col(f"__s_{c}"), F.lit(0.0))))
     return out.drop(*[x for x in st.columns if x.startswith("__")])
 
 

@@ -46,7 +46,10 @@ def quartile_outliers(df: DataFrame, cols: Sequence[str], method: str = "iqr", b
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, by=None) -> DataFrame:
-    """M2: rows with |x - mean| / population sd > threshold in any column."""
+    """M2: rows with |x - mean| / population sd > threshold in any column.
+
+    A column without spread in a group has no outliers there.
+    """
     d, g = _group(df, by)
     aggs = []
     for c in cols:
@@ -54,6 +57,6 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0,
     b = d.groupBy(*g).agg(*aggs)
     cond = F.lit(False)
     for c in cols:
-        cond = cond | (F.abs(F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}") > threshold)
+        cond = cond | (F.coalesce(F.abs(F.col(c) - F.col(f"__m_{c}")) / F.nullif(F.col(f"__s_{c}"), F.lit(0.0)) > threshold, F.lit(False)))
     out = attach(d, b, g).filter(cond)
     return out.drop(*[x for x in b.columns if x.startswith("__")])

@@ -103,7 +103,9 @@ def ar_diff_forecast(series: DataFrame, key, h: int, period: str = "period", val
     """AR(1) on first differences, dx_t = c + phi * dx_{t-1}, h-step forecast.
 
     Fit per key with ``regr_slope``/``regr_intercept``; forecasts by closed
-    form: x_T + sum_{i<=h} (c (1 - phi^i) / (1 - phi) + phi^i dx_T).
+    form: x_T + sum_{i<=h} (c (1 - phi^i) / (1 - phi) + phi^i dx_T).  A key
+    whose series is too short or constant for a fit keeps its rows, with a
+    null forecast.
     """
     key = _as_list(key)
     w = Window.partitionBy(*key).orderBy(period)
@@ -114,10 +116,10 @@ def ar_diff_forecast(series: DataFrame, key, h: int, period: str = "period", val
         F.expr(o["slope"]).alias("phi"), F.expr(o["intercept"]).alias("c"),
         F.max_by(F.col(value), F.col(period)).alias("x_last"), F.max_by("__dx", F.col(period)).alias("dx_last"),
         F.max(period).alias("last_period"))
-    fit = fit.filter(F.col("phi").isNotNull() & (F.col("phi") != 1.0))
     f = fit.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(h))))
-    geo = F.col("phi") * (F.lit(1.0) - F.pow("phi", F.col("h").cast("double"))) / (F.lit(1.0) - F.col("phi"))
-    fc = (F.col("x_last") + F.col("c") / (F.lit(1.0) - F.col("phi")) * (F.col("h") - geo)
+    rest = F.nullif(F.lit(1.0) - F.col("phi"), F.lit(0.0))
+    geo = F.col("phi") * (F.lit(1.0) - F.pow("phi", F.col("h").cast("double"))) / rest
+    fc = (F.col("x_last") + F.col("c") / rest * (F.col("h") - geo)
           + F.col("dx_last") * geo)
     return f.select(*key, "h", F.add_months("last_period", F.col("h")).alias("period"),
                     "phi", "c", fc.alias("forecast"))
@@ -241,13 +243,13 @@ def _forecast_group(h: int, keys: Sequence[str], period: str, value: str):
         p, d, q = (int(pdf[c].iloc[0]) for c in ("__p", "__d", "__q"))
         res = fit_arima(pdf[value].to_numpy(dtype=float), p, d, q, h)
         cols = list(keys) + ["p", "d", "q", "step", "forecast", "lower", "upper", "aic", "sigma2"]
-        if res is None:
-            return pd.DataFrame(columns=cols)
-        aic, s2, fx, lo, hi = res
+        # too short for this order: the key keeps its rows, with null forecasts
+        aic, s2, fx, lo, hi = res if res is not None else (None, None, *[np.full(h, np.nan)] * 3)
         out = pd.DataFrame({"step": np.arange(1, h + 1, dtype="int32"), "forecast": fx, "lower": lo,
                             "upper": hi, "aic": aic, "sigma2": s2})
         for k in keys:
             out[k] = pdf[k].iloc[0]
+        out = out.astype(object).where(out.notna(), None) if res is None else out
         out["p"], out["d"], out["q"] = p, d, q
         return out[cols]
     return run
@@ -276,7 +278,7 @@ def auto_forecast(series: DataFrame, key, orders: Sequence[tuple[int, int, int]]
     if not pick_best:
         return fc
     best = (fc.filter(F.col("step") == 1).groupBy(*key)
-              .agg(F.min_by(F.struct("p", "d", "q"), F.struct("aic", "p", "d", "q")).alias("__b")))
+              .agg(F.min_by(F.struct("p", "d", "q"), F.struct(F.coalesce("aic", F.lit(float("inf"))), "p", "d", "q")).alias("__b")))
     return (fc.join(best, key)
               .filter((F.col("p") == F.col("__b.p")) & (F.col("d") == F.col("__b.d")) & (F.col("q") == F.col("__b.q")))
               .drop("__b"))

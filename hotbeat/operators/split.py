@@ -36,11 +36,14 @@ def rank_within_label(df: DataFrame, label: str, key: str, seed: int = 42, bucke
     offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     tot = counts.groupBy(label).agg(F.sum("__n").alias("__label_n"))
     # offsets: labels x buckets rows, bounded by configuration -> broadcast
-    d = d.join(F.broadcast(offs.select(label, "__b", "__off")), [label, "__b"])
-    d = d.join(F.broadcast(tot), label)
+    # null is a label like any other: no row is lost
+    offs = offs.select(F.col(label).alias("__l1"), F.col("__b").alias("__b1"), "__off")
+    d = d.join(F.broadcast(offs), F.col(label).eqNullSafe(F.col("__l1")) & (F.col("__b") == F.col("__b1")))
+    tot = tot.select(F.col(label).alias("__l2"), "__label_n")
+    d = d.join(F.broadcast(tot), F.col(label).eqNullSafe(F.col("__l2")))
     local = Window.partitionBy(label, "__b").orderBy("__h", key)
     return (d.withColumn(out, F.row_number().over(local) - 1 + F.col("__off"))
-             .drop("__h", "__b", "__off"))
+             .drop("__h", "__b", "__off", "__l1", "__b1", "__l2"))
 
 
 def stratified_split(df: DataFrame, label: str, key: str, train_fraction: float = 0.8, seed: int = 42,

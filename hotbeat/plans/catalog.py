@@ -953,14 +953,14 @@ def r2_stationarity(spark, sf):
 @register("r5_ar_diff_forecast", with_base(
     "SELECT grp, h, period, round(phi, 6) AS phi, round(c, 6) AS c, round(forecast, 3) AS forecast FROM ("
     "SELECT f.grp, h.h, CAST(f.last_period + h.h * INTERVAL 1 MONTH AS DATE) AS period, f.phi, f.c, "
-    "f.x_last + f.c / (1.0 - f.phi) * (h.h - f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) "
-    "+ f.dx_last * (f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / (1.0 - f.phi)) AS forecast FROM ("
+    "f.x_last + f.c / nullif(1.0 - f.phi, 0) * (h.h - f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / nullif(1.0 - f.phi, 0)) "
+    "+ f.dx_last * (f.phi * (1.0 - pow(f.phi, CAST(h.h AS DOUBLE))) / nullif(1.0 - f.phi, 0)) AS forecast FROM ("
     f"SELECT grp, {_OLS_R5['slope']} AS phi, {_OLS_R5['intercept']} AS c, "
     "arg_max(n, period) AS x_last, "
     "arg_max(dx, period) AS dx_last, max(period) AS last_period FROM ("
     "SELECT grp, period, n, dx, lag(dx) OVER (PARTITION BY grp ORDER BY period) AS dx1 FROM ("
     "SELECT grp, period, n, n - lag(n) OVER (PARTITION BY grp ORDER BY period) AS dx FROM ser) a) b "
-    "GROUP BY grp) f, range(1, 7) h(h) WHERE f.phi IS NOT NULL AND f.phi <> 1.0) t", SERIES_CTES))
+    "GROUP BY grp) f, range(1, 7) h(h)) t", SERIES_CTES))
 def r5_ar_diff_forecast(spark, sf):
     f = ts.ar_diff_forecast(order_series(spark, sf), "grp", 6)
     return f.select("grp", F.col("h").cast("long").alias("h"), "period", F.round("phi", 6).alias("phi"),

@@ -110,3 +110,53 @@ def test_streaming_enrich(spark, tmp_path):
     q.stop()
     from hotbeat.sources import fixtures
     assert n == enrich(prepare(fixtures.incidents(spark, SF_SMALL), dedupe_rows=False)).count()
+
+
+def test_null_labels_are_split_too(spark):
+    from hotbeat.operators import split
+
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3) for i in range(1000)], "k long, label int")
+    s = split.stratified_split(df, "label", "k")
+    assert s.count() == 1000
+    got = {(r["label"], r["split"]): r["count"] for r in s.groupBy("label", "split").count().collect()}
+    assert got[None, "train"] == 80 and got[None, "test"] == 20
+    assert split.stratified_folds(df, "label", "k").where("label is null").groupBy("fold").count().count() == 5
+
+
+def test_null_groups_and_columns_without_spread(spark):
+    from hotbeat.operators import features, outliers
+
+    df = spark.createDataFrame([(1, 2.0, None), (2, 4.0, None), (3, 5.0, 7)], "k int, v double, area int")
+    z = {r["k"]: r["v_z"] for r in features.standardise(df, ["v"], by="area").collect()}
+    assert z == {1: -1.0, 2: 1.0, 3: 0.0}
+    assert outliers.zscore_outliers(df, ["v"], 0.5, by="area").count() == 2
+    assert outliers.zscore_outliers(df.withColumn("v", F.lit(1.0)), ["v"], 0.5).count() == 0
+
+
+def test_short_series_keep_their_keys(spark):
+    rows = [("short", dt.date(2024, m, 1), m) for m in (1, 2, 3)] + [("flat", dt.date(2024, m, 1), 5) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "grp string, period date, n long")
+    ar = series.ar_diff_forecast(df, "grp", 4).collect()
+    assert {(r["grp"], r["h"]) for r in ar} == {(g, h) for g in ("short", "flat") for h in range(1, 5)}
+    fc = series.forecast(df, "grp", (1, 1, 1), 3).collect()
+    assert sum(r["grp"] == "short" and r["forecast"] is None for r in fc) == 3
+    assert len(series.auto_forecast(df, "grp", None, 3).collect()) == 6
+
+
+def test_tight_cluster_density_equals_plain_estimator(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    pts = [(1, float(34 + rng.normal(0, 1e-4)), float(-118 + rng.normal(0, 1e-4))) for _ in range(200)]
+    df = spark.createDataFrame(pts, "area int, lat double, lon double")
+    got = density.kde_grid(df, "area", 40, 0.01).collect()
+    assert len(got) == 1600
+    x = np.array([p[1:] for p in pts])
+    h = np.cov(x.T) * len(x) ** (-1 / 3)
+    inverse, norm = np.linalg.inv(h), 1 / (2 * np.pi * np.sqrt(np.linalg.det(h)) * len(x))
+    for r in got[::37]:
+        e = np.array([r["gx"], r["gy"]]) - x
+        want = norm * np.exp(-0.5 * np.einsum("ni,ij,nj->n", e, inverse, e)).sum()
+        assert r["density"] == pytest.approx(want, rel=1e-6, abs=1e-250)
+    peak = density.kde_peak(df, "area", 40, 0.01).first()
+    assert peak["density"] == max(r["density"] for r in got)
