@@ -31,7 +31,7 @@ SHINGLE = 5
 MOST_FREQUENT = 1_000_000
 FREQUENT = 8
 #: Bits of the map of shingles that are in more than one document, and of the map of wanted sets.
-BITMAP_BITS = 28
+BITMAP_BITS = 26
 #: Matches a document may demand, and what verifying a candidate costs against reading a row.
 MATCHES = 8
 VERIFY_COST = 10
@@ -197,23 +197,24 @@ def prefix_rows(docs: DataFrame, several: np.ndarray, frequent: tuple[np.ndarray
                 if not n or key in seen:
                     continue
                 seen.add(key)
-                df = _in_bitmap(several, s).astype(np.int64)
-                if len(known):
-                    short = s >> np.uint64(shift)
-                    at = np.minimum(np.searchsorted(known, short), len(known) - 1)
-                    df = np.where(known[at] == short, counts[at], df)
                 overlap = _least_overlap(n, percent)
                 most = min(MATCHES, overlap)
                 reach = n - overlap + most
-                alone = int((df == 0).sum())
+                others = s[_in_bitmap(several, s)]  # the rest is in no other set and comes first
+                alone = n - len(others)
                 if alone >= reach:
                     continue
-                order = np.lexsort((s, df))[alone:reach]
+                df = np.ones(len(others), np.int64)
+                if len(known):
+                    short = others >> np.uint64(shift)
+                    at = np.minimum(np.searchsorted(known, short), len(known) - 1)
+                    df = np.where(known[at] == short, counts[at], df)
+                order = np.lexsort((others, df))[:reach - alone]
                 cost = np.concatenate([[0], np.cumsum(np.maximum(df[order] - 1, 1))])
                 ends = np.maximum(np.arange(1, most + 1) + n - overlap - alone, 0)
                 estimate = cost[ends] + VERIFY_COST * cost[ends] / np.arange(1, most + 1)
                 matches = int(np.argmin(estimate)) + 1
-                prefix = s[order[:ends[matches - 1]]]
+                prefix = others[order[:ends[matches - 1]]]
                 if len(prefix):
                     out_s.append(prefix)
                     out_k.append(np.full(len(prefix), key, np.int64))
@@ -366,7 +367,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     frequent = (often["key"].to_numpy().astype(np.uint64), often["n"].to_numpy().astype(np.int32))
     several = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     size = len(several) >> ranges_bits
-    for r in counted.where("kind = 2").select("part", "b").toLocalIterator():  # 2^BITMAP_BITS bits at most
+    for r in counted.where("kind = 2").select("part", "b").collect():  # 2^BITMAP_BITS bits at most
         several[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["b"], np.uint8)
 
     rows = written(shared_rows(prefix_rows(docs, several, frequent, 32 - ranges_bits, percent)), "prefix-rows")
@@ -390,7 +391,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         open_ = labelled.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("c")).where("r1 <> r2")
         open_ = written(labelled.join(open_.select(F.col("shingle").alias("s2"), "c"), F.col("shingle") == F.col("s2")).drop("s2"), "open-rows")
         sizes = open_.groupBy("shingle", "root").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        left, pairs_left = open_.count(), sizes.agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2)).first()[0] or 0
+        left, pairs_left = sizes.agg(F.sum("t"), F.sum((F.col("t") * F.col("t") - F.col("q")) / 2)).first()
         if not left:
             break
         last = number == ROUNDS or number and pairs_left <= 2 * left

@@ -1,13 +1,22 @@
 """Density clustering (M3, M7, M8, M9) for every group in one job.
 
-Pipeline, all DataFrame operations:
+Two-dimensional points are clustered by cells of side eps / sqrt(2), any two
+points of which are neighbours.  All DataFrame operations:
+
 1. rows -> weighted distinct points per ``by`` group (map-side collapse);
-2. neighbour pairs by the grid-cell radius join (``spatial.radius_pairs``);
-3. core points: neighbour weight (self included) >= ``min_samples``;
-4. components of the core-core graph (``graph.connected_components``);
+2. a cell whose weight reaches ``min_samples`` holds core points only; the
+   points of other cells are compared with the points of the 24 cells around
+   (a cell counts as a whole where its four corners lie within eps);
+3. the core points of a cell are one node; two cells are linked if two of
+   their core points lie within eps.  Extreme points in eight directions show
+   most links; only the other cell pairs are compared point by point;
+4. components of the cells (``graph.connected_components``);
 5. border points join the smallest adjacent core component, others are -1;
 6. clusters are numbered per group by ``dense_rank`` of the component's
    smallest point id, minus 1 - deterministic and independent of row order.
+
+No list of neighbour pairs is kept: each comparison ends in an aggregate.
+Feature vectors with more dimensions (M8) use the radius join instead.
 Labels are joined back to the rows on (by, x, y).
 """
 
@@ -15,21 +24,88 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hotbeat.operators.graph import connected_components
-from hotbeat.operators.spatial import _cols, radius_pairs, radius_pairs_nd, weighted_points
+from hotbeat.operators.spatial import _cols, radius_pairs_nd, weighted_points
 from hotbeat.session import cut_lineage
 
 
+def _around(cells: DataFrame) -> DataFrame:
+    """Each row once for every cell within two steps of its own: (tx, ty) is the other cell."""
+    step = lambda: F.explode(F.sequence(F.lit(-2), F.lit(2)))
+    return (cells.withColumn("ox", step()).withColumn("oy", step())
+                 .withColumn("tx", F.col("cx") + F.col("ox")).withColumn("ty", F.col("cy") + F.col("oy")).drop("ox", "oy"))
+
+
+def _close(ax, ay, bx, by_, eps: float) -> Column:
+    return (ax - bx) * (ax - bx) + (ay - by_) * (ay - by_) <= F.lit(eps) * F.lit(eps)
+
+
+def _cell_points(pts: DataFrame, eps: float, min_samples: int, by: list[str]):
+    """(points with cell, node and label of core cells, border labels)."""
+    side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
+    p = cut_lineage(pts.select(*by, "pid", "w", "ax", "ay", F.floor(F.col("ax") / side).alias("cx"), F.floor(F.col("ay") / side).alias("cy")))
+    cell = [*by, "cx", "cy"]
+    weights = p.groupBy(*cell).agg(F.sum("w").alias("cw"))
+    dense = weights.filter(F.col("cw") >= min_samples)
+    sparse = p.join(weights.filter(F.col("cw") < min_samples), cell)  # fewer than min_samples points a cell
+    target = [*by, "tx", "ty"]
+    there = lambda d, **names: d.select(*by, F.col("cx").alias("tx"), F.col("cy").alias("ty"), *[F.col(k).alias(v) for k, v in names.items()])
+    # neighbours of the points of sparse cells: their own cell as a whole, others by distance
+    near = _around(sparse).filter((F.col("tx") != F.col("cx")) | (F.col("ty") != F.col("cy")))
+    counted = (near.join(there(p, ax="bx", ay="by_", w="bw"), target)
+               .filter(_close(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"), eps))
+               .groupBy("pid").agg(F.sum("bw").alias("nw")))
+    sparse_core = (sparse.join(counted, "pid", "left").filter(F.col("cw") + F.coalesce("nw", F.lit(0)) >= min_samples)
+                   .select("pid", *cell, "ax", "ay"))
+    core = cut_lineage(p.join(dense, cell).select("pid", *cell, "ax", "ay").unionByName(sparse_core))
+
+    # one node a cell, named by its least core point, with extreme points in eight directions
+    ways = [(1, 0), (0, 1), (1, 1), (1, -1)]
+    reach = lambda u, v: F.col("ax") * F.lit(float(u)) + F.col("ay") * F.lit(float(v))
+    spot = F.struct("ax", "ay")
+    nodes = cut_lineage(core.groupBy(*cell).agg(F.min("pid").alias("node"), F.array_distinct(F.array(
+        *[f(spot, reach(u, v)) for u, v in ways for f in (F.max_by, F.min_by)])).alias("rim")))
+    pairs = (_around(nodes).join(there(nodes, node="node2", rim="rim2"), target).filter(F.col("node") < F.col("node2")))
+    linked = F.exists("rim", lambda a: F.exists("rim2", lambda b: _close(a["ax"], a["ay"], b["ax"], b["ay"], eps)))
+    pairs = cut_lineage(pairs.select(*cell, "tx", "ty", "node", "node2", linked.alias("sure")))
+    open_ = pairs.filter(~F.col("sure"))
+    more = (open_.join(core.select(*cell, "ax", "ay"), cell)
+            .join(there(core, ax="bx", ay="by_"), target)
+            .filter(_close(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"), eps)).select("node", "node2").distinct())
+    edges = pairs.filter("sure").select("node", "node2").unionByName(more).toDF("src", "dst")
+    labels = cut_lineage(connected_components(nodes.select("node"), edges).join(nodes.select("node", *cell), "node"))
+
+    core_labels = core.join(labels.select(*cell, "label"), cell).select("pid", *cell, "ax", "ay", "label")
+    rest = _around(sparse.join(core.select("pid"), "pid", "left_anti"))
+    border = (rest.join(there(core_labels, ax="bx", ay="by_", label="label"), target)
+              .filter(_close(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"), eps))
+              .groupBy("pid").agg(F.min("label").alias("label")))
+    return core_labels.select("pid", "label", F.lit(True).alias("is_core")).unionByName(border.select("pid", "label", F.lit(False).alias("is_core")))
+
+
+def _pair_points(pts: DataFrame, eps: float, min_samples: int, by: list[str], grid_cols, extra_cols) -> DataFrame:
+    """Labels of points with more than two features, by the radius join."""
+    pairs = cut_lineage(radius_pairs_nd(pts, eps, grid_cols, extra_cols, by))
+    core = cut_lineage(pairs.groupBy("p").agg(F.sum("q_w").alias("nw")).filter(F.col("nw") >= min_samples).select(F.col("p").alias("node")))
+    edges = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_semi")
+                  .join(core.withColumnRenamed("node", "q"), "q", "left_semi")
+                  .select(F.col("p").alias("src"), F.col("q").alias("dst")))
+    comp = connected_components(core, edges)
+    border = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_anti").join(comp.withColumnRenamed("node", "q"), "q")
+              .groupBy("p").agg(F.min("label").alias("label")))
+    return (comp.select(F.col("node").alias("pid"), "label", F.lit(True).alias("is_core"))
+                .unionByName(border.select(F.col("p").alias("pid"), "label", F.lit(False).alias("is_core"))))
+
+
 def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
                   x: str = "lat", y: str = "lon", grid_cols=None, extra_cols=()) -> DataFrame:
     """Cluster weighted distinct points -> (by, coords, pid, w, is_core, cluster).
 
-    Default: 2-d points (x, y).  ``grid_cols`` / ``extra_cols`` switch to
-    d-dimensional features (M8): grid on at most three columns, the others
-    only in the exact distance.
+    Default: 2-d points (x, y), by cells.  ``grid_cols`` / ``extra_cols``
+    switch to d-dimensional features (M8).
     """
     by = _cols(by)
     if not by:
@@ -37,36 +113,12 @@ def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
     else:
         tmp = False
     if grid_cols:
-        pairs = cut_lineage(radius_pairs_nd(pts, eps, grid_cols, extra_cols, by))
-    else:
-        pairs = cut_lineage(radius_pairs(pts, eps, by, x, y).select(*by, "p", "q", "q_w"))
-    nw = pairs.groupBy("p").agg(F.sum("q_w").alias("nw"))
-    core = cut_lineage(nw.filter(F.col("nw") >= min_samples).select(F.col("p").alias("node")))
-    edges = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_semi")
-                  .join(core.withColumnRenamed("node", "q"), "q", "left_semi")
-                  .select(F.col("p").alias("src"), F.col("q").alias("dst")))
-    if not grid_cols:
-        # Core points inside one sub-cell of side eps / sqrt(2) are pairwise
-        # within eps, hence connected: start them with a shared label.
-        side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
-        sub = (pts.join(core.withColumnRenamed("node", "pid"), "pid", "left_semi")
-                  .select("pid", *by, F.floor(F.col(x) / side).alias("__sx"), F.floor(F.col(y) / side).alias("__sy")))
-        seed = sub.groupBy(*by, "__sx", "__sy").agg(F.min("pid").alias("label"))
-        core_nodes = sub.join(seed, by + ["__sx", "__sy"]).select(F.col("pid").alias("node"), "label")
+        labels = _pair_points(pts, eps, min_samples, by, grid_cols, extra_cols)
     else:
-        core_nodes = core
-    comp = connected_components(core_nodes, edges)
-    # border points: not core, adjacent to at least one core point
-    border = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_anti")
-                   .join(comp.withColumnRenamed("node", "q"), "q")
-                   .groupBy("p").agg(F.min("label").alias("label"))
-                   .withColumnRenamed("p", "node"))
-    labels = comp.unionByName(border)
-    out = (pts.join(labels.withColumnRenamed("node", "pid"), "pid", "left")
-              .join(core.select(F.col("node").alias("pid"), F.lit(True).alias("is_core")), "pid", "left")
-              .fillna(False, ["is_core"]))
-    # number the components per group; window rows = labelled points of one group
-    lab = out.filter(F.col("label").isNotNull()).select(*by, "label").distinct()
+        labels = _cell_points(pts.withColumn("ax", F.col(x)).withColumn("ay", F.col(y)), eps, min_samples, by)
+    out = pts.join(labels, "pid", "left").fillna(False, ["is_core"])
+    # number the components per group; window rows = components of one group
+    lab = labels.filter("is_core").join(pts.select("pid", *by), "pid").select(*by, "label").distinct()
     lab = lab.withColumn("cluster", (F.dense_rank().over(Window.partitionBy(*by).orderBy("label")) - 1).cast("int"))
     out = (out.join(lab, by + ["label"], "left")
               .withColumn("cluster", F.coalesce("cluster", F.lit(-1)))

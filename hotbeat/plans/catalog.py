@@ -719,6 +719,39 @@ def m3_density_outliers(spark, sf):
     return dbs.density_outliers(prep(spark, sf), 0.0004, 2, by="area").select("incident_id", "area")
 
 
+def dbscan_steps_ctes(eps: float, min_samples: int, by: str, src: str, steps: int) -> str:
+    """As ``dbscan_ctes`` for dense neighbourhoods: labels spread by ``steps`` rounds of least labels."""
+    head = dbscan_ctes(eps, min_samples, by, src)
+    a, b = head.index("reach(node"), head.index("border AS")
+    rounds = ["l0 AS (SELECT p AS node, p AS lab FROM core)"]
+    rounds += [f"l{k} AS MATERIALIZED (SELECT ce.p AS node, min(l.lab) AS lab FROM ce JOIN l{k - 1} l ON ce.q = l.node GROUP BY ce.p)"
+               for k in range(1, steps + 1)]
+    return head[:a] + ",\n".join([*rounds, f"comp AS (SELECT node, lab FROM l{steps})"]) + ",\n" + head[b:]
+
+
+@register("m7_dbscan_by_area_wide", with_base(
+    "SELECT incident_id, area, cluster FROM clustered", dbscan_steps_ctes(0.00135, 5, "area", "enriched", 30)))
+def m7_dbscan_by_area_wide(spark, sf):
+    """The radius of the source workflow: most points of an area are neighbours of many others."""
+    return dbs.dbscan(enr(spark, sf), 0.00135, 5, by="area").select("incident_id", "area", "cluster")
+
+
+@register("m9_dbscan_by_category_wide", with_base(
+    "SELECT incident_id, category, cluster FROM clustered", dbscan_steps_ctes(0.1, 1000, "category", "enriched", 6)))
+def m9_dbscan_by_category_wide(spark, sf):
+    return dbs.dbscan(enr(spark, sf), 0.1, 1000, by="category").select("incident_id", "category", "cluster")
+
+
+@register("m3_density_outliers_wide", with_base(
+    "SELECT s.incident_id, s.area, (c.pid IS NULL) AS noise FROM prepared s JOIN pts ON s.area = pts.area AND s.lat = pts.lat "
+    "AND s.lon = pts.lon LEFT JOIN (SELECT DISTINCT nb.p AS pid FROM nb JOIN core ON nb.q = core.p) c ON pts.pid = c.pid",
+    pts_sql("area", "prepared") + ",\n" + nb_sql(0.1, "area") + ",\ncore AS (SELECT p FROM nb GROUP BY p HAVING sum(w) >= 2)"))
+def m3_density_outliers_wide(spark, sf):
+    """Every row with the flag of M3 at the source's radius (0.1) and size (2)."""
+    d = dbs.dbscan(prep(spark, sf), 0.1, 2, by="area", out="c")
+    return d.select("incident_id", "area", (F.col("c") == -1).alias("noise"))
+
+
 @register("p16_exclude_noise", with_base(
     "SELECT incident_id, cluster FROM clustered WHERE cluster <> -1", CLUSTER_CTES))
 def p16_exclude_noise(spark, sf):
@@ -791,9 +824,9 @@ def m1_outliers_qstd(spark, sf):
 @register("m2_outliers_zscore", with_base(
     "SELECT p.incident_id, p.area FROM prepared p JOIN (SELECT area, avg(lat) AS m_lat, stddev_pop(lat) AS s_lat, "
     "avg(lon) AS m_lon, stddev_pop(lon) AS s_lon FROM prepared GROUP BY area) b USING (area) "
-    "WHERE abs(p.lat - m_lat) / s_lat > 2.0 OR abs(p.lon - m_lon) / s_lon > 2.0"))
+    "WHERE abs(p.lat - m_lat) / s_lat > 3.0 OR abs(p.lon - m_lon) / s_lon > 3.0"))
 def m2_outliers_zscore(spark, sf):
-    return outliers.zscore_outliers(prep(spark, sf), ["lat", "lon"], 2.0, by="area").select("incident_id", "area")
+    return outliers.zscore_outliers(prep(spark, sf), ["lat", "lon"], 3.0, by="area").select("incident_id", "area")
 
 
 # ---------------------------------------------------------------- density M11, M12, M13
