@@ -801,32 +801,34 @@ def m15_top_hotspots(spark, sf):
 from hotbeat.operators import outliers  # noqa: E402
 
 
+OUTLIER_COLS = ["lat", "lon", "amount"]
+
+
 def _quartile_sql(method: str) -> str:
     s = {"iqr": "(q3_{c} - q1_{c})", "qstd": "sd_{c}"}[method]
-    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}"
-                       for c in ("lat", "lon"))
-    return ("SELECT p.incident_id, p.lat, p.lon FROM prepared p, (SELECT "
-            "quantile_cont(lat, 0.25) AS q1_lat, quantile_cont(lat, 0.75) AS q3_lat, stddev_samp(lat) AS sd_lat, "
-            "quantile_cont(lon, 0.25) AS q1_lon, quantile_cont(lon, 0.75) AS q3_lon, stddev_samp(lon) AS sd_lon "
-            f"FROM prepared) b WHERE {cond}")
+    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}" for c in OUTLIER_COLS)
+    stats = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}, stddev_samp({c}) AS sd_{c}" for c in OUTLIER_COLS)
+    return f"SELECT p.incident_id, p.lat, p.lon, p.amount FROM prepared p, (SELECT {stats} FROM prepared) b WHERE {cond}"
 
 
 @register("m1_outliers_iqr", with_base(_quartile_sql("iqr")))
 def m1_outliers_iqr(spark, sf):
-    return outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "iqr").select("incident_id", "lat", "lon")
+    return outliers.quartile_outliers(prep(spark, sf), OUTLIER_COLS, "iqr").select("incident_id", "lat", "lon", "amount")
 
 
 @register("m1_outliers_qstd", with_base(_quartile_sql("qstd")))
 def m1_outliers_qstd(spark, sf):
-    return outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "qstd").select("incident_id", "lat", "lon")
+    return outliers.quartile_outliers(prep(spark, sf), OUTLIER_COLS, "qstd").select("incident_id", "lat", "lon", "amount")
+
+
+_Z_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in OUTLIER_COLS)
 
 
 @register("m2_outliers_zscore", with_base(
-    "SELECT p.incident_id, p.area FROM prepared p JOIN (SELECT area, avg(lat) AS m_lat, stddev_pop(lat) AS s_lat, "
-    "avg(lon) AS m_lon, stddev_pop(lon) AS s_lon FROM prepared GROUP BY area) b USING (area) "
-    "WHERE abs(p.lat - m_lat) / s_lat > 3.0 OR abs(p.lon - m_lon) / s_lon > 3.0"))
+    f"SELECT p.incident_id, p.area FROM prepared p JOIN (SELECT area, {_Z_STATS} FROM prepared GROUP BY area) b USING (area) WHERE "
+    + " OR ".join(f"abs(p.{c} - m_{c}) / s_{c} > 3.0" for c in OUTLIER_COLS)))
 def m2_outliers_zscore(spark, sf):
-    return outliers.zscore_outliers(prep(spark, sf), ["lat", "lon"], 3.0, by="area").select("incident_id", "area")
+    return outliers.zscore_outliers(prep(spark, sf), OUTLIER_COLS, 3.0, by="area").select("incident_id", "area")
 
 
 # ---------------------------------------------------------------- density M11, M12, M13
@@ -1392,24 +1394,22 @@ def m8_dbscan_mixed_features(spark, sf):
 
 def _quartile_by_area_sql(method: str) -> str:
     s = {"iqr": "(q3_{c} - q1_{c})", "qstd": "sd_{c}"}[method]
-    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}"
-                       for c in ("lat", "lon"))
-    return ("SELECT p.incident_id, p.area, p.lat, p.lon FROM prepared p JOIN (SELECT area, "
-            "quantile_cont(lat, 0.25) AS q1_lat, quantile_cont(lat, 0.75) AS q3_lat, stddev_samp(lat) AS sd_lat, "
-            "quantile_cont(lon, 0.25) AS q1_lon, quantile_cont(lon, 0.75) AS q3_lon, stddev_samp(lon) AS sd_lon "
-            f"FROM prepared GROUP BY area) b USING (area) WHERE {cond}")
+    cond = " OR ".join(f"p.{c} < q1_{c} - 1.5 * {s.format(c=c)} OR p.{c} > q3_{c} + 1.5 * {s.format(c=c)}" for c in OUTLIER_COLS)
+    stats = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}, stddev_samp({c}) AS sd_{c}" for c in OUTLIER_COLS)
+    return ("SELECT p.incident_id, p.area, p.lat, p.lon, p.amount FROM prepared p JOIN "
+            f"(SELECT area, {stats} FROM prepared GROUP BY area) b USING (area) WHERE {cond}")
 
 
 @register("m1_outliers_iqr_by_area", with_base(_quartile_by_area_sql("iqr")))
 def m1_outliers_iqr_by_area(spark, sf):
-    d = outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "iqr", by="area")
-    return d.select("incident_id", "area", "lat", "lon")
+    d = outliers.quartile_outliers(prep(spark, sf), OUTLIER_COLS, "iqr", by="area")
+    return d.select("incident_id", "area", *OUTLIER_COLS)
 
 
 @register("m1_outliers_qstd_by_area", with_base(_quartile_by_area_sql("qstd")))
 def m1_outliers_qstd_by_area(spark, sf):
-    d = outliers.quartile_outliers(prep(spark, sf), ["lat", "lon"], "qstd", by="area")
-    return d.select("incident_id", "area", "lat", "lon")
+    d = outliers.quartile_outliers(prep(spark, sf), OUTLIER_COLS, "qstd", by="area")
+    return d.select("incident_id", "area", *OUTLIER_COLS)
 
 
 @register("s1_raw_extract_roundtrip", with_base(
