@@ -15,6 +15,7 @@ Design for scale:
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -109,53 +110,53 @@ def neighbour_weight(pts: DataFrame, eps: float, by=None, x: str = "lat", y: str
     return pr.groupBy(*_cols(by), "p").agg(F.sum("q_w").alias("nw"), F.count(F.lit(1)).alias("n_points"))
 
 
+def _levels(pts: DataFrame, cell: float, top: int) -> DataFrame:
+    """Each point once a level: its cell of side cell * 2^level."""
+    side = F.lit(cell) * F.pow(F.lit(2.0), F.col("lv"))
+    return (pts.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(top))))
+               .withColumn("lx", F.floor(F.col("__x") / side)).withColumn("ly", F.floor(F.col("__y") / side)))
+
+
 def knn_distance(pts: DataFrame, k: int, cell: float, by=None, x: str = "lat",
                  y: str = "lon") -> DataFrame:
     """Distance from each distinct point to its k-th nearest row (self counted).
 
     Rows at the same coordinate count with their weight, so a point of
-    weight >= k has distance 0.  Expanding rings: round r joins only the
-    still-unfinished points against the (2r+1)^2 cells around them; a
-    result is final once it is within r * cell (every point that close is
-    guaranteed to be in the ring).  Groups whose total weight is below k get
+    weight >= k has distance 0.  Groups whose total weight is below k get
     null.  Output: ``by``, ``pid``, ``x``, ``y``, ``w``, ``kdist``.
+
+    Cells double in size from level to level.  A point's level is the first
+    at which the 3 x 3 cells around it weigh k or more; its k nearest rows
+    are then no farther than 2 sqrt(2) sides, so only the 7 x 7 cells of that
+    level are looked at.  One pass whatever the spacing of the points: a far
+    point just sits on a high level.
     """
     by = _cols(by)
     if not by:
         pts, by = pts.withColumn("__g", F.lit(0)), ["__g"]
-    pts = with_cells(pts, cell, x, y)
-    # One row per group: the total weight decides whether k rows exist at all.
-    gw = pts.groupBy(*by).agg(F.sum("w").alias("__gw"))
-    todo = pts.join(gw, by)
-    short = todo.filter(F.col("__gw") < k).select(*by, "pid", x, y, "w", F.lit(None).cast("double").alias("kdist"))
-    todo = todo.filter(F.col("__gw") >= k).drop("__gw")
-    cand_side = pts.select(*[F.col(c).alias(f"__b_{c}") for c in by], F.col("cx").alias("bcx"),
-                           F.col("cy").alias("bcy"), F.col(x).alias("bx"), F.col(y).alias("by_"),
-                           F.col("w").alias("bw"))
-    done = []
-    r = 1
-    while True:
-        probe = (todo.withColumn("o", _ring_offsets(r))
-                     .withColumn("qx", F.col("cx") + F.col("o.dx"))
-                     .withColumn("qy", F.col("cy") + F.col("o.dy")).drop("o"))
-        j = probe.join(cand_side, [F.col(c) == F.col(f"__b_{c}") for c in by] +
-                       [F.col("qx") == F.col("bcx"), F.col("qy") == F.col("bcy")])
-        d = j.select(*by, "pid", x, y, "w",
-                     F.sqrt(sq_dist(F.col(x), F.col(y), F.col("bx"), F.col("by_"))).alias("d"), "bw")
-        w = Window.partitionBy("pid").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        d = d.withColumn("cw", F.sum("bw").over(w))
-        kd = d.filter(F.col("cw") >= k).groupBy(*by, "pid", x, y, "w").agg(F.min("d").alias("kdist"))
-        kd = cut_lineage(kd)
-        fin = kd.filter(F.col("kdist") <= F.lit(r * cell))
-        done.append(fin)
-        todo = cut_lineage(todo.join(fin.select("pid"), "pid", "left_anti"))
-        if todo.limit(1).count() == 0:
-            break
-        r *= 2
-    out = done[0]
-    for f in done[1:]:
-        out = out.unionByName(f)
-    return out.unionByName(short).drop("__g")
+    keep = pts.select(*by, "pid", x, y, "w")
+    p = cut_lineage(keep.select(*by, "pid", "w", F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")))
+    span = p.groupBy(*by).agg((F.max("__x") - F.min("__x")).alias("a"), (F.max("__y") - F.min("__y")).alias("b"))
+    widest = span.agg(F.max(F.greatest("a", "b"))).first()[0] or 0.0
+    top = max(0, math.ceil(math.log2(max(widest / cell, 1.0)))) + 1
+    at = [*by, "lv", "lx", "ly"]
+    every = _levels(p, cell, top)
+    cells = every.groupBy(*at).agg(F.sum("w").alias("cw"))
+    block = (cells.withColumn("o", _ring_offsets(1)).withColumn("lx", F.col("lx") + F.col("o.dx")).withColumn("ly", F.col("ly") + F.col("o.dy"))
+             .groupBy(*at).agg(F.sum("cw").alias("bw")).filter(F.col("bw") >= k).select(*at))
+    level = cut_lineage(every.join(block, at).groupBy(*by, "pid").agg(F.min("lv").alias("lv")))
+    side = F.lit(cell) * F.pow(F.lit(2.0), F.col("lv"))
+    probe = (p.join(level, [*by, "pid"]).withColumn("o", _ring_offsets(3))
+              .withColumn("lx", F.floor(F.col("__x") / side) + F.col("o.dx")).withColumn("ly", F.floor(F.col("__y") / side) + F.col("o.dy")))
+    used = level.select(*by, "lv").distinct()  # levels of a group that some point needs
+    there = every.join(used, [*by, "lv"]).select(*at, F.col("__x").alias("bx"), F.col("__y").alias("by_"), F.col("w").alias("bw"))
+    d = (probe.join(there, at)
+         .select(*by, "pid", F.sqrt(sq_dist(F.col("__x"), F.col("__y"), F.col("bx"), F.col("by_"))).alias("d"), "bw",
+                 (F.lit(2.8285) * side).alias("far")).filter(F.col("d") <= F.col("far")))
+    w = Window.partitionBy(*by, "pid").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kd = (d.withColumn("cw", F.sum("bw").over(w)).filter(F.col("cw") >= k)
+           .groupBy(*by, "pid").agg(F.min("d").alias("kdist")))
+    return keep.join(kd, [*by, "pid"], "left").select(*by, "pid", x, y, "w", "kdist").drop("__g")
 
 
 def exact_rank(df: DataFrame, order: Sequence[str], out: str = "rank",

@@ -160,3 +160,14 @@ def test_tight_cluster_density_equals_plain_estimator(spark):
         assert r["density"] == pytest.approx(want, rel=1e-6, abs=1e-250)
     peak = density.kde_peak(df, "area", 40, 0.01).first()
     assert peak["density"] == max(r["density"] for r in got)
+
+
+def test_knn_of_far_points(spark):
+    from hotbeat.operators import spatial
+
+    rows = [(1, i, 34.0 + i * 1e-4, -118.0, 1) for i in range(10)] + [(1, 99, 35.0, -117.0, 1), (2, 5, 1.0, 1.0, 2)]
+    df = spark.createDataFrame(rows, "g int, pid long, lat double, lon double, w long")
+    got = {(r["g"], r["pid"]): r["kdist"] for r in spatial.knn_distance(df, 3, 0.0005, "g").collect()}
+    assert got[2, 5] is None
+    assert got[1, 0] == pytest.approx(2e-4) and got[1, 5] == pytest.approx(1e-4)
+    assert got[1, 99] == pytest.approx(((35 - 34.0008) ** 2 + 1) ** 0.5)
