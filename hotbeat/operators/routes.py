@@ -1,29 +1,25 @@
 """Patrol routes over hotspot stops.
 
 Stops per (area, shift) are hotspots - their count is bounded by the number
-of hotspots chosen per area (k), never by incident rows.  Route search is a
-grouped map over (group x island): every island is an independent genetic
-search with its own seed, islands run in parallel tasks, and the shortest
-route per group wins through ``min_by``.  With at most ``EXACT_MAX`` stops
-the route is the exact optimum (Held-Karp dynamic programming).
+of hotspots chosen per area (k), never by incident rows.  The shortest open
+path is found exactly by dynamic programming as DataFrame steps: a state is
+(group, set of visited stops, last stop) with its shortest length and route;
+one step joins the legs to unvisited stops and keeps the best of each state.
+All groups advance together, and states spread over all tasks.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
-from collections.abc import Sequence
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hotbeat.functions.geo import MEAN_RADIUS_KM, geo_km
-from hotbeat.session import spread_groups
+from hotbeat.functions.geo import geo_km
+from hotbeat.session import cut_lineage
 
-# Up to this many stops the optimal open path is computed exactly (Held-Karp).
-EXACT_MAX = 12
+#: Stops of a group that the search can hold (2^n states a last stop); more raise an error.
+MAX_STOPS = 16
+#: Lengths are whole millionths of a km while routes are compared: sums are exact.
+UNITS_PER_KM = 1_000_000
 
 
 def _as_list(by) -> list[str]:
@@ -54,166 +50,41 @@ def route_length(stops: DataFrame, route_key, seq: str = "seq", lat: str = "lat"
                                   F.count(F.lit(1)).alias("stops"))
 
 
-# ---------------------------------------------------------------- search (per group, numpy)
-
-def _haversine_matrix(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
-    p, l_ = np.radians(lat), np.radians(lon)
-    dp = p[:, None] - p[None, :]
-    dl = l_[:, None] - l_[None, :]
-    h = np.sin(dp / 2) ** 2 + np.cos(p)[:, None] * np.cos(p)[None, :] * np.sin(dl / 2) ** 2
-    return MEAN_RADIUS_KM * 2 * np.arcsin(np.sqrt(np.minimum(1.0, h)))
-
-
-def _path_len(route: Sequence[int], d: np.ndarray) -> float:
-    r = np.asarray(route)
-    return float(d[r[:-1], r[1:]].sum()) if len(r) > 1 else 0.0
-
-
-def _exhaustive(d: np.ndarray, fixed_start: bool) -> list[int]:
-    """Optimal open path by Held-Karp dynamic programming, O(2^n n^2).
-
-    dp[mask, j] = shortest path that visits exactly ``mask`` and ends at j;
-    the path may start anywhere (or only at stop 0 with ``fixed_start``).
-    Ties resolve to the smallest index, so the result is deterministic.
-    """
-    n = len(d)
-    full = (1 << n) - 1
-    dp = np.full((1 << n, n), np.inf)
-    parent = np.full((1 << n, n), -1, dtype=np.int64)
-    for j in ([0] if fixed_start else range(n)):
-        dp[1 << j, j] = 0.0
-    for mask in range(1, full + 1):
-        row = dp[mask]
-        if not np.isfinite(row).any():
-            continue
-        for k in range(n):
-            if mask & (1 << k):
-                continue
-            cand = row + d[:, k]
-            j = int(np.argmin(cand))
-            nm = mask | (1 << k)
-            if cand[j] < dp[nm, k]:
-                dp[nm, k] = cand[j]
-                parent[nm, k] = j
-    end = int(np.argmin(dp[full]))
-    route, mask = [end], full
-    while parent[mask, route[-1]] >= 0:
-        j = int(parent[mask, route[-1]])
-        mask ^= 1 << route[-1]
-        route.append(j)
-    return route[::-1]
-
-
-def _nearest_neighbour(d: np.ndarray, start: int) -> list[int]:
-    n = len(d)
-    route, seen = [start], {start}
-    while len(route) < n:
-        last = route[-1]
-        nxt = min((j for j in range(n) if j not in seen), key=lambda j: (d[last, j], j))
-        route.append(nxt)
-        seen.add(nxt)
-    return route
-
-
-def _order_crossover(p1: np.ndarray, p2: np.ndarray, a: int, b: int, lo: int) -> np.ndarray:
-    """Keep p1[a:b] (and the fixed prefix p1[:lo]); fill the rest in p2's order."""
-    n = len(p1)
-    child = p1.copy()
-    taken = np.zeros(n, dtype=bool)
-    taken[p1[:lo]] = True
-    taken[p1[a:b]] = True
-    fill = p2[~taken[p2]]
-    child[np.r_[b:n, lo:a]] = fill
-    return child
-
-
-def genetic_route(d: np.ndarray, seed: int, pop_size: int = 100, generations: int = 500,
-                  mutation: float = 0.1, fixed_start: bool = False) -> list[int]:
-    """Order crossover, swap mutation, binary tournament choosing the
-    SHORTER route, elitism, best over all generations including the first.
-
-    All random draws of a generation are made at once (vectors), so a
-    100 x 500 search over ten stops takes well under a second.
-    """
-    n = len(d)
-    if n <= 2:
-        return list(range(n))
-    if n <= EXACT_MAX:
-        return _exhaustive(d, fixed_start)
-    rng = np.random.default_rng(seed)
-    lo = 1 if fixed_start else 0
-    pop = np.empty((pop_size, n), dtype=np.int64)
-    pop[0] = _nearest_neighbour(d, 0)
-    for i in range(1, pop_size):
-        pop[i, :lo] = 0
-        pop[i, lo:] = rng.permutation(np.arange(lo, n))
-
-    def lengths(P):
-        return d[P[:, :-1], P[:, 1:]].sum(axis=1)
-
-    lens = lengths(pop)
-    bi = int(np.argmin(lens))
-    best, best_len = pop[bi].copy(), float(lens[bi])
-    m = n - lo
-    for _ in range(generations):
-        t = rng.integers(0, pop_size, size=(pop_size, 4))
-        first = np.where(lens[t[:, 0]] <= lens[t[:, 1]], t[:, 0], t[:, 1])
-        second = np.where(lens[t[:, 2]] <= lens[t[:, 3]], t[:, 2], t[:, 3])
-        cuts = np.sort(rng.random((pop_size, 2)) * (m + 1), axis=1).astype(np.int64) + lo
-        mut = rng.random(pop_size) < mutation
-        swaps = rng.integers(lo, n, size=(pop_size, 2))
-        new = np.empty_like(pop)
-        new[0] = best
-        for c in range(1, pop_size):
-            child = _order_crossover(pop[first[c]], pop[second[c]], int(cuts[c, 0]), int(cuts[c, 1]), lo)
-            if mut[c]:
-                i, j = swaps[c]
-                child[i], child[j] = child[j], child[i]
-            new[c] = child
-        pop = new
-        lens = lengths(pop)
-        i = int(np.argmin(lens))
-        if lens[i] < best_len - 1e-12:
-            best, best_len = pop[i].copy(), float(lens[i])
-    return [int(x) for x in best]
-
-
-def _search(by: list[str], id_col: str, lat: str, lon: str, pop: int, gens: int, mutation: float,
-            fixed_start: bool, seed: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__start", id_col], ascending=[False, True]).reset_index(drop=True)
-        d = _haversine_matrix(pdf[lat].to_numpy(float), pdf[lon].to_numpy(float))
-        island = int(pdf["__island"].iloc[0])
-        order = genetic_route(d, seed * 1009 + island, pop, gens, mutation, fixed_start)
-        ids = [int(pdf[id_col].iloc[i]) for i in order]
-        out = {k: [pdf[k].iloc[0]] for k in by}
-        out.update({"island": [island], "route": [ids], "km": [_path_len(order, d)]})
-        return pd.DataFrame(out)
-    return run
-
-
 def plan_routes(stops: DataFrame, by, id_col: str = "hotspot_id", lat: str = "lat", lon: str = "lon",
-                islands: int = 4, pop_size: int = 100, generations: int = 500, mutation: float = 0.1,
-                fixed_start: bool = False, start_col: str | None = None, seed: int = 42) -> DataFrame:
+                fixed_start: bool = False, start_col: str | None = None) -> DataFrame:
     """Best visiting order per group -> (by, route array<bigint>, km).
 
-    ``fixed_start``: the stop flagged by ``start_col`` (else the smallest
-    id) is always first.
+    ``fixed_start``: the stop flagged by ``start_col`` (else the smallest id)
+    is always first.  Of equally long routes the one with the smaller ids in
+    front is returned.  Groups may have null keys.
     """
     by = _as_list(by)
-    s = stops.select(*by, F.col(id_col).cast("long").alias(id_col), lat, lon,
-                     (F.col(start_col) if start_col else F.lit(False)).alias("__start"))
-    if fixed_start and not start_col:
-        w = Window.partitionBy(*by).orderBy(id_col)
-        s = s.withColumn("__start", F.row_number().over(w) == 1)
-    s = s.withColumn("__island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-    types = {f.name: f.dataType.simpleString() for f in stops.schema.fields}
-    schema = ", ".join(f"{k} {types[k]}" for k in by) + ", island int, route array<bigint>, km double"
-    s = spread_groups(s, by + ["__island"])
-    res = s.groupBy(*by, "__island").applyInPandas(
-        _search(by, id_col, lat, lon, pop_size, generations, mutation, fixed_start, seed), schema)
-    best = res.groupBy(*by).agg(F.min_by(F.struct("route", "km"), F.struct("km", "island")).alias("__b"))
-    return best.select(*by, F.col("__b.route").alias("route"), F.col("__b.km").alias("km"))
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    first = F.col(start_col).cast("int") if start_col else F.lit(0)
+    order = Window.partitionBy("g").orderBy(F.desc("first"), "id")
+    s = cut_lineage(stops.select(group.alias("g"), F.col(id_col).cast("long").alias("id"), F.col(lat).alias("la"), F.col(lon).alias("lo"), first.alias("first"))
+                    .withColumn("i", F.row_number().over(order) - 1))
+    most = s.agg(F.max("i")).first()[0]
+    if most is not None and most >= MAX_STOPS:
+        raise ValueError(f"a group has {most + 1} stops; routes are searched for {MAX_STOPS} at most")
+    a = s.select("g", F.col("i").alias("from"), F.col("la").alias("la1"), F.col("lo").alias("lo1"))
+    b = s.select(F.col("g").alias("g2"), F.col("i").alias("to"), F.col("id").alias("to_id"), "la", "lo")
+    leg = F.round(geo_km("la1", "lo1", "la", "lo") * UNITS_PER_KM).cast("long")
+    legs = cut_lineage(a.join(b, (F.col("g") == F.col("g2")) & (F.col("from") != F.col("to")))
+                       .select("g2", "from", "to", "to_id", leg.alias("leg")))
+    state = (s.filter(F.col("i") == 0) if fixed_start else s).select(
+        "g", F.expr("shiftleft(1L, i)").alias("visited"), F.col("i").alias("last"),
+        F.struct(F.lit(0).cast("long").alias("length"), F.array("id").alias("route")).alias("best"))
+    for _ in range(most or 0):
+        step = state.join(legs, (F.col("g") == F.col("g2")) & (F.col("last") == F.col("from"))
+                          & F.expr("(visited & shiftleft(1L, to)) = 0"), "left")  # a finished group stays as it is
+        state = (step.select("g", F.expr("CASE WHEN to IS NULL THEN visited ELSE visited | shiftleft(1L, to) END").alias("visited"),
+                             F.coalesce("to", "last").alias("last"),
+                             F.struct((F.col("best.length") + F.coalesce("leg", F.lit(0))).alias("length"),
+                                      F.when(F.col("to").isNull(), F.col("best.route")).otherwise(F.concat("best.route", F.array("to_id"))).alias("route")).alias("best"))
+                 .groupBy("g", "visited", "last").agg(F.min("best").alias("best")))
+    out = state.groupBy("g").agg(F.min("best").alias("best"))
+    return out.select(*[F.col("g")[c].alias(c) for c in by], F.col("best.route").alias("route"), (F.col("best.length") / UNITS_PER_KM).alias("km"))
 
 
 def route_stops(routes: DataFrame, stops: DataFrame, by, id_col: str = "hotspot_id") -> DataFrame:

@@ -1320,29 +1320,50 @@ def g4_route_stops(spark, sf):
     return out.select("area", F.col("seq").cast("long").alias("seq"), "hotspot_id", "lat", "lon")
 
 
-@register("g2_plan_routes")
+def _routes_sql(fixed_start: bool) -> str:
+    """Shortest open path by visited sets, ten stops at most: one table a step."""
+    steps = [
+        "hn AS (SELECT area, hotspot_id AS id, lat, lon, row_number() OVER (PARTITION BY area ORDER BY hotspot_id) - 1 AS i FROM hs)",
+        "lg AS (SELECT a.area, a.i, b.i AS j, b.id AS to_id, CAST(round((" + sphere_km_sql("a.lat", "a.lon", "b.lat", "b.lon")
+        + ") * 1000000) AS BIGINT) AS leg FROM hn a JOIN hn b ON a.area = b.area AND a.i <> b.i)",
+        "t0 AS (SELECT area, CAST(1 << i AS BIGINT) AS visited, i AS last, {'length': CAST(0 AS BIGINT), 'route': [id]} AS best FROM hn"
+        + (" WHERE i = 0)" if fixed_start else ")")]
+    for k in range(1, 10):
+        steps.append(
+            f"t{k} AS MATERIALIZED (SELECT area, visited, last, min(b) AS best FROM (SELECT t.area, "
+            "CASE WHEN lg.j IS NULL THEN t.visited ELSE t.visited | (1 << lg.j) END AS visited, coalesce(lg.j, t.last) AS last, "
+            "{'length': t.best.length + coalesce(lg.leg, 0), 'route': CASE WHEN lg.j IS NULL THEN t.best.route "
+            f"ELSE list_append(t.best.route, lg.to_id) END}} AS b FROM t{k - 1} t LEFT JOIN lg ON t.area = lg.area AND t.last = lg.i "
+            "AND (t.visited & (1 << lg.j)) = 0) GROUP BY area, visited, last)")
+    return ",\n".join(steps)
+
+
+_ROUTES_SELECT = "SELECT area, min(best).route AS route, round(min(best).length / 1000000.0, 6) AS km FROM t9 GROUP BY area"
+
+
+@register("g2_plan_routes", with_base(_ROUTES_SELECT, HOTSPOT_CTES + ",\n" + _routes_sql(False)))
 def g2_plan_routes(spark, sf):
-    """Best open path over each area's 10 hotspots (4 islands, 100 x 500 GA)."""
-    r = rt.plan_routes(hotspots_top(spark, sf), "area", islands=4, generations=500)
+    """Shortest open path over each area's 10 hotspots."""
+    r = rt.plan_routes(hotspots_top(spark, sf), "area")
     return r.select("area", "route", F.round("km", 6).alias("km"))
 
 
-@register("g3_plan_routes_fixed_start")
+@register("g3_plan_routes_fixed_start", with_base(_ROUTES_SELECT, HOTSPOT_CTES + ",\n" + _routes_sql(True)))
 def g3_plan_routes_fixed_start(spark, sf):
     """Same, always starting at the area's busiest hotspot (id 0)."""
-    r = rt.plan_routes(hotspots_top(spark, sf), "area", islands=4, generations=500, fixed_start=True)
+    r = rt.plan_routes(hotspots_top(spark, sf), "area", fixed_start=True)
     return r.select("area", "route", F.round("km", 6).alias("km"))
 
 
 @register("flagship_patrol_plan")
 def flagship_patrol_plan(spark, sf):
     """incidents -> k-means + KDE hotspots per area -> baseline shift per grid row
-    -> shift sets -> GA route per (area, shift) -> ordered stops."""
+    -> shift sets -> route per (area, shift) -> ordered stops."""
     from hotbeat.plans.hotspots import find_hotspots
     e = enr(spark, sf)
     hs = find_hotspots(e, k=10, by="area", grid=KDE_GRID)
     scored = patrol.baseline_scores(e, hs)
-    return patrol.plan(scored, hs, islands=2, generations=200)
+    return patrol.plan(scored, hs)
 
 
 # ---------------------------------------------------------------- M8: density clustering on mixed features

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hotbeat.operators import density, kmeans
 
 
-def find_hotspots(enriched: DataFrame, k: int = 10, by: str = "area", grid: int = 40,
+def find_hotspots(enriched: DataFrame, k: int = 10, by: str = "area", grid: int = 100,
                   pad: float = 0.01, seed: int = 42) -> DataFrame:
     labelled = kmeans.kmeans_labels(enriched, ["lat", "lon"], k, by=by, seed=seed)
     peaks = density.kde_peak(labelled, [by, "cluster"], grid, pad)

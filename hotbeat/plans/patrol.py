@@ -36,11 +36,10 @@ def model_scores(grid: DataFrame, model, slot: str = "predicted_slot") -> DataFr
     return model.transform(grid).withColumn(slot, (F.col("prediction") + 1).cast("int"))
 
 
-def plan(scored: DataFrame, hotspots: DataFrame, islands: int = 4, generations: int = 500,
-         slot: str = "predicted_slot") -> DataFrame:
+def plan(scored: DataFrame, hotspots: DataFrame, slot: str = "predicted_slot") -> DataFrame:
     """G2 + G4: ordered stops per (area, shift)."""
     stops = (scored.select("area", slot, "hotspot_id").distinct()
                    .join(hotspots.select("area", "hotspot_id", "lat", "lon"), ["area", "hotspot_id"]))
-    r = routes.plan_routes(stops, ["area", slot], islands=islands, generations=generations)
+    r = routes.plan_routes(stops, ["area", slot])
     return routes.route_stops(r, stops, ["area", slot]).join(
         r.select("area", slot, F.col("km").alias("route_km")), ["area", slot])

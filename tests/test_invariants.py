@@ -168,26 +168,39 @@ def test_stratified_split_and_folds(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_route_search_properties():
+def _km(a, b):
+    p, q = math.radians(a[0]), math.radians(b[0])
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 6371.0088 * 2 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def test_routes_are_optimal(spark):
     rng = np.random.default_rng(0)
-    for n in (3, 6, 8, 10):
-        lat, lon = 34 + rng.random(n) * 0.05, -118.3 + rng.random(n) * 0.05
-        d = routes._haversine_matrix(lat, lon)
-        r = routes.genetic_route(d, 1, 60, 200)
-        assert sorted(r) == list(range(n))
-        assert routes._path_len(r, d) <= routes._path_len(routes._nearest_neighbour(d, 0), d) + 1e-9
-        if n <= 8:
-            best = min(routes._path_len(p, d) for p in itertools.permutations(range(n)))
-            assert routes._path_len(r, d) == pytest.approx(best)
-        f = routes.genetic_route(d, 1, 60, 200, fixed_start=True)
-        assert f[0] == 0 and sorted(f) == list(range(n))
+    spots = {n: [(34 + rng.random() * 0.05, -118.3 + rng.random() * 0.05) for _ in range(n)] for n in (1, 2, 3, 6, 7)}
+    rows = [(n, 10 * i, *p) for n, ps in spots.items() for i, p in enumerate(ps)] + [(None, 5, 34.0, -118.0)]
+    stops = spark.createDataFrame(rows, "area int, hotspot_id long, lat double, lon double")
+    for fixed in (False, True):
+        got = {r.area: r for r in routes.plan_routes(stops, "area", fixed_start=fixed).collect()}
+        assert got[None].route == [5] and got[None].km == 0
+        for n, ps in spots.items():
+            length = lambda o: sum(_km(ps[x], ps[y]) for x, y in zip(o, o[1:]))
+            orders = [o for o in itertools.permutations(range(n)) if not fixed or o[0] == 0]
+            assert sorted(got[n].route) == [10 * i for i in range(n)]
+            assert got[n].km == pytest.approx(min(map(length, orders)), abs=1e-5)
+            assert length([i // 10 for i in got[n].route]) == pytest.approx(got[n].km, abs=1e-5)
+
+
+def test_too_many_stops_raise(spark):
+    stops = spark.createDataFrame([(1, i, 34.0 + i, -118.0) for i in range(routes.MAX_STOPS + 1)], "area int, hotspot_id long, lat double, lon double")
+    with pytest.raises(ValueError):
+        routes.plan_routes(stops, "area")
 
 
 def test_line_stops_known_order(spark):
     for n in (0, 1, 2, 3, 8):
         stops = spark.createDataFrame([(1, i, 34.0 + 0.001 * ((i * 5) % max(n, 1)), -118.0) for i in range(n)],
                                       "area int, hotspot_id long, lat double, lon double")
-        r = routes.plan_routes(stops, "area", islands=2, generations=20).collect()
+        r = routes.plan_routes(stops, "area").collect()
         if n == 0:
             assert r == []
             continue
