@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hotbeat import fixed
+from hotbeat.session import broadcast_if_small
 
 
 def _c(c) -> Column:
@@ -44,26 +45,34 @@ def category_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(fixed.category_codes(), CATEGORY_SCHEMA)
 
 
+#: Rows up to which a caller's lookup is broadcast.
+MAX_LOOKUP_ROWS = 100_000
+
+
+def _lookup(df: DataFrame, lookup: DataFrame | None, out: str) -> DataFrame:
+    """(__code, out) of the dictionary or the caller's table, hinted by its size."""
+    cat = lookup if lookup is not None else category_df(df.sparkSession)
+    cat = cat.select(F.col(cat.columns[0]).alias("__code"), F.col(cat.columns[1]).alias(out))
+    return broadcast_if_small(cat, MAX_LOOKUP_ROWS, None if lookup is not None else len(fixed.category_codes()))[0]
+
+
 def category_of(df: DataFrame, code_col: str = "crm_cd",
                 out: str = "crime_category", lookup: DataFrame | None = None,
                 default: str = "Unknown") -> DataFrame:
     """Left lookup with default.
 
-    The dictionary has a fixed size (139 rows), so broadcasting it is safe at
-    any fact-table size; the join is a map-side hash lookup, no shuffle.
+    The dictionary has a fixed size (139 rows) and is broadcast; a caller's
+    lookup is broadcast only if it is small, else joined by a shuffle.
     """
-    cat = lookup if lookup is not None else category_df(df.sparkSession)
-    cat = cat.select(F.col(cat.columns[0]).alias("__code"), F.col(cat.columns[1]).alias("__cat"))
-    j = df.join(F.broadcast(cat), F.col(code_col) == F.col("__code"), "left")
+    cat = _lookup(df, lookup, "__cat")
+    j = df.join(cat, F.col(code_col) == F.col("__code"), "left")
     return j.withColumn(out, F.coalesce(F.col("__cat"), F.lit(default))).drop("__code", "__cat")
 
 
 def category_inner(df: DataFrame, code_col: str = "crm_cd",
                    out: str = "crime_category", lookup: DataFrame | None = None) -> DataFrame:
     """Inner equi-join to the dictionary (rows with unmapped codes drop)."""
-    cat = lookup if lookup is not None else category_df(df.sparkSession)
-    cat = cat.select(F.col(cat.columns[0]).alias("__code"), F.col(cat.columns[1]).alias(out))
-    return df.join(F.broadcast(cat), F.col(code_col) == F.col("__code"), "inner").drop("__code")
+    return df.join(_lookup(df, lookup, out), F.col(code_col) == F.col("__code"), "inner").drop("__code")
 
 
 def crime_type(c) -> Column:

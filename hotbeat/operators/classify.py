@@ -10,6 +10,7 @@ distributed histogram building for trees).  Grid search uses
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
@@ -33,6 +34,18 @@ def assembler(features: Sequence[str], out: str = "raw") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip")
 
 
+def training_rows(df: DataFrame) -> DataFrame:
+    """Rows of the training split whose label is known."""
+    return df.filter((F.col("split") == "train") & F.col(LABEL).isNotNull())
+
+
+def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Predictions for every row: null where a feature is missing."""
+    scored = model.transform(df.na.drop(subset=list(features))).select(*df.columns, "prediction")
+    missing = df.filter(" OR ".join(f"{c} IS NULL" for c in features)).withColumn("prediction", F.lit(None).cast("double"))
+    return scored.unionByName(missing)
+
+
 def logistic_pipeline(features: Sequence[str], max_iter: int = 200) -> Pipeline:
     """L1: standardise (F5) + multinomial logistic regression."""
     return Pipeline(stages=[assembler(features),
@@ -148,9 +161,16 @@ def feature_importance(model, names: Sequence[str], top: int = 20, spark=None) -
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def per_area_models(df: DataFrame, areas: Sequence[int], features: Sequence[str], area_col: str = "area"):
-    """One fitted pipeline per requested area (each fit is itself distributed)."""
-    return {a: logistic_pipeline(features).fit(df.filter(F.col(area_col) == a)) for a in areas}
+def per_area_models(df: DataFrame, features: Sequence[str], area_col: str = "area", parallelism: int = 8):
+    """Area -> fitted pipeline, for every area of the rows.
+
+    The areas (their number, not their rows) are read first; each fit is
+    itself distributed, and several run side by side.
+    """
+    areas = sorted(r[0] for r in df.select(area_col).distinct().collect() if r[0] is not None)
+    with ThreadPool(parallelism) as pool:
+        fitted = pool.map(lambda a: logistic_pipeline(features).fit(df.filter(F.col(area_col) == a)), areas)
+    return dict(zip(areas, fitted))
 
 
 def baseline_shift(df: DataFrame, keys: Sequence[str] = ("area", "occ_weekday"), target: str = "time_slot",

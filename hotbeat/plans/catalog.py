@@ -22,6 +22,7 @@ from hotbeat.functions.geo import geo_km, sphere_km_sql
 from hotbeat.operators import clean, profile
 from hotbeat.plans.oracle_base import AGE_GROUP_SQL, CLOCK_SQL, with_base
 from hotbeat.plans.prepare import enrich, prepare
+from hotbeat.session import cut_lineage
 from hotbeat.sources import fixtures, io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -928,6 +929,19 @@ def m6_elbow(spark, sf):
     return km.elbow(prep(spark, sf), ["lat", "lon"], range(1, 9), by="area")
 
 
+@register("m4_kmeans_check", with_base("SELECT area, count(*) AS n, 0 AS misplaced FROM prepared GROUP BY area"))
+def m4_kmeans_check(spark, sf):
+    """M4 by area: rows, and rows for which the mean of another cluster lies nearer than that of their own."""
+    d = cut_lineage(km.kmeans_labels(prep(spark, sf), ["lat", "lon"], 10, by="area", tol=0.0).select("area", "lat", "lon", "cluster"))
+    means = d.groupBy("area", "cluster").agg(F.avg("lat").alias("a"), F.avg("lon").alias("b"))
+    centres = means.groupBy("area").agg(F.collect_list(F.struct("cluster", "a", "b")).alias("cs"))  # ten an area
+    dist = lambda c: (F.col("lat") - c["a"]) * (F.col("lat") - c["a"]) + (F.col("lon") - c["b"]) * (F.col("lon") - c["b"])
+    own = F.array_min(F.transform(F.filter("cs", lambda c: c["cluster"] == F.col("cluster")), dist))
+    least = F.array_min(F.transform("cs", dist))
+    return (d.join(centres, "area").groupBy("area").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(own > least + 1e-12, 1)).cast("int").alias("misplaced")))
+
+
 @register("m6_elbow_k1", with_base(
     "SELECT area, round((var_pop(lat) + var_pop(lon)) * count(*) * 1e6, 3) AS wcss_e6 FROM prepared GROUP BY area"))
 def m6_elbow_k1(spark, sf):
@@ -1044,6 +1058,67 @@ def t3_stratified_folds(spark, sf):
     return sp.stratified_folds(enr(spark, sf), "time_slot", "incident_id", 5).select("incident_id", "time_slot", "fold")
 
 
+def _share_sql(n: str) -> str:
+    return f"(SELECT time_slot, count(*) AS n FROM enriched GROUP BY time_slot) c, {n}"
+
+
+@register("t2_split_counts", with_base(
+    "SELECT time_slot, s AS split, CASE s WHEN 'train' THEN CAST(floor(n * 0.8) AS BIGINT) ELSE n - CAST(floor(n * 0.8) AS BIGINT) END AS n FROM "
+    + _share_sql("(VALUES ('train'), ('test')) v(s)")))
+def t2_split_counts(spark, sf):
+    """T2 by the number of rows a label and split has; null labels are a label of their own."""
+    d = sp.stratified_split(enr(spark, sf).select("incident_id", "time_slot"), "time_slot", "incident_id")
+    return d.groupBy("time_slot", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("t3_fold_counts", with_base(
+    "SELECT time_slot, CAST(f AS INTEGER) AS fold, n // 5 + CASE WHEN f < n % 5 THEN 1 ELSE 0 END AS n FROM " + _share_sql("range(5) r(f)")))
+def t3_fold_counts(spark, sf):
+    d = sp.stratified_folds(enr(spark, sf).select("incident_id", "time_slot"), "time_slot", "incident_id", 5)
+    return d.groupBy("time_slot", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("t1_split_share", with_base(
+    "SELECT area, count(*) AS n, true AS whole, true AS near_share FROM enriched GROUP BY area"))
+def t1_split_share(spark, sf):
+    """T1 by area: every row is in one part, and the training part is near four fifths (five standard deviations)."""
+    d = sp.hash_split(enr(spark, sf).select("incident_id", "area"), "incident_id").groupBy("area").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("split") == "train", 1)).alias("a"), F.count(F.when(F.col("split") == "test", 1)).alias("b"))
+    return d.select("area", "n", (F.col("a") + F.col("b") == F.col("n")).alias("whole"),
+                    (F.abs(F.col("a") - F.col("n") * 0.8) <= 5 * F.sqrt(F.col("n") * 0.16)).alias("near_share"))
+
+
+_SLOTS = ("SELECT '{c}' AS source, CAST({c} AS VARCHAR) AS value, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS slot, count(*) AS n "
+          "FROM enriched WHERE {c} IS NOT NULL GROUP BY {c}")
+
+
+def _slots(spark, sf, cats, nums):
+    """Which slot of the assembled vector each level fills: index by frequency, ties by value."""
+    from pyspark.ml.functions import vector_to_array
+    d = feat.one_hot(enr(spark, sf), cats, nums).withColumn("f", vector_to_array("features"))
+    out, offset = None, 0
+    for c in cats:
+        levels = d.select(c).filter(F.col(c).isNotNull()).distinct().count()
+        # the slots of this column: one a level, then one for values not seen in the fit
+        part = F.slice("f", offset + 1, levels)
+        rows = (d.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")).agg(
+            F.min(F.array_position(part, F.lit(1.0)) - 1).alias("slot"), F.count(F.lit(1)).alias("n")))
+        rows = rows.select(F.lit(c).alias("source"), "value", "slot", "n")
+        out = rows if out is None else out.unionByName(rows)
+        offset += levels + 1
+    return out
+
+
+@register("f1_slots", with_base(" UNION ALL ".join(f"({_SLOTS.format(c=c)})" for c in ["category", "vict_sex", "age_group"])))
+def f1_slots(spark, sf):
+    return _slots(spark, sf, ["category", "vict_sex", "age_group"], [])
+
+
+@register("f2_slots", with_base(" UNION ALL ".join(f"({_SLOTS.format(c=c)})" for c in ["category", "vict_sex"])))
+def f2_slots(spark, sf):
+    return _slots(spark, sf, ["category", "vict_sex"], ["lat", "lon", "vict_age", "occ_month"])
+
+
 @register("f1_one_hot")
 def f1_one_hot(spark, sf):
     from pyspark.ml.functions import vector_to_array
@@ -1108,7 +1183,6 @@ SHIFT_FEATURES = ["lat", "lon", "occ_month", "occ_weekday"]
 def labelled(spark, sf):
     """Enriched rows with label, split and fold, materialised once (reliable
     checkpoint) because model fitting and scoring read them several times."""
-    from hotbeat.session import cut_lineage
     d = clf.with_label(enr(spark, sf))
     d = sp.stratified_split(d, "time_slot", "incident_id")
     d = sp.stratified_folds(d, "time_slot", "incident_id", 5)
@@ -1119,15 +1193,14 @@ def labelled(spark, sf):
 @register("l1_logistic_regression")
 def l1_logistic_regression(spark, sf):
     d = labelled(spark, sf)
-    m = clf.logistic_pipeline(SHIFT_FEATURES, 200).fit(d.filter("split = 'train'"))
-    return m.transform(d.filter("split = 'test'")).select("incident_id", "label", "prediction")
+    m = clf.logistic_pipeline(SHIFT_FEATURES, 200).fit(clf.training_rows(d))
+    return clf.predict(m, d.filter("split = 'test'"), SHIFT_FEATURES).select("incident_id", "label", "prediction")
 
 
 def _cv(spark, sf, family: str):
     from pyspark.ml import Pipeline
-    from hotbeat.session import cut_lineage
     # one materialisation of the small projected frame instead of one per fold x setting
-    d = cut_lineage(labelled(spark, sf).filter("split = 'train'").select(*SHIFT_FEATURES, "label", "fold"))
+    d = cut_lineage(clf.training_rows(labelled(spark, sf)).select(*SHIFT_FEATURES, "label", "fold"))
     if family == "rf":
         est = clf.forest()
         grid = clf.forest_grid(est, full=False)
@@ -1208,10 +1281,10 @@ def l8_feature_importance(spark, sf):
 @register("l9_per_area_models")
 def l9_per_area_models(spark, sf):
     d = labelled(spark, sf)
-    models = clf.per_area_models(d.filter("split = 'train'"), [1, 2, 3], SHIFT_FEATURES)
+    models = clf.per_area_models(clf.training_rows(d), SHIFT_FEATURES)
     out = None
     for a, m in models.items():
-        p = m.transform(d.filter((F.col("split") == "test") & (F.col("area") == a)))
+        p = clf.predict(m, d.filter((F.col("split") == "test") & (F.col("area") == a)), SHIFT_FEATURES)
         p = p.select("incident_id", "area", "label", "prediction")
         out = p if out is None else out.unionByName(p)
     return out
@@ -1222,8 +1295,9 @@ def l10_cluster_feature(spark, sf):
     """Logistic regression with the density-cluster id as an extra feature."""
     d = clf.with_label(clustered(spark, sf))
     d = sp.stratified_split(d, "time_slot", "incident_id")
-    m = clf.logistic_pipeline(SHIFT_FEATURES + ["cluster"], 100).fit(d.filter("split = 'train'"))
-    return m.transform(d.filter("split = 'test'")).select("incident_id", "label", "prediction")
+    features = [*SHIFT_FEATURES, "cluster"]
+    m = clf.logistic_pipeline(features, 200).fit(clf.training_rows(d))
+    return clf.predict(m, d.filter("split = 'test'"), features).select("incident_id", "label", "prediction")
 
 
 @register("l12_baseline_shift", with_base(
@@ -1275,7 +1349,7 @@ def j4_match_back(spark, sf):
 def l11_score_hotspot_grid(spark, sf):
     """Model-scored grid: every hotspot x weekday x month gets a predicted shift."""
     d = labelled(spark, sf)
-    m = clf.logistic_pipeline(SHIFT_FEATURES, 100).fit(d.filter("split = 'train'"))
+    m = clf.logistic_pipeline(SHIFT_FEATURES, 200).fit(clf.training_rows(d))
     grid = jn.scoring_grid(hotspots_top(spark, sf))
     return patrol.model_scores(grid, m).select("area", "hotspot_id", "occ_weekday", "occ_month", "predicted_slot")
 

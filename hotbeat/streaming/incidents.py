@@ -26,14 +26,10 @@ def incident_stream(spark: SparkSession, source_dir: str, file_glob: str = "even
     return spark.sql(INCIDENTS_SPARK_SQL.replace("FROM events", "FROM events_stream"))
 
 
-def enrich_stream(spark: SparkSession, source_dir: str, checkpoint: str | None = None,
-                  query_name: str = "enriched_incidents", sink: str = "memory",
-                  path: str | None = None) -> StreamingQuery:
-    """Start the enrich chain as a streaming query (``availableNow`` trigger)."""
+def enrich_stream(spark: SparkSession, source_dir: str, path: str, checkpoint: str | None = None,
+                  query_name: str = "enriched_incidents") -> StreamingQuery:
+    """Start the enrich chain as a streaming query (``availableNow`` trigger) into Parquet files under ``path``."""
     df = enrich(prepare(incident_stream(spark, source_dir), dedupe_rows=False))
-    w = (df.writeStream.outputMode("append").queryName(query_name)
-           .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{query_name}"))
-           .trigger(availableNow=True))
-    if sink == "memory":
-        return w.format("memory").start()
-    return w.format(sink).start(path)
+    return (df.writeStream.outputMode("append").queryName(query_name).format("parquet")
+            .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{query_name}"))
+            .trigger(availableNow=True).start(path))

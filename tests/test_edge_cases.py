@@ -104,10 +104,10 @@ def test_golden_grid_and_centre(spark):
 def test_streaming_enrich(spark, tmp_path):
     from hotbeat.streaming.incidents import enrich_stream
     from conftest import SF_SMALL
-    q = enrich_stream(spark, SF_SMALL, str(tmp_path / "ckpt"), query_name="enriched_stream_test")
+    q = enrich_stream(spark, SF_SMALL, str(tmp_path / "out"), str(tmp_path / "ckpt"), query_name="enriched_stream_test")
     q.processAllAvailable()
-    n = spark.sql("SELECT count(*) FROM enriched_stream_test").first()[0]
     q.stop()
+    n = spark.read.parquet(str(tmp_path / "out")).count()
     from hotbeat.sources import fixtures
     assert n == enrich(prepare(fixtures.incidents(spark, SF_SMALL), dedupe_rows=False)).count()
 
