@@ -90,6 +90,8 @@ def boosted_grid(ovr: OneVsRest, family: str = "gb", full: bool = True):
     """
     gbt = ovr.getClassifier()
     g = ParamGridBuilder()
+    if not full and family == "xgb":
+        return g.addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [3]).addGrid(gbt.stepSize, [0.1, 0.3]).build()
     if not full:
         return g.addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [2, 3]).build()
     g = g.addGrid(gbt.maxIter, [50, 100]).addGrid(gbt.stepSize, [0.01, 0.05, 0.1]).addGrid(gbt.maxDepth, [3, 5, 7])

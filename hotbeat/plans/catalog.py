@@ -1178,6 +1178,12 @@ def f6_pca_feature_ranking(spark, sf):
 # ---------------------------------------------------------------- classification L*
 
 SHIFT_FEATURES = ["lat", "lon", "occ_month", "occ_weekday"]
+#: The tree and cluster models take month and weekday as 0/1 columns (first level dropped).
+DUMMY_FEATURES = ["lat", "lon", *[f"occ_month_{m}" for m in range(2, 13)], *[f"occ_weekday_{d}" for d in range(2, 8)]]
+
+
+def with_dummies(df):
+    return feat.dummies(feat.dummies(df, "occ_month", range(1, 13)), "occ_weekday", range(1, 8))
 
 
 def labelled(spark, sf):
@@ -1200,14 +1206,14 @@ def l1_logistic_regression(spark, sf):
 def _cv(spark, sf, family: str):
     from pyspark.ml import Pipeline
     # one materialisation of the small projected frame instead of one per fold x setting
-    d = cut_lineage(clf.training_rows(labelled(spark, sf)).select(*SHIFT_FEATURES, "label", "fold"))
+    d = cut_lineage(clf.training_rows(labelled(spark, sf)).transform(with_dummies).select(*DUMMY_FEATURES, "label", "fold"))
     if family == "rf":
         est = clf.forest()
         grid = clf.forest_grid(est, full=False)
     else:
         est = clf.boosted()
         grid = clf.boosted_grid(est, family, full=False)
-    pipe = Pipeline(stages=[clf.assembler(SHIFT_FEATURES), est])
+    pipe = Pipeline(stages=[clf.assembler(DUMMY_FEATURES), est])
     # grid maps address the estimator's params; the pipeline forwards them
     return clf.grid_search(d, pipe, grid, "fold", parallelism=4), grid
 
@@ -1237,13 +1243,13 @@ def l4_boosting_xgb_grid_cv(spark, sf):
 
 @register("l5_l6_s5_best_model_roundtrip")
 def l5_l6_s5_best_model_roundtrip(spark, sf):
-    """Cross-validate two families, keep the best, save, reload, predict the test split."""
-    res = {"random_forest": _cv(spark, sf, "rf")[0], "gradient_boosting": _cv(spark, sf, "gb")[0]}
+    """Cross-validate three families, keep the best, save, reload, predict the test split."""
+    res = {"random_forest": _cv(spark, sf, "rf")[0], "gradient_boosting": _cv(spark, sf, "gb")[0], "xgb_style": _cv(spark, sf, "xgb")[0]}
     name, model, score = clf.best_of(res)
     path = io.save_model(model.bestModel, io.scratch(spark, "best_model"))
     loaded = io.load_model(path)
-    test = labelled(spark, sf).filter("split = 'test'")
-    return (loaded.transform(test).select("incident_id", "label", "prediction")
+    test = with_dummies(labelled(spark, sf).filter("split = 'test'"))
+    return (clf.predict(loaded, test, DUMMY_FEATURES).select("incident_id", "label", "prediction")
                   .withColumn("family", F.lit(name)).withColumn("cv_accuracy", F.lit(float(score))))
 
 
@@ -1272,7 +1278,7 @@ def l7_class_report(spark, sf):
 @register("l8_feature_importance")
 def l8_feature_importance(spark, sf):
     from pyspark.ml import Pipeline
-    d = labelled(spark, sf).filter("split = 'train'")
+    d = clf.training_rows(labelled(spark, sf))
     names = SHIFT_FEATURES + ["vict_age", "amount"]
     m = Pipeline(stages=[clf.assembler(names), clf.forest().setNumTrees(20)]).fit(d)
     return clf.feature_importance(m.stages[-1], names, 20, spark)
@@ -1295,7 +1301,8 @@ def l10_cluster_feature(spark, sf):
     """Logistic regression with the density-cluster id as an extra feature."""
     d = clf.with_label(clustered(spark, sf))
     d = sp.stratified_split(d, "time_slot", "incident_id")
-    features = [*SHIFT_FEATURES, "cluster"]
+    d = with_dummies(d)
+    features = [*DUMMY_FEATURES, "cluster"]
     m = clf.logistic_pipeline(features, 200).fit(clf.training_rows(d))
     return clf.predict(m, d.filter("split = 'test'"), features).select("incident_id", "label", "prediction")
 
