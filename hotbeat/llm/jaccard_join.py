@@ -7,8 +7,10 @@ any l.  Each document takes the l that makes its estimated candidates cheapest:
 as many more matches demanded.  A pair must share the smaller l of the two; then it is verified exactly.
 
 Only classes are wanted, so pairs need not all be looked at.  Within the documents of a prefix shingle
-the pairs with a few pivots are verified first and their links contracted; pairs that still lie in
-different components are then all verified.  Documents with equal sets are one class from the start.
+the pairs with a few pivots are verified first and their links contracted.  Pairs that still lie in
+different components are then all verified: one by one where few documents share a shingle, and for
+shingles that many share in blocks of sets, whose common shingles are counted by one matrix product;
+no pair is written there.  Documents with equal sets are one class from the start.
 
 Spark shuffles (1) packed shingle counts, (2) prefix rows, (3) the sets of documents in a candidate
 pair.  Two bitmaps and the list of frequent shingles go to all tasks; their sizes are fixed, and what
@@ -36,8 +38,11 @@ BITMAP_BITS = 26
 MATCHES = 8
 VERIFY_COST = 10
 PIVOTS = 4
-#: Star rounds before the remaining pairs are verified; more pivots shrink what is left.
-ROUNDS = 4
+#: Documents of a shingle up to which its remaining pairs are listed; beyond, they meet in blocks.
+LISTED = 24
+#: Sets of a block on average, and shingles of a matrix product.
+BLOCK = 128
+WIDTH = 4096
 FLUSH = 2_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -263,15 +268,15 @@ def _fits(m_a: Column, m_b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def pivot_pairs(rows: DataFrame, number: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of the ``PIVOTS`` first members of each shingle (in an order of this round) with the
-    other members that lie in other components.  Linear in the rows; read in sorted order."""
+def pivot_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the ``PIVOTS`` first members of each shingle (in one shuffled order for all) with
+    its other members.  Linear in the rows; read in sorted order."""
 
     def run(batches):
         shingle, pivots = None, []
         for b in batches:
-            s, k, m, root = (b.column(c).to_numpy() for c in ("shingle", "key", "m", "root"))
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            s, k, m = (b.column(c).to_numpy() for c in ("shingle", "key", "m"))
+            out: list[list[np.ndarray]] = [[], []]
             cuts = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1, [len(s)]])
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if lo == hi:
@@ -281,20 +286,19 @@ def pivot_pairs(rows: DataFrame, number: int, percent: int) -> DataFrame:
                 for i in range(lo, hi):
                     if len(pivots) == PIVOTS:
                         break
-                    pivots.append((k[i], m[i], root[i]))
-                for pk, pm, pr in pivots:
-                    ok = root[lo:hi] != pr
+                    pivots.append((k[i], m[i]))
+                for pk, pm in pivots:
+                    ok = k[lo:hi] != pk
                     ok &= np.minimum(m[lo:hi], pm) // 16 * 100 >= np.maximum(m[lo:hi], pm) // 16 * percent
                     if ok.any():
-                        c = int(ok.sum())
-                        for column, x in zip(out, (np.full(c, pk), k[lo:hi][ok], np.full(c, pm), m[lo:hi][ok])):
-                            column.append(x)
+                        out[0].append(np.full(int(ok.sum()), pk))
+                        out[1].append(k[lo:hi][ok])
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["a", "b", "m_a", "m_b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["a", "b"])
 
-    ordered = (rows.withColumn("o", F.xxhash64("key", F.lit(number))).repartition("shingle").sortWithinPartitions("shingle", "o")
-               .select("shingle", "key", "m", "root"))
-    pairs = ordered.mapInArrow(run, "a long, b long, m_a long, m_b long")
+    ordered = (rows.withColumn("o", F.xxhash64("key")).repartition("shingle").sortWithinPartitions("shingle", "o")
+               .select("shingle", "key", "m"))
+    pairs = ordered.mapInArrow(run, "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -349,6 +353,47 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
+def links_in_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among the sets that share one of the given (crowded) shingles.
+
+    A shingle's sets are put with those of the component that has most of them, so that the shingles
+    of one crowd give one group.  The group's sets are dealt to blocks, and every two blocks (and
+    every block with itself) meet in a task, which counts common shingles by matrix products and
+    returns one link for two components.  All pairs of the group are compared, none is written.
+    """
+
+    def compare(t: pa.Table) -> pa.Table:
+        key, root, block, n = (t.column(c).to_numpy() for c in ("key", "root", "block", "n"))
+        held = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("s")]
+        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+        tokens = tokens[counts > 1]
+        common = np.zeros((len(held), len(held)), np.float64)
+        for a in range(0, len(tokens), WIDTH):
+            part = tokens[a:a + WIDTH]
+            x = np.zeros((len(held), len(part)), np.float32)
+            for i, s in enumerate(held):
+                at = np.minimum(np.searchsorted(part, s), len(part) - 1)
+                x[i, at[part[at] == s]] = 1
+            common += x @ x.T
+        linked = 100 * common >= percent * (n[:, None] + n[None, :] - common)
+        linked &= root[:, None] < root[None, :]
+        if len(np.unique(block)) > 1:
+            linked &= block[:, None] != block[None, :]  # within one block: the task of that block
+        i, j = np.nonzero(linked)
+        _, one = np.unique(np.stack([root[i], root[j]]), axis=1, return_index=True)
+        return pa.table({"a": pa.array(key[i[one]]), "b": pa.array(key[j[one]])})
+
+    most = (rows.groupBy(F.col("shingle").alias("s2"), "root").agg(F.count("*").alias("c"))
+            .groupBy("s2").agg(F.max_by("root", F.struct("c", "root")).alias("crowd")))
+    members = rows.join(most, F.col("shingle") == F.col("s2")).select("crowd", "key", "root").distinct()
+    blocks = members.groupBy(F.col("crowd").alias("c2")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = (members.join(blocks, F.col("crowd") == F.col("c2")).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("crowd", "key", "root", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+    return (dealt.join(sets, "key").withColumn("n", F.length("s") / 8).groupBy("crowd", "lo", "hi")
+            .applyInArrow(compare, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -371,47 +416,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         several[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["b"], np.uint8)
 
     rows = written(shared_rows(prefix_rows(docs, several, frequent, 32 - ranges_bits, percent)), "prefix-rows")
-    keys = rows.select("key").distinct()
-    sets = written(sets_of(docs, keys), "candidate-sets")
-    roots = None  # (node, root) of the components found so far
-    done = None  # pairs verified so far
-
-    def with_roots(rows):
-        if roots is None:
-            return rows.withColumn("root", F.col("key"))
-        return (rows.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node"))
-
-    def contract(links):
-        """Components of the old roots and the new links."""
-        edges = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        return components(edges)
-
-    for number in range(ROUNDS + 1):
-        labelled = with_roots(rows)
-        open_ = labelled.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("c")).where("r1 <> r2")
-        open_ = written(labelled.join(open_.select(F.col("shingle").alias("s2"), "c"), F.col("shingle") == F.col("s2")).drop("s2"), "open-rows")
-        sizes = open_.groupBy("shingle", "root").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        left, pairs_left = sizes.agg(F.sum("t"), F.sum((F.col("t") * F.col("t") - F.col("q")) / 2)).first()
-        if not left:
-            break
-        last = number == ROUNDS or number and pairs_left <= 2 * left
-        pairs = remaining_pairs(open_, percent) if last else pivot_pairs(open_, number, percent)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = written(pairs, "candidate-pairs")
-        links = written(verified(pairs, sets, percent), "links")
-        roots = contract(links)
-        if last:
-            break
-        done = pairs if done is None else done.unionByName(pairs)
+    sets = written(sets_of(docs, rows.select("key").distinct()), "candidate-sets")
+    pairs = written(pivot_pairs(rows, percent), "pivot-pairs")
+    links = written(verified(pairs, sets, percent), "links")
+    roots = components(links, rounds=2)
+    # rows of shingles whose sets lie in several components yet
+    known = written(rows.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node"), "rooted-rows")
+    crowds = (known.groupBy(F.col("shingle").alias("s2")).agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("c"))
+              .where("r1 <> r2").select("s2", "c"))
+    open_ = written(known.join(crowds, F.col("shingle") == F.col("s2")).drop("s2"), "open-rows")
+    listed = remaining_pairs(open_.where(F.col("c") <= LISTED), percent).join(pairs, ["a", "b"], "left_anti")
+    more = verified(written(listed, "listed-pairs"), sets, percent)
+    crowded = links_in_blocks(open_.where(F.col("c") > LISTED), sets, percent)
+    roots = components(links.unionByName(written(more.unionByName(crowded), "more-links")))
 
     classes = documents.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    if roots is not None:
-        classes = with_roots(classes)
-        least = classes.groupBy("root").agg(F.min("least").alias("component"))
-        classes = classes.join(least, "root").select("key", "component")
-    else:
-        classes = classes.select("key", F.col("least").alias("component"))
+    classes = classes.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
+    least = classes.groupBy("root").agg(F.min("least").alias("component"))
+    classes = classes.join(least, "root").select("key", "component")
     classes = written(classes, "classes")
     full, empty = documents.where("n > 0"), documents.where("n = 0")
     return (full.join(classes, "key").select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))

@@ -98,7 +98,10 @@ def test_long_text(spark):
 def test_small_capacity_changes_nothing(spark, monkeypatch):
     """Fewer known frequent shingles and smaller bitmaps cost time, never links."""
     monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", 10)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard_join, "LISTED", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    monkeypatch.setattr(jaccard_join, "WIDTH", 50)
     rows = made_up(4)
     assert classes(spark, rows) == brute(rows)
 
