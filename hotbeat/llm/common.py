@@ -37,11 +37,16 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+#: Characters of the longest document that is learnt from: bounds the bytes of a training sample.
+LONGEST_LEARNT = 100_000
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """(text, label) of at most ``per_class`` labelled documents of each label, held-out ones excluded.
 
     The documents are those with the smallest hashes of their id: a fixed, unbiased choice whatever
-    the partitioning.  Only this bounded sample reaches the driver.
+    the partitioning.  Only this sample reaches the driver; it is bounded in rows and, by
+    ``LONGEST_LEARNT``, in characters.
     """
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
@@ -52,6 +57,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     spark = docs.sparkSession
     chosen = spark.createDataFrame([(i,) for i in ids], "doc_id long")  # 2 * per_class rows at most
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST_LEARNT)
             .groupBy("doc_id").agg(F.min("text").alias("text"))
             .join(F.broadcast(known.join(F.broadcast(chosen), "doc_id").select("doc_id", "y")), "doc_id")
             .orderBy("doc_id").select("text", "y").collect())
