@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from hotbeat.operators.attach import attach
 
 
+#: Columns that one categorical column may become.
+MAX_LEVELS = 1000
+
+
 def one_hot_pipeline(cats: Sequence[str], nums: Sequence[str] = (), out: str = "features",
                      order: str = "frequencyDesc", drop_last: bool = True) -> Pipeline:
     """F1 / F2: index + one-hot every categorical column, assemble with numerics.
@@ -45,11 +49,13 @@ def dummies(df: DataFrame, col: str, levels: Sequence | None = None, drop_first:
             prefix: str | None = None) -> DataFrame:
     """0/1 indicator columns, alphabetically first level dropped.
 
-    ``levels`` may be passed; otherwise the distinct values are read once
-    (a categorical's cardinality, not its rows).
+    ``levels`` may be passed; otherwise the distinct values are read once.
+    More than ``MAX_LEVELS`` of them are not a category: that is an error.
     """
     if levels is None:
-        levels = [r[0] for r in df.select(col).distinct().orderBy(col).collect() if r[0] is not None]
+        levels = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
+        if len(levels) > MAX_LEVELS:
+            raise ValueError(f"{col} has more than {MAX_LEVELS} values")
     levels = sorted(levels)
     keep = levels[1:] if drop_first else levels
     p = prefix or col

@@ -182,8 +182,12 @@ def _css_residuals(z: np.ndarray, c: float, ar: np.ndarray, ma: np.ndarray) -> n
     return np.asarray(e[p:])
 
 
-def fit_arima(x: np.ndarray, p: int, d: int, q: int, h: int, z95: float = 1.959964):
-    """CSS fit of ARIMA(p, d, q) with constant; returns (aic, sigma2, forecasts, lo, hi)."""
+def fit_arima(x: np.ndarray, p: int, d: int, q: int, h: int, z95: float = 1.959964, common: int | None = None):
+    """CSS fit of ARIMA(p, d, q) with constant; returns (aic, sigma2, forecasts, lo, hi).
+
+    Every order predicts x_t from its past, so AICs compare once they count
+    the same observations: all but the first ``common`` ones (p + d at least).
+    """
     z = np.diff(x, n=d) if d else x.astype(float)
     if len(z) <= p + q + 2:
         return None
@@ -201,7 +205,9 @@ def fit_arima(x: np.ndarray, p: int, d: int, q: int, h: int, z95: float = 1.9599
     e = _css_residuals(z, c, ar, ma)
     n = len(e)
     sigma2 = float(np.dot(e, e) / n) if n else float("nan")
-    aic = n * math.log(max(sigma2, 1e-300)) + 2 * (p + q + 2)
+    counted = e[max(0, (common or 0) - p - d):]
+    m = len(counted)
+    aic = m * math.log(max(float(np.dot(counted, counted) / m), 1e-300)) + 2 * (p + q + 2) if m else float("inf")
     # forecast the differenced series, then integrate back d times
     zz, ee = list(z), list(np.concatenate([np.zeros(p), e]))
     fz = []
@@ -237,11 +243,11 @@ FORECAST_SCHEMA = ("p int, d int, q int, step int, forecast double, lower double
                    "aic double, sigma2 double")
 
 
-def _forecast_group(h: int, keys: Sequence[str], period: str, value: str):
+def _forecast_group(h: int, keys: Sequence[str], period: str, value: str, common: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
         p, d, q = (int(pdf[c].iloc[0]) for c in ("__p", "__d", "__q"))
-        res = fit_arima(pdf[value].to_numpy(dtype=float), p, d, q, h)
+        res = fit_arima(pdf[value].to_numpy(dtype=float), p, d, q, h, common=common)
         cols = list(keys) + ["p", "d", "q", "step", "forecast", "lower", "upper", "aic", "sigma2"]
         # too short for this order: the key keeps its rows, with null forecasts
         aic, s2, fx, lo, hi = res if res is not None else (None, None, *[np.full(h, np.nan)] * 3)
@@ -274,7 +280,7 @@ def auto_forecast(series: DataFrame, key, orders: Sequence[tuple[int, int, int]]
     key_types = {f.name: f.dataType.simpleString() for f in series.schema.fields}
     schema = ", ".join(f"{k} {key_types[k]}" for k in key) + ", " + FORECAST_SCHEMA
     s = spread_groups(s, key + ["__p", "__d", "__q"])
-    fc = s.groupBy(*key, "__p", "__d", "__q").applyInPandas(_forecast_group(h, key, period, value), schema)
+    fc = s.groupBy(*key, "__p", "__d", "__q").applyInPandas(_forecast_group(h, key, period, value, max(p + d for p, d, _ in orders)), schema)
     if not pick_best:
         return fc
     best = (fc.filter(F.col("step") == 1).groupBy(*key)

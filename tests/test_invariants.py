@@ -226,3 +226,20 @@ def test_class_report_support(spark):
     r = class_report(df).collect()
     assert sum(x.support for x in r) == 5
     assert r[0].accuracy == pytest.approx(0.6)
+
+
+def test_kmeans_state_on_driver_or_distributed_is_the_same(spark, monkeypatch):
+    df = prepare(fixtures.incidents(spark, SF_SMALL)).select("incident_id", "area", "lat", "lon").cache()
+    run = lambda: {r.incident_id: r.cluster for r in kmeans.kmeans_labels(df, ["lat", "lon"], 3, by="area").collect()}
+    held = run()
+    monkeypatch.setattr(kmeans, "MAX_DRIVER_CENTRES", 0)
+    assert run() == held
+
+
+def test_orders_are_scored_on_the_same_observations():
+    x = np.cumsum(np.random.default_rng(3).normal(size=60)) + 20
+    a = series.fit_arima(x, 0, 1, 0, 3, common=3)
+    b = series.fit_arima(x, 0, 1, 0, 3)
+    e = np.diff(x) - np.mean(np.diff(x))
+    assert b[0] - a[0] == pytest.approx(len(e) * math.log(np.mean(e**2)) - (len(e) - 2) * math.log(np.mean(e[2:] ** 2)), abs=1e-3)
+    assert (a[2] == b[2]).all()
