@@ -23,7 +23,7 @@ _CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 #: Cached chunks per worker; beyond it the cache starts afresh (memory bound only).
 MAX_CHUNKS = 400_000
 #: Characters indexed at once.
-MAX_INDEXED = 1_000_000
+MAX_INDEXED = 300_000
 #: Chunks up to this length are relaxed together, one merge of each a round; longer ones with a heap.
 SHORT = 64
 
