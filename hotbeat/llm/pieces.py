@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 _CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-#: Cached chunks per worker; beyond it the cache starts afresh (memory bound only).
-MAX_CHUNKS = 400_000
+#: Cached chunks of a generation and worker; then the generation before goes, and what is met again
+#: moves on (memory bound only).
+MAX_CHUNKS = 250_000
 #: Characters indexed at once.
 MAX_INDEXED = 300_000
 #: Chunks up to this length are relaxed together, one merge of each a round; longer ones with a heap.
@@ -67,6 +68,7 @@ class PieceModel:
         self.low = self._keys([texts[i] for i in ids], 0)
         self.high = self._keys([texts[i] for i in ids], 255)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _two_bytes(self, codes: np.ndarray) -> np.ndarray:
         """Letters as two bytes that keep their order and are never 0."""
@@ -198,11 +200,14 @@ class PieceModel:
                 split.append(_CHUNK.findall(BLANK + t.replace(" ", BLANK)))
             else:
                 split.append([BLANK + w for w in t.split(" ")])
-        cache = self.cache
-        if len(cache) > MAX_CHUNKS:
-            cache = self.cache = {}
+        if len(self.cache) > MAX_CHUNKS:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
         new, size = [], 0
         for c in set().union(*split).difference(cache):
+            if c in older:
+                cache[c] = older[c]
+                continue
             new.append(c)
             size += len(c) + 1
             if size >= MAX_INDEXED:
