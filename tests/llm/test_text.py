@@ -124,6 +124,20 @@ def test_lines_of_a_page():
     assert html_text.main_text(html_text.lines_of("<p>a &am"), None) == "a &am"
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<body class="right-sidebar search"><main class="content no-sidebar"><article class="post comments-open comment"><p>Body', "Body"),
+    ('<body id=login><div class="sidebar right"><nav>Menu</nav><article id=social><p>Body</p></article></div>', "Body"),
+    ('<form id=aspnetForm><nav>Menu</nav><article><p>Body</p></article></form>', "Body"),
+    ('<nav>Menu of many, many long words</nav><form><div>Body of the page</div></form><form>Search</form>', "Body of the page"),
+    ('<article><h2 id="social-history">Social</h2><h2 id=search>Search</h2><section id="search-algorithms"><p>A</p></section>'
+     '<div class="related-work"><p>B</p></div><div class="related"><p>C</p></div></article>', "Social\nSearch\nA\nB"),
+    ('<div class="content-with-sidebar"><p>Body</p></div><div class="sidebar">Side</div><div id="menu">Menu</div>', "Body"),
+    ('<main><article><p>Body</p></article><div id=comments class=comments-area><article class=comment-body>Reader</article></div></main>', "Body"),
+])
+def test_marks_of_wrappers(page, text):
+    assert html_text.main_text(html_text.lines_of(page), None) == text
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(6)
 
