@@ -171,6 +171,33 @@ def test_pages_without_article_lose_what_neighbours_share(spark):
     assert by[None, "https://alone.example/x"]["text"] == "Site name\nMenu of things\nAlone\nAll about us"
 
 
+def test_copies_and_partition_edges_do_not_decide(spark):
+    """Every page keeps its own lines and loses the menu, wherever partitions are cut and however many copies stand beside it."""
+    page = lambda i: f"<div>Site name</div><div>Menu of things</div><p>Own text {i} of a page with some length</p><div>All about us</div>"
+    dated = lambda i, d: page(i) + "<p>" + f"More text of page {i}. " * 20 + f"</p><div>{d}</div>"
+    rows = [(i, f"https://a.example/p/{i:03d}", page(i)) for i in range(60)]
+    rows += [(100 + j, f"https://b.example/same?session={j}", page(7)) for j in range(50)] + [(200, "https://b.example/z", page(8))]
+    rows += [(300 + j, f"https://c.example/copy/{j:03d}", dated(5, j)) for j in range(40)] + [(400, "https://c.example/z", dated(6, 0))]
+    rows += [(500 + j, f"https://d.example/only/{j}", page(9)) for j in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 30)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extract(frame).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    own = lambda i: f"Own text {i} of a page with some length"
+    assert len(got) == len(rows)
+    assert all(got[i] == own(i) for i in range(60))
+    assert all(got[100 + j] == own(7) for j in range(50)) and got[200] == own(8)
+    more = lambda i: own(i) + "\n" + " ".join([f"More text of page {i}."] * 20)
+    # dates that stand in both pages are shared
+    assert all(got[300 + j] == more(5) + (f"\n{j}" if j else "") for j in range(40)) and got[400].startswith(more(6))
+    assert all(got[500 + j] == f"Site name\nMenu of things\n{own(9)}\nAll about us" for j in range(20))
+
+
 def test_page_text_of_the_table(spark):
     """Brute force: cut the article out by its tags."""
     import html
