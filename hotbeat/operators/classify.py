@@ -61,19 +61,16 @@ def forest(seed: int = 42, weight_col: str | None = None) -> RandomForestClassif
     return rf
 
 
-def forest_grid(rf: RandomForestClassifier, full: bool = True):
-    """L2 grid: trees x depth x min split x min leaf (x class weight via two fits).
+def forest_grid(rf: RandomForestClassifier, weight_cols: Sequence[str] = ("class_weight", "unit_weight")):
+    """L2 grid: trees x depth x min split x min leaf x class weight (balanced or none), 48 settings.
 
-    ``min_samples_split`` has no Spark parameter; the closest control is
-    ``minInstancesPerNode`` (leaf size), and ``minInfoGain`` stays 0.
+    Spark has no ``min_samples_split``: two leaves of half of it keep smaller nodes whole, so a
+    setting's ``minInstancesPerNode`` is the larger of its leaf size and half its split size.  The
+    class weight is a weight column (``class_weights``).
     """
-    g = ParamGridBuilder()
-    if full:
-        g = (g.addGrid(rf.numTrees, [50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
-              .addGrid(rf.minInstancesPerNode, [1, 2]))
-    else:
-        g = g.addGrid(rf.numTrees, [10]).addGrid(rf.maxDepth, [3, 5])
-    return g.build()
+    leaves = [max(leaf, -(-split // 2)) for split in (2, 5) for leaf in (1, 2)]
+    return (ParamGridBuilder().addGrid(rf.numTrees, [50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
+            .addGrid(rf.minInstancesPerNode, leaves).addGrid(rf.weightCol, list(weight_cols)).build())
 
 
 def boosted(seed: int = 42) -> OneVsRest:
@@ -82,19 +79,15 @@ def boosted(seed: int = 42) -> OneVsRest:
                      featuresCol="raw", labelCol=LABEL)
 
 
-def boosted_grid(ovr: OneVsRest, family: str = "gb", full: bool = True):
-    """L3 / L4 grids on the inner GBT (``OneVsRest.copy`` passes them through).
+def boosted_grid(ovr: OneVsRest, family: str = "gb"):
+    """L3 / L4 grids (36 and 18 settings) on the inner GBT (``OneVsRest.copy`` passes them through).
 
     Tree count -> ``maxIter``, learning rate -> ``stepSize``; the boosting
     family's leaf-weight fraction -> ``minWeightFractionPerNode``.
     """
     gbt = ovr.getClassifier()
-    g = ParamGridBuilder()
-    if not full and family == "xgb":
-        return g.addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [3]).addGrid(gbt.stepSize, [0.1, 0.3]).build()
-    if not full:
-        return g.addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [2, 3]).build()
-    g = g.addGrid(gbt.maxIter, [50, 100]).addGrid(gbt.stepSize, [0.01, 0.05, 0.1]).addGrid(gbt.maxDepth, [3, 5, 7])
+    g = (ParamGridBuilder().addGrid(gbt.maxIter, [50, 100]).addGrid(gbt.stepSize, [0.01, 0.05, 0.1])
+         .addGrid(gbt.maxDepth, [3, 5, 7]))
     if family == "gb":
         g = g.addGrid(gbt.minWeightFractionPerNode, [0.0, 0.01])
     return g.build()
@@ -112,6 +105,11 @@ def balanced_weights(df: DataFrame, label: str = LABEL, out: str = "class_weight
               .drop("__nc", "__n", "__k"))
 
 
+def class_weights(df: DataFrame) -> DataFrame:
+    """The weight columns of ``forest_grid``: balanced and none."""
+    return balanced_weights(df).withColumn("unit_weight", F.lit(1.0))
+
+
 def grid_search(train: DataFrame, estimator, grid, fold_col: str = "fold", parallelism: int = 4,
                 metric: str = "accuracy", folds: int = 5):
     """Cross-validated search over ``grid`` with stratified folds."""

@@ -1208,11 +1208,12 @@ def _cv(spark, sf, family: str):
     # one materialisation of the small projected frame instead of one per fold x setting
     d = cut_lineage(clf.training_rows(labelled(spark, sf)).transform(with_dummies).select(*DUMMY_FEATURES, "label", "fold"))
     if family == "rf":
+        d = cut_lineage(clf.class_weights(d))
         est = clf.forest()
-        grid = clf.forest_grid(est, full=False)
+        grid = clf.forest_grid(est)
     else:
         est = clf.boosted()
-        grid = clf.boosted_grid(est, family, full=False)
+        grid = clf.boosted_grid(est, family)
     pipe = Pipeline(stages=[clf.assembler(DUMMY_FEATURES), est])
     # grid maps address the estimator's params; the pipeline forwards them
     return clf.grid_search(d, pipe, grid, "fold", parallelism=4), grid
