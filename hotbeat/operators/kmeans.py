@@ -18,7 +18,10 @@ One plan clusters every group (area, or area x k for the elbow) at once:
 
 from __future__ import annotations
 
+import math
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -268,15 +271,49 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], by=None, **kw)
 
 # ---------------------------------------------------------------- K-prototypes
 
+def _normal(pid: Column, seed: int, j: int) -> Column:
+    """Deterministic standard normal number from a hash of (pid, seed, j)."""
+    return F.sqrt(-2 * F.log(_uniform(pid, seed, 2 * j))) * F.cos(F.lit(2 * math.pi) * _uniform(pid, seed, 2 * j + 1))
+
+
+def cao_start(pts: DataFrame, cats: Sequence[str], k: int, by: list[str]) -> DataFrame:
+    """Frequency-based start (Cao): (by, cluster, cats), k rows a group.
+
+    The density of a combination of categories is the mean share of the rows with each of its
+    values.  The densest is first; each next one has the largest (least mismatches with those chosen x
+    density).  Ties go to the smaller combination; combinations repeat when fewer than k exist.
+    """
+    combos = pts.groupBy(*by, *cats).agg(F.sum("w").alias("w"))
+    dens = combos.join(combos.groupBy(*by).agg(F.sum("w").alias("__n")), by)
+    for i, c in enumerate(cats):
+        share = combos.groupBy(*by, c).agg(F.sum("w").alias(f"__s{i}")).withColumnRenamed(c, "__v")
+        on = [dens[x].eqNullSafe(share[x]) for x in by] + [dens[c].eqNullSafe(share["__v"])]
+        dens = dens.join(share, on).select(*[dens[x] for x in dens.columns], f"__s{i}")
+    total = sum((F.col(f"__s{i}") for i in range(len(cats))), F.lit(0.0))
+    left = cut_lineage(dens.select(*by, *cats, (total / (F.lit(max(len(cats), 1)) * F.col("__n"))).alias("__d"),
+                                   F.lit(float(len(cats) + 1)).alias("__m")))
+    out = None
+    for j in range(k):
+        best = F.struct((-F.col("__m") * F.col("__d")).alias("a"), *cats)
+        row = cut_lineage(left.groupBy(*by).agg(F.min(best).alias("__p")).select(
+            *by, F.lit(j).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cats]))
+        out = row if out is None else out.unionByName(row)
+        new = row.select(*by, *[F.col(c).alias(f"__o_{c}") for c in cats])
+        miss = sum((F.when(F.col(c).eqNullSafe(F.col(f"__o_{c}")), 0.0).otherwise(1.0) for c in cats), F.lit(0.0))
+        left = cut_lineage(left.join(new, by).withColumn("__m", F.least("__m", miss)).drop(*[f"__o_{c}" for c in cats]))
+    return out
+
+
 def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int, by=None,
-                gamma: float | None = None, n_init: int = 1, max_iter: int = 10, seed: int = 42,
+                gamma: float | None = None, n_init: int = 5, max_iter: int = 100, seed: int = 42,
                 id_col: str = "incident_id") -> DataFrame:
     """K-prototypes (Huang) per group -> labelled rows with ``cluster``.
 
     Cost = sum of squared numeric differences + gamma * categorical
     mismatches.  Prototypes: numeric mean and categorical mode (``mode()``
-    aggregate) per cluster.  ``n_init`` starts run as an extra key; the start
-    with the lowest cost is kept.  gamma defaults to half the mean numeric sd.
+    aggregate) per cluster.  Categories start by frequency (``cao_start``), numbers
+    by normal draws with the group's mean and sd.  ``n_init`` starts run as an extra key;
+    the start with the lowest cost is kept.  gamma defaults to half the mean numeric sd.
     """
     by = _as_list(by)
     b = by or ["__g"]
@@ -301,17 +338,17 @@ def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int,
                         *[F.col(c).cast("double").alias(f"n{i}") for i, c in enumerate(nums)],
                         *[F.col(c).alias(f"c{i}") for i, c in enumerate(cats)])
 
-    # start: k distinct points per (group, start) with the smallest hashed key
-    ranked = pts.withColumn("__h", _uniform(F.col("pid"), seed, F.col("__init")))
-    protos = None
-    for j in range(k):
-        pick = ranked.groupBy(*key).agg(F.min_by(F.struct(*feats, "pid"), F.col("__h")).alias("__p"))
-        row = pick.select(*key, F.lit(j).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in feats],
-                          F.col("__p.pid").alias("__pid"))
-        row = cut_lineage(row)
-        ranked = cut_lineage(ranked.join(row.select(*key, F.col("__pid").alias("pid")), key + ["pid"], "left_anti"))
-        protos = row if protos is None else protos.unionByName(row)
-    protos = cut_lineage(protos.drop("__pid"))
+    one = pts.filter(F.col("__init") == 0)
+    moments = one.groupBy(*b).agg(*[x for i, c in enumerate(nums) for x in (
+        (F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"__m{i}"),
+        (F.sum(F.col(c) * F.col(c) * F.col("w")) / F.sum("w")).alias(f"__q{i}"))])
+    where = F.xxhash64(*b, "__init", "cluster")
+    draws = [(F.col(f"__m{i}") + _normal(where, seed, i) * F.sqrt(F.greatest(F.lit(0.0), F.col(f"__q{i}") - F.col(f"__m{i}") ** 2))).alias(c)
+             for i, c in enumerate(nums)]
+    protos = (cao_start(one, cats, k, b).join(moments, b)
+              .withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
+              .select(*key, "cluster", *draws, *cats))
+    protos = cut_lineage(protos)
     for _ in range(max_iter):
         arr = protos.groupBy(*key).agg(F.collect_list(proto()).alias("__p"))
         a = pts.join(arr, key).withColumn("__best", F.array_min(F.transform("__p", cost_struct)))
@@ -329,7 +366,10 @@ def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int,
                        key + ["cluster"])
         new = new.select(*key, "cluster", *[F.coalesce(c, f"__o_{c}").alias(c) for c in feats])
         new = cut_lineage(new)
-        same = new.join(protos, key + ["cluster"] + feats, "left_anti").limit(1).count() == 0
+        # sums differ in their last bits with the order of rows
+        old = protos.select(*key, "cluster", *[F.col(c).alias(f"__o_{c}") for c in feats])
+        moved = [F.abs(F.col(c) - F.col(f"__o_{c}")) > 1e-9 for c in nums] + [~F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in cats]
+        same = new.join(old, key + ["cluster"]).filter(reduce(operator.or_, moved)).limit(1).count() == 0
         protos = new
         if same:
             break

@@ -925,8 +925,11 @@ def m5_assign_to_area_centres(spark, sf):
 
 @register("m6_elbow")
 def m6_elbow(spark, sf):
-    """WCSS per (area, k) for k = 1..8 in one keyed fit; invariant-checked."""
-    return km.elbow(prep(spark, sf), ["lat", "lon"], range(1, 9), by="area")
+    """WCSS per (area, k) for k = 1..19 in one keyed fit, and over all areas (area null) for k = 1..29; invariant-checked."""
+    p = prep(spark, sf)
+    each = km.elbow(p, ["lat", "lon"], range(1, 20), by="area")
+    overall = km.elbow(p, ["lat", "lon"], range(1, 30)).withColumn("area", F.lit(None).cast(p.schema["area"].dataType))
+    return each.unionByName(overall.select("area", "k", "wcss"))
 
 
 @register("m4_kmeans_check", with_base("SELECT area, count(*) AS n, 0 AS misplaced FROM prepared GROUP BY area"))
@@ -951,9 +954,9 @@ def m6_elbow_k1(spark, sf):
 
 @register("m14_kprototypes")
 def m14_kprototypes(spark, sf):
-    """K-prototypes on (lat, lon, vict_age) + (category, vict_sex), k = 10 per area."""
+    """K-prototypes on (lat, lon, vict_age) + (category, vict_sex), k = 10 per area, 5 starts."""
     d = km.kprototypes(prep(spark, sf), ["lat", "lon", "vict_age"], ["category", "vict_sex"], 10, by="area",
-                       n_init=2)
+                       n_init=5)
     return d.select("incident_id", "area", "cluster")
 
 
@@ -1297,15 +1300,23 @@ def l9_per_area_models(spark, sf):
     return out
 
 
+CLUSTER_FEATURES = [*DUMMY_FEATURES, "cluster"]
+
+
+def cluster_model(spark, labelled_clusters):
+    """(saved and reloaded pipeline, rows with label, split and dummies)."""
+    d = clf.with_label(labelled_clusters)
+    d = sp.stratified_split(d, "time_slot", "incident_id")
+    d = with_dummies(d)
+    m = clf.logistic_pipeline(CLUSTER_FEATURES, 200).fit(clf.training_rows(d))
+    return io.load_model(io.save_model(m, io.scratch(spark, "cluster_model"))), d
+
+
 @register("l10_cluster_feature")
 def l10_cluster_feature(spark, sf):
     """Logistic regression with the density-cluster id as an extra feature."""
-    d = clf.with_label(clustered(spark, sf))
-    d = sp.stratified_split(d, "time_slot", "incident_id")
-    d = with_dummies(d)
-    features = [*DUMMY_FEATURES, "cluster"]
-    m = clf.logistic_pipeline(features, 200).fit(clf.training_rows(d))
-    return clf.predict(m, d.filter("split = 'test'"), features).select("incident_id", "label", "prediction")
+    m, d = cluster_model(spark, clustered(spark, sf))
+    return clf.predict(m, d.filter("split = 'test'"), CLUSTER_FEATURES).select("incident_id", "label", "prediction")
 
 
 @register("l12_baseline_shift", with_base(
@@ -1355,10 +1366,14 @@ def j4_match_back(spark, sf):
 
 @register("l11_score_hotspot_grid")
 def l11_score_hotspot_grid(spark, sf):
-    """Model-scored grid: every hotspot x weekday x month gets a predicted shift."""
-    d = labelled(spark, sf)
-    m = clf.logistic_pipeline(SHIFT_FEATURES, 200).fit(clf.training_rows(d))
-    grid = jn.scoring_grid(hotspots_top(spark, sf))
+    """Grid scored by L10's pipeline: every hotspot x weekday x month gets a predicted shift.
+
+    A hotspot is a coordinate of the table, so its cluster is that of its incidents.
+    """
+    d = cut_lineage(clustered(spark, sf))
+    m, _ = cluster_model(spark, d)
+    hs = jn.top_locations(d, "area", 10, extra=[F.min("cluster").alias("cluster")])
+    grid = with_dummies(jn.scoring_grid(hs))
     return patrol.model_scores(grid, m).select("area", "hotspot_id", "occ_weekday", "occ_month", "predicted_slot")
 
 

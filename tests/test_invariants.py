@@ -263,3 +263,54 @@ def test_grids_of_the_searches_are_whole(spark):
     m = clf.grid_search(d, Pipeline(stages=[clf.assembler(["x"]), rf]), grid, "fold")
     by = {g[rf.weightCol]: s for g, s in zip(grid, m.avgMetrics)}
     assert by["unit_weight"] == pytest.approx(0.9) and by["class_weight"] < by["unit_weight"]
+
+
+def test_frequency_start_equals_the_plain_one(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(a, rng.choice("xxxyz"), rng.choice("mmf")) for a in (1, 2) for _ in range(40)]
+    d = spark.createDataFrame(rows, "area int, c string, s string").withColumn("w", F.lit(1.0))
+    got = {}
+    for r in kmeans.cao_start(d, ["c", "s"], 5, ["area"]).collect():
+        got.setdefault(r.area, {})[r.cluster] = (r.c, r.s)
+    for area in (1, 2):
+        own = [r[1:] for r in rows if r[0] == area]
+        dens = {x: sum(sum(o[i] == x[i] for o in own) for i in (0, 1)) / (2 * len(own)) for x in {*own}}
+        want = []
+        for _ in range(5):
+            least = lambda x: min((sum(p != q for p, q in zip(x, y)) for y in want), default=3)
+            want.append(min(dens, key=lambda x: (-least(x) * dens[x], x)))
+        assert [got[area][j] for j in range(5)] == want
+
+
+def test_kprototypes_label_every_row_and_need_no_luck(spark):
+    """Three groups far apart in one number and a category each: every start that keeps three clusters finds them."""
+    d = spark.createDataFrame([(i, 1, float(i % 3) * 100 + i % 5, "abc"[i % 3]) for i in range(90)], "incident_id long, area int, x double, c string")
+    got = kmeans.kprototypes(d, ["x"], ["c"], 3, by="area", gamma=1000.0).select("incident_id", "c", "cluster").collect()
+    assert len(got) == 90 and len({(r.c, r.cluster) for r in got}) == 3 and len({r.cluster for r in got}) == 3
+
+
+def test_elbow_and_kprototypes_run_whole(spark, monkeypatch):
+    from hotbeat.plans import catalog
+    calls = []
+    plain = kmeans.elbow
+    monkeypatch.setattr(catalog.km, "elbow", lambda df, cols, ks, by=None: calls.append((by, [*ks])) or plain(df, cols, [1], by))
+    monkeypatch.setattr(catalog.km, "kprototypes", lambda df, *a, **kw: calls.append(kw) or df.withColumn("cluster", F.lit(0)))
+    rows = catalog.m6_elbow(spark, SF_SMALL).collect()
+    catalog.m14_kprototypes(spark, SF_SMALL)
+    assert calls == [("area", [*range(1, 20)]), (None, [*range(1, 30)]), {"by": "area", "n_init": 5}]
+    assert sum(r.area is None for r in rows) == 1
+
+
+def test_hotspot_grid_is_scored_with_clusters(spark, monkeypatch):
+    from hotbeat.plans import catalog
+    seen = {}
+    plain = catalog.patrol.model_scores
+    monkeypatch.setattr(catalog.patrol, "model_scores", lambda grid, m: seen.update(grid=grid, m=m) or plain(grid, m))
+    got = catalog.l11_score_hotspot_grid(spark, SF_SMALL).collect()
+    assert seen["m"].stages[0].getInputCols() == [*catalog.DUMMY_FEATURES, "cluster"]
+    hs = {(r.area, r.hotspot_id, r.lat, r.lon) for r in catalog.hotspots_top(spark, SF_SMALL).collect()}
+    grid = seen["grid"].select("area", "hotspot_id", "lat", "lon", "cluster").distinct().collect()
+    assert {tuple(r)[:4] for r in grid} == hs and len(got) == 84 * len(hs) and len(grid) == len(hs)
+    cluster = {(r.area, r.lat, r.lon): r.cluster for r in catalog.clustered(spark, SF_SMALL).select("area", "lat", "lon", "cluster").distinct().collect()}
+    assert all(cluster[r.area, r.lat, r.lon] == r.cluster for r in grid)
