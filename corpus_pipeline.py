@@ -42,13 +42,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates, once if its row is repeated.
 
-    Empty texts are linked with nothing and stay; rows without an id cannot be told apart and stay.
+    Rows are told apart by a hash of id and text, so an id may stand on several texts; rows without an id
+    come last in their group.  Empty texts are linked with nothing and stay, without an id all of them.
     """
     _ready(spark)
-    groups = jaccard_join.near_duplicates(docs)
-    chosen = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return (docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text", F.isnull("doc_id"), F.isnull("text")))
+    groups = jaccard_join.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").distinct()
+    ids = keyed.select("_row", "doc_id").distinct()
+    best = F.min(F.struct(F.isnull("doc_id").alias("none"), F.col("doc_id"), F.col("_row"), F.col("n_shingles"))).alias("_best")
+    chosen = groups.join(ids, "_row").groupBy("component_id").agg(best).select("_best._row", "_best.none", "_best.n_shingles")
+    chosen = written(chosen, "corpus-chosen")
+    whole = F.col("none") & (F.col("n_shingles") == 0)
+    once = keyed.join(chosen.where(~whole).select("_row"), "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(keyed.join(chosen.where(whole).select("_row"), "_row", "left_semi")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

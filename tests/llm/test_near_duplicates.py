@@ -167,3 +167,14 @@ def test_pipeline_stages_on_edge_cases(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     left = corpus_pipeline.one_of_each_group(spark, docs, SF).collect()
     assert sorted((r["doc_id"] or 0) for r in left) == [0, 1, 2, 3]
+
+
+def test_an_id_on_two_texts_keeps_both(spark):
+    """Rows are chosen by id and text: a repeated id does not drop a text nor let a near copy survive."""
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("first", "second"))
+    rows = [(7, one), (7, two), (3, two + " end"), (None, one), (None, "a text of its own without an id"), (None, ""), (None, ""), (8, None), (9, one), (9, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 5):
+        left = corpus_pipeline.one_of_each_group(spark, docs.repartition(parts), SF).collect()
+        assert sorted(map(tuple, left), key=repr) == sorted(
+            [(7, one), (3, two + " end"), (None, "a text of its own without an id"), (None, ""), (None, ""), (8, None)], key=repr)
