@@ -9,10 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hotbeat.llm import ann, html_text, jaccard_join, license_scan, packing, pieces, quality, token_store, topk, toxicity
+from hotbeat.llm import (ann, fill_middle, html_text, jaccard_join, license_scan, matrix_bpe, packing, pieces, quality, token_store,
+                         topk, toxicity, whitening)
 from hotbeat.llm.common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -134,4 +136,53 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("text").cast("long").alias("n_chars"), F.crc32(F.col("text").cast("binary")).alias("text_crc32")))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes that they decode to."""
+    encoded = matrix_bpe.encode(table(spark, sf_dir, "documents"), MULTI_BPE)
+    return (matrix_bpe.decode(encoded, MULTI_BPE)
+            .select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in its middle, and restored from that."""
+    done = fill_middle.transform(table(spark, sf_dir, "documents"))
+    keep = ["doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256")]
+    return fill_middle.restore(done, *keep).select(*done.columns[:5], "output_sha256", F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLE["op13_fill_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+k AS (
+  SELECT doc_id, t, length(t) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM k),
+p AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
