@@ -1,10 +1,8 @@
-"""Shift classification (L1-L12) with Spark ML.
+"""Shift classification: logistic models, class report and baseline.
 
-Training is distributed by Spark ML itself (tree aggregation of gradients,
-distributed histogram building for trees).  Grid search uses
-``CrossValidator`` with a fold column from ``split.stratified_folds`` and
-``parallelism`` so several settings fit at once.  The class report is a
-``groupBy(label, prediction)`` confusion table with the ratios in SQL.
+Logistic models are trained by Spark ML (tree aggregation of gradients); trees and their searches
+(L2-L6, L8) are in ``trees``.  The class report is a ``groupBy(label, prediction)`` confusion table
+with the ratios in SQL.
 """
 
 from __future__ import annotations
@@ -13,11 +11,8 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,45 +49,6 @@ def logistic_pipeline(features: Sequence[str], max_iter: int = 200) -> Pipeline:
                                                maxIter=max_iter)])
 
 
-def forest(seed: int = 42, weight_col: str | None = None) -> RandomForestClassifier:
-    rf = RandomForestClassifier(featuresCol="raw", labelCol=LABEL, seed=seed)
-    if weight_col:
-        rf = rf.setWeightCol(weight_col)
-    return rf
-
-
-def forest_grid(rf: RandomForestClassifier, weight_cols: Sequence[str] = ("class_weight", "unit_weight")):
-    """L2 grid: trees x depth x min split x min leaf x class weight (balanced or none), 48 settings.
-
-    Spark has no ``min_samples_split``: two leaves of half of it keep smaller nodes whole, so a
-    setting's ``minInstancesPerNode`` is the larger of its leaf size and half its split size.  The
-    class weight is a weight column (``class_weights``).
-    """
-    leaves = [max(leaf, -(-split // 2)) for split in (2, 5) for leaf in (1, 2)]
-    return (ParamGridBuilder().addGrid(rf.numTrees, [50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
-            .addGrid(rf.minInstancesPerNode, leaves).addGrid(rf.weightCol, list(weight_cols)).build())
-
-
-def boosted(seed: int = 42) -> OneVsRest:
-    """L3 / L4: Spark GBT is binary, so multi-class goes through one-vs-rest."""
-    return OneVsRest(classifier=GBTClassifier(featuresCol="raw", labelCol=LABEL, seed=seed),
-                     featuresCol="raw", labelCol=LABEL)
-
-
-def boosted_grid(ovr: OneVsRest, family: str = "gb"):
-    """L3 / L4 grids (36 and 18 settings) on the inner GBT (``OneVsRest.copy`` passes them through).
-
-    Tree count -> ``maxIter``, learning rate -> ``stepSize``; the boosting
-    family's leaf-weight fraction -> ``minWeightFractionPerNode``.
-    """
-    gbt = ovr.getClassifier()
-    g = (ParamGridBuilder().addGrid(gbt.maxIter, [50, 100]).addGrid(gbt.stepSize, [0.01, 0.05, 0.1])
-         .addGrid(gbt.maxDepth, [3, 5, 7]))
-    if family == "gb":
-        g = g.addGrid(gbt.minWeightFractionPerNode, [0.0, 0.01])
-    return g.build()
-
-
 def balanced_weights(df: DataFrame, label: str = LABEL, out: str = "class_weight") -> DataFrame:
     """Balanced class weight n / (classes * n_class), via one small aggregate."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
@@ -105,29 +61,6 @@ def balanced_weights(df: DataFrame, label: str = LABEL, out: str = "class_weight
               .drop("__nc", "__n", "__k"))
 
 
-def class_weights(df: DataFrame) -> DataFrame:
-    """The weight columns of ``forest_grid``: balanced and none."""
-    return balanced_weights(df).withColumn("unit_weight", F.lit(1.0))
-
-
-def grid_search(train: DataFrame, estimator, grid, fold_col: str = "fold", parallelism: int = 4,
-                metric: str = "accuracy", folds: int = 5):
-    """Cross-validated search over ``grid`` with stratified folds."""
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName=metric)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        numFolds=folds, parallelism=parallelism, seed=42)
-    return cv.fit(train)
-
-
-def best_of(results: dict):
-    """Pick the family with the best cross-validated score.
-
-    ``results``: name -> fitted ``CrossValidatorModel``; returns (name, model, score).
-    """
-    scored = [(name, m, max(m.avgMetrics)) for name, m in results.items()]
-    return max(scored, key=lambda t: (t[2], t[0]))
-
-
 def class_report(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """Per class precision, recall, F1, support, plus overall accuracy.
 
@@ -152,15 +85,6 @@ def class_report(pred: DataFrame, label: str = LABEL, prediction: str = "predict
                     F.round("accuracy", 6).alias("accuracy"))
 
 
-def feature_importance(model, names: Sequence[str], top: int = 20, spark=None) -> DataFrame:
-    """Top-n impurity importances of a fitted forest, joined to names."""
-    imp = model.featureImportances.toArray()
-    rows = sorted(((names[i], float(v)) for i, v in enumerate(imp)), key=lambda t: (-t[1], t[0]))[:top]
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "feature string, importance double")
-
-
 def per_area_models(df: DataFrame, features: Sequence[str], area_col: str = "area", parallelism: int = 8):
     """Area -> fitted pipeline, for every area of the rows.
 

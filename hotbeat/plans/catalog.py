@@ -9,6 +9,7 @@ Keys without an oracle entry are checked by invariants in ``tests/``.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
 
@@ -1042,6 +1043,7 @@ def r4_auto_arima_forecast(spark, sf):
 
 from hotbeat.operators import classify as clf  # noqa: E402
 from hotbeat.operators import features as feat  # noqa: E402
+from hotbeat.operators import trees  # noqa: E402
 from hotbeat.operators import split as sp  # noqa: E402
 
 
@@ -1206,55 +1208,84 @@ def l1_logistic_regression(spark, sf):
     return clf.predict(m, d.filter("split = 'test'"), SHIFT_FEATURES).select("incident_id", "label", "prediction")
 
 
-def _cv(spark, sf, family: str):
-    from pyspark.ml import Pipeline
-    # one materialisation of the small projected frame instead of one per fold x setting
-    d = cut_lineage(clf.training_rows(labelled(spark, sf)).transform(with_dummies).select(*DUMMY_FEATURES, "label", "fold"))
-    if family == "rf":
-        d = cut_lineage(clf.class_weights(d))
-        est = clf.forest()
-        grid = clf.forest_grid(est)
-    else:
-        est = clf.boosted()
-        grid = clf.boosted_grid(est, family)
-    pipe = Pipeline(stages=[clf.assembler(DUMMY_FEATURES), est])
-    # grid maps address the estimator's params; the pipeline forwards them
-    return clf.grid_search(d, pipe, grid, "fold", parallelism=4), grid
+SHIFT_COLUMNS = {"occ_month": range(1, 13), "occ_weekday": range(1, 8)}
 
 
-def _cv_scores(spark, m, grid, family):
-    rows = [(family, i, float(s)) for i, s in enumerate(m.avgMetrics)]
-    return spark.createDataFrame(rows, "family string, setting int, cv_accuracy double")
+def shift_cells(d):
+    """(columns, cells) of the training split: place in bins, month and weekday as dummy columns."""
+    train = clf.training_rows(d)
+    columns = trees.fit_columns(train, ["lat", "lon"], SHIFT_COLUMNS)
+    return columns, trees.written_cells(train, columns, "label", 3, "fold")
+
+
+def _searched(spark, sf, family: str):
+    columns, c = shift_cells(labelled(spark, sf))
+    return trees.search(c, columns, [family])
 
 
 @register("l2_random_forest_cv")
 def l2_random_forest_cv(spark, sf):
-    m, grid = _cv(spark, sf, "rf")
-    return _cv_scores(spark, m, grid, "random_forest")
+    """Accuracy of the 48 settings of the forest search over five stratified folds."""
+    return _searched(spark, sf, "random_forest")
 
 
 @register("l3_gbt_one_vs_rest_cv")
 def l3_gbt_one_vs_rest_cv(spark, sf):
-    m, grid = _cv(spark, sf, "gb")
-    return _cv_scores(spark, m, grid, "gradient_boosting")
+    """Accuracy of the 36 settings of first-order boosting: in each round one tree a class against the rest."""
+    return _searched(spark, sf, "gradient_boosting")
 
 
 @register("l4_boosting_xgb_grid_cv")
 def l4_boosting_xgb_grid_cv(spark, sf):
-    m, grid = _cv(spark, sf, "xgb")
-    return _cv_scores(spark, m, grid, "xgb_style")
+    """Accuracy of the 18 settings of second-order boosting."""
+    return _searched(spark, sf, "newton_boosting")
+
+
+@register("l4_boosted_stumps", with_base(
+    "SELECT class, feature, round(gain, 6) AS gain, round(0.1 * (y - n / 3.0 - yr + nr / 3.0) / ((n - nr) * 4 / 9.0 + 1), 6) AS left_value, "
+    "round(0.1 * (yr - nr / 3.0) / (nr * 4 / 9.0 + 1), 6) AS right_value FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY gain DESC, ord) AS r FROM ("
+    "SELECT class, feature, ord, n, nr, y, yr, (y - yr - (n - nr) / 3.0) * (y - yr - (n - nr) / 3.0) / ((n - nr) * 4 / 9.0 + 1) "
+    "+ (yr - nr / 3.0) * (yr - nr / 3.0) / (nr * 4 / 9.0 + 1) - (y - n / 3.0) * (y - n / 3.0) / (n * 4 / 9.0 + 1) AS gain "
+    "FROM sums WHERE nr > 0 AND nr < n AND nr * 4 / 9.0 >= 1 AND (n - nr) * 4 / 9.0 >= 1) g) x WHERE r = 1",
+    "known AS (SELECT time_slot, occ_month, occ_weekday FROM enriched WHERE time_slot IS NOT NULL AND occ_month IS NOT NULL AND occ_weekday IS NOT NULL),\n"
+    "dummy AS (SELECT 'occ_month_' || v AS feature, v AS ord, 'm' AS kind, v FROM range(2, 13) t(v) "
+    "UNION ALL SELECT 'occ_weekday_' || v, 100 + v, 'w', v FROM range(2, 8) t(v)),\n"
+    "sums AS (SELECT CAST(c.c AS INTEGER) AS class, d.feature, d.ord, count(*) AS n, "
+    "count(*) FILTER (WHERE CASE d.kind WHEN 'm' THEN k.occ_month ELSE k.occ_weekday END = d.v) AS nr, "
+    "count(*) FILTER (WHERE k.time_slot = c.c + 1) AS y, "
+    "count(*) FILTER (WHERE k.time_slot = c.c + 1 AND CASE d.kind WHEN 'm' THEN k.occ_month ELSE k.occ_weekday END = d.v) AS yr "
+    "FROM known k, dummy d, range(0, 3) c(c) GROUP BY 1, 2, 3)"))
+def l4_boosted_stumps(spark, sf):
+    """First round of second-order boosting with trees of one split on the dummy columns: split, gain and leaf values."""
+    d = clf.with_label(enr(spark, sf))
+    columns = trees.fit_columns(d, [], SHIFT_COLUMNS)
+    c = trees.written_cells(d, columns, "label", 3)
+    nodes = trees.fit_nodes(c, columns, [("newton_boosting", {"trees": 1, "rate": 0.1, "depth": 1})])
+    nodes = trees.with_names(nodes, columns).where("tree = 0").withColumn("v", F.col("value")[0])
+    at = lambda c, n: F.max(F.when(F.col("node") == n, F.col(c)))
+    return (nodes.groupBy("class").agg(at("feature", 1).alias("feature"), F.round(at("gain", 1), 6).alias("gain"),
+                                       F.round(at("v", 2), 6).alias("left_value"), F.round(at("v", 3), 6).alias("right_value"))
+            .where("feature IS NOT NULL"))
 
 
 @register("l5_l6_s5_best_model_roundtrip")
 def l5_l6_s5_best_model_roundtrip(spark, sf):
-    """Cross-validate three families, keep the best, save, reload, predict the test split."""
-    res = {"random_forest": _cv(spark, sf, "rf")[0], "gradient_boosting": _cv(spark, sf, "gb")[0], "xgb_style": _cv(spark, sf, "xgb")[0]}
-    name, model, score = clf.best_of(res)
-    path = io.save_model(model.bestModel, io.scratch(spark, "best_model"))
-    loaded = io.load_model(path)
-    test = with_dummies(labelled(spark, sf).filter("split = 'test'"))
-    return (clf.predict(loaded, test, DUMMY_FEATURES).select("incident_id", "label", "prediction")
-                  .withColumn("family", F.lit(name)).withColumn("cv_accuracy", F.lit(float(score))))
+    """Cross-validate the three families, refit the best setting of each, keep the family that is best on the
+    test split, save its node table, reread it and predict the test split."""
+    d = labelled(spark, sf)
+    columns, c = shift_cells(d)
+    families = ["random_forest", "gradient_boosting", "newton_boosting"]
+    best = {r["family"]: r for r in trees.best_settings(trees.search(c, columns, families)).collect()}
+    nodes = cut_lineage(trees.fit_nodes(c, columns, [(f, json.loads(best[f]["params"])) for f in families]))
+    test = d.filter("split = 'test'")
+    accuracy = [trees.predict(test, nodes, columns, i).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0] or 0.0
+                for i in range(len(families))]
+    i = max(range(len(families)), key=lambda k: (accuracy[k], -k))
+    path = io.save_snapshot(nodes.where(F.col("model") == i), io.scratch(spark, "best_model"))
+    loaded = io.load_snapshot(spark, path)
+    return (trees.predict(test, loaded, columns, i).select("incident_id", "label", "prediction")
+            .withColumn("family", F.lit(families[i])).withColumn("params", F.lit(best[families[i]]["params"]))
+            .withColumn("cv_accuracy", F.lit(best[families[i]]["cv_accuracy"])).withColumn("test_accuracy", F.lit(accuracy[i])))
 
 
 @register("l7_class_report", with_base(
@@ -1279,13 +1310,18 @@ def l7_class_report(spark, sf):
     return clf.class_report(scored, "time_slot", "predicted_slot")
 
 
+IMPORTANCE_LEVELS = {"occ_weekday": range(1, 8), "vict_sex": ["F", "H", "M", "X"], "crime_category": sorted({c for _, c in fixed.category_codes()} | {"Unknown"})}
+
+
 @register("l8_feature_importance")
 def l8_feature_importance(spark, sf):
-    from pyspark.ml import Pipeline
-    d = clf.training_rows(labelled(spark, sf))
-    names = SHIFT_FEATURES + ["vict_age", "amount"]
-    m = Pipeline(stages=[clf.assembler(names), clf.forest().setNumTrees(20)]).fit(d)
-    return clf.feature_importance(m.stages[-1], names, 20, spark)
+    """The 20 features that most nodes of a leaf-wise boosted model split on (31 leaves, 100 rounds)."""
+    d = clf.with_label(enr(spark, sf))
+    d = cut_lineage(sp.hash_split(d, "incident_id").filter("split = 'train'").select(
+        "area", "lat", "lon", "vict_age", "amount", "occ_year", "occ_month", "occ_day", *IMPORTANCE_LEVELS, "label"))
+    columns = trees.fit_columns(d, ["area", "lat", "lon", "vict_age", "amount", "occ_year", "occ_month", "occ_day"], IMPORTANCE_LEVELS)
+    nodes = trees.fit_leafwise(trees.written_cells(d, columns, "label", 3), columns)
+    return trees.split_counts(nodes, columns, 20)
 
 
 @register("l9_per_area_models")

@@ -245,26 +245,6 @@ def test_orders_are_scored_on_the_same_observations():
     assert (a[2] == b[2]).all()
 
 
-def test_grids_of_the_searches_are_whole(spark):
-    """Settings of the source's grids, as registered; a search over two of them tells weighted from unweighted forests."""
-    import inspect
-
-    from pyspark.ml import Pipeline
-
-    from hotbeat.operators import classify as clf
-    from hotbeat.plans import catalog
-
-    rf, ovr = clf.forest(), clf.boosted()
-    assert [len(g) for g in (clf.forest_grid(rf), clf.boosted_grid(ovr, "gb"), clf.boosted_grid(ovr, "xgb"))] == [48, 36, 18]
-    assert "full=False" not in inspect.getsource(catalog._cv)
-    d = clf.class_weights(spark.createDataFrame(
-        [(float(i % 7), float(i % 10 == 0), i % 5) for i in range(200)], "x double, label double, fold int"))
-    grid = [g for g in clf.forest_grid(rf) if g[rf.numTrees] == 50 and g[rf.maxDepth] == 3 and g[rf.minInstancesPerNode] == 1]
-    m = clf.grid_search(d, Pipeline(stages=[clf.assembler(["x"]), rf]), grid, "fold")
-    by = {g[rf.weightCol]: s for g, s in zip(grid, m.avgMetrics)}
-    assert by["unit_weight"] == pytest.approx(0.9) and by["class_weight"] < by["unit_weight"]
-
-
 def test_frequency_start_equals_the_plain_one(spark):
     import random
     rng = random.Random(3)
