@@ -37,28 +37,38 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-#: Characters of the longest document that is learnt from: bounds the bytes of a training sample.
+#: Characters of a document that are learnt from; of a longer one, ``SPREAD`` parts of equal size and distance.
 LONGEST_LEARNT = 100_000
+SPREAD = 10
+
+
+def _known(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the documents of the input whose label may be learnt."""
+    known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+             .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
+    return known.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
+def label_counts(docs: DataFrame, labels: DataFrame, label: str) -> dict[int, int]:
+    """{label: documents of the input that have it}, held-out ones excluded."""
+    return {r["y"]: r["count"] for r in _known(docs, labels, label).groupBy("y").count().collect()}
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """(text, label) of at most ``per_class`` labelled documents of each label, held-out ones excluded.
 
-    The documents are those with the smallest hashes of their id: a fixed, unbiased choice whatever
-    the partitioning.  Only this sample reaches the driver; it is bounded in rows and, by
-    ``LONGEST_LEARNT``, in characters.
+    The documents are those of the input with the smallest hashes of their id: a fixed, unbiased choice
+    whatever the partitioning.  Only this sample reaches the driver; it is bounded in rows and, by
+    ``LONGEST_LEARNT``, in characters: a longer text is learnt from ten parts spread over all of it.
     """
-    known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-             .withColumn("h", F.xxhash64("doc_id", F.lit(7))))
-    ids = [r["doc_id"] for y in (0, 1) for r in known.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class).collect()]
+    known = _known(docs, labels, label).withColumn("h", F.xxhash64("doc_id", F.lit(7)))
+    ids = [(r["doc_id"], r["y"]) for y in (0, 1) for r in known.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class).collect()]
     if not ids:
         return []
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(i,) for i in ids], "doc_id long")  # 2 * per_class rows at most
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST_LEARNT)
-            .groupBy("doc_id").agg(F.min("text").alias("text"))
-            .join(F.broadcast(known.join(F.broadcast(chosen), "doc_id").select("doc_id", "y")), "doc_id")
-            .orderBy("doc_id").select("text", "y").collect())
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = docs.sparkSession.createDataFrame(ids, f"doc_id {kind}, y int")  # 2 * per_class rows at most
+    size = F.length("text")
+    spread = F.concat_ws(" ", *[F.substring("text", F.floor(size * i / SPREAD).cast("int") + 1, F.lit(LONGEST_LEARNT // SPREAD)) for i in range(SPREAD)])
+    rows = (docs.select("doc_id", F.when(size > LONGEST_LEARNT, spread).otherwise(F.col("text")).alias("text")).join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "y").collect())
     return [(r["text"] or "", r["y"]) for r in rows]

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotbeat.llm.common import training_sample
+from hotbeat.llm.common import label_counts, training_sample
 
 #: Bound of the training sample: documents of each label.
 PER_CLASS = 2500
@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     if min(n) < 2:
         return QualityModel(constant=float(n[1] >= n[0]))
     model = train([encode(t) for t, _ in rows], np.array([y for _, y in rows], np.float64))
-    counts = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+    counts = label_counts(docs, labels, label)
     model.shift = float(np.log(counts[1] / counts[0]) - np.log(n[1] / n[0]))
     return model
 

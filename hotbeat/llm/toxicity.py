@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotbeat.llm.common import training_sample
+from hotbeat.llm.common import label_counts, training_sample
 from hotbeat.llm.logistic import fit_logistic, logistic
 
 #: Bound of the training sample: documents of each label.
@@ -100,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     n = [sum(y == k for _, y in rows) for k in (0, 1)]
     if min(n) < 4:
         return ToxicityModel(constant=float(n[1] > n[0]))
-    counts = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+    counts = label_counts(docs, labels, label)
     by = {k: [t for t, y in rows if y == k] for k in (0, 1)}
     ordinary, toxic = train_dictionaries(by[0][::2], by[1][::2])
     held = {k: [windows(t) for t in v[1::2]] for k, v in by.items()}

@@ -53,6 +53,31 @@ def test_missing_labels_give_a_constant(spark, tables, module, label):
     assert {r["made"] for r in module.score(edge(spark, ROWS), model, column="made").collect()} <= {0.0, 1.0}
 
 
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
+def test_held_out_labels_and_labels_of_other_documents_are_never_learnt(spark, module, label):
+    import zlib
+
+    rows = [(i, f"{'vile wicked' if i % 3 == 0 else 'calm plain'} words number {i} and more of them " * 3, int(i % 3 == 0)) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    plain = spark.createDataFrame([(i, y) for i, _, y in rows], f"doc_id long, {label} int")
+    other = spark.createDataFrame([(i, 1 if i in held else y) for i, _, y in rows] + [(i, 1) for i in range(1000, 1500)], f"doc_id long, {label} int")
+    scores = [[r[0] for r in module.score(docs, module.fit(docs, lab), column="s").orderBy("doc_id").select("s").collect()] for lab in (plain, other)]
+    assert len(held) > 20 and scores[0] == scores[1]
+
+
+def test_long_documents_are_learnt_from_all_over_and_ids_of_any_type(spark):
+    from hotbeat.llm import common
+
+    docs = spark.createDataFrame([(f"d{i}", ("a" * 50_000 + "b" * 50_000 + "c" * 100_000) if i % 2 else "short") for i in range(20)] + [("x", None)], "doc_id string, text string")
+    labels = docs.selectExpr("doc_id", "CAST(length(text) > 10 AS INT) AS quality")
+    rows = common.training_sample(docs, labels, "quality", 5)
+    long = [t for t, y in rows if y == 1]
+    assert len(rows) == 10 and len(long) == 5 and all(len(t) <= common.LONGEST_LEARNT + common.SPREAD and {*t} == {*"abc "} for t in long)
+    counts = common.label_counts(docs, labels, "quality")
+    assert sum(counts.values()) == sum(1 for r in docs.select("doc_id", common.held_out().alias("h")).collect() if not r["h"] and r["doc_id"] != "x")
+
+
 def test_held_out_rule(spark):
     import zlib
 
@@ -132,6 +157,13 @@ def test_lines_of_a_page():
     ('<article><h2 id="social-history">Social</h2><h2 id=search>Search</h2><section id="search-algorithms"><p>A</p></section>'
      '<div class="related-work"><p>B</p></div><div class="related"><p>C</p></div></article>', "Social\nSearch\nA\nB"),
     ('<div class="content-with-sidebar"><p>Body</p></div><div class="sidebar">Side</div><div id="menu">Menu</div>', "Body"),
+    ("<main><article><p>Body</p></article><section id='comments'><p>Reader one</p><p>Reader two is long</p></section></main>", "Body"),
+    ("<main><p>Body of the page</p><div id='sidebar'>Side</div><div id='ad'>Buy</div><ul id='nav'><li>Menu</li></ul></main>", "Body of the page"),
+    ("<article><p>Body of a page</p><ul id='nav'><li>Menu</li></ul><div class='post-comments'>Reader</div><div class='sidebar-right'>Side</div>"
+     "<div class='cookie-bar'>Cookies</div><div id='reader_comments'>R</div></article>", "Body of a page"),
+    ("<article><a href='#search'>Go</a><div id='search'><p>On search</p></div><a href='#comments'>2 comments</a><div id='comments'>Reader</div></article>",
+     "Go\nOn search\n2 comments"),
+    ("<article><div id='social'><p>Nearly all of the text of this page</p></div><p>Rest</p></article>", "Nearly all of the text of this page\nRest"),
     ('<main><article><p>Body</p></article><div id=comments class=comments-area><article class=comment-body>Reader</article></div></main>', "Body"),
 ])
 def test_marks_of_wrappers(page, text):
