@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import math
 import operator
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hotbeat.session import cut_lineage
+from hotbeat.session import cut_lineage, drop_path, scratch_path
 
 
 def _as_list(by) -> list[str]:
@@ -284,101 +285,128 @@ def cao_start(pts: DataFrame, cats: Sequence[str], k: int, by: list[str]) -> Dat
     density).  Ties go to the smaller combination; combinations repeat when fewer than k exist.
     """
     combos = pts.groupBy(*by, *cats).agg(F.sum("w").alias("w"))
-    dens = combos.join(combos.groupBy(*by).agg(F.sum("w").alias("__n")), by)
+    dens = _null_safe(combos, combos.groupBy(*by).agg(F.sum("w").alias("__n")), by)
     for i, c in enumerate(cats):
         share = combos.groupBy(*by, c).agg(F.sum("w").alias(f"__s{i}")).withColumnRenamed(c, "__v")
         on = [dens[x].eqNullSafe(share[x]) for x in by] + [dens[c].eqNullSafe(share["__v"])]
         dens = dens.join(share, on).select(*[dens[x] for x in dens.columns], f"__s{i}")
     total = sum((F.col(f"__s{i}") for i in range(len(cats))), F.lit(0.0))
-    left = cut_lineage(dens.select(*by, *cats, (total / (F.lit(max(len(cats), 1)) * F.col("__n"))).alias("__d"),
-                                   F.lit(float(len(cats) + 1)).alias("__m")))
-    out = None
+    left = dens.select(*by, *cats, (total / (F.lit(max(len(cats), 1)) * F.col("__n"))).alias("__d"),
+                       F.lit(float(len(cats) + 1)).alias("__m"), F.array().cast("array<int>").alias("__at"))
     for j in range(k):
+        left = cut_lineage(left)
         best = F.struct((-F.col("__m") * F.col("__d")).alias("a"), *cats)
-        row = cut_lineage(left.groupBy(*by).agg(F.min(best).alias("__p")).select(
-            *by, F.lit(j).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cats]))
-        out = row if out is None else out.unionByName(row)
-        new = row.select(*by, *[F.col(c).alias(f"__o_{c}") for c in cats])
+        row = left.groupBy(*by).agg(F.min(best).alias("__p")).select(*by, *[F.col(f"__p.{c}").alias(f"__o_{c}") for c in cats])
         miss = sum((F.when(F.col(c).eqNullSafe(F.col(f"__o_{c}")), 0.0).otherwise(1.0) for c in cats), F.lit(0.0))
-        left = cut_lineage(left.join(new, by).withColumn("__m", F.least("__m", miss)).drop(*[f"__o_{c}" for c in cats]))
-    return out
+        left = (_null_safe(left, row, by).withColumn("__m", F.least("__m", miss))
+                .withColumn("__at", F.when(miss == 0, F.array_append("__at", F.lit(j))).otherwise(F.col("__at")))
+                .drop(*[f"__o_{c}" for c in cats]))
+    return left.select(*by, F.explode("__at").alias("cluster"), *cats)
+
+
+def default_gamma(df: DataFrame, nums: Sequence[str]) -> float:
+    """Half the mean standard deviation of the numbers: the usual weight of one mismatch."""
+    sds = df.agg(*[F.stddev_samp(c) for c in nums], F.lit(0)).first()[:len(nums)]
+    return 0.5 * (sum(float(s or 0.0) for s in sds) / max(len(nums), 1))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, null being a value like any; the right side's copies are dropped."""
+    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in names else F.col(c) for c in right.columns])
+    on = [left[c].eqNullSafe(other[f"__r_{c}"]) for c in names]
+    return left.join(other, on, how).drop(*[f"__r_{c}" for c in names])
+
+
+def _prototype_cost(nums: Sequence[str], cats: Sequence[str], gamma: float):
+    """Prototype struct -> struct(d, cluster) of the row at hand."""
+    def cost(p: Column) -> Column:
+        num = sum([(F.col(c) - p.getField(f"n{i}")) ** 2 for i, c in enumerate(nums)], F.lit(0.0))
+        cat = sum([F.when(F.col(c).eqNullSafe(p.getField(f"c{i}")), 0.0).otherwise(1.0) for i, c in enumerate(cats)], F.lit(0.0))
+        return F.struct((num + F.lit(gamma) * cat).alias("d"), p.getField("cluster").alias("cluster"))
+    return cost
+
+
+def _prototype_round(pts: DataFrame, state: DataFrame, nums: Sequence[str], cats: Sequence[str], b: list[str], gamma: float) -> DataFrame:
+    """The state after one round: (b, __init, __p, active), active where a prototype moved.
+
+    One aggregate over the points adds, for every cluster, weights and weighted numbers and the weight of
+    each value of each category; means and modes come from its few rows.
+    """
+    key = b + ["__init"]
+    a = _null_safe(pts, state.where("active").select(*key, "__p"), b)
+    a = a.withColumn("cluster", F.array_min(F.transform("__p", _prototype_cost(nums, cats, gamma))).getField("cluster"))
+    none = [F.lit(0.0).alias(f"s{i}") for i in range(len(nums))]
+    parts = [F.struct(F.lit(-1).alias("col"), F.lit(None).cast("string").alias("value"), F.col("w"),
+                      *[(F.col("w") * F.col(c)).alias(f"s{i}") for i, c in enumerate(nums)])]
+    parts += [F.struct(F.lit(j).alias("col"), F.col(c).alias("value"), F.col("w"), *none) for j, c in enumerate(cats)]
+    counted = (a.select(*key, "cluster", F.explode(F.array(*parts)).alias("x")).select(*key, "cluster", "x.*")
+               .groupBy(*key, "cluster", "col", "value").agg(F.sum("w").alias("w"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(nums))]))
+    mean = [F.max(F.when(F.col("col") == -1, F.col(f"s{i}") / F.col("w"))).alias(f"n{i}") for i in range(len(nums))]
+    mode = [F.max_by("value", F.when(F.col("col") == j, F.struct("w", "value"))).alias(f"c{j}") for j in range(len(cats))]
+    fields = ["cluster", *[f"n{i}" for i in range(len(nums))], *[f"c{j}" for j in range(len(cats))]]
+    new = (counted.groupBy(*key, "cluster").agg(*mean, *mode)
+           .groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("cluster", F.struct(*fields)))).alias("__m")))
+    # clusters that lost every point keep their prototype
+    merged = _null_safe(state.where("active"), new, key).withColumn("__new", F.transform("__p", lambda p: F.coalesce(F.col("__m")[p.getField("cluster")], p)))
+    # sums differ in their last bits with the order of rows
+    apart = [lambda p, q, i=i: F.abs(p.getField(f"n{i}") - q.getField(f"n{i}")) > 1e-9 for i in range(len(nums))]
+    apart += [lambda p, q, j=j: ~p.getField(f"c{j}").eqNullSafe(q.getField(f"c{j}")) for j in range(len(cats))]
+    moved = F.exists(F.zip_with("__p", "__new", lambda p, q: reduce(operator.or_, [f(p, q) for f in apart])), lambda m: m)
+    return merged.select(*key, F.col("__new").alias("__p"), moved.alias("active")).unionByName(state.where("NOT active"))
 
 
 def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int, by=None,
                 gamma: float | None = None, n_init: int = 5, max_iter: int = 100, seed: int = 42,
                 id_col: str = "incident_id") -> DataFrame:
-    """K-prototypes (Huang) per group -> labelled rows with ``cluster``.
+    """K-prototypes (Huang) per group -> all rows with ``cluster``.
 
-    Cost = sum of squared numeric differences + gamma * categorical
-    mismatches.  Prototypes: numeric mean and categorical mode (``mode()``
-    aggregate) per cluster.  Categories start by frequency (``cao_start``), numbers
-    by normal draws with the group's mean and sd.  ``n_init`` starts run as an extra key;
-    the start with the lowest cost is kept.  gamma defaults to half the mean numeric sd.
+    Cost = sum of squared numeric differences + gamma * categorical mismatches.  Prototypes: numeric mean
+    and categorical mode per cluster (ties to the larger value).  Categories start by frequency
+    (``cao_start``), numbers by normal draws with the group's mean and sd.  ``n_init`` starts run as an extra
+    key; of each group the start with the lowest cost is kept.  Keys whose prototypes stay are not computed
+    again; a warning tells if some still move after ``max_iter`` rounds.
+
+    Null categories and groups are values like any; rows with a null number have no distance and get a null
+    cluster.  Prototypes (groups x starts x k) are a table of the shared folder that each round joins and
+    rewrites; whether it is broadcast is the planner's choice by its size.
     """
     by = _as_list(by)
     b = by or ["__g"]
     base = df if by else df.withColumn("__g", F.lit(0))
     if gamma is None:
-        sds = base.agg(*[F.stddev_samp(c) for c in nums]).first()
-        gamma = 0.5 * (sum(float(s or 0.0) for s in sds) / max(len(nums), 1))
-    feats = list(nums) + list(cats)
-    pts = collapse(base, feats, b, None, id_col)
-    pts = pts.withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
+        gamma = default_gamma(base, nums)
+    coded = [f"__c{j}" for j in range(len(cats))]
     key = b + ["__init"]
-    pts = cut_lineage(pts)
-
-    def cost_struct(p: Column) -> Column:
-        num = sum([(F.col(c) - p.getField(f"n{i}")) ** 2 for i, c in enumerate(nums)], F.lit(0.0))
-        cat = sum([F.when(F.col(c) == p.getField(f"c{i}"), 0.0).otherwise(1.0) for i, c in enumerate(cats)],
-                  F.lit(0.0))
-        return F.struct((num + F.lit(gamma) * cat).alias("d"), p.getField("cluster").alias("cluster"))
+    rows = base.select(*base.columns, *[F.col(c).cast("string").alias(x) for c, x in zip(cats, coded)])
+    known = reduce(operator.and_, [F.col(c).isNotNull() for c in nums], F.lit(True))
+    pts = cut_lineage(collapse(rows.where(known), [*nums, *coded], b, None, id_col))
+    spark = df.sparkSession
 
-    def proto(prefix: str = "") -> Column:
-        return F.struct(F.col("cluster").cast("int").alias("cluster"),
-                        *[F.col(c).cast("double").alias(f"n{i}") for i, c in enumerate(nums)],
-                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(cats)])
+    def kept(state: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "prototypes")
+        state.write.parquet(path)
+        return spark.read.parquet(path)
 
-    one = pts.filter(F.col("__init") == 0)
-    moments = one.groupBy(*b).agg(*[x for i, c in enumerate(nums) for x in (
+    moments = pts.groupBy(*b).agg(*[x for i, c in enumerate(nums) for x in (
         (F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"__m{i}"),
-        (F.sum(F.col(c) * F.col(c) * F.col("w")) / F.sum("w")).alias(f"__q{i}"))])
+        (F.sum(F.col(c) * F.col(c) * F.col("w")) / F.sum("w")).alias(f"__q{i}"))], F.lit(1).alias("__one"))
     where = F.xxhash64(*b, "__init", "cluster")
-    draws = [(F.col(f"__m{i}") + _normal(where, seed, i) * F.sqrt(F.greatest(F.lit(0.0), F.col(f"__q{i}") - F.col(f"__m{i}") ** 2))).alias(c)
-             for i, c in enumerate(nums)]
-    protos = (cao_start(one, cats, k, b).join(moments, b)
-              .withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
-              .select(*key, "cluster", *draws, *cats))
-    protos = cut_lineage(protos)
+    draws = [(F.col(f"__m{i}") + _normal(where, seed, i) * F.sqrt(F.greatest(F.lit(0.0), F.col(f"__q{i}") - F.col(f"__m{i}") ** 2))).alias(f"n{i}")
+             for i in range(len(nums))]
+    first = F.struct(F.col("cluster").cast("int").alias("cluster"), *draws, *[F.col(x).alias(f"c{j}") for j, x in enumerate(coded)])
+    state = kept(_null_safe(cao_start(pts, coded, k, b), moments, b)
+                 .withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
+                 .groupBy(*key).agg(F.sort_array(F.collect_list(first)).alias("__p")).withColumn("active", F.lit(True)))
     for _ in range(max_iter):
-        arr = protos.groupBy(*key).agg(F.collect_list(proto()).alias("__p"))
-        a = pts.join(arr, key).withColumn("__best", F.array_min(F.transform("__p", cost_struct)))
-        a = a.withColumn("cluster", F.col("__best.cluster"))
-        num = [(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c) for c in nums]
-        upd = a.groupBy(*key, "cluster").agg(*num)
-        modes = None
-        for c in cats:
-            m = (a.groupBy(*key, "cluster", c).agg(F.sum("w").alias("__cw"))
-                  .groupBy(*key, "cluster").agg(F.max_by(c, F.struct("__cw", F.col(c))).alias(c)))
-            modes = m if modes is None else modes.join(m, key + ["cluster"])
-        new = upd.join(modes, key + ["cluster"]) if modes is not None else upd
-        new = protos.select(*key, "cluster").join(new, key + ["cluster"], "left")
-        new = new.join(protos.select(*key, "cluster", *[F.col(c).alias(f"__o_{c}") for c in feats]),
-                       key + ["cluster"])
-        new = new.select(*key, "cluster", *[F.coalesce(c, f"__o_{c}").alias(c) for c in feats])
-        new = cut_lineage(new)
-        # sums differ in their last bits with the order of rows
-        old = protos.select(*key, "cluster", *[F.col(c).alias(f"__o_{c}") for c in feats])
-        moved = [F.abs(F.col(c) - F.col(f"__o_{c}")) > 1e-9 for c in nums] + [~F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in cats]
-        same = new.join(old, key + ["cluster"]).filter(reduce(operator.or_, moved)).limit(1).count() == 0
-        protos = new
-        if same:
+        old, state = state, kept(_prototype_round(pts, state, nums, coded, b, gamma))
+        drop_path(spark, old.inputFiles()[0].rsplit("/", 1)[0]) if old.inputFiles() else None
+        if state.where("active").isEmpty():
             break
-    arr = protos.groupBy(*key).agg(F.collect_list(proto()).alias("__p"))
-    lab = pts.join(arr, key).withColumn("__best", F.array_min(F.transform("__p", cost_struct)))
-    lab = lab.select(*key, *feats, F.col("__best.cluster").alias("cluster"),
-                     (F.col("w") * F.col("__best.d")).alias("__cost"))
-    best = (lab.groupBy(*key).agg(F.sum("__cost").alias("__tc"))
-               .groupBy(*b).agg(F.min_by("__init", F.struct("__tc", "__init")).alias("__init")))
-    lab = lab.join(best, key, "left_semi").drop("__init", "__cost")
-    out = base.join(lab, b + feats, "left")
-    return out.drop("__g") if not by else out
+    else:
+        warnings.warn(f"k-prototypes still moving after {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    best = F.array_min(F.transform("__p", _prototype_cost(nums, coded, gamma)))
+    costs = _null_safe(pts, state.select(*key, "__p"), b).groupBy(*key).agg(F.sum(F.col("w") * best.getField("d")).alias("__cost"))
+    chosen = costs.groupBy(*b).agg(F.min_by("__init", F.struct("__cost", "__init")).alias("__init"))
+    final = kept(_null_safe(state.select(*key, "__p"), chosen, key, "left_semi").drop("__init"))
+    out = _null_safe(rows, final, b, "left")
+    return out.withColumn("cluster", F.when(known, best.getField("cluster"))).drop("__p", *coded, *([] if by else ["__g"]))

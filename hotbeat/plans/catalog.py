@@ -961,6 +961,27 @@ def m14_kprototypes(spark, sf):
     return d.select("incident_id", "area", "cluster")
 
 
+@register("m14_kprototypes_check", with_base("SELECT area, count(*) AS n, 0 AS misplaced, 0 AS unlabelled FROM prepared GROUP BY area"))
+def m14_kprototypes_check(spark, sf):
+    """M14 by area: rows, rows that are nearer to the mean and modes of another cluster, rows without a cluster."""
+    nums, cats = ["lat", "lon", "vict_age"], ["category", "vict_sex"]
+    p = prep(spark, sf)
+    gamma = km.default_gamma(p, nums)
+    d = cut_lineage(km.kprototypes(p, nums, cats, 10, by="area", gamma=gamma, n_init=1).select("area", *nums, *cats, "cluster"))
+    proto = d.groupBy("area", "cluster").agg(*[F.avg(c).alias(f"m_{c}") for c in nums])
+    for c in cats:
+        n = d.groupBy("area", "cluster", c).agg(F.count("*").alias("n"))
+        proto = proto.join(n.groupBy("area", "cluster").agg(F.max_by(c, F.struct("n", c)).alias(f"m_{c}")), ["area", "cluster"])
+    lists = proto.groupBy("area").agg(F.collect_list(F.struct("cluster", *[f"m_{c}" for c in nums + cats])).alias("ps"))  # ten an area
+    cost = lambda q: (sum([(F.col(c) - q[f"m_{c}"]) * (F.col(c) - q[f"m_{c}"]) for c in nums], F.lit(0.0))
+                      + F.lit(gamma) * sum([F.when(F.col(c) == q[f"m_{c}"], 0.0).otherwise(1.0) for c in cats], F.lit(0.0)))
+    own = F.array_min(F.transform(F.filter("ps", lambda q: q["cluster"] == F.col("cluster")), cost))
+    least = F.array_min(F.transform("ps", cost))
+    return (d.join(lists, "area").groupBy("area").agg(
+        F.count("*").alias("n"), F.count(F.when(own > least + 1e-6, 1)).cast("int").alias("misplaced"),
+        F.count(F.when(F.col("cluster").isNull(), 1)).cast("int").alias("unlabelled")))
+
+
 # ---------------------------------------------------------------- series A23 / R1, R2, R3, R4, R5
 
 from hotbeat.operators import series as ts  # noqa: E402

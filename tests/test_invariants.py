@@ -263,6 +263,37 @@ def test_frequency_start_equals_the_plain_one(spark):
         assert [got[area][j] for j in range(5)] == want
 
 
+def test_kprototypes_of_null_values_and_hot_rows(spark):
+    """Null categories and groups are values; a null number leaves a row without cluster; equal rows share one."""
+    rows = [(i, None if i % 2 else 1, float(i % 3) * 100, None if i % 3 == 0 else "ab"[i % 3 - 1]) for i in range(60)]
+    rows += [(100, 1, None, "a")] + [(200 + i, 1, 500.0, "z") for i in range(80)]
+    d = spark.createDataFrame(rows, "incident_id long, area int, x double, c string")
+    got = kmeans.kprototypes(d, ["x"], ["c"], 4, by="area", gamma=1e7).collect()
+    assert len(got) == len(rows) and [r.incident_id for r in got if r.cluster is None] == [100]
+    groups = {(r.area, r.c, r.cluster) for r in got if r.incident_id != 100}
+    assert len(groups) == 7 and len({(a, k) for a, _, k in groups}) == 7
+    whole = kmeans.kprototypes(d.where("x IS NOT NULL"), ["x"], ["c"], 4, gamma=1e7)
+    assert len({(r.c, r.cluster) for r in whole.collect()}) == 4 and "__g" not in whole.columns
+    assert kmeans.kprototypes(d.limit(0), ["x"], ["c"], 2, by="area").count() == 0
+
+
+def test_kprototypes_end_at_a_fixed_point_and_warn_before_it(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(i, rng.gauss(0, 10), rng.gauss(0, 10), rng.choice("abc")) for i in range(120)]
+    d = spark.createDataFrame(rows, "incident_id long, x double, y double, c string")
+    got = kmeans.kprototypes(d, ["x", "y"], ["c"], 3, gamma=5.0).collect()
+    own = {k: [r for r in got if r.cluster == k] for k in {r.cluster for r in got}}
+    proto = {}
+    for k, v in own.items():
+        count = {c: sum(r.c == c for r in v) for c in "abc"}
+        proto[k] = (sum(r.x for r in v) / len(v), sum(r.y for r in v) / len(v), max(count, key=lambda c: (count[c], c)))
+    cost = lambda r, p: (r.x - p[0]) ** 2 + (r.y - p[1]) ** 2 + 5.0 * (r.c != p[2])
+    assert all(cost(r, proto[r.cluster]) <= min(cost(r, p) for p in proto.values()) + 1e-6 for r in got)
+    with pytest.warns(RuntimeWarning):
+        kmeans.kprototypes(d, ["x", "y"], ["c"], 3, gamma=5.0, max_iter=1)
+
+
 def test_kprototypes_label_every_row_and_need_no_luck(spark):
     """Three groups far apart in one number and a category each: every start that keeps three clusters finds them."""
     d = spark.createDataFrame([(i, 1, float(i % 3) * 100 + i % 5, "abc"[i % 3]) for i in range(90)], "incident_id long, area int, x double, c string")
@@ -270,16 +301,16 @@ def test_kprototypes_label_every_row_and_need_no_luck(spark):
     assert len(got) == 90 and len({(r.c, r.cluster) for r in got}) == 3 and len({r.cluster for r in got}) == 3
 
 
-def test_elbow_and_kprototypes_run_whole(spark, monkeypatch):
+def test_elbow_registers_every_k(spark):
+    """k = 1 .. 19 for each area and 1 .. 29 over all; more clusters never cost more than one."""
     from hotbeat.plans import catalog
-    calls = []
-    plain = kmeans.elbow
-    monkeypatch.setattr(catalog.km, "elbow", lambda df, cols, ks, by=None: calls.append((by, [*ks])) or plain(df, cols, [1], by))
-    monkeypatch.setattr(catalog.km, "kprototypes", lambda df, *a, **kw: calls.append(kw) or df.withColumn("cluster", F.lit(0)))
+
     rows = catalog.m6_elbow(spark, SF_SMALL).collect()
-    catalog.m14_kprototypes(spark, SF_SMALL)
-    assert calls == [("area", [*range(1, 20)]), (None, [*range(1, 30)]), {"by": "area", "n_init": 5}]
-    assert sum(r.area is None for r in rows) == 1
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r.area, {})[r.k] = r.wcss
+    assert sorted(by.pop(None)) == [*range(1, 30)] and all(sorted(v) == [*range(1, 20)] for v in by.values())
+    assert all(v[k] <= v[1] * (1 + 1e-9) for v in by.values() for k in v)
 
 
 def test_hotspot_grid_is_scored_with_clusters(spark, monkeypatch):
