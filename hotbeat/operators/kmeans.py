@@ -1,19 +1,15 @@
 """Keyed k-means (M4), assignment to fixed centres (M5), elbow (M6),
 K-prototypes for mixed data (M14).
 
-One plan clusters every group (area, or area x k for the elbow) at once:
-* points are weighted distinct feature vectors (map-side collapse);
-* centres of all groups live in a small DataFrame with one row per group
-  holding an array of at most k centres; it is joined to the points on the
-  group key - its size is groups x k, known before the join;
-* assignment is ``array_min`` over ``transform`` of that array: JVM-side,
-  no per-point shuffle and no points x centres rows;
-* new centres are weighted ``avg`` per (group, cluster) - partial
-  aggregation map-side, a tiny shuffle;
-* seeding is k-means++ (D^2 sampling) done exactly with exponential keys:
-  per group, the point minimising -ln(u) / (w * D^2) is a D^2-weighted draw,
-  so each of the k seeding passes is one ``min_by`` aggregation;
-* centres are checkpointed every round (lineage stays flat).
+One plan clusters every group and every k at once:
+* points are weighted distinct feature vectors (map-side collapse), stored once whatever the number of ks;
+* the centres of a (group, k) are one array in a small table of the shared folder; every round joins it to
+  the points on the group (broadcast or not is the planner's choice by the table's size) and writes its
+  successor: one job, one aggregate of weighted sums, whatever the number of groups;
+* assignment is ``array_min`` over ``transform`` of that array: JVM-side, no points x centres rows;
+* (group, k) pairs whose centres stay are left out of later rounds;
+* seeding oversamples: in five rounds every point is drawn with probability 2k w D^2 / cost, and weighted
+  k-means++ picks k of the few candidates.
 """
 
 from __future__ import annotations
@@ -24,11 +20,17 @@ import warnings
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hotbeat.session import cut_lineage, drop_path, scratch_path
 
+#: Rounds of oversampling, and candidates drawn a round for each wanted centre (expected).
+SEED_ROUNDS = 5
+OVERSAMPLING = 2
+
 
 def _as_list(by) -> list[str]:
     if not by:
@@ -69,187 +71,172 @@ def _centre_struct(cols: Sequence[str], prefix: str = "") -> Column:
                     *[F.col(f"{prefix}{c}").cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
 
 
-# Largest packed centre table (one row per group, <= k centres each) that is
-# broadcast; above it the join falls back to a shuffle on the group key.
-MAX_BROADCAST_GROUPS = 200_000
+def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, null being a value like any; the right side's copies are dropped."""
+    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in names else F.col(c) for c in right.columns])
+    on = [left[c].eqNullSafe(other[f"__r_{c}"]) for c in names]
+    return left.join(other, on, how).drop(*[f"__r_{c}" for c in names])
 
 
-def _pack(centres: DataFrame, cols: Sequence[str], by: list[str], n_groups: int | None = None) -> DataFrame:
-    packed = centres.groupBy(*by).agg(F.collect_list(_centre_struct(cols)).alias("__centres"))
-    if n_groups is not None and n_groups <= MAX_BROADCAST_GROUPS:
-        return F.broadcast(packed)
-    return packed
+class Kept:
+    """A small table that each round rewrites: ``df`` reads the latest version, older ones are deleted."""
 
+    def __init__(self, spark, name: str):
+        self.spark, self.name, self.path, self.df = spark, name, None, None
 
-def _group_count(pts: DataFrame, by: list[str]) -> int:
-    return pts.select(*by).distinct().count()
+    def put(self, df: DataFrame, count: Column | None = None) -> int:
+        """Writes the next version; returns how many of its rows fulfil ``count``."""
+        seen = Observation()
+        path = scratch_path(self.spark, self.name)
+        df.observe(seen, F.count(F.when(F.lit(True) if count is None else count, 1)).alias("n")).write.parquet(path)
+        if self.path:
+            drop_path(self.spark, self.path)
+        self.path, self.df = path, self.spark.read.schema(df.schema).parquet(path)
+        return seen.get["n"]
 
 
-# Centre tables up to this many rows (groups x k) are model state small
-# enough to keep on the driver between rounds, as Spark ML's own KMeans does:
-# one job per round, no checkpoint.  Larger tables stay distributed.
-MAX_DRIVER_CENTRES = 100_000
+def _point_struct(cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
 
 
-def _packed_from_rows(spark, pts: DataFrame, by: list[str], cols: Sequence[str], state: dict) -> DataFrame:
-    """Broadcast table (by, __centres) built on the driver from {(by..., cluster): coords}."""
-    from pyspark.sql import types as T
-    groups: dict = {}
-    for key, val in state.items():
-        groups.setdefault(key[:-1], []).append((int(key[-1]), *[float(x) for x in val]))
-    centre_t = T.ArrayType(T.StructType([T.StructField("cluster", T.IntegerType())] +
-                                        [T.StructField(f"v{i}", T.DoubleType()) for i in range(len(cols))]))
-    schema = T.StructType([pts.schema[c] for c in by] + [T.StructField("__centres", centre_t)])
-    return F.broadcast(spark.createDataFrame([(*g, sorted(v)) for g, v in groups.items()], schema))
+def _plus_plus(points: np.ndarray, w: np.ndarray, k: int, rng) -> np.ndarray:
+    """Weighted k-means++ over a few candidates: at most k distinct ones."""
+    chosen = [int(rng.choice(len(points), p=w / w.sum()))]
+    d = ((points - points[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k and (d * w).sum() > 0:
+        n = int(rng.choice(len(points), p=d * w / (d * w).sum()))
+        chosen.append(n)
+        d = np.minimum(d, ((points - points[n]) ** 2).sum(1))
+    return points[chosen]
 
 
-def seed_centres(pts: DataFrame, cols: Sequence[str], k, by: list[str], seed: int = 42) -> DataFrame:
-    """k-means++ seeding per group; ``k`` is an int or the name of a per-group column."""
-    kcol = F.col(k) if isinstance(k, str) else F.lit(int(k))
-    if isinstance(k, str):
-        max_k = pts.agg(F.max(k)).first()[0] or 0
-    else:
-        max_k = int(k)
-    first = (pts.groupBy(*by).agg(F.min_by(F.struct(*cols), _uniform(F.col("pid"), seed, 0)).alias("__p"))
-                .select(*by, F.lit(0).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cols]))
-    spark = pts.sparkSession
-    local = max_k * _group_count(pts, by) <= MAX_DRIVER_CENTRES
-    if local:
-        schema = first.schema
-        rows = first.collect()
-        centres = None
-    else:
-        centres = cut_lineage(first)
-        n_groups = _group_count(centres, by)
-    keyn = len(by) + 1
-    for j in range(1, max_k):
-        if local:
-            arr = _packed_from_rows(spark, pts, by, cols, {tuple(r[:keyn]): tuple(r[keyn:]) for r in rows})
-        else:
-            arr = _pack(centres, cols, by, n_groups)
-        cand = (pts.filter(kcol > j).join(arr, by)
-                   .withColumn("__d2", _nearest(cols).getField("d2"))
-                   .filter(F.col("__d2") > 0))
-        key = -F.log(_uniform(F.col("pid"), seed, j)) / (F.col("w") * F.col("__d2"))
-        nxt = (cand.groupBy(*by).agg(F.min_by(F.struct(*cols), key).alias("__p"))
-                   .select(*by, F.lit(j).alias("cluster"), *[F.col(f"__p.{c}").alias(c) for c in cols]))
-        if local:
-            rows = rows + nxt.collect()
-        else:
-            centres = cut_lineage(centres.unionByName(nxt))
-    return spark.createDataFrame(rows, schema) if local else centres
-
-
-def lloyd(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str],
-          max_iter: int = 300, tol: float = 1e-4) -> DataFrame:
-    """Weighted Lloyd iterations until no centre moves by more than ``tol``
-    times the mean feature variance (squared distance), as is customary."""
-    # the tightest group sets the bar: tol x (smallest within-group mean variance)
-    per_group = pts.groupBy(*by).agg((sum(F.coalesce(F.var_pop(c), F.lit(0.0)) for c in cols)
-                                      / F.lit(float(len(cols)))).alias("__v"))
-    v = per_group.filter(F.col("__v") > 0).agg(F.min("__v")).first()[0]
-    limit = tol * float(v or 0.0)
-    n_groups = _group_count(centres, by)
-    if centres.count() <= MAX_DRIVER_CENTRES:
-        return _lloyd_driver_state(pts, centres, cols, by, max_iter, limit, n_groups)
-    for _ in range(max_iter):
-        arr = _pack(centres, cols, by, n_groups)
-        a = pts.join(arr, by).withColumn("cluster", _nearest(cols).getField("cluster"))
-        upd = a.groupBy(*by, "cluster").agg(
-            *[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"__n_{c}") for c in cols])
-        # clusters that lost every point keep their old centre
-        # both sides are groups x k rows
-        new = (centres.join(F.broadcast(upd), by + ["cluster"], "left")
-                      .select(*by, "cluster", *[F.coalesce(f"__n_{c}", c).alias(c) for c in cols],
-                              sum([(F.coalesce(F.col(f"__n_{c}"), F.col(c)) - F.col(c)) ** 2
-                                   for c in cols]).alias("__shift")))
-        new = cut_lineage(new)
-        moved = new.agg(F.max("__shift")).first()[0]
-        centres = new.drop("__shift")
-        if moved is None or moved <= limit:
-            break
-    return centres
-
-
-def _lloyd_driver_state(pts: DataFrame, centres: DataFrame, cols: Sequence[str], by: list[str],
-                        max_iter: int, limit: float, n_groups: int) -> DataFrame:
-    """Lloyd rounds with the (bounded) centre table held on the driver.
+def seed_centres(pts: DataFrame, cols: Sequence[str], ks: Sequence[int], b: list[str], seed: int = 42) -> DataFrame:
+    """(b, __k, __p): at most k start centres of every group and k, by oversampling.
 
-    Each round is one job: points join the broadcast centre arrays, the
-    weighted sums are partially aggregated map-side, and only groups x k
-    rows come back.  Clusters that lose every point keep their centre.
+    All ks share the candidates of their group, about ``OVERSAMPLING`` x largest k x ``SEED_ROUNDS``.
     """
-    spark = pts.sparkSession
-    schema = centres.select(*by, "cluster", *cols).schema
-    keyn = len(by) + 1
-    state = {tuple(r[:keyn]): tuple(r[keyn:]) for r in centres.select(*by, "cluster", *cols).collect()}
+    most = max(ks)
+    cand = Kept(pts.sparkSession, "candidates")
+    first = F.min_by(_point_struct(cols), -F.log(_uniform(F.col("pid"), seed, 0)) / F.col("w"))
+    cand.put(pts.groupBy(*b).agg(F.array(first).alias("__c")))
+    for r in range(1, SEED_ROUNDS + 1):
+        d2 = F.array_min(F.transform("__c", lambda c: _dist2(cols, c)))
+        a = _null_safe(pts, cand.df, b).select(*pts.columns, (F.col("w") * d2).alias("__d")).where("__d > 0")
+        phi = a.groupBy(*b).agg(F.sum("__d").alias("__phi"))
+        drawn = _null_safe(a, phi, b).where(_uniform(F.col("pid"), seed, r) * F.col("__phi") < OVERSAMPLING * most * F.col("__d"))
+        new = drawn.groupBy(*b).agg(F.sort_array(F.collect_list(_point_struct(cols))).alias("__n"))
+        cand.put(_null_safe(cand.df, new, b, "left").select(*b, F.concat("__c", F.coalesce("__n", F.array())).alias("__c")))
+    near = F.array_min(F.transform("__c", lambda c, i: F.struct(_dist2(cols, c).alias("d"), i.alias("i")))).getField("i")
+    weights = (_null_safe(pts, cand.df, b).select(*b, F.col("__c")[near].alias("__at"), "w")
+               .groupBy(*b, "__at").agg(F.sum("w").alias("w")).select(*b, "__at.*", "w"))
+    keyed = weights.withColumn("__k", F.explode(F.array(*[F.lit(k) for k in ks])))
+    names = [f"v{i}" for i in range(len(cols))]
+
+    def pick(t: pa.Table) -> pa.Table:
+        k = t.column("__k")[0].as_py()
+        x, w = np.stack([t.column(n).to_numpy() for n in names], 1), t.column("w").to_numpy()
+        order = np.lexsort(x.T[::-1])
+        centres = _plus_plus(x[order], w[order], k, np.random.default_rng([seed, k]))
+        lists = [{"cluster": i, **dict(zip(names, map(float, c)))} for i, c in enumerate(centres)]
+        kind = pa.list_(pa.struct([("cluster", pa.int32()), *[(n, pa.float64()) for n in names]]))
+        return pa.table([*[t.column(c).slice(0, 1) for c in b], pa.array([k], pa.int32()), pa.array([lists], kind)], names=[*b, "__k", "__p"])
+
+    types = [f"`{c}` {pts.schema[c].dataType.simpleString()}" for c in b] + ["__k int", f"__p array<struct<cluster:int,{','.join(f'{n}:double' for n in names)}>>"]
+    return keyed.groupBy(*b, "__k").applyInArrow(pick, ", ".join(types))
+
+
+def _centre_distance(cols: Sequence[str]):
+    return lambda c: F.struct(_dist2(cols, c).alias("d2"), c.getField("cluster").alias("cluster"))
+
+
+def _lloyd_round(pts: DataFrame, state: DataFrame, cols: Sequence[str], b: list[str]) -> DataFrame:
+    """The state after one round; ``active`` where a centre moved by more than the group's limit."""
+    key = b + ["__k"]
+    a = _null_safe(pts, state.where("active").select(*key, "__p"), b)
+    a = a.withColumn("cluster", F.array_min(F.transform("__p", _centre_distance(cols))).getField("cluster"))
+    sums = a.groupBy(*key, "cluster").agg(*[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"v{i}") for i, c in enumerate(cols)])
+    names = [f"v{i}" for i in range(len(cols))]
+    new = sums.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("cluster", F.struct("cluster", *names)))).alias("__m"))
+    # clusters that lost every point keep their old centre
+    merged = _null_safe(state.where("active"), new, key).withColumn("__new", F.transform("__p", lambda p: F.coalesce(F.col("__m")[p.getField("cluster")], p)))
+    shift = F.array_max(F.zip_with("__p", "__new", lambda p, q: sum([(p.getField(n) - q.getField(n)) * (p.getField(n) - q.getField(n)) for n in names], F.lit(0.0))))
+    return (merged.select(*key, F.col("__new").alias("__p"), "__limit", (shift > F.col("__limit")).alias("active"))
+            .unionByName(state.where("NOT active")))
+
+
+def _fit(pts: DataFrame, cols: Sequence[str], ks: Sequence[int], b: list[str], seed: int, max_iter: int, tol: float) -> DataFrame:
+    """(b, __k, __p) after weighted Lloyd rounds: until no centre of a group moves, squared, by more than
+    ``tol`` times its mean variance (or what the order of sums can do)."""
+    variance = sum([F.coalesce(F.var_pop(c), F.lit(0.0)) for c in cols], F.lit(0.0)) / len(cols)
+    noise = reduce(F.greatest, [F.max(F.abs(F.col(c))) for c in cols]) if len(cols) > 1 else F.max(F.abs(F.col(cols[0])))
+    limits = pts.groupBy(*b).agg(F.greatest(tol * variance, 1e-24 * noise * noise).alias("__limit"))
+    state = Kept(pts.sparkSession, "centres")
+    start = _null_safe(seed_centres(pts, cols, ks, b, seed), limits, b)
+    state.put(start.select(*b, "__k", "__p", "__limit", F.lit(True).alias("active")))
     for _ in range(max_iter):
-        arr = _packed_from_rows(spark, pts, by, cols, state)
-        a = pts.join(arr, by).withColumn("cluster", _nearest(cols).getField("cluster"))
-        upd = a.groupBy(*by, "cluster").agg(
-            *[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c) for c in cols]).collect()
-        moved = 0.0
-        for r in upd:
-            key, val = tuple(r[:keyn]), tuple(r[keyn:])
-            old = state.get(key)
-            if old is not None:
-                moved = max(moved, sum((a_ - b_) ** 2 for a_, b_ in zip(val, old)))
-            state[key] = val
-        if moved <= limit:
+        if state.put(_lloyd_round(pts, state.df, cols, b), F.col("active")) == 0:
             break
-    return spark.createDataFrame([k + v for k, v in state.items()], schema)
+    else:
+        warnings.warn(f"k-means centres still moving after {max_iter} rounds", RuntimeWarning, stacklevel=3)
+    return state.df.select(*b, "__k", "__p")
+
+
+def _points(df: DataFrame, cols: Sequence[str], b: list[str], weight: str | None, id_col: str) -> DataFrame:
+    known = reduce(operator.and_, [F.col(c).isNotNull() for c in cols])
+    return cut_lineage(collapse(df.where(known), cols, b, weight, id_col))
 
 
 def assign(df: DataFrame, centres: DataFrame, cols: Sequence[str], by=None,
            out: str = "cluster", dist: str | None = None) -> DataFrame:
     """M5: nearest centre (ties to the smaller cluster id) for every row.
 
-    ``centres``: (by, cluster, cols).  The packed centre table has one row
-    per group; it is broadcast because its size is groups x k.
+    ``centres``: (by, cluster, cols), packed to one row per group.  Null groups are groups like any; rows
+    whose group has no centres are left out, rows with a null coordinate get a null cluster.
     """
     by = _as_list(by)
     if by:
-        r = df.join(_pack(centres, cols, by, _group_count(centres, by)), by)
+        r = _null_safe(df, centres.groupBy(*by).agg(F.collect_list(_centre_struct(cols)).alias("__centres")), by)
     else:
         # one centre list for everything: a scalar subquery, not a join
         arr = centres.agg(F.collect_list(_centre_struct(cols))).scalar()
         r = df.withColumn("__centres", arr)
-    r = r.withColumn("__near", _nearest(cols))
+    known = reduce(operator.and_, [F.col(c).isNotNull() for c in cols])
+    r = r.withColumn("__near", F.when(known, _nearest(cols)))
     r = r.withColumn(out, F.col("__near.cluster"))
     if dist:
         r = r.withColumn(dist, F.col("__near.d2"))
     return r.drop("__centres", "__near")
 
 
-def kmeans(df: DataFrame, cols: Sequence[str], k, by=None, seed: int = 42, max_iter: int = 300,
+def kmeans(df: DataFrame, cols: Sequence[str], k: int, by=None, seed: int = 42, max_iter: int = 300,
            tol: float = 1e-4, weight: str | None = None, id_col: str = "incident_id") -> DataFrame:
-    """M4: centres (by, cluster, cols, size, wcss) of weighted k-means per group."""
+    """M4: centres (by, cluster, cols, size, wcss) of weighted k-means per group.
+
+    A group with fewer than k distinct points has as many centres; rows with a null coordinate take no part.
+    """
     by = _as_list(by)
     b = by or ["__g"]
-    base = df if by else df.withColumn("__g", F.lit(0))
-    keep = [k] if isinstance(k, str) else []
-    pts = cut_lineage(collapse(base, cols, b + keep, weight, id_col))
-    centres = lloyd(pts, seed_centres(pts, cols, k, b + keep if keep else b, seed), cols,
-                    b + keep if keep else b, max_iter, tol)
-    stats = (assign(pts, centres, cols, b + keep if keep else b, dist="__d2")
-             .groupBy(*(b + keep), "cluster").agg(F.sum("w").alias("size"),
-                                                  F.sum(F.col("w") * F.col("__d2")).alias("wcss")))
-    out = centres.join(stats, b + keep + ["cluster"], "left").fillna(0, ["size", "wcss"])
-    return out.drop("__g") if not by else out
+    pts = _points(df if by else df.withColumn("__g", F.lit(0)), cols, b, weight, id_col)
+    packed = _fit(pts, cols, [int(k)], b, seed, max_iter, tol).drop("__k")
+    near = F.array_min(F.transform("__p", _centre_distance(cols)))
+    stats = (_null_safe(pts, packed, b).select(*b, near.alias("__n"), "w").select(*b, "__n.*", "w")
+             .groupBy(*b, "cluster").agg(F.sum("w").alias("size"), F.sum(F.col("w") * F.col("d2")).alias("wcss")))
+    centres = packed.select(*b, F.inline("__p")).toDF(*b, "cluster", *cols)
+    out = _null_safe(centres, stats, b + ["cluster"], "left").fillna(0, ["size", "wcss"])
+    return out if by else out.drop("__g")
 
 
 def kmeans_labels(df: DataFrame, cols: Sequence[str], k: int, by=None, out: str = "cluster", **kw) -> DataFrame:
     """M4: fit per group and label every row."""
-    centres = kmeans(df, cols, k, by, **kw)
+    centres = cut_lineage(kmeans(df, cols, k, by, **kw))
     return assign(df, centres.select(*_as_list(by), "cluster", *cols), cols, by, out)
 
 
-def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], by=None, **kw) -> DataFrame:
-    """M6: total within-cluster sum of squares for each k, per group, in one keyed fit.
+def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], by=None, seed: int = 42, max_iter: int = 300,
+          tol: float = 1e-4, id_col: str = "incident_id") -> DataFrame:
+    """M6: total within-cluster sum of squares for each k, per group, in one keyed fit: (by, k, wcss).
 
-    Points are replicated once per k (``explode``) and the k value joins the
-    group key, so every (group, k) fits in the same iterations.  k = 1 is the
-    closed form (sum of squared deviations from the mean).
+    k = 1 is the closed form (sum of squared deviations from the mean).
     """
     by = _as_list(by)
     ks = sorted(set(int(k) for k in ks))
@@ -261,9 +248,12 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], by=None, **kw)
         parts.append(g.select(*by, F.lit(1).alias("k"),
                               (F.col("__n") * sum(F.col(f"__v{i}") for i in range(len(cols)))).alias("wcss")))
     if multi:
-        x = df.withColumn("k", F.explode(F.array(*[F.lit(k) for k in multi])))
-        c = kmeans(x, cols, "k", by, **kw)
-        parts.append(c.groupBy(*by, "k").agg(F.sum("wcss").alias("wcss")))
+        b = by or ["__g"]
+        pts = _points(df if by else df.withColumn("__g", F.lit(0)), cols, b, None, id_col)
+        state = _fit(pts, cols, multi, b, seed, max_iter, tol)
+        near = F.array_min(F.transform("__p", _centre_distance(cols)))
+        parts.append(_null_safe(pts, state, b).groupBy(*b, "__k").agg(F.sum(F.col("w") * near.getField("d2")).alias("wcss"))
+                     .select(*by, F.col("__k").alias("k"), "wcss"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -310,13 +300,6 @@ def default_gamma(df: DataFrame, nums: Sequence[str]) -> float:
     return 0.5 * (sum(float(s or 0.0) for s in sds) / max(len(nums), 1))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on columns of the same names, null being a value like any; the right side's copies are dropped."""
-    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in names else F.col(c) for c in right.columns])
-    on = [left[c].eqNullSafe(other[f"__r_{c}"]) for c in names]
-    return left.join(other, on, how).drop(*[f"__r_{c}" for c in names])
-
-
 def _prototype_cost(nums: Sequence[str], cats: Sequence[str], gamma: float):
     """Prototype struct -> struct(d, cluster) of the row at hand."""
     def cost(p: Column) -> Column:
@@ -380,13 +363,7 @@ def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int,
     rows = base.select(*base.columns, *[F.col(c).cast("string").alias(x) for c, x in zip(cats, coded)])
     known = reduce(operator.and_, [F.col(c).isNotNull() for c in nums], F.lit(True))
     pts = cut_lineage(collapse(rows.where(known), [*nums, *coded], b, None, id_col))
-    spark = df.sparkSession
-
-    def kept(state: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "prototypes")
-        state.write.parquet(path)
-        return spark.read.parquet(path)
-
+    state = Kept(df.sparkSession, "prototypes")
     moments = pts.groupBy(*b).agg(*[x for i, c in enumerate(nums) for x in (
         (F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(f"__m{i}"),
         (F.sum(F.col(c) * F.col(c) * F.col("w")) / F.sum("w")).alias(f"__q{i}"))], F.lit(1).alias("__one"))
@@ -394,19 +371,18 @@ def kprototypes(df: DataFrame, nums: Sequence[str], cats: Sequence[str], k: int,
     draws = [(F.col(f"__m{i}") + _normal(where, seed, i) * F.sqrt(F.greatest(F.lit(0.0), F.col(f"__q{i}") - F.col(f"__m{i}") ** 2))).alias(f"n{i}")
              for i in range(len(nums))]
     first = F.struct(F.col("cluster").cast("int").alias("cluster"), *draws, *[F.col(x).alias(f"c{j}") for j, x in enumerate(coded)])
-    state = kept(_null_safe(cao_start(pts, coded, k, b), moments, b)
-                 .withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
-                 .groupBy(*key).agg(F.sort_array(F.collect_list(first)).alias("__p")).withColumn("active", F.lit(True)))
+    state.put(_null_safe(cao_start(pts, coded, k, b), moments, b)
+              .withColumn("__init", F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))))
+              .groupBy(*key).agg(F.sort_array(F.collect_list(first)).alias("__p")).withColumn("active", F.lit(True)))
     for _ in range(max_iter):
-        old, state = state, kept(_prototype_round(pts, state, nums, coded, b, gamma))
-        drop_path(spark, old.inputFiles()[0].rsplit("/", 1)[0]) if old.inputFiles() else None
-        if state.where("active").isEmpty():
+        if state.put(_prototype_round(pts, state.df, nums, coded, b, gamma), F.col("active")) == 0:
             break
     else:
         warnings.warn(f"k-prototypes still moving after {max_iter} rounds", RuntimeWarning, stacklevel=2)
     best = F.array_min(F.transform("__p", _prototype_cost(nums, coded, gamma)))
-    costs = _null_safe(pts, state.select(*key, "__p"), b).groupBy(*key).agg(F.sum(F.col("w") * best.getField("d")).alias("__cost"))
+    costs = _null_safe(pts, state.df.select(*key, "__p"), b).groupBy(*key).agg(F.sum(F.col("w") * best.getField("d")).alias("__cost"))
     chosen = costs.groupBy(*b).agg(F.min_by("__init", F.struct("__cost", "__init")).alias("__init"))
-    final = kept(_null_safe(state.select(*key, "__p"), chosen, key, "left_semi").drop("__init"))
-    out = _null_safe(rows, final, b, "left")
+    final = Kept(df.sparkSession, "chosen-prototypes")
+    final.put(_null_safe(state.df.select(*key, "__p"), chosen, key).drop("__init"))
+    out = _null_safe(rows, final.df, b, "left")
     return out.withColumn("cluster", F.when(known, best.getField("cluster"))).drop("__p", *coded, *([] if by else ["__g"]))

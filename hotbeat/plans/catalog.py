@@ -1509,6 +1509,19 @@ def g3_plan_routes_fixed_start(spark, sf):
     return r.select("area", "route", F.round("km", 6).alias("km"))
 
 
+@register("g2_genetic_routes", with_base(
+    "SELECT area, least(25, count(*)) AS stops, least(25, count(*)) AS distinct_stops, 1 AS length_agrees "
+    "FROM (SELECT DISTINCT area, lat, lon FROM prepared) x GROUP BY area"))
+def g2_genetic_routes(spark, sf):
+    """Routes over each area's 25 hotspots by evolution: stops, distinct stops, and whether the length is that of the route."""
+    hs = cut_lineage(jn.top_locations(prep(spark, sf), "area", 25))
+    r = cut_lineage(rt.genetic_routes(hs, "area"))
+    legs = rt.route_stops(r, hs.select("area", "hotspot_id", "lat", "lon"), "area")
+    length = rt.route_length(legs, "area").select("area", F.col("km").alias("leg_km"))
+    return (r.join(length, "area").select("area", F.size("route").cast("long").alias("stops"), F.size(F.array_distinct("route")).cast("long").alias("distinct_stops"),
+                                          (F.abs(F.col("km") - F.col("leg_km")) < 1e-3).cast("int").alias("length_agrees")))
+
+
 @register("flagship_patrol_plan")
 def flagship_patrol_plan(spark, sf):
     """incidents -> k-means + KDE hotspots per area -> baseline shift per grid row

@@ -190,10 +190,40 @@ def test_routes_are_optimal(spark):
             assert length([i // 10 for i in got[n].route]) == pytest.approx(got[n].km, abs=1e-5)
 
 
-def test_too_many_stops_raise(spark):
-    stops = spark.createDataFrame([(1, i, 34.0 + i, -118.0) for i in range(routes.MAX_STOPS + 1)], "area int, hotspot_id long, lat double, lon double")
-    with pytest.raises(ValueError):
-        routes.plan_routes(stops, "area")
+def _nearest_neighbour_km(ps, start):
+    route, left = [start], set(range(len(ps))) - {start}
+    while left:
+        route.append(min(left, key=lambda x: (_km(ps[route[-1]], ps[x]), x)))
+        left.discard(route[-1])
+    return sum(_km(ps[x], ps[y]) for x, y in zip(route, route[1:]))
+
+
+def test_evolved_routes_equal_the_exact_ones_of_small_groups(spark):
+    rng = np.random.default_rng(2)
+    spots = {n: [(34 + rng.random() * 0.05, -118.3 + rng.random() * 0.05) for _ in range(n)] for n in (1, 2, 4, 9, 10)}
+    rows = [(n, 10 * i, *p) for n, ps in spots.items() for i, p in enumerate(ps)] + [(None, 5, 34.0, -118.0), (None, 6, 34.0, -118.0), (None, 7, 34.01, -118.0)]
+    stops = spark.createDataFrame(rows, "area int, hotspot_id long, lat double, lon double")
+    exact = {r.area: r for r in routes.plan_routes(stops, "area").collect()}
+    got = {r.area: r for r in routes.genetic_routes(stops, "area").collect()}
+    assert {a: r.km for a, r in got.items()} == {a: r.km for a, r in exact.items()}
+    assert all(sorted(r.route) == sorted(exact[a].route) for a, r in got.items())
+    assert routes.genetic_routes(stops.limit(0), "area").count() == 0
+
+
+def test_large_groups_are_searched_by_evolution(spark):
+    """21 and 25 stops: permutations from the fixed start, no longer than the nearest neighbour, and alike in every run."""
+    rng = np.random.default_rng(3)
+    spots = {n: [(34 + rng.random() * 0.05, -118.3 + rng.random() * 0.05) for _ in range(n)] for n in (5, 21, 25)}
+    stops = spark.createDataFrame([(n, i, *p) for n, ps in spots.items() for i, p in enumerate(ps)], "area int, hotspot_id long, lat double, lon double")
+    got = {r.area: r for r in routes.plan_routes(stops, "area", fixed_start=True).collect()}
+    for n, ps in spots.items():
+        assert sorted(got[n].route) == list(range(n)) and got[n].route[0] == 0
+        assert got[n].km == pytest.approx(sum(_km(ps[x], ps[y]) for x, y in zip(got[n].route, got[n].route[1:])), abs=1e-4)
+        assert got[n].km <= _nearest_neighbour_km(ps, 0) + 1e-4
+    again = {r.area: r for r in routes.plan_routes(stops.repartition(3), "area", fixed_start=True).collect()}
+    assert again == got
+    few = {r.area: r.km for r in routes.genetic_routes(stops, "area", fixed_start=True, generations=1, epochs=1).collect()}
+    assert got[25].km < few[25]  # evolution goes on
 
 
 def test_line_stops_known_order(spark):
@@ -228,12 +258,33 @@ def test_class_report_support(spark):
     assert r[0].accuracy == pytest.approx(0.6)
 
 
-def test_kmeans_state_on_driver_or_distributed_is_the_same(spark, monkeypatch):
-    df = prepare(fixtures.incidents(spark, SF_SMALL)).select("incident_id", "area", "lat", "lon").cache()
-    run = lambda: {r.incident_id: r.cluster for r in kmeans.kmeans_labels(df, ["lat", "lon"], 3, by="area").collect()}
-    held = run()
-    monkeypatch.setattr(kmeans, "MAX_DRIVER_CENTRES", 0)
-    assert run() == held
+def test_kmeans_finds_blobs_of_every_group_and_k(spark):
+    """Far blobs, a hot point, a null group, a group with two points, null coordinates."""
+    import random
+    rng = random.Random(6)
+    rows = []
+    for area in (1, None):
+        for i in range(160):
+            rows.append((len(rows), area, i % 4 * 10 + rng.random(), i % 4 % 2 * 10 + rng.random()))
+        rows += [(len(rows) + i, area, 3.0, 3.0) for i in range(80)]
+    rows += [(len(rows) + i, 2, float(i % 2), 0.0) for i in range(9)]
+    n = len(rows)
+    rows += [(n, 1, None, 1.0)]
+    d = spark.createDataFrame(rows, "incident_id long, area int, x double, y double")
+    got = {r.incident_id: r for r in kmeans.kmeans_labels(d, ["x", "y"], 5, by="area").collect()}
+    assert len(got) == len(rows) and got[n].cluster is None
+    for area in (1, None):
+        blob = lambda r: 9 if (r.x, r.y) == (3.0, 3.0) else round((r.x - 0.5) / 10)
+        own = {(blob(r), r.cluster) for r in got.values() if r.area == area and r.x is not None}
+        assert len(own) == 5 and len({c for _, c in own}) == 5
+    assert len({r.cluster for r in got.values() if r.area == 2}) == 2
+    centres = kmeans.kmeans(d, ["x", "y"], 5, by="area").collect()
+    assert sorted(r["size"] for r in centres if r.area == 2) == [4.0, 5.0] and sum(r["size"] for r in centres) == n
+    e = {(r.area, r.k): r.wcss for r in kmeans.elbow(d.where("x IS NOT NULL"), ["x", "y"], [1, 2, 5], by="area").collect()}
+    assert len(e) == 9 and e[2, 5] == pytest.approx(0.0) and e[1, 5] == pytest.approx(sum(r.wcss for r in centres if r.area == 1))
+    assert kmeans.kmeans(d.limit(0), ["x", "y"], 5).count() == 0
+    with pytest.warns(RuntimeWarning):
+        kmeans.kmeans(d.where("area = 1"), ["x", "y"], 20, max_iter=1)
 
 
 def test_orders_are_scored_on_the_same_observations():
