@@ -15,11 +15,13 @@ arg-max per group is a ``max`` of a struct (map-side partial).
 from __future__ import annotations
 
 import math
+import operator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hotbeat.operators.attach import attach
+from hotbeat.operators.attach import MAX_GROUPS, attach
 from hotbeat.session import cut_lineage
 
 #: Sums that agree to so many decimals are equal when peaks are compared: the
@@ -83,7 +85,7 @@ def kde_grid(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
                         (F.col("s") * F.col("norm")).alias("density"), F.col("s").alias("kernel_sum"))
 
 
-def _block_bounds(p: DataFrame, st: DataFrame, by: list[str], grid: int, x: str, y: str) -> DataFrame:
+def _block_bounds(p: DataFrame, st: DataFrame, by: list[str], grid: int, x: str, y: str, beside) -> DataFrame:
     """(by, bi, bj, upper, lower): bounds of the largest kernel sum on the nodes of every block.
 
     The sum and its first and second derivatives at the block's centre give a quadratic; the third
@@ -113,7 +115,7 @@ def _block_bounds(p: DataFrame, st: DataFrame, by: list[str], grid: int, x: str,
         F.sum(k).alias("s"), F.sum(-k * gx).alias("sx"), F.sum(-k * gy).alias("sy"), F.sum(k * (gx * gx - F.col("ixx"))).alias("sxx2"),
         F.sum(k * (gx * gy - F.col("ixy"))).alias("sxy2"), F.sum(k * (gy * gy - F.col("iyy"))).alias("syy2"),
         F.sum(F.col("w") * third).alias("rest")))
-    b = attach(sums, st.select(*by, "ixx", "ixy", "iyy", "dx", "dy"), by)
+    b = beside(sums, st.select(*by, "ixx", "ixy", "iyy", "dx", "dy"))
     offsets = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(BLOCK) for j in range(BLOCK)]
     nodes = F.filter(F.array(*offsets), lambda o: (F.col("bi") * BLOCK + o["i"] < grid) & (F.col("bj") * BLOCK + o["j"] < grid))
 
@@ -141,30 +143,44 @@ def kde_peak(df: DataFrame, by=None, grid: int = 100, pad: float = 0.01, x: str
     rows = cut_lineage(df.select(*b, x, y))  # read by four aggregates
     d = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     st = cut_lineage(_group_stats(d, b, grid, pad, x, y))
-    p = cut_lineage(attach(d.groupBy(*b, x, y).agg(F.count(F.lit(1)).alias("w")), st, b))
-    bounds = cut_lineage(_block_bounds(p, st, b, grid, x, y))
+    few = bool(b) and st.count() <= MAX_GROUPS
+
+    def beside(left: DataFrame, stats: DataFrame) -> DataFrame:
+        """Rows with the statistics of their group, which are one row a group."""
+        if not b:
+            return attach(left, stats, [])
+        keyed = stats.withColumnsRenamed({c: f"__key_{c}" for c in b})
+        on = reduce(operator.and_, [left[c].eqNullSafe(keyed[f"__key_{c}"]) for c in b])
+        return left.join(F.broadcast(keyed) if few else keyed, on).drop(*[f"__key_{c}" for c in b])
+
+    p = cut_lineage(beside(d.groupBy(*b, x, y).agg(F.count(F.lit(1)).alias("w")), st))
+    bounds = cut_lineage(_block_bounds(p, st, b, grid, x, y, beside))
     best = bounds.groupBy(*b).agg(F.max("lower").alias("__floor"))
     # sums that agree to PEAK_DECIMALS are equal, so a block stays if it may come that near
-    open_ = (attach(bounds, best, b).where(F.col("upper") >= F.col("__floor") * (1 - 1e-9) - 10.0 ** (1 - PEAK_DECIMALS))
+    open_ = (beside(bounds, best).where(F.col("upper") >= F.col("__floor") * (1 - 1e-9) - 10.0 ** (1 - PEAK_DECIMALS))
              .groupBy(*b).agg(F.collect_list(F.struct("bi", "bj")).alias("__open")))  # at most all blocks of a grid
-    q = attach(p, open_, b).withColumn("__at", F.explode("__open"))
-    i, j = F.col("__at.bi") * BLOCK, F.col("__at.bj") * BLOCK
+    q = beside(p, open_).withColumn("__at", F.explode("__open")).withColumn("__a", F.explode(F.sequence(F.lit(0), F.lit(BLOCK - 1))))
+    q = q.select(*b, "w", "ixx", "ixy", "iyy", "y0", "dy", y, (F.col("__at.bi") * BLOCK + F.col("__a")).alias("i"), (F.col("__at.bj") * BLOCK).alias("j"),
+                 (F.col("x0") + (F.col("__at.bi") * BLOCK + F.col("__a")) * F.col("dx") - F.col(x)).alias("__ex"))
 
-    def kernel(a: int, c: int):
-        ex, ey = F.col("x0") + (i + a) * F.col("dx") - F.col(x), F.col("y0") + (j + c) * F.col("dy") - F.col(y)
+    def kernel(c: int):
+        ex, ey = F.col("__ex"), F.col("y0") + (F.col("j") + c) * F.col("dy") - F.col(y)
         return F.sum(F.col("w") * F.exp(-0.5 * (F.col("ixx") * ex * ex + 2.0 * F.col("ixy") * ex * ey + F.col("iyy") * ey * ey)))
 
-    sums = q.groupBy(*b, i.alias("i"), j.alias("j")).agg(*[kernel(a, c).alias(f"s{a * BLOCK + c}") for a in range(BLOCK) for c in range(BLOCK)])
-    node = (attach(sums, st.select(*b, "norm", "x0", "dx", "y0", "dy"), b)
-            .select("*", F.posexplode(F.array(*[f"s{t}" for t in range(BLOCK * BLOCK)])).alias("t", "s"))
-            .withColumn("i", F.col("i") + F.floor(F.col("t") / BLOCK)).withColumn("j", F.col("j") + F.col("t") % BLOCK)
-            .where((F.col("i") < grid) & (F.col("j") < grid)))
+    sums = q.where(F.col("i") < grid).groupBy(*b, "i", "j").agg(*[kernel(c).alias(f"s{c}") for c in range(BLOCK)])
+    node = (beside(sums, st.select(*b, "norm", "x0", "dx", "y0", "dy"))
+            .select("*", F.posexplode(F.array(*[f"s{c}" for c in range(BLOCK)])).alias("t", "s"))
+            .withColumn("j", F.col("j") + F.col("t")).where(F.col("j") < grid))
     peak = F.struct(F.round("s", PEAK_DECIMALS).alias("r"), (-F.col("i")).alias("ni"), (-F.col("j")).alias("nj"),
                     (F.col("x0") + F.col("i") * F.col("dx")).alias("gx"), (F.col("y0") + F.col("j") * F.col("dy")).alias("gy"),
                     (F.col("s") * F.col("norm")).alias("density"))
     best = (node.groupBy(*b).agg(F.max(peak).alias("__b"))
             .select(*b, F.col("__b.gx").alias(f"peak_{x}"), F.col("__b.gy").alias(f"peak_{y}"), F.col("__b.density").alias("density")))
     means = rows.groupBy(*b).agg(F.avg(x).alias("__mx"), F.avg(y).alias("__my"), F.count(F.lit(1)).alias("n"))
-    joined = means.join(best, b, "left") if b else attach(means, best, [])
+    if b:
+        keyed = best.withColumnsRenamed({c: f"__key_{c}" for c in b})
+        joined = means.join(keyed, reduce(operator.and_, [means[c].eqNullSafe(keyed[f"__key_{c}"]) for c in b]), "left")
+    else:
+        joined = attach(means, best, [])
     return joined.select(*b, F.coalesce(f"peak_{x}", "__mx").alias(f"peak_{x}"),
                          F.coalesce(f"peak_{y}", "__my").alias(f"peak_{y}"), "density", "n")

@@ -118,14 +118,15 @@ def seed_centres(pts: DataFrame, cols: Sequence[str], ks: Sequence[int], b: list
     most = max(ks)
     cand = Kept(pts.sparkSession, "candidates")
     first = F.min_by(_point_struct(cols), -F.log(_uniform(F.col("pid"), seed, 0)) / F.col("w"))
-    cand.put(pts.groupBy(*b).agg(F.array(first).alias("__c")))
+    spread = F.sum("w") * sum([F.coalesce(F.var_pop(c), F.lit(0.0)) for c in cols], F.lit(0.0))
+    cand.put(pts.groupBy(*b).agg(F.array(first).alias("__c"), spread.alias("__phi")))
     for r in range(1, SEED_ROUNDS + 1):
+        # the cost of the round before stands for this one's: one pass draws and adds up the next cost
         d2 = F.array_min(F.transform("__c", lambda c: _dist2(cols, c)))
-        a = _null_safe(pts, cand.df, b).select(*pts.columns, (F.col("w") * d2).alias("__d")).where("__d > 0")
-        phi = a.groupBy(*b).agg(F.sum("__d").alias("__phi"))
-        drawn = _null_safe(a, phi, b).where(_uniform(F.col("pid"), seed, r) * F.col("__phi") < OVERSAMPLING * most * F.col("__d"))
-        new = drawn.groupBy(*b).agg(F.sort_array(F.collect_list(_point_struct(cols))).alias("__n"))
-        cand.put(_null_safe(cand.df, new, b, "left").select(*b, F.concat("__c", F.coalesce("__n", F.array())).alias("__c")))
+        a = _null_safe(pts, cand.df, b).withColumn("__d", F.col("w") * d2)
+        drawn = F.when((F.col("__d") > 0) & (_uniform(F.col("pid"), seed, r) * F.col("__phi") < OVERSAMPLING * most * F.col("__d")), _point_struct(cols))
+        cand.put(a.groupBy(*b).agg(F.first("__c").alias("__o"), F.sort_array(F.collect_list(drawn)).alias("__n"), F.sum("__d").alias("__phi"))
+                 .select(*b, F.concat("__o", "__n").alias("__c"), "__phi"))
     near = F.array_min(F.transform("__c", lambda c, i: F.struct(_dist2(cols, c).alias("d"), i.alias("i")))).getField("i")
     weights = (_null_safe(pts, cand.df, b).select(*b, F.col("__c")[near].alias("__at"), "w")
                .groupBy(*b, "__at").agg(F.sum("w").alias("w")).select(*b, "__at.*", "w"))

@@ -251,6 +251,35 @@ def test_arima_beats_naive():
     assert np.all(lo <= fx) and np.all(fx <= hi) and len(fx) == 12
 
 
+def test_peak_by_branch_and_bound_is_that_of_the_whole_grid(spark):
+    """Blobs, copies, a null group, nodes that tie, a grid that blocks do not divide; most blocks stay closed."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for area, centres in ((1, [(0, 0), (1, 2)]), (None, [(5, 5)]), (2, [(0, 0), (0.3, 0.1), (4, 1)])):
+        for c in centres:
+            rows += [(area, float(c[0] + dx), float(c[1] + 0.5 * dx + dy)) for dx, dy in rng.normal(0, 0.2, (150, 2))]
+        rows += [(area, float(centres[0][0]), float(centres[0][1]))] * 60
+    rows += [(3, float(a), float(b)) for a in (0, 1) for b in (0, 1)] * 5 + [(4, 1.0, 1.0)] * 3
+    d = spark.createDataFrame(rows, "area int, lat double, lon double")
+    for grid in (33, 100):
+        got = {r.area: r for r in density.kde_peak(d, "area", grid, 0.01).collect()}
+        nodes: dict = {}
+        for r in density.kde_grid(d, "area", grid, 0.01).collect():
+            nodes.setdefault(r.area, []).append((-round(r.kernel_sum, density.PEAK_DECIMALS), r.i, r.j, r.gx, r.gy, r.density))
+        assert {*nodes} == {1, 2, 3, None} and got[4].density is None
+        for area, own in nodes.items():
+            _, _, _, gx, gy, dens = min(own)
+            assert (got[area].peak_lat, got[area].peak_lon) == (gx, gy) and got[area].density == pytest.approx(dens, rel=1e-9)
+    known = d.where("area < 3")
+    st = density._group_stats(known, ["area"], 100, 0.01, "lat", "lon")
+    join = lambda left, stats: left.join(stats, "area")
+    pts = join(known.groupBy("area", "lat", "lon").agg(F.count("*").alias("w")), st)
+    bounds = density._block_bounds(pts, st, ["area"], 100, "lat", "lon", join).cache()
+    best = {r[0]: r[1] for r in bounds.groupBy("area").agg(F.max("lower")).collect()}
+    kept = sum(r.upper >= best[r.area] for r in bounds.collect())
+    assert kept <= 0.1 * bounds.count()
+
+
 def test_class_report_support(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 2), (2, 0)], "label int, prediction int")
     r = class_report(df).collect()
