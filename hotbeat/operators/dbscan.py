@@ -5,8 +5,9 @@ points of which are neighbours.  All DataFrame operations:
 
 1. rows -> weighted distinct points per ``by`` group (map-side collapse);
 2. a cell whose weight reaches ``min_samples`` holds core points only; the
-   points of other cells are compared with the points of the 24 cells around
-   (a cell counts as a whole where its four corners lie within eps);
+   points of other cells look at the 24 cells around: one whose box lies within
+   eps counts as a whole, one whose box lies beyond it not at all, and only the
+   points of the others are compared one by one;
 3. the core points of a cell are one node; two cells are linked if two of
    their core points lie within eps.  Extreme points in eight directions show
    most links; only the other cell pairs are compared point by point;
@@ -48,15 +49,24 @@ def _cell_points(pts: DataFrame, eps: float, min_samples: int, by: list[str]):
     side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     p = cut_lineage(pts.select(*by, "pid", "w", "ax", "ay", F.floor(F.col("ax") / side).alias("cx"), F.floor(F.col("ay") / side).alias("cy")))
     cell = [*by, "cx", "cy"]
-    weights = p.groupBy(*cell).agg(F.sum("w").alias("cw"))
+    weights = p.groupBy(*cell).agg(F.sum("w").alias("cw"), *[f(c).alias(n) for c, lo, hi in (("ax", "x0", "x1"), ("ay", "y0", "y1"))
+                                                             for f, n in ((F.min, lo), (F.max, hi))])
     dense = weights.filter(F.col("cw") >= min_samples)
-    sparse = p.join(weights.filter(F.col("cw") < min_samples), cell)  # fewer than min_samples points a cell
+    sparse = p.join(weights.filter(F.col("cw") < min_samples).select(*cell, "cw"), cell)  # fewer than min_samples points a cell
     target = [*by, "tx", "ty"]
     there = lambda d, **names: d.select(*by, F.col("cx").alias("tx"), F.col("cy").alias("ty"), *[F.col(k).alias(v) for k, v in names.items()])
     # neighbours of the points of sparse cells: their own cell as a whole, others by distance
-    near = _around(sparse).filter((F.col("tx") != F.col("cx")) | (F.col("ty") != F.col("cy")))
-    counted = (near.join(there(p, ax="bx", ay="by_", w="bw"), target)
-               .filter(_close(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"), eps))
+    near = (_around(sparse).filter((F.col("tx") != F.col("cx")) | (F.col("ty") != F.col("cy"))).drop("cw")
+            .join(there(weights, cw="cw", x0="x0", x1="x1", y0="y0", y1="y1"), target))
+    gap = lambda f, c, lo, hi: f(F.col(lo) - F.col(c), F.col(c) - F.col(hi))
+    least = lambda c, lo, hi: F.greatest(F.lit(0.0), gap(F.greatest, c, lo, hi))
+    most = lambda c, lo, hi: F.greatest(F.abs(F.col(c) - F.col(lo)), F.abs(F.col(c) - F.col(hi)))
+    zero = F.lit(0.0)
+    whole = _close(most("ax", "x0", "x1"), most("ay", "y0", "y1"), zero, zero, eps)
+    near = near.withColumn("whole", whole).filter(_close(least("ax", "x0", "x1"), least("ay", "y0", "y1"), zero, zero, eps * (1 + 1e-9)))
+    single = (near.filter(~F.col("whole")).select("pid", *target, "ax", "ay").join(there(p, ax="bx", ay="by_", w="bw"), target)
+              .filter(_close(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"), eps)).select("pid", "bw"))
+    counted = (near.filter("whole").select("pid", F.col("cw").alias("bw")).unionByName(single)
                .groupBy("pid").agg(F.sum("bw").alias("nw")))
     sparse_core = (sparse.join(counted, "pid", "left").filter(F.col("cw") + F.coalesce("nw", F.lit(0)) >= min_samples)
                    .select("pid", *cell, "ax", "ay"))
@@ -128,10 +138,16 @@ def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
 
 def dbscan(df: DataFrame, eps: float, min_samples: int, by=None, x: str = "lat", y: str = "lon",
            id_col: str = "incident_id", out: str = "cluster") -> DataFrame:
-    """M7: label every row with its density cluster (noise = -1)."""
-    pts = weighted_points(df, by, x, y, id_col)
-    lab = dbscan_points(pts, eps, min_samples, by, x, y).select(*_cols(by), x, y, F.col("cluster").alias(out))
-    return df.join(lab, _cols(by) + [x, y], "left").fillna(-1, [out])
+    """M7: label every row with its density cluster (noise = -1).
+
+    Null groups are groups like any; rows with a null coordinate are noise.
+    """
+    by = _cols(by)
+    rows = df.withColumn("__by", F.struct(*by)) if by else df  # a struct equals another whose fields are null alike
+    keys = ["__by"] if by else []
+    pts = weighted_points(rows, keys, x, y, id_col)
+    lab = dbscan_points(pts, eps, min_samples, keys, x, y).select(*keys, x, y, F.col("cluster").alias(out))
+    return rows.join(lab, keys + [x, y], "left").fillna(-1, [out]).drop("__by")
 
 
 def density_outliers(df: DataFrame, eps: float, min_samples: int = 2, by=None,

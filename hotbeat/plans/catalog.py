@@ -66,6 +66,17 @@ def s1_csv_scan(spark, sf):
     return io.read_incidents(spark, path)
 
 
+@register("s1_reject_counts", with_base(
+    "SELECT CASE incident_id % 10 WHEN 3 THEN 'vict_age' WHEN 7 THEN 'lat,lon' ELSE 'ok' END AS outcome, count(*) AS n "
+    "FROM incidents GROUP BY 1"))
+def s1_reject_counts(spark, sf):
+    """Lines of a CSV extract by what is wrong with them; some fields of the extract hold text that is no number."""
+    d = inc(spark, sf)
+    spoilt = lambda c, k, text: F.when(F.col("incident_id") % 10 == k, F.lit(text)).otherwise(F.col(c).cast("string")).alias(c)
+    d = d.select(*[spoilt(c, 3, "unknown") if c == "vict_age" else spoilt(c, 7, "n/a") if c in ("lat", "lon") else F.col(c) for c in d.columns])
+    return io.reject_counts(*io.scan_with_rejects(spark, io.write_csv(d, io.scratch(spark, "spoilt_csv"))))
+
+
 @register("s2_lookup_csv_join", with_base(
     "SELECT cat.crime_category, count(*) AS n FROM incidents JOIN "
     + codes.category_values_sql() + " ON incidents.crm_cd = cat.crm_cd GROUP BY cat.crime_category"))

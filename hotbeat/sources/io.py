@@ -64,6 +64,37 @@ def read_incidents(spark: SparkSession, path: str, schema: T.StructType = INCIDE
             .csv(path))
 
 
+def scan_with_rejects(spark: SparkSession, path: str, schema: T.StructType = INCIDENT_SCHEMA,
+                      header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with a reject table: (rows that fit the schema, rejects).
+
+    A line is rejected if a field does not parse as its column's type or if it has too few or too many
+    fields.  Rejects are (line, file, bad_columns): the raw text, where it came from, and the columns, comma-joined
+    in schema order, whose text is there but not a value (empty if only the number of fields is wrong).
+    The scan runs once, into a table of the shared folder; both results read that.
+    """
+    raw = "_corrupt_record"
+    wide = T.StructType([*schema.fields, T.StructField(raw, T.StringType())])
+    rows = (spark.read.schema(wide).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", raw).csv(path).withColumn("_file", F.input_file_name()))
+    kept = scratch_path(spark, "scanned")
+    rows.write.parquet(kept)
+    rows = spark.read.parquet(kept)
+    names = [f.name for f in schema.fields]
+    as_text = ", ".join(f"`{n}` STRING" for n in names)
+    bad = rows.where(F.col(raw).isNotNull()).withColumn("_text", F.from_csv(raw, as_text))
+    wrong = F.array(*[F.when(F.col("_text")[n].isNotNull() & F.col(f"`{n}`").isNull(), F.lit(n)) for n in names])
+    rejects = bad.select(F.col(raw).alias("line"), F.col("_file").alias("file"), F.array_join(F.array_compact(wrong), ",").alias("bad_columns"))
+    return rows.where(F.col(raw).isNull()).select(*[F.col(f"`{n}`") for n in names]), rejects
+
+
+def reject_counts(good: DataFrame, rejects: DataFrame) -> DataFrame:
+    """(outcome, n): ``ok``, or the bad columns of the rejects (``shape`` where the number of fields is wrong)."""
+    outcome = F.when(F.col("bad_columns") == "", "shape").otherwise(F.col("bad_columns"))
+    return (good.agg(F.count("*").alias("n")).select(F.lit("ok").alias("outcome"), "n")
+            .unionByName(rejects.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))))
+
+
 def read_raw_incidents(spark: SparkSession, path: str) -> DataFrame:
     """S1 for the raw public extract: declared 28-column schema, snake_case names."""
     df = read_incidents(spark, path, RAW_SCHEMA)

@@ -171,3 +171,42 @@ def test_knn_of_far_points(spark):
     assert got[2, 5] is None
     assert got[1, 0] == pytest.approx(2e-4) and got[1, 5] == pytest.approx(1e-4)
     assert got[1, 99] == pytest.approx(((35 - 34.0008) ** 2 + 1) ** 0.5)
+
+
+def test_rejected_lines_name_their_columns(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from hotbeat.sources import io
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("x y", T.DoubleType()), T.StructField("d", T.DateType()), T.StructField("t", T.StringType())])
+    (tmp_path / "a.csv").write_text("id,x y,d,t\n1,1.5,2024-01-02,a\n2,,,\nthree,1.5,2024-01-02,b\n4,n/a,not a day,c\n5,1.5\n6,1.5,2024-01-02,d,e\n\"7\",2.5,2024-01-03,\"x, y\"\n")
+    good, bad = io.scan_with_rejects(spark, str(tmp_path), schema)
+    assert sorted(r["id"] for r in good.collect()) == [1, 2, 7] and good.columns == ["id", "x y", "d", "t"]
+    rows = {r["line"]: r["bad_columns"] for r in bad.collect()}
+    assert rows == {"three,1.5,2024-01-02,b": "id", "4,n/a,not a day,c": "x y,d", "5,1.5": "", "6,1.5,2024-01-02,d,e": ""}
+    assert all(r["file"].endswith("a.csv") for r in bad.collect())
+    assert {r["outcome"]: r["n"] for r in io.reject_counts(good, bad).collect()} == {"ok": 3, "id": 1, "x y,d": 1, "shape": 2}
+
+
+def test_density_clusters_of_a_null_group(spark):
+    from hotbeat.operators import dbscan
+
+    rows = [(i, None, 1.0 + i * 0.01, 1.0) for i in range(5)] + [(10 + i, 1, 1.0 + i * 0.01, 1.0) for i in range(5)] + [(20, None, 9.0, 9.0), (21, 1, None, 1.0)]
+    d = spark.createDataFrame(rows, "incident_id long, area int, lat double, lon double")
+    got = {r.incident_id: r.cluster for r in dbscan.dbscan(d, 0.05, 3, by="area").collect()}
+    assert got == {**{i: 0 for i in range(5)}, **{10 + i: 0 for i in range(5)}, 20: -1, 21: -1}
+
+
+def test_cells_beside_a_crowd_count_as_a_whole_or_by_points(spark):
+    """Points around a dense crowd: within reach of all of it, of a part of it, of nothing."""
+    import random
+
+    from hotbeat.operators import dbscan
+    rng = random.Random(3)
+    pts = [(rng.random() * 0.3, rng.random() * 0.3) for _ in range(300)] + [(0.9 + rng.random() * 0.6, rng.random()) for _ in range(60)]
+    d = spark.createDataFrame([(i, 1, x, y) for i, (x, y) in enumerate(pts)], "incident_id long, area int, lat double, lon double")
+    eps, least = 0.8, 40
+    near = [[j for j, q in enumerate(pts) if (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= eps * eps] for p in pts]
+    core = {i for i, n in enumerate(near) if len(n) >= least}
+    got = {r.incident_id: r.cluster for r in dbscan.dbscan(d, eps, least, by="area").collect()}
+    assert {i for i, c in got.items() if c == -1} == {i for i in range(len(pts)) if i not in core and not core & set(near[i])}
