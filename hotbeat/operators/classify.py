@@ -1,21 +1,28 @@
 """Shift classification: logistic models, class report and baseline.
 
-Logistic models are trained by Spark ML (tree aggregation of gradients); trees and their searches
+One logistic model is trained by Spark ML (tree aggregation of gradients), one a key by Newton steps over
+sums by key; trees and their searches
 (L2-L6, L8) are in ``trees``.  The class report is a ``groupBy(label, prediction)`` confusion table
 with the ratios in SQL.
 """
 
 from __future__ import annotations
 
+import operator
+import warnings
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hotbeat.operators.kmeans import Kept
+from hotbeat.session import cut_lineage
 
 LABEL = "label"
 
@@ -85,16 +92,92 @@ def class_report(pred: DataFrame, label: str = LABEL, prediction: str = "predict
                     F.round("accuracy", 6).alias("accuracy"))
 
 
-def per_area_models(df: DataFrame, features: Sequence[str], area_col: str = "area", parallelism: int = 8):
-    """Area -> fitted pipeline, for every area of the rows.
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    e = np.exp(scores - scores.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
 
-    The areas (their number, not their rows) are read first; each fit is
-    itself distributed, and several run side by side.
+
+def keyed_logistic(df: DataFrame, features: Sequence[str], by: str, label: str = LABEL, classes: int = 3, ridge: float = 1.0,
+                   max_iter: int = 30, tol: float = 1e-8) -> DataFrame:
+    """One multinomial logistic model for every value of ``by``, all fitted side by side.
+
+    -> (by, mean, sd, w): standardisation and weights, class by class, the intercept last.  Minimises the
+    log loss plus ``ridge`` / 2 times the squared weights (not intercepts) by Newton steps.  A step is one
+    job for all keys: tasks add gradients and curvatures by key, the few sums of a key are solved together.
+    Keys whose weights stay are left out of later steps; a warning tells if some still move at the end.
+    Rows with a null feature or a label that is no class take no part; a null key is a key like any.
     """
-    areas = sorted(r[0] for r in df.select(area_col).distinct().collect() if r[0] is not None)
-    with ThreadPool(parallelism) as pool:
-        fitted = pool.map(lambda a: logistic_pipeline(features).fit(df.filter(F.col(area_col) == a)), areas)
-    return dict(zip(areas, fitted))
+    d, wide = len(features), len(features) + 1
+    size = classes * wide
+    rows = df.where(F.col(label).between(0, classes - 1)).na.drop(subset=list(features))
+    st = rows.groupBy(by).agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(features) for f, n in ((F.avg, "m"), (F.stddev_pop, "s"))])
+    st = cut_lineage(st.select(F.col(by).alias("__k"), F.array(*[f"m{i}" for i in range(d)]).alias("mean"),
+                               F.array(*[F.when(F.col(f"s{i}") > 0, F.col(f"s{i}")).otherwise(1.0) for i in range(d)]).alias("sd")))
+    z = F.zip_with(F.zip_with("x", "mean", lambda x, m: x - m), "sd", lambda x, s: x / s)
+    rows = rows.select(F.col(by).alias("__b"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"), F.col(label).cast("int").alias("y"))
+    rows = cut_lineage(rows.join(st, F.col("__b").eqNullSafe(F.col("__k"))).select("__b", z.alias("z"), "y"))
+    kind = df.schema[by].dataType.simpleString()
+
+    def add_up(batches):
+        """(key, w, sums): gradient and curvature of the rows of a batch by key."""
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([b.column("z").flatten().to_numpy().reshape(-1, d), np.ones(b.num_rows)])
+            w = b.column("w").flatten().to_numpy().reshape(-1, size)
+            y = np.eye(classes)[b.column("y").to_numpy()]
+            codes = b.column("__b").dictionary_encode("encode")
+            at, out = codes.indices.to_numpy(), []
+            for k in np.unique(at).tolist():
+                own = at == k
+                xs, ws = x[own], w[own][0].reshape(classes, wide)
+                p = _softmax(xs @ ws.T)
+                g = ((p - y[own]).T @ xs).ravel()
+                h = np.zeros((classes, wide, classes, wide))
+                for i in range(classes):
+                    for j in range(classes):
+                        h[i, :, j, :] = (xs * (p[:, i] * ((i == j) - p[:, j]))[:, None]).T @ xs
+                out.append((np.flatnonzero(own)[0], ws.ravel(), np.concatenate([g, h.ravel()])))
+            yield pa.RecordBatch.from_arrays([b.column("__b").take(pa.array([o[0] for o in out])), pa.array([o[1] for o in out], pa.list_(pa.float64())),
+                                              pa.array([o[2] for o in out], pa.list_(pa.float64()))], names=["__b", "w", "sums"])
+
+    def solve(t: pa.Table) -> pa.Table:
+        w = t.column("w")[0].values.to_numpy()
+        sums = np.sum([v.values.to_numpy() for v in t.column("sums")], 0)
+        penalty = np.tile(np.r_[np.full(d, ridge), 0.0], classes)
+        g, h = sums[:size] + penalty * w, sums[size:].reshape(size, size) + np.diag(penalty)
+        step = np.linalg.lstsq(h, g, rcond=1e-12)[0]  # intercepts are free up to a common shift
+        step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-300))
+        moving = bool(np.abs(step).max() > tol and np.abs(g).max() > 1e-7)
+        return pa.table([t.column("__b").slice(0, 1), pa.array([w - step], pa.list_(pa.float64())), pa.array([moving])], names=["__b", "w", "active"])
+
+    state = Kept(df.sparkSession, "logistic")
+    schema = f"__b {kind}, w array<double>, active boolean"
+    state.put(st.select(F.col("__k").alias("__b"), F.array_repeat(F.lit(0.0), size).alias("w"), F.lit(True).alias("active")))
+    for _ in range(max_iter):
+        now = state.df.where("active").select(F.col("__b").alias("__a"), "w")
+        sums = rows.join(now, F.col("__b").eqNullSafe(F.col("__a"))).drop("__a").mapInArrow(add_up, f"__b {kind}, w array<double>, sums array<double>")
+        if state.put(sums.groupBy("__b").applyInArrow(solve, schema).unionByName(state.df.where("NOT active")), F.col("active")) == 0:
+            break
+    else:
+        warnings.warn(f"logistic weights still moving after {max_iter} steps", RuntimeWarning, stacklevel=2)
+    return state.df.join(st, F.col("__b").eqNullSafe(F.col("__k"))).select(F.col("__b").alias(by), "mean", "sd", "w")
+
+
+def predict_keyed(df: DataFrame, models: DataFrame, features: Sequence[str], by: str, classes: int = 3) -> DataFrame:
+    """``df`` with the likeliest class by its key's model; null without a model or with a null feature."""
+    wide = len(features) + 1
+    m = models.select(F.col(by).alias("__k"), *[F.col(c).alias(f"__{c}") for c in ("mean", "sd", "w")])
+
+    def score(k: int):
+        weight = lambda i: F.col("__w")[k * wide + i]
+        terms = [weight(i) * (F.col(c) - F.col("__mean")[i]) / F.col("__sd")[i] for i, c in enumerate(features)]
+        return F.struct(sum(terms, weight(wide - 1)).alias("s"), F.lit(-k).alias("k"))
+
+    best = F.array_max(F.array(*[score(k) for k in range(classes)]))
+    known = reduce(operator.and_, [F.col(c).isNotNull() for c in features]) & F.col("__w").isNotNull()
+    return (df.join(m, df[by].eqNullSafe(F.col("__k")), "left")
+            .withColumn("prediction", F.when(known, (-best["k"]).cast("double"))).drop("__k", "__mean", "__sd", "__w"))
 
 
 def baseline_shift(df: DataFrame, keys: Sequence[str] = ("area", "occ_weekday"), target: str = "time_slot",

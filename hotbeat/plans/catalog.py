@@ -1358,14 +1358,10 @@ def l8_feature_importance(spark, sf):
 
 @register("l9_per_area_models")
 def l9_per_area_models(spark, sf):
+    """A logistic model for every area, all fitted together, and its predictions for the area's test rows."""
     d = labelled(spark, sf)
-    models = clf.per_area_models(clf.training_rows(d), SHIFT_FEATURES)
-    out = None
-    for a, m in models.items():
-        p = clf.predict(m, d.filter((F.col("split") == "test") & (F.col("area") == a)), SHIFT_FEATURES)
-        p = p.select("incident_id", "area", "label", "prediction")
-        out = p if out is None else out.unionByName(p)
-    return out
+    models = clf.keyed_logistic(clf.training_rows(d), SHIFT_FEATURES, "area")
+    return clf.predict_keyed(d.filter("split = 'test'"), models, SHIFT_FEATURES, "area").select("incident_id", "area", "label", "prediction")
 
 
 CLUSTER_FEATURES = [*DUMMY_FEATURES, "cluster"]

@@ -199,3 +199,35 @@ def test_registered_search_keeps_the_whole_grids(spark):
     assert sorted(r["incident_id"] for r in rows) == sorted(r["incident_id"] for r in test)
     share = np.mean([r["prediction"] == r["label"] for r in rows if r["label"] is not None])
     assert rows[0]["test_accuracy"] == pytest.approx(share) and json.loads(rows[0]["params"]) in trees.grid(rows[0]["family"])
+
+
+def test_logistic_models_of_all_keys_reach_their_optimum(spark):
+    """The gradient of every key's penalised loss vanishes; a null key, a key of one class and null features included."""
+    from hotbeat.operators import classify as clf
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for area, shift in ((1, 0.0), (2, 3.0), (None, -2.0)):
+        for x, y in rng.normal(0, 1, (150, 2)):
+            rows.append((len(rows), area, float(10 + x), float(100 * y), float(int(x + shift * y > 0.5) + int(y > 0.8))))
+    rows += [(len(rows) + i, 3, float(i), 1.0, 1.0) for i in range(5)]
+    extra = [(9001, 1, None, 1.0, 0.0), (9002, 1, 1.0, 1.0, None), (9003, 1, 1.0, 1.0, 7.0), (9004, 4, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows + extra, "id long, area int, u double, v double, label double")
+    models = clf.keyed_logistic(df, ["u", "v"], "area")
+    got = {r["area"]: r for r in models.collect()}
+    assert {*got} == {1, 2, 3, None}
+    for area, m in got.items():
+        own = [r for r in rows if r[1] == area]
+        x = np.array([[r[2], r[3]] for r in own])
+        sd = np.where(x.std(0) > 0, x.std(0), 1.0)
+        z = np.column_stack([(x - x.mean(0)) / sd, np.ones(len(x))])
+        w = np.array(m["w"]).reshape(3, 3)
+        s = z @ w.T
+        p = np.exp(s - s.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        g = (p - np.eye(3)[[int(r[4]) for r in own]]).T @ z + np.c_[w[:, :2], np.zeros(3)]
+        assert np.abs(g).max() < 1e-3
+    out = {r["id"]: r["prediction"] for r in clf.predict_keyed(df, models, ["u", "v"], "area").collect()}
+    assert len(out) == len(rows) + 4 and out[9001] is None and out[9004] is None and out[9002] is not None
+    assert np.mean([out[r[0]] == r[4] for r in rows]) > 0.8
+    assert clf.keyed_logistic(df.limit(0), ["u", "v"], "area").count() == 0
