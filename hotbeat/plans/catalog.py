@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1207,8 +1208,14 @@ def f6_w5_pca_report(spark, sf):
 
 @register("f6_pca_feature_ranking")
 def f6_pca_feature_ranking(spark, sf):
-    """Feature contributions over the components reaching 90 % variance."""
-    _, rank, _ = feat.pca_report(prep(spark, sf), ["lat", "lon", "vict_age", "amount", "crm_cd"], target=0.9)
+    """Feature contributions over the components reaching 90 % variance, crime category, sex, month and weekday as dummy columns."""
+    d = enr(spark, sf)
+    for c, levels in (("crime_category", sorted({c for _, c in fixed.category_codes()} | {"Unknown"})), ("vict_sex", ["F", "H", "M", "X"]),
+                      ("occ_month", range(1, 13)), ("occ_weekday", range(1, 8))):
+        d = feat.dummies(d, c, levels)
+    dummy = {c: re.sub(r"\W+", "_", c) for c in d.columns if c.startswith(("crime_category_", "vict_sex_", "occ_month_", "occ_weekday_"))}
+    nums = ["lat", "lon", "vict_age", "amount"]
+    _, rank, _ = feat.pca_report(cut_lineage(d.select(*nums, *[F.col(f"`{c}`").alias(n) for c, n in dummy.items()])), [*nums, *dummy.values()], target=0.9)
     return rank
 
 
@@ -1430,13 +1437,16 @@ def j4_match_back(spark, sf):
 
 @register("l11_score_hotspot_grid")
 def l11_score_hotspot_grid(spark, sf):
-    """Grid scored by L10's pipeline: every hotspot x weekday x month gets a predicted shift.
+    """Grid scored by a saved cluster model and a saved classifier: every hotspot x weekday x month gets a shift.
 
-    A hotspot is a coordinate of the table, so its cluster is that of its incidents.
+    k-means centres per area are saved and reread; they give the incidents, and then the hotspots, their cluster
+    (M5); the classifier is trained with that column, saved and reread.
     """
-    d = cut_lineage(clustered(spark, sf))
-    m, _ = cluster_model(spark, d)
-    hs = jn.top_locations(d, "area", 10, extra=[F.min("cluster").alias("cluster")])
+    e = cut_lineage(enr(spark, sf))
+    centres = km.kmeans(e, ["lat", "lon"], 10, by="area").select("area", "cluster", "lat", "lon")
+    saved = io.load_snapshot(spark, io.save_snapshot(centres, io.scratch(spark, "cluster_centres")))
+    m, _ = cluster_model(spark, km.assign(e, saved, ["lat", "lon"], "area"))
+    hs = km.assign(jn.top_locations(e, "area", 10), saved, ["lat", "lon"], "area")
     grid = with_dummies(jn.scoring_grid(hs))
     return patrol.model_scores(grid, m).select("area", "hotspot_id", "occ_weekday", "occ_month", "predicted_slot")
 
