@@ -1,10 +1,11 @@
 """Exact top-k search by inner product: columnar branch and bound.
 
 Vectors lie dimension by dimension (vertical layout).  For a query the scores of all candidates of a
-cell are accumulated one block of dimensions at a time; what the remaining dimensions can still add
-is at most the product of the remaining norms (Cauchy-Schwarz).  A candidate whose upper bound lies
-below the k-th best lower bound is dropped, and the survivors' columns are compacted before the next
-block.  Components are integers, floor(1024 * x), so sums and comparisons are exact.
+cell are accumulated one block of dimensions at a time, the blocks with most mass first; what the
+remaining blocks can still add is at most the sum of their products of norms (Cauchy-Schwarz).  After
+the first block the most promising candidates are scored whole: their k-th best score is a floor from then
+on.  A candidate whose upper bound lies below the floor is dropped, and the survivors' columns are
+compacted before the next block.  Components are integers, floor(1024 * x), so sums and comparisons are exact.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from hotbeat.llm.cells import finite_vectors, search_cells
 
 SCALE = 1024.0
 #: Dimensions accumulated between two prunings.
-BLOCK = 16
+BLOCK = 8
 #: Below this, float arithmetic on integers is exact.
 EXACT = 2.0**52
 
@@ -37,6 +38,44 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _scan(columns: np.ndarray, mass: np.ndarray, q: np.ndarray, alive: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(candidates, scores, candidates left before every block): all that may be among the k best.
+
+    ``columns``: dimensions x candidates; ``mass``: norms by block and candidate; ``alive``: the candidates
+    to look at, None for all.
+    """
+    dims, n = columns.shape
+    cuts = [*range(0, dims, BLOCK), dims]
+    weight = np.array([np.sqrt((q[lo:hi] ** 2).sum()) for lo, hi in zip(cuts, cuts[1:])])
+    order = np.argsort(-weight * mass.mean(1), kind="stable")
+    rest = np.zeros((len(order) + 1, n))
+    for t in range(len(order) - 1, 0, -1):
+        rest[t] = rest[t + 1] + weight[order[t]] * mass[order[t]]
+    whole = alive is None
+    alive = np.arange(n) if whole else alive
+    total, floor, left = np.zeros(len(alive)), -np.inf, []
+    for t, b in enumerate(order.tolist()):
+        left.append(len(alive))
+        block = columns[cuts[b]:cuts[b + 1]]
+        total = total + q[cuts[b]:cuts[b + 1]] @ (block if whole else block[:, alive])
+        if t + 1 < len(order) and len(alive) > k:
+            # a little more than the bound, against rounding of the norms
+            may = (rest[t + 1] if whole else rest[t + 1][alive]) * (1 + 1e-9) + 1e-6
+            if t == 0:
+                m = min(len(alive), 2 * k)
+                likely = alive[np.argpartition(total + may, len(alive) - m)[len(alive) - m:]]
+                floor = np.partition(q @ columns[:, likely], m - k)[m - k]
+            floor = max(floor, np.partition(total - may, len(alive) - k)[len(alive) - k])
+            keep = total + may >= floor
+            if keep.mean() < 0.9:
+                alive, total, whole = alive[keep], total[keep], False
+    return alive, total, left
+
+
+def _block_mass(columns: np.ndarray) -> np.ndarray:
+    return np.array([np.sqrt((columns[lo:lo + BLOCK] ** 2).sum(0)) for lo in range(0, len(columns), BLOCK)])
+
+
 def exact_cell(candidates, queries, k: int):
     """The k best candidates of each query within one cell."""
     c_row, c_id, c = candidates
@@ -47,28 +86,14 @@ def exact_cell(candidates, queries, k: int):
     out: list[list[np.ndarray]] = [[], [], [], []]
     if not len(c) or not len(q):
         return [np.zeros(0, np.int64)] * 4
-    dims = c.shape[1]
-    cuts = [*range(0, dims, BLOCK), dims]
     columns = np.ascontiguousarray(c.T)
     with np.errstate(over="ignore"):
-        rest_c = np.array([np.sqrt((columns[b:] ** 2).sum(0)) for b in cuts])
-        rest_q = np.array([np.sqrt((q[:, b:] ** 2).sum(1)) for b in cuts])
+        mass = _block_mass(columns)
+        longest, norms = np.sqrt((columns ** 2).sum(0)).max(), np.sqrt((q ** 2).sum(1))
     for n in range(len(q)):
         own = c_row == q_row[n]
-        if rest_q[0, n] * rest_c[0].max() < EXACT:
-            alive, held = np.flatnonzero(~own), columns
-            held = columns[:, alive] if own.any() else columns
-            total = np.zeros(len(alive))
-            for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-                total = total + q[n, lo:hi] @ held[lo - cuts[b]: hi - cuts[b]]
-                held = held[hi - lo:]
-                if hi < dims and len(alive) > k:
-                    # a little more than the bound, against rounding of the norms
-                    may = rest_q[b + 1, n] * rest_c[b + 1][alive] * (1 + 1e-9) + 1e-6
-                    floor = np.partition(total - may, len(alive) - k)[len(alive) - k]
-                    keep = total + may >= floor
-                    if keep.mean() < 0.9:
-                        alive, total, held = alive[keep], total[keep], held[:, keep]
+        if norms[n] * longest < EXACT:
+            alive, total, _ = _scan(columns, mass, q[n], np.flatnonzero(~own) if own.any() else None, k)
             scores = total.astype(np.int64)
         else:
             alive = np.flatnonzero(~own)

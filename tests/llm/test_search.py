@@ -106,3 +106,31 @@ def test_recall_on_the_table(spark):
     got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0, 20).collect()
     want = {(r[0], r[2]) for r in brute(rows, 20, 20, product, any)}
     assert len(want & {(r["query_id"], r["vec_id"]) for r in got}) / len(want) == 1.0
+
+
+def test_scan_drops_most_candidates_of_clustered_vectors():
+    """On vectors in clusters at least half of the candidates are gone before the last block, and none of the best."""
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((40, 64)) * 1024 * np.linspace(1.5, 0.2, 64)
+    c = np.floor(centres[rng.integers(0, 40, 5000)] + rng.standard_normal((5000, 64)) * 100)
+    columns = np.ascontiguousarray(c.T)
+    mass = topk._block_mass(columns)
+    shares = []
+    for n in range(0, 5000, 250):
+        alive, total, left = topk._scan(columns, mass, c[n], np.flatnonzero(np.arange(5000) != n), 10)
+        scores = c @ c[n]
+        scores[n] = -np.inf
+        assert sorted(total)[-10:] == sorted(scores)[-10:] and (total == scores[alive]).all()
+        shares.append(left[-1] / left[0])
+    assert max(shares) < 0.5
+
+
+def test_scan_of_few_candidates_ties_and_zero_vectors():
+    c = np.floor(np.random.default_rng(8).standard_normal((12, 20)) * 3)
+    c[3] = c[4] = c[5]
+    c[6] = 0
+    columns = np.ascontiguousarray(c.T)
+    for q in (c[0], c[6], c[3]):
+        for k in (1, 5, 12, 20):
+            alive, total, _ = topk._scan(columns, topk._block_mass(columns), q, None, k)
+            assert sorted(total)[-k:] == sorted(c @ q)[-k:]
