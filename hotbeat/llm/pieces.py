@@ -23,8 +23,9 @@ _CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 #: Cached chunks of a generation and worker; then the generation before goes, and what is met again
 #: moves on (memory bound only).
 MAX_CHUNKS = 250_000
-#: Characters indexed at once.
+#: Characters indexed at once, and parts of a longer chunk that are put together at once.
 MAX_INDEXED = 300_000
+PARTS = 100_000
 #: Chunks up to this length are relaxed together, one merge of each a round; longer ones with a heap.
 SHORT = 64
 
@@ -190,6 +191,42 @@ class PieceModel:
         raw = out.tobytes()
         return {c: raw[2 * a:2 * b] for c, a, b in zip(chunks, lo.tolist(), hi.tolist())}
 
+    def _encode_long(self, chunk: str) -> bytes:
+        """Ids of a chunk that is too long to be indexed at once.
+
+        Overlapping windows give every piece's occurrences; the chunk is cut wherever none of them crosses,
+        and as no merge crosses either, the parts are encoded apart.  What is still longer between two such
+        places is indexed as a whole.
+        """
+        n, reach = len(chunk), MAX_INDEXED + self.width + 1
+        crossing = np.zeros(n + reach, np.int32)
+        for a in range(0, n, MAX_INDEXED):
+            position, length, _ = self.edges(chunk[a:a + MAX_INDEXED + self.width - 1])
+            own = (position < MAX_INDEXED) & (length > 1)
+            position, length = position[own], length[own]
+            crossing[a:a + reach] += (np.bincount(position + 1, minlength=reach) - np.bincount(position + length, minlength=reach)).astype(np.int32)
+        cuts = np.concatenate([[0], np.flatnonzero(np.cumsum(crossing[1:n]) == 0) + 1, [n]])
+        known: dict[str, bytes] = {}
+        out = []
+        for a in range(0, len(cuts) - 1, PARTS):
+            ends = cuts[a:a + PARTS + 1].tolist()
+            parts = [chunk[x:y] for x, y in zip(ends, ends[1:])]
+            if len(known) > MAX_CHUNKS:
+                known = {}
+            group, size = [], 0
+            for part in dict.fromkeys(parts):
+                if part in known:
+                    continue
+                if group and size + len(part) >= MAX_INDEXED:
+                    known.update(self._encode_chunks(group))
+                    group, size = [], 0
+                group.append(part)
+                size += len(part) + 1
+            if group:
+                known.update(self._encode_chunks(group))
+            out.append(b"".join(map(known.__getitem__, parts)))
+        return b"".join(out)
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Packed 16-bit ids of each text (none for an empty text)."""
         split = []
@@ -203,11 +240,14 @@ class PieceModel:
         if len(self.cache) > MAX_CHUNKS:
             self.cache, self.older = {}, self.cache
         cache, older = self.cache, self.older
-        new, size = [], 0
+        new, size, long = [], 0, {}
         for c in set().union(*split).difference(cache):
             if c in older:
                 cache[c] = older[c]
                 continue
+            if len(c) > MAX_INDEXED:  # not kept between batches
+                long[c] = self._encode_long(c)
+                continue
             new.append(c)
             size += len(c) + 1
             if size >= MAX_INDEXED:
@@ -215,7 +255,8 @@ class PieceModel:
                 new, size = [], 0
         if new:
             cache.update(self._encode_chunks(new))
-        return [b"".join(map(cache.__getitem__, s)) for s in split]
+        find = (lambda c: long[c] if c in long else cache[c]) if long else cache.__getitem__
+        return [b"".join(map(find, s)) for s in split]
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u2").tolist()))

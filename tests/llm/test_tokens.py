@@ -71,6 +71,19 @@ def test_perfect_hash_is_minimal_and_survives_equal_hashes():
     assert (found[apart] == slots[apart]).all()
 
 
+def test_unbroken_text_is_cut_where_no_piece_crosses(monkeypatch):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    model = pieces.piece_model(PIECE)
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("日本語中文漢字かなカナ的一是", k=4000)), "".join(rng.choices("abcdefgh", k=3000)), "the" * 900, "x日" * 800, "\n" * 500 + "é🙂" * 300]
+    monkeypatch.setattr(pieces, "MAX_INDEXED", 300)  # windows of 300 characters
+    for t in texts:
+        assert np.frombuffer(model.encode_batch([t])[0], "<u2").tolist() == sp.encode(t)
+    assert not any(len(c) > 300 for c in model.cache)
+
+
 def test_pieces_equal_library_and_round_trip(spark):
     import sentencepiece
 
