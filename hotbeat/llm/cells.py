@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hotbeat.llm.common import written
+
 #: Most candidates and queries of a cell on average: bounds what one task holds.
 CANDIDATES_PER_CELL = 65_536
 QUERIES_PER_CELL = 16_384
@@ -28,10 +30,12 @@ def search_cells(rows: DataFrame, is_query: Column, per_cell, k: int) -> DataFra
 
     Candidates are dealt at random into S groups and queries into U; every cell (s, u) of the grid is
     one task of bounded size that returns its best k of each of its queries, and these short lists are
-    merged.  Each candidate travels U times and each query S times; no pair does.
+    merged.  Each candidate travels U times and each query S times; no pair does.  The rows are written once
+    to the shared folder, so that a row has the same number on both sides even if the input is computed anew.
     ``per_cell(candidates, queries, k)`` gets (row, id, matrix) twice and returns arrays
     (query row, query id, candidate id, score).
     """
+    rows = written(rows, "search-rows")
     n, q = rows.select(F.count("*"), F.count(F.when(is_query, 1))).first()
     spread = rows.sparkSession.sparkContext.defaultParallelism
     s_groups = max(1, -(-n // CANDIDATES_PER_CELL), min(spread, n // 2048))
