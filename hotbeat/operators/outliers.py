@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hotbeat.operators.attach import attach
+from hotbeat.operators.quantiles import exact_quantiles
 
 
 def _group(df: DataFrame, by):
@@ -25,24 +26,23 @@ def quartile_outliers(df: DataFrame, cols: Sequence[str], method: str = "iqr", b
 
     ``method='iqr'``: s = q75 - q25 (true IQR).  ``method='qstd'``: s = sample
     standard deviation, the rule as the source workflow wrote it (Q15).
-    Quartiles use exact linear interpolation (``percentile``), which keeps a
-    value->count map per group, so memory follows distinct values, not rows.
+    Quartiles are exact with linear interpolation, found by selection
+    (``quantiles``): no task holds the values of a group or a column.
     """
+    if method not in ("iqr", "qstd"):
+        raise ValueError(method)
     d, g = _group(df, by)
-    aggs = []
-    for c in cols:
-        aggs += [F.percentile(c, F.lit(0.25)).alias(f"__q1_{c}"), F.percentile(c, F.lit(0.75)).alias(f"__q3_{c}"),
-                 F.stddev_samp(c).alias(f"__sd_{c}")]
-    b = d.groupBy(*g).agg(*aggs)
+    b = exact_quantiles(d, cols, [0.25, 0.75], g)
+    b = b.select(*g, *[F.col(f"q_{c}")[i].alias(f"__q{q}_{c}") for c in cols for i, q in enumerate((1, 3))])
+    out = attach(d, b, g)
+    if method == "qstd":
+        out = attach(out, d.groupBy(*g).agg(*[F.stddev_samp(c).alias(f"__sd_{c}") for c in cols]), g)
     cond = F.lit(False)
     for c in cols:
         q1, q3 = F.col(f"__q1_{c}"), F.col(f"__q3_{c}")
         s = (q3 - q1) if method == "iqr" else F.col(f"__sd_{c}")
-        if method not in ("iqr", "qstd"):
-            raise ValueError(method)
         cond = cond | (F.col(c) < q1 - k * s) | (F.col(c) > q3 + k * s)
-    out = attach(d, b, g).filter(cond)
-    return out.drop(*[x for x in b.columns if x.startswith("__")])
+    return out.filter(cond).select(*d.columns)
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, by=None) -> DataFrame:

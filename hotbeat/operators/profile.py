@@ -14,6 +14,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hotbeat.operators.attach import attach
+from hotbeat.operators.quantiles import exact_quantiles
+
 
 def _cols(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -80,16 +83,16 @@ def group_means(df: DataFrame, by, cols: Iterable[str], digits: int = 6) -> Data
 
 
 def summary_stats(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
-    """Count, mean, sample sd, min, quartiles (linear interpolation), max."""
+    """Count, mean, sample sd, min, exact quartiles (linear interpolation, by selection), max."""
     c = F.col(col)
-    return df.agg(F.count(c).alias("count"),
-                  F.round(F.avg(c), digits).alias("mean"),
-                  F.round(F.stddev_samp(c), digits).alias("std"),
-                  F.min(c).cast("double").alias("min"),
-                  F.round(F.percentile(c, F.lit(0.25)), digits).alias("q25"),
-                  F.round(F.percentile(c, F.lit(0.5)), digits).alias("q50"),
-                  F.round(F.percentile(c, F.lit(0.75)), digits).alias("q75"),
-                  F.max(c).cast("double").alias("max"))
+    one = df.agg(F.count(c).alias("count"),
+                 F.round(F.avg(c), digits).alias("mean"),
+                 F.round(F.stddev_samp(c), digits).alias("std"),
+                 F.min(c).cast("double").alias("min"),
+                 F.max(c).cast("double").alias("max"))
+    one = attach(one, exact_quantiles(df, [col], [0.25, 0.5, 0.75]).withColumnRenamed(f"q_{col}", "__q"), [])
+    quartiles = [F.round(F.col("__q")[i], digits).alias(f"q{q}") for i, q in enumerate((25, 50, 75))]
+    return one.select("count", "mean", "std", "min", *quartiles, "max")
 
 
 def sums_by(df: DataFrame, by, cols: Iterable[str], scale: int = 2) -> DataFrame:
