@@ -1036,6 +1036,12 @@ def r2_stationarity(spark, sf):
                     "difference")
 
 
+@register("r2_augmented_unit_root")
+def r2_augmented_unit_root(spark, sf):
+    """Augmented Dickey-Fuller test of every series: lags by AIC, p-value, whether to difference."""
+    return ts.augmented_stationarity(order_series(spark, sf), "grp")
+
+
 @register("r5_ar_diff_forecast", with_base(
     "SELECT grp, h, period, round(phi, 6) AS phi, round(c, 6) AS c, round(forecast, 3) AS forecast FROM ("
     "SELECT f.grp, h.h, CAST(f.last_period + h.h * INTERVAL 1 MONTH AS DATE) AS period, f.phi, f.c, "
@@ -1062,7 +1068,7 @@ def cluster_month_series(spark, sf):
 
 @register("r3_arima_111_forecast")
 def r3_arima_111_forecast(spark, sf):
-    """ARIMA(1,1,1) per series, 12 months ahead with 95 % band (grouped map)."""
+    """ARIMA(1,1,1) per series, 12 months ahead with 95 % band."""
     return ts.forecast(cluster_month_series(spark, sf), "grp", (1, 1, 1), 12)
 
 

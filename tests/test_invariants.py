@@ -239,18 +239,6 @@ def test_line_stops_known_order(spark):
         assert seq == sorted(seq) or seq == sorted(seq, reverse=True)
 
 
-def test_arima_beats_naive():
-    rng = np.random.default_rng(5)
-    x = np.zeros(120)
-    for t in range(1, 120):
-        x[t] = 0.7 * x[t - 1] + rng.normal()
-    x = np.cumsum(x) + 50
-    aic, s2, fx, lo, hi = series.fit_arima(x, 1, 1, 1, 12)
-    naive = np.var(np.diff(np.diff(x)))
-    assert s2 <= np.var(np.diff(x)) and s2 < naive
-    assert np.all(lo <= fx) and np.all(fx <= hi) and len(fx) == 12
-
-
 def test_peak_by_branch_and_bound_is_that_of_the_whole_grid(spark):
     """Blobs, copies, a null group, nodes that tie, a grid that blocks do not divide; most blocks stay closed."""
     rng = np.random.default_rng(8)
@@ -316,15 +304,6 @@ def test_kmeans_finds_blobs_of_every_group_and_k(spark):
         kmeans.kmeans(d.where("area = 1"), ["x", "y"], 20, max_iter=1)
 
 
-def test_orders_are_scored_on_the_same_observations():
-    x = np.cumsum(np.random.default_rng(3).normal(size=60)) + 20
-    a = series.fit_arima(x, 0, 1, 0, 3, common=3)
-    b = series.fit_arima(x, 0, 1, 0, 3)
-    e = np.diff(x) - np.mean(np.diff(x))
-    assert b[0] - a[0] == pytest.approx(len(e) * math.log(np.mean(e**2)) - (len(e) - 2) * math.log(np.mean(e[2:] ** 2)), abs=1e-3)
-    assert (a[2] == b[2]).all()
-
-
 def test_frequency_start_equals_the_plain_one(spark):
     import random
     rng = random.Random(3)
