@@ -17,7 +17,7 @@ points of which are neighbours.  All DataFrame operations:
    smallest point id, minus 1 - deterministic and independent of row order.
 
 No list of neighbour pairs is kept: each comparison ends in an aggregate.
-Feature vectors with more dimensions (M8) use the radius join instead.
+Feature vectors with more dimensions (M8) go the same way (``_feature_cells``).
 Labels are joined back to the rows on (by, x, y).
 """
 
@@ -29,9 +29,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hotbeat.operators.graph import connected_components
-from hotbeat.operators.spatial import _cols, radius_pairs_nd, weighted_points
+from hotbeat.operators.spatial import _cols, weighted_points
 from hotbeat.session import cut_lineage
 
+#: Features that span the grid of cells; the cells a point may reach are at most 5 to this power.
+GRID_FEATURES = 3
+
 
 def _around(cells: DataFrame) -> DataFrame:
     """Each row once for every cell within two steps of its own: (tx, ty) is the other cell."""
@@ -96,18 +99,80 @@ def _cell_points(pts: DataFrame, eps: float, min_samples: int, by: list[str]):
     return core_labels.select("pid", "label", F.lit(True).alias("is_core")).unionByName(border.select("pid", "label", F.lit(False).alias("is_core")))
 
 
-def _pair_points(pts: DataFrame, eps: float, min_samples: int, by: list[str], grid_cols, extra_cols) -> DataFrame:
-    """Labels of points with more than two features, by the radius join."""
-    pairs = cut_lineage(radius_pairs_nd(pts, eps, grid_cols, extra_cols, by))
-    core = cut_lineage(pairs.groupBy("p").agg(F.sum("q_w").alias("nw")).filter(F.col("nw") >= min_samples).select(F.col("p").alias("node")))
-    edges = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_semi")
-                  .join(core.withColumnRenamed("node", "q"), "q", "left_semi")
-                  .select(F.col("p").alias("src"), F.col("q").alias("dst")))
-    comp = connected_components(core, edges)
-    border = (pairs.join(core.withColumnRenamed("node", "p"), "p", "left_anti").join(comp.withColumnRenamed("node", "q"), "q")
-              .groupBy("p").agg(F.min("label").alias("label")))
-    return (comp.select(F.col("node").alias("pid"), "label", F.lit(True).alias("is_core"))
-                .unionByName(border.select(F.col("p").alias("pid"), "label", F.lit(False).alias("is_core"))))
+def _squared(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda t, u: t + u)
+
+
+def _feature_cells(pts: DataFrame, eps: float, min_samples: int, by: list[str], grid_cols, extra_cols) -> DataFrame:
+    """Labels of points with more than two features, by cells as well.
+
+    A cell is a box of side eps / sqrt(k) in the first k <= ``GRID_FEATURES`` features together with the exact
+    values of all others, so any two of its points are neighbours.  Between two cells the nearest and the
+    farthest distance of the boxes decide; points are compared only where these lie on both sides of eps.
+    """
+    grid, rest = list(grid_cols)[:GRID_FEATURES], list(grid_cols)[GRID_FEATURES:] + list(extra_cols)
+    k, side, limit = len(grid), eps / math.sqrt(len(grid)) * (1.0 - 1e-9), F.lit(eps) * F.lit(eps)
+    reach = int(math.sqrt(k) * (1.0 + 2e-9)) + 1
+    real = lambda cols: F.array(*[F.col(c).cast("double") for c in cols]) if cols else F.array().cast("array<double>")
+    cells = F.array(*[F.floor(F.col(c) / side).cast("long") for c in grid])
+    place = [*by, "cell", "rest"]
+    p = pts.select(*by, "pid", "w", real(grid + rest).alias("f"), cells.alias("cell"), real(rest).alias("rest"))
+    sides = [F.array(*[m(F.col("f")[i]) for i in range(k + len(rest))]) for m in (F.min, F.max)]
+    boxes = cut_lineage(p.groupBy(*place).agg(F.min("pid").alias("cid"), F.sum("w").alias("cw"), sides[0].alias("lo"), sides[1].alias("hi")))
+    p = cut_lineage(p.join(boxes.select(*place, "cid", "cw"), place).select("pid", "w", "f", "cid", "cw"))
+
+    def there(d: DataFrame, *names: str) -> DataFrame:  # the same columns as those of the other cell
+        return d.select(*[F.col(n).alias(f"{n}2") for n in names])
+
+    def gaps(lo, hi, pick):  # squared distance between [lo, hi] and the other box: nearest or farthest points
+        apart = F.zip_with(F.zip_with("lo2", hi, lambda u, v: u - v), F.zip_with(lo, "hi2", lambda u, v: u - v), pick)
+        return F.aggregate(apart, F.lit(0.0), lambda t, u: t + u * u)
+
+    def nearest(lo, hi):
+        return gaps(lo, hi, lambda u, v: F.greatest(u, v, F.lit(0.0)))
+
+    def farthest(lo, hi):
+        return gaps(lo, hi, lambda u, v: F.greatest(-u, -v))
+
+    # cells within eps of each other, both ways; sure if all of their points are neighbours
+    around, steps = boxes.select(*by, "cid", "cell", "lo", "hi"), [f"__o{i}" for i in range(k)]
+    for o in steps:
+        around = around.withColumn(o, F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+    around = around.withColumn("cell", F.array(*[F.col("cell")[i] + F.col(o) for i, o in enumerate(steps)])).drop(*steps)
+    met = around.join(boxes.select(*by, "cell", *[F.col(n).alias(f"{n}2") for n in ("cid", "cw", "lo", "hi")]), [*by, "cell"])
+    links = met.where((F.col("cid") != F.col("cid2")) & (nearest("lo", "hi") <= limit)).withColumn("sure", farthest("lo", "hi") <= limit)
+    links = cut_lineage(links.select("cid", "cid2", "cw2", "lo2", "hi2", "sure"))
+
+    sparse = p.where(F.col("cw") < min_samples)
+    base = links.where("sure").groupBy("cid").agg(F.sum("cw2").alias("sure_w"))
+    near = sparse.select("pid", "f", "cid").join(links.where(~F.col("sure")), "cid").where(nearest("f", "f") <= limit)
+    near = near.withColumn("whole", farthest("f", "f") <= limit)
+    single = (near.where(~F.col("whole")).select("pid", "f", "cid2").join(there(p, "cid", "f", "w"), "cid2")
+              .where(_squared(F.col("f"), F.col("f2")) <= limit).select("pid", "w2"))
+    counted = (near.where("whole").select("pid", F.col("cw2").alias("w2")).unionByName(single)
+               .groupBy("pid").agg(F.sum("w2").alias("nw")))
+    weight = F.col("cw") + F.coalesce("sure_w", F.lit(0)) + F.coalesce("nw", F.lit(0))
+    found = sparse.join(base, "cid", "left").join(counted, "pid", "left").where(weight >= min_samples)
+    core = cut_lineage(p.where(F.col("cw") >= min_samples).select("pid", "cid", "f").unionByName(found.select("pid", "cid", "f")))
+
+    nodes = cut_lineage(core.groupBy("cid").agg(F.min("pid").alias("node"), sides[0].alias("lo"), sides[1].alias("hi")))
+    pairs = links.where("cid < cid2").select("cid", "cid2", "sure").join(nodes, "cid").join(there(nodes, "cid", "node", "lo", "hi"), "cid2")
+    pairs = pairs.where(F.col("sure") | (nearest("lo", "hi") <= limit)).withColumn("sure", F.col("sure") | (farthest("lo", "hi") <= limit))
+    pairs = cut_lineage(pairs.select("cid", "cid2", "node", "node2", "sure"))
+    more = (pairs.where(~F.col("sure")).join(core.select("cid", "f"), "cid").join(there(core, "cid", "f"), "cid2")
+            .where(_squared(F.col("f"), F.col("f2")) <= limit).select("node", "node2").distinct())
+    edges = pairs.where("sure").select("node", "node2").unionByName(more).toDF("src", "dst")
+    labels = cut_lineage(connected_components(nodes.select("node"), edges).join(nodes.select("node", "cid"), "node").select("cid", "label"))
+
+    inner = core.join(labels, "cid").select("pid", "cid", "f", "label")
+    outer = sparse.select("pid", "cid", "f").join(core.select("pid"), "pid", "left_anti")
+    own = outer.join(labels, "cid").select("pid", "label")
+    beside = outer.join(links.select("cid", "cid2", "sure"), "cid")
+    sure = beside.where("sure").join(there(labels, "cid", "label"), "cid2").select("pid", F.col("label2").alias("label"))
+    cut = (beside.where(~F.col("sure")).join(there(inner, "cid", "f", "label"), "cid2").where(_squared(F.col("f"), F.col("f2")) <= limit)
+           .select("pid", F.col("label2").alias("label")))
+    border = own.unionByName(sure).unionByName(cut).groupBy("pid").agg(F.min("label").alias("label"))
+    return inner.select("pid", "label", F.lit(True).alias("is_core")).unionByName(border.select("pid", "label", F.lit(False).alias("is_core")))
 
 
 def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
@@ -123,7 +188,7 @@ def dbscan_points(pts: DataFrame, eps: float, min_samples: int, by=None,
     else:
         tmp = False
     if grid_cols:
-        labels = _pair_points(pts, eps, min_samples, by, grid_cols, extra_cols)
+        labels = _feature_cells(pts, eps, min_samples, by, grid_cols, extra_cols)
     else:
         labels = _cell_points(pts.withColumn("ax", F.col(x)).withColumn("ay", F.col(y)), eps, min_samples, by)
     out = pts.join(labels, "pid", "left").fillna(False, ["is_core"])
@@ -161,14 +226,12 @@ def dbscan_features(df: DataFrame, eps: float, min_samples: int, grid_cols, extr
                     id_col: str = "incident_id", out: str = "cluster") -> DataFrame:
     """M8: density clustering on mixed numeric + one-hot features.
 
-    Rows with a null feature are left out of the clustering and labelled -1.
+    Rows with a null feature are left out of the clustering and labelled -1; null groups are groups like any.
     """
     feats = list(grid_cols) + list(extra_cols)
-    byl = _cols(by)
-    ok = df.na.drop(subset=feats)
-    pts = ok.groupBy(*byl, *feats).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid"))
-    lab = dbscan_points(pts, eps, min_samples, byl or None, grid_cols=grid_cols, extra_cols=extra_cols)
-    keys = byl + feats
-    lab = lab.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("cluster").alias("__lab"))
-    j = df.join(lab, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)], "left")
-    return j.withColumn(out, F.coalesce("__lab", F.lit(-1))).drop("__lab", *[f"__k{i}" for i in range(len(keys))])
+    rows = df.withColumn("__by", F.struct(*_cols(by))) if by else df
+    keys = ["__by"] if by else []
+    pts = rows.na.drop(subset=feats).groupBy(*keys, *feats).agg(F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid"))
+    lab = dbscan_points(pts, eps, min_samples, keys or None, grid_cols=grid_cols, extra_cols=extra_cols)
+    lab = lab.select(*keys, *feats, F.col("cluster").alias(out))
+    return rows.join(lab, keys + feats, "left").fillna(-1, [out]).select(*df.columns, out)

@@ -20,7 +20,7 @@ from hotbeat.session import cut_lineage
 #: Value ranges counted per open range and round.
 BINS = 1024
 #: Rows of a range up to which its values are put in order.
-SORTED = 50_000
+SORTED = 1_000_000
 #: Largest finite double.
 LARGEST = 1.7976931348623157e308
 
@@ -36,11 +36,13 @@ def _bin(v: Column, lo: Column, hi: Column) -> Column:
     return F.when(v <= lo, 0).when(v >= hi, BINS - 1).otherwise(inner)
 
 
-def _in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows with the wanted ranges their value lies in."""
-    lists = ranges.groupBy(*_KEY).agg(F.collect_set(F.struct("__lo", "__hi")).alias("__ranges"))
-    held = F.filter("__ranges", lambda r: F.col("__v").between(r["__lo"], r["__hi"]))
-    return attach(rows, lists, _KEY).select(*_KEY, "__v", F.explode(held).alias("__r")).select(*_KEY, "__v", "__r.*")
+def _in_ranges(rows: DataFrame, ranges: DataFrame, key: list[str]) -> DataFrame:
+    """Each value of ``rows`` (group, array of values) once for every wanted range it lies in."""
+    one = F.collect_set(F.struct("__c", "__lo", "__hi")).alias("__ranges")
+    lists = ranges.groupBy(*key).agg(one) if key else ranges.agg(one)
+    held = F.filter("__ranges", lambda r: F.get("__v", r["__c"]).between(r["__lo"], r["__hi"]))
+    held = attach(rows, lists, key).select("__g", "__v", F.explode(held).alias("__r"))
+    return held.select("__g", "__r.*", F.get("__v", F.col("__r.__c")).alias("__v"))
 
 
 def _narrowed(wanted: DataFrame, counted: DataFrame, order: str) -> DataFrame:
@@ -63,9 +65,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     (or, without ``by``, a table) without any value has no row.  Null group keys form a group.
     """
     key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(1).alias("all"))
-    rows = (df.select(key.alias("__g"), F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("__c", "__v"))
-            .where("__v IS NOT NULL"))
-    whole = rows.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    joined = ["__g"] if by else []
+    values = [F.col(c).cast("double") for c in cols]
+    rows = df.select(key.alias("__g"), F.array(*values).alias("__v"))
+    facts = F.array(*[F.struct(F.lit(i).alias("__c"), F.count(v).alias("__n"), F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+                      for i, v in enumerate(values)])
+    whole = df.groupBy(key.alias("__g")).agg(facts.alias("__facts")).select("__g", F.inline("__facts")).where("__n > 0")
     whole = cut_lineage(whole)
     at = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
     ranks = F.array_distinct(F.array(*[f(a).cast("long") for a in at for f in (F.floor, F.ceil)]))
@@ -73,13 +78,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                           F.col("__n").alias("__inside"))
     open_ = (F.col("__inside") > SORTED) & (F.col("__lo") < F.col("__hi"))
     while not wanted.where(open_).isEmpty():
-        counted = (_in_ranges(rows, wanted.where(open_)).groupBy(*_RANGE, _bin(F.col("__v"), F.col("__lo"), F.col("__hi")).alias("__bin"))
+        counted = (_in_ranges(rows, wanted.where(open_), joined).groupBy(*_RANGE, _bin(F.col("__v"), F.col("__lo"), F.col("__hi")).alias("__bin"))
                    .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx")))
         wanted = cut_lineage(wanted.where(~open_).unionByName(_narrowed(wanted.where(open_), counted, "__bin")))
     several = F.col("__lo") < F.col("__hi")
-    values = (_in_ranges(rows, wanted.where(several)).groupBy(*_RANGE, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ordered = (_in_ranges(rows, wanted.where(several), joined).groupBy(*_RANGE, "__v").agg(F.count(F.lit(1)).alias("__n"))
               .withColumns({"__mn": F.col("__v"), "__mx": F.col("__v")}))
-    found = wanted.where(~several).unionByName(_narrowed(wanted.where(several), values, "__v"))
+    found = wanted.where(~several).unionByName(_narrowed(wanted.where(several), ordered, "__v"))
     found = found.groupBy(*_KEY).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__at"))
     n = whole.select(*_KEY, "__n").withColumnsRenamed({c: f"__w{c}" for c in _KEY})
     found = found.join(n, [F.col(c) == F.col(f"__w{c}") for c in _KEY])

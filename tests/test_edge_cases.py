@@ -210,3 +210,41 @@ def test_cells_beside_a_crowd_count_as_a_whole_or_by_points(spark):
     core = {i for i, n in enumerate(near) if len(n) >= least}
     got = {r.incident_id: r.cluster for r in dbscan.dbscan(d, eps, least, by="area").collect()}
     assert {i for i, c in got.items() if c == -1} == {i for i in range(len(pts)) if i not in core and not core & set(near[i])}
+
+
+def test_feature_cells_equal_brute_force(spark):
+    """Five features (two of them beyond the grid), copies, a null group, null features, borders and noise."""
+    import random
+
+    from hotbeat.operators import dbscan
+    rng = random.Random(11)
+    rows = []
+    for area in (1, None):
+        rows += [(area, rng.gauss(0, 1.2), rng.gauss(0, 1.2), rng.choice((0.0, 3.0)), float(rng.random() < 0.4), float(rng.randrange(3))) for _ in range(170)]
+        rows += [(area, rng.uniform(-9, 9), rng.uniform(-9, 9), 1.5, 0.0, 1.0) for _ in range(50)] + [(area, 20.0, -0.0, 0.0, 0.0, 0.0)] * 12
+        rows += [(area, 20.0, 2.0, 0.0, 0.0, 0.0), (area, None, 0.0, 0.0, 0.0, 0.0)]
+    d = spark.createDataFrame([(i, *r, "x") for i, r in enumerate(rows)],
+                              "incident_id long, area int, a double, b double, c double, d double, e double, pid string")
+    eps, least = 2.0, 9
+    got = {r.incident_id: r.cluster for r in dbscan.dbscan_features(d, eps, least, ["a", "b", "c", "d"], ["e"], by="area").collect()}
+    assert set(got) == set(range(len(rows)))
+    for area in (1, None):
+        ids = [i for i, r in enumerate(rows) if r[0] == area and None not in r[1:]]
+        near = {i: [j for j in ids if sum((u - v) ** 2 for u, v in zip(rows[i][1:], rows[j][1:])) <= eps * eps] for i in ids}
+        core = {i for i in ids if len(near[i]) >= least}
+        label = {}
+        for i in sorted(core):
+            todo = [] if i in label else [i]
+            while todo:
+                u = todo.pop()
+                if u not in label:
+                    label[u] = i
+                    todo += [v for v in near[u] if v in core]
+        border = {i: min(label[j] for j in near[i] if j in core) for i in ids if i not in core and core & set(near[i])}
+        number = {v: n for n, v in enumerate(sorted(set(label.values())))}
+        want = {i: number[{**label, **border}[i]] if i in label or i in border else -1 for i in ids}
+        assert {i: got[i] for i in ids} == want and border and len(number) > 1 and -1 in want.values()
+    assert all(got[i] == -1 for i, r in enumerate(rows) if None in r[1:])
+    assert dbscan.dbscan_features(d.limit(0), eps, least, ["a", "b", "c"], by="area").count() == 0
+    line = d.where("area = 1").select("incident_id", "a")
+    assert dbscan.dbscan_features(line, 0.5, 3, ["a"]).where("cluster >= 0").count() > 0
