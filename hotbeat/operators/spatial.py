@@ -14,7 +14,6 @@ Design for scale:
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
@@ -76,34 +75,6 @@ def radius_pairs(pts: DataFrame, eps: float, by=None, x: str = "lat", y: str = "
     return j.select(*by, "p", "q", "ax", "ay", "bx", "by_", *[f"q_{c}" for c in payload])
 
 
-def radius_pairs_nd(pts: DataFrame, eps: float, grid_cols: Sequence[str], extra_cols: Sequence[str] = (),
-                    by=None) -> DataFrame:
-    """J6 in d dimensions: grid on ``grid_cols`` (d <= 3 keeps 3^d copies small),
-    exact Euclidean distance over grid + extra columns as the residual filter.
-
-    A projection never exceeds the full distance, so no neighbour is lost.
-    Output: ``by``, ``p``, ``q``, ``q_w``.
-    """
-    by = _cols(by)
-    cols = list(grid_cols) + list(extra_cols)
-    cells = [F.floor(F.col(c) / F.lit(eps)).alias(f"__c{i}") for i, c in enumerate(grid_cols)]
-    a = pts.select(*by, *cells, F.col("pid").alias("p"), *[F.col(c).alias(f"__a{i}") for i, c in enumerate(cols)])
-    b = pts.select(*by, *cells, F.col("pid").alias("q"), F.col("w").alias("q_w"),
-                   *[F.col(c).alias(f"__b{i}") for i, c in enumerate(cols)])
-    g = len(grid_cols)
-    offs = [F.array(*[F.lit(v) for v in o]) for o in itertools.product((-1, 0, 1), repeat=g)]
-    b = b.withColumn("__o", F.explode(F.array(*offs)))
-    for i in range(g):
-        b = b.withColumn(f"__c{i}", F.col(f"__c{i}") + F.col("__o")[i])
-    b = b.drop("__o")
-    j = a.join(b, by + [f"__c{i}" for i in range(g)])
-    d2 = None
-    for i in range(len(cols)):
-        t = (F.col(f"__a{i}") - F.col(f"__b{i}")) * (F.col(f"__a{i}") - F.col(f"__b{i}"))
-        d2 = t if d2 is None else d2 + t
-    return j.filter(d2 <= F.lit(eps) * F.lit(eps)).select(*by, "p", "q", "q_w")
-
-
 def neighbour_weight(pts: DataFrame, eps: float, by=None, x: str = "lat", y: str = "lon") -> DataFrame:
     """Weight of all rows within eps of each distinct point (self included)."""
     pr = radius_pairs(pts, eps, by, x, y)

@@ -111,7 +111,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = No
 def spread_groups(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """Hash-partition by ``keys`` into an explicit number of partitions.
 
-    Used before CPU-heavy grouped Python (route search, ARIMA fits): their
+    Used before CPU-heavy grouped Python (route search, tree fits): their
     input is tiny, so adaptive execution would coalesce the shuffle into one
     task and run every group serially.  A user-specified partition count is
     kept by AQE, and the following ``groupBy(keys)`` reuses the partitioning

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from hotbeat.operators import dbscan, density, graph, kmeans, routes, series, spatial, split
+from hotbeat.operators import dbscan, density, graph, kmeans, routes, spatial, split
 from hotbeat.operators.classify import class_report
 from hotbeat.plans.prepare import prepare
 from hotbeat.sources import fixtures
