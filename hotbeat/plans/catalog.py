@@ -1598,7 +1598,7 @@ def _m8_sql() -> str:
 
 @register("m8_dbscan_mixed_features", with_base("SELECT incident_id, area, cluster FROM clustered8", _m8_sql()))
 def m8_dbscan_mixed_features(spark, sf):
-    d = m8_frame(enr(spark, sf))
+    d = cut_lineage(m8_frame(enr(spark, sf)))  # read twice
     out = dbs.dbscan_features(d, 3.0, 10, ["age", "hr", "wd"], [f"is_{v}" for v in M8_CATS], by="area")
     return out.select("incident_id", "area", "cluster")
 
