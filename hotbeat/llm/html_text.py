@@ -1,12 +1,13 @@
 """Main text of web pages: nearest-URL page differencing over structured text lines.
 
-A page becomes text lines, one a block, each with the zone it stands in: within an article or main
+A page becomes text lines, one a block, each with the zone it stands in: within an article, within a main
 element, within boilerplate (menu, header, footer, sidebar, notice, advert, form, comments) or plain.
-Where a page has an article, its lines there are the text; repeated paragraphs (copies of an article on
-one host) are text, plain lines outside do not count.  The other pages are differenced: the pages of
-their hosts are sorted by host and URL path, each is paired with the next page before or behind it that
-is not nearly the same page, whichever path shares the longer prefix, and the lines of the two are
-aligned by their longest common subsequence.  Plain lines that both share are deleted.
+Every page of a host is differenced: the pages are sorted by host and URL path, each is paired with the
+next page before or behind it that is not nearly the same page, whichever path shares the longer prefix,
+and the lines of the two are aligned by their longest common subsequence.  Lines that both share belong
+to the template and are deleted, the zones being the evidence beside it: what stands in an article is
+text though another page repeats it (paragraphs of copies on one host), and where a page has an article
+or main element, plain lines outside do not count though no other page has them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import html
 import marshal
 import re
 import tempfile
+import zlib
 from collections import Counter
 from os.path import commonprefix
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hotbeat.llm.common import written
 
-MAIN, PLAIN, BOILER = 0, 1, 2
+MAIN, PLAIN, BOILER, IN_MAIN = 0, 1, 2, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -112,8 +114,8 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     encloses a main or article or more than half of the text that is not boilerplate otherwise.
     """
     targets = {t.lower() for t in _TARGET.findall(page)}
-    out: list[tuple[str, bool, int]] = []  # text, in an article, innermost mark
-    stack: list[tuple[str, bool, int]] = []  # open blocks: tag, in an article, innermost mark
+    out: list[tuple[str, int, int]] = []  # text, in a main element (1) or an article (2), innermost mark
+    stack: list[tuple[str, int, int]] = []  # open blocks: tag, in a main element or an article, innermost mark
     marks: list[tuple[int, int]] = []  # mark around it (-1: none), kind
     wholes: list[tuple[bool, int]] = []  # main and article elements: is an article, mark around it
     text: list[str] = []
@@ -123,7 +125,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         line = " ".join("".join(text).split())
         text.clear()
         if line:
-            out.append((line, *stack[-1][1:]) if stack else (line, False, -1))
+            out.append((line, *stack[-1][1:]) if stack else (line, 0, -1))
 
     def push(tag, main, around, kind):
         if kind:
@@ -159,16 +161,17 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         elif tag not in VOID:
             while stack and stack[-1][0] in CLOSES_ITSELF.get(tag, ()) or tag != "p" and stack and stack[-1][0] == "p":
                 stack.pop()
-            main, around = stack[-1][1:] if stack else (False, -1)
+            main, around = stack[-1][1:] if stack else (0, -1)
             if tag in ("article", "main"):
                 wholes.append((tag == "article", around))
-                main = True
+                main = 2 if tag == "article" else max(main, 1)
             push(tag, main, around, _mark(tag, m[4] or m[7] or "", main, targets))
     if at < len(page):
         text.append(html.unescape(page[at:]))
     flush()
+    zones = (PLAIN, IN_MAIN, MAIN)
     if not marks:
-        return [(t, MAIN if main else PLAIN) for t, main, _ in out]
+        return [(t, zones[main]) for t, main, _ in out]
 
     def within(places):
         """Sum of the sizes at and within each mark."""
@@ -197,7 +200,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         rest = [(k, len(t)) for t, _, k in out if k < 0 or not boiler[k]]
         size, whole = within(rest), sum(n for _, n in rest)
         boiler = boilerplate(lambda k: not holds[k] and 2 * size[k] <= whole)
-    return [(t, BOILER if k >= 0 and boiler[k] else MAIN if main else PLAIN) for t, main, k in out]
+    return [(t, BOILER if k >= 0 and boiler[k] else zones[main]) for t, main, k in out]
 
 
 def shared_lines(a: list[str], b: list[str]) -> list[bool]:
@@ -226,17 +229,15 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
 
 
 def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
-    """The lines that are left of a page after differencing against its partner."""
-    if any(zone == MAIN for _, zone in lines):
-        return "\n".join(t for t, zone in lines if zone == MAIN)
+    """The lines that are left of a page after differencing against its partner; its main element stays if that leaves nothing of it."""
     shared = shared_lines([t for t, _ in lines], [t for t, _ in partner]) if partner else [False] * len(lines)
-    return "\n".join(t for (t, zone), s in zip(lines, shared) if zone == PLAIN and not s)
+    whole = any(zone in (MAIN, IN_MAIN) for _, zone in lines)
+    left = [t for (t, zone), s in zip(lines, shared) if zone == MAIN or not s and zone == (IN_MAIN if whole else PLAIN)]
+    return "\n".join(left if left or not whole else [t for t, zone in lines if zone == IN_MAIN])
 
 
 #: Two pages are nearly the same if of neither's plain characters more than this share stands in lines of its own.
 NEARLY = 0.05
-#: Hosts with pages without an article are told by a hash of so many values.
-HOST_CLASSES = 1 << 16
 #: Bytes of a run of nearly equal pages that a task holds in memory; the rest waits in its temporary folder.
 RUN_BYTES = 1 << 24
 _DECIDED, _OPEN, _EDGE = 0, 1, 2
@@ -272,6 +273,10 @@ def differenced(path: str, lines: list[tuple[str, int]], before, after) -> str:
     return main_text(lines, best[1] if best else None)
 
 
+def _unpacked(packed: bytes) -> list[tuple[str, int]]:
+    return marshal.loads(zlib.decompress(packed))
+
+
 def _packed(rows: list[tuple], schema: pa.Schema):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
@@ -308,14 +313,14 @@ def _runs(rows, part: int):
             if first or last:
                 yield k, u, None, _OPEN, part, run, head[0], path, packed
             else:
-                yield k, u, differenced(path, marshal.loads(packed), before, after), _DECIDED, part, run, head[0], path, None
+                yield k, u, differenced(path, _unpacked(packed), before, after), _DECIDED, part, run, head[0], path, None
         held.close()
 
     def edge(run, head):
         return None, None, None, _EDGE, part, run, head[0], head[1], head[3]
 
     for k, u, host, path, packed in rows:
-        lines = marshal.loads(packed)
+        lines = _unpacked(packed)
         if head is None or head[0] != host or not nearly_equal(lines, head[2]):
             if head is not None:
                 yield from closed((path, lines) if head[0] == host else None, False)
@@ -324,8 +329,7 @@ def _runs(rows, part: int):
                 before = head[1:3] if head[0] == host else None
                 previous, first = (run, head), False
             run, head, held = run + 1, (host, path, lines, packed), tempfile.SpooledTemporaryFile(RUN_BYTES)
-        if not any(zone == MAIN for _, zone in lines):
-            marshal.dump((k, u, path, packed), held)
+        marshal.dump((k, u, path, packed), held)
     if head is not None:
         yield from closed(None, True)
         yield edge(run, head)
@@ -337,18 +341,15 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     """key, url, text, n_chars (code points) of every page.
 
     Null or empty html gives an empty text; a page with a null url, alone on its host or among nothing but
-    near copies of itself has no partner and keeps its plain lines.  Repeated rows stay; other columns
-    are ignored.  Pages with an article are not shuffled, unless their host has pages without; the
-    pages of such hosts are range-partitioned by host and path, so a host of any size is spread over
+    near copies of itself has no partner and keeps all lines of its zone.  Repeated rows stay; other columns
+    are ignored.  Pages are range-partitioned by host and path, so a host of any size is spread over
     tasks.  Pages at the edge of a partition find their partners among four pages of each other partition.
     """
-    spark = pages.sparkSession
     host = F.lower(F.regexp_extract("u", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract("u", r"^[^:]+://[^/?#]*([^?#]*)", 1)
     kind = pages.schema[key].dataType.simpleString()
     given = (pages.select(F.col(key).alias("k"), F.col(url).cast("string").alias("u"), F.coalesce(F.col(source), F.lit("")).alias("s"))
-             .withColumn("h", F.coalesce(host, F.lit(""))).withColumn("p", F.coalesce(path, F.lit("")))
-             .withColumn("c", F.pmod(F.xxhash64("h"), F.lit(HOST_CLASSES)).cast("int")))
+             .withColumn("h", F.coalesce(host, F.lit(""))).withColumn("p", F.coalesce(path, F.lit(""))))
     result = f"{key} {kind}, url string, text string, n_chars long"
 
     def columns(b, *names):
@@ -357,25 +358,18 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     def result_schema(b):
         return pa.schema([(key, b.schema.field("k").type), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
-    def lacking(batches):
-        for b in batches:
-            found = {c for c, s in columns(b, "c", "s") if not any(zone == MAIN for _, zone in lines_of(s))}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], names=["c"])
-
     def alone(batches):
         for b in batches:
             def rows():
-                for k, u, h, s in columns(b, "k", "u", "h", "s"):
-                    lines = lines_of(s)
-                    if not h or any(zone == MAIN for _, zone in lines):
-                        text = main_text(lines, None)
-                        yield k, u, text, len(text)
+                for k, u, s in columns(b, "k", "u", "s"):
+                    text = main_text(lines_of(s), None)
+                    yield k, u, text, len(text)
             yield from _in_batches(rows(), result_schema(b))
 
     def parsed(batches):
         for b in batches:
             schema = pa.schema([("k", b.schema.field("k").type), ("u", pa.string()), ("h", pa.string()), ("p", pa.string()), ("lines", pa.binary())])
-            yield from _in_batches(((k, u, h, p, marshal.dumps(lines_of(s))) for k, u, h, p, s in columns(b, "k", "u", "h", "p", "s")), schema)
+            yield from _in_batches(((k, u, h, p, zlib.compress(marshal.dumps(lines_of(s)), 2)) for k, u, h, p, s in columns(b, "k", "u", "h", "p", "s")), schema)
 
     def compared(batches):
         kinds = []
@@ -397,17 +391,13 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
         if done:
             yield packed()
 
-    whole = given.select("k", "u", "h", "s").mapInArrow(alone, result)
-    classes = [r["c"] for r in given.where("h <> ''").select("c", "s").mapInArrow(lacking, "c int").distinct().collect()]  # HOST_CLASSES at most
-    if not classes:
-        return whole
-    few = F.broadcast(spark.createDataFrame([(c,) for c in classes], "c int"))
-    sorted_pages = (given.where("h <> ''").join(few, "c", "left_semi").select("k", "u", "h", "p", "s")
+    whole = given.where("h = ''").select("k", "u", "s").mapInArrow(alone, result)
+    sorted_pages = (given.where("h <> ''").select("k", "u", "h", "p", "s")
                     .mapInArrow(parsed, f"k {kind}, u string, h string, p string, lines binary")
                     .withColumn("i", F.monotonically_increasing_id())
                     .repartitionByRange("h", "p", "k", "i").sortWithinPartitions("h", "p", "k", "i"))
     made = written(sorted_pages.mapInArrow(
-        compared, f"k {kind}, u string, text string, state int, part int, run long, h string, p string, lines binary"), "html-text")
+        compared, f"k {kind}, u string, text string, state int, part int, run long, h string, p string, lines binary"), "html-text", "zstd")
     opened = made.where(f"state = {_OPEN}")
     # four pages a partition at most, of hosts that go across an edge or lie at one
     edges = sorted((r["part"], r["run"], r["h"], r["p"], bytes(r["lines"])) for r in made.where(f"state = {_EDGE}")
@@ -416,11 +406,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     def finished(batches):
         by: dict[str, list] = {}
         for part, run, h, p, packed in edges:
-            by.setdefault(h, []).append(((part, run), p, marshal.loads(packed)))
+            by.setdefault(h, []).append(((part, run), p, _unpacked(packed)))
         for b in batches:
             def rows():
                 for k, u, part, run, h, p, packed in columns(b, "k", "u", "part", "run", "h", "p", "lines"):
-                    lines = marshal.loads(packed)
+                    lines = _unpacked(packed)
                     behind = lambda x: (e[1:] for e in x if not nearly_equal(lines, e[2]))
                     before = next(behind(e for e in reversed(by.get(h, ())) if e[0] < (part, run)), None)
                     after = next(behind(e for e in by.get(h, ()) if e[0] > (part, run)), None)

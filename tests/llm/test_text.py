@@ -230,6 +230,20 @@ def test_copies_and_partition_edges_do_not_decide(spark):
     assert all(got[500 + j] == f"Site name\nMenu of things\n{own(9)}\nAll about us" for j in range(20))
 
 
+def test_pages_with_article_or_main_are_differenced(spark):
+    """What neighbours share in a main element is their template; what an article holds stays, however often it comes."""
+    page = lambda i: (f"<div>Site name</div><main><p>Our offers to you</p><article><p>Own text {i} of a page</p><p>Quoted by all of them</p></article>"
+                      f"<p>After word {i}</p><p>Read on below</p></main><div>Plain {i}</div>")
+    only = lambda i: f"<main><p>Our offers to you</p><p>Own text {i} of a page with some length</p></main><div>Plain {i}</div>"
+    rows = [(i, f"https://a.example/{i:03d}", page(i)) for i in range(12)] + [(100 + i, f"https://b.example/{i:03d}", only(i)) for i in range(12)]
+    rows += [(200, "https://c.example/a", "<main><p>Same</p></main>"), (201, "https://c.example/b", "<main><p>Same</p></main><div>Some other lines of it</div>")]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == f"Own text {i} of a page\nQuoted by all of them\nAfter word {i}" for i in range(12))
+    assert all(got[100 + i] == f"Own text {i} of a page with some length" for i in range(12))
+    assert got[200] == got[201] == "Same"
+
+
 def test_page_text_of_the_table(spark):
     """Brute force: cut the article out by its tags."""
     import html
