@@ -1382,9 +1382,8 @@ CLUSTER_FEATURES = [*DUMMY_FEATURES, "cluster"]
 
 def cluster_model(spark, labelled_clusters):
     """(saved and reloaded pipeline, rows with label, split and dummies)."""
-    d = clf.with_label(labelled_clusters)
-    d = sp.stratified_split(d, "time_slot", "incident_id")
-    d = with_dummies(d)
+    d = cut_lineage(clf.with_label(labelled_clusters))  # the split reads its rows twice
+    d = with_dummies(cut_lineage(sp.stratified_split(d, "time_slot", "incident_id")))  # read by the scaler, the model and its predictions
     m = clf.logistic_pipeline(CLUSTER_FEATURES, 200).fit(clf.training_rows(d))
     return io.load_model(io.save_model(m, io.scratch(spark, "cluster_model"))), d
 
@@ -1392,7 +1391,8 @@ def cluster_model(spark, labelled_clusters):
 @register("l10_cluster_feature")
 def l10_cluster_feature(spark, sf):
     """Logistic regression with the density-cluster id as an extra feature."""
-    m, d = cluster_model(spark, clustered(spark, sf))
+    e = cut_lineage(enr(spark, sf).select("incident_id", "area", *SHIFT_FEATURES, "time_slot"))
+    m, d = cluster_model(spark, dbs.dbscan(e, EPS, MIN_SAMPLES, by="area"))
     return clf.predict(m, d.filter("split = 'test'"), CLUSTER_FEATURES).select("incident_id", "label", "prediction")
 
 
