@@ -313,15 +313,16 @@ def _prototype_cost(nums: Sequence[str], cats: Sequence[str], gamma: float):
 def _prototype_round(pts: DataFrame, state: DataFrame, nums: Sequence[str], cats: Sequence[str], b: list[str], gamma: float) -> DataFrame:
     """The state after one round: (b, __init, __p, active), active where a prototype moved.
 
-    One aggregate over the points adds, for every cluster, weights and weighted numbers and the weight of
-    each value of each category; means and modes come from its few rows.
+    One aggregate over the points adds, for every cluster and combination of categories, weights and weighted
+    numbers; the weights of single values, means and modes come from its rows, not from the points.
     """
     key = b + ["__init"]
     a = _null_safe(pts, state.where("active").select(*key, "__p"), b)
     a = a.withColumn("cluster", F.array_min(F.transform("__p", _prototype_cost(nums, cats, gamma))).getField("cluster"))
+    a = a.groupBy(*key, "cluster", *cats).agg(F.sum("w").alias("w"), *[F.sum(F.col("w") * F.col(c)).alias(f"__s{i}") for i, c in enumerate(nums)])
     none = [F.lit(0.0).alias(f"s{i}") for i in range(len(nums))]
     parts = [F.struct(F.lit(-1).alias("col"), F.lit(None).cast("string").alias("value"), F.col("w"),
-                      *[(F.col("w") * F.col(c)).alias(f"s{i}") for i, c in enumerate(nums)])]
+                      *[F.col(f"__s{i}").alias(f"s{i}") for i in range(len(nums))])]
     parts += [F.struct(F.lit(j).alias("col"), F.col(c).alias("value"), F.col("w"), *none) for j, c in enumerate(cats)]
     counted = (a.select(*key, "cluster", F.explode(F.array(*parts)).alias("x")).select(*key, "cluster", "x.*")
                .groupBy(*key, "cluster", "col", "value").agg(F.sum("w").alias("w"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(nums))]))

@@ -968,8 +968,9 @@ def m6_elbow_k1(spark, sf):
 @register("m14_kprototypes")
 def m14_kprototypes(spark, sf):
     """K-prototypes on (lat, lon, vict_age) + (category, vict_sex), k = 10 per area, 5 starts."""
-    d = km.kprototypes(prep(spark, sf), ["lat", "lon", "vict_age"], ["category", "vict_sex"], 10, by="area",
-                       n_init=5)
+    nums, cats = ["lat", "lon", "vict_age"], ["category", "vict_sex"]
+    p = cut_lineage(prep(spark, sf).select("incident_id", "area", *nums, *cats))  # read three times
+    d = km.kprototypes(p, nums, cats, 10, by="area", n_init=5)
     return d.select("incident_id", "area", "cluster")
 
 
@@ -977,7 +978,7 @@ def m14_kprototypes(spark, sf):
 def m14_kprototypes_check(spark, sf):
     """M14 by area: rows, rows that are nearer to the mean and modes of another cluster, rows without a cluster."""
     nums, cats = ["lat", "lon", "vict_age"], ["category", "vict_sex"]
-    p = prep(spark, sf)
+    p = cut_lineage(prep(spark, sf).select("incident_id", "area", *nums, *cats))  # read three times
     gamma = km.default_gamma(p, nums)
     d = cut_lineage(km.kprototypes(p, nums, cats, 10, by="area", gamma=gamma, n_init=1).select("area", *nums, *cats, "cluster"))
     proto = d.groupBy("area", "cluster").agg(*[F.avg(c).alias(f"m_{c}") for c in nums])
