@@ -275,6 +275,12 @@ def _softmax(s: np.ndarray) -> np.ndarray:
     return e / e.sum(0)
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, number of the distinct row of each row)."""
+    rows, at = np.unique(x, axis=0, return_inverse=True)
+    return rows, at.ravel()
+
+
 def fit_forest(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
     """``p``: trees, depths, min_split, min_leaf, balanced, seed; scores every prefix asked for."""
     classes = fit.shape[1]
@@ -534,21 +540,31 @@ def predict(df: DataFrame, nodes: DataFrame, columns: Columns, model: int, out:
             table[i, r["class"]] = r["value"][0]
     roots = list(starts.values())
 
+    def classes_of(x):
+        score = np.zeros((len(x), classes))
+        for root in roots:
+            at = np.full(len(x), root)
+            while (inner := np.flatnonzero(left[at] >= 0)).size:
+                a = at[inner]
+                go = _goes_right(x[inner], numeric, column[a], where[a])
+                at[inner] = np.where(go, right[a], left[a])
+            score += table[at]
+        return score.argmax(1)
+
     def run(batches):
+        known: dict[bytes, int] = {}  # class by bins, of those met in this task
         for b in batches:
             rows = np.flatnonzero(b.column("__ok").to_numpy(zero_copy_only=False))
             label = np.zeros(b.num_rows, np.int64)
             if len(rows):
-                x = b.column("__x").take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
-                score = np.zeros((len(rows), classes))
-                for root in roots:
-                    at = np.full(len(rows), root)
-                    while (inner := np.flatnonzero(left[at] >= 0)).size:
-                        a = at[inner]
-                        go = _goes_right(x[inner], numeric, column[a], where[a])
-                        at[inner] = np.where(go, right[a], left[a])
-                    score += table[at]
-                label[rows] = score.argmax(1)
+                x, place = _distinct(b.column("__x").take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1))
+                if len(known) > MAX_CELLS:
+                    known = {}
+                names_of = [v.tobytes() for v in x]
+                new = [i for i, v in enumerate(names_of) if v not in known]
+                if new:
+                    known.update(zip([names_of[i] for i in new], classes_of(x[new]).tolist()))
+                label[rows] = np.array([known[v] for v in names_of])[place]
             mask = np.ones(b.num_rows, bool)
             mask[rows] = False
             kept = [b.column(i) for i in range(len(names))]

@@ -1241,7 +1241,8 @@ def labelled(spark, sf):
     """Enriched rows with label, split and fold, materialised once (reliable
     checkpoint) because model fitting and scoring read them several times."""
     d = clf.with_label(enr(spark, sf))
-    d = sp.stratified_split(d, "time_slot", "incident_id")
+    d = cut_lineage(d.select("incident_id", "area", *SHIFT_FEATURES, "vict_age", "amount", "time_slot", "label"))  # a split reads its rows twice
+    d = cut_lineage(sp.stratified_split(d, "time_slot", "incident_id"))
     d = sp.stratified_folds(d, "time_slot", "incident_id", 5)
     return cut_lineage(d.select("incident_id", "area", *SHIFT_FEATURES, "vict_age", "amount", "time_slot",
                                 "label", "split", "fold"))
