@@ -1552,7 +1552,7 @@ def flagship_patrol_plan(spark, sf):
     """incidents -> k-means + KDE hotspots per area -> baseline shift per grid row
     -> shift sets -> route per (area, shift) -> ordered stops."""
     from hotbeat.plans.hotspots import find_hotspots
-    e = enr(spark, sf)
+    e = cut_lineage(enr(spark, sf).select("incident_id", "area", "lat", "lon", "vict_age", "occ_weekday", "time_slot"))  # read five times
     hs = find_hotspots(e, k=10, by="area", grid=KDE_GRID)
     scored = patrol.baseline_scores(e, hs)
     return patrol.plan(scored, hs)
