@@ -43,7 +43,9 @@ LISTED = 24
 #: Sets of a block on average, and shingles of a matrix product.
 BLOCK = 128
 WIDTH = 4096
+#: Shingles that a task gathers before it ships their counts, and bytes of sets that it returns at once.
 FLUSH = 2_000_000
+RETURNED = 4_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -121,38 +123,43 @@ def count_shingles(docs: DataFrame, ranges_bits: int) -> DataFrame:
     def batch_of(columns):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    def packed(sets):
-        """Rows of a buffer of sets: for each range its 32-bit remainders."""
-        k = np.sort(np.concatenate(sets)) >> shift
-        part = (k >> np.uint64(32)).astype(np.int64)
+    def packed(k):
+        """Rows of a buffer of shingles, which is sorted in place: for each range its 32-bit remainders."""
+        k.sort()
+        k >>= shift
+        bounds = np.searchsorted(k, np.arange((1 << ranges_bits) + 1, dtype=np.uint64) << np.uint64(32))
+        parts = np.flatnonzero(bounds[1:] > bounds[:-1])
         rest = k.astype(np.uint32)
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(part)]])
-        m = len(begin)
-        return batch_of([[1] * m, part[begin].tolist(), [None] * m, [None] * m, [None] * m,
-                         [rest[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist())]])
+        m = len(parts)
+        return batch_of([[1] * m, parts.tolist(), [None] * m, [None] * m, [None] * m,
+                         [rest[a:b].tobytes() for a, b in zip(bounds[parts].tolist(), bounds[parts + 1].tolist())]])
 
     def first(batches):
-        seen, buffer, size = set(), [], 0
+        seen, buffer, size = set(), np.empty(FLUSH, np.uint64), 0
         for b in batches:
             ids, ns, keys = b.column("doc_id").to_pylist(), [], []
-            for t in b.column("t").to_pylist():
-                s = shingles(t)
+            for t in b.column("t"):  # one text at a time, as a batch may hold 10,000
+                s = shingles(t.as_py())
                 key = class_key(s)
                 ns.append(len(s))
                 keys.append(key)
                 if key not in seen and len(s):
                     seen.add(key)
-                    buffer.append(s)
+                    if size + len(s) > FLUSH and size:
+                        yield packed(buffer[:size])
+                        size = 0
+                    if len(s) > FLUSH:
+                        yield packed(s)
+                        continue
+                    buffer[size:size + len(s)] = s
                     size += len(s)
-                    if size >= FLUSH:
-                        yield packed(buffer)
-                        buffer, size = [], 0
             m = len(ids)
             # spread by key over the ranges: they pass through
             yield batch_of([[0] * m, [k & ((1 << ranges_bits) - 1) for k in keys], ids, ns, keys, [None] * m])
-        if buffer:
-            yield packed(buffer)
+        if size:
+            yield packed(buffer[:size])
+        del buffer
+        pa.default_memory_pool().release_unused()
 
     def reduced(part, blobs):
         rest, counts = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in blobs]), return_counts=True)
@@ -195,8 +202,8 @@ def prefix_rows(docs: DataFrame, several: np.ndarray, frequent: tuple[np.ndarray
         seen = set()
         for b in batches:
             out_s, out_k, out_m = [], [], []
-            for t in b.column("t").to_pylist():
-                s = shingles(t)
+            for t in b.column("t"):
+                s = shingles(t.as_py())
                 n = len(s)
                 key = class_key(s)
                 if not n or key in seen:
@@ -227,6 +234,7 @@ def prefix_rows(docs: DataFrame, several: np.ndarray, frequent: tuple[np.ndarray
             if out_s:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(out_s))), pa.array(np.concatenate(out_k)), pa.array(np.concatenate(out_m))],
                                                  names=["shingle", "key", "m"])
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.coalesce("text", F.lit("")).alias("t")).mapInArrow(run, "shingle long, key long, m long")
 
@@ -235,29 +243,26 @@ def shared_rows(rows: DataFrame) -> DataFrame:
     """The prefix rows of shingles that two or more sets have, repeated ones dropped, read in sorted order."""
 
     def run(batches):
-        held = None  # rows of the last shingle, not yet known to be complete
+        held, tied = None, False  # the last row, and whether an earlier one has its shingle
         for b in batches:
             t = [b.column(i).to_numpy() for i in range(3)]
             if held is not None:
                 t = [np.concatenate([x, y]) for x, y in zip(held, t)]
+            if not len(t[0]):
+                continue
             new = np.concatenate([[True], (t[0][1:] != t[0][:-1]) | (t[1][1:] != t[1][:-1])])
             t = [x[new] for x in t]
-            last = int(np.searchsorted(t[0], t[0][-1]))
-            held = [x[last:] for x in t]
-            out = keep([x[:last] for x in t])
-            if out is not None:
-                yield out
-        if held is not None:
-            out = keep(held)
-            if out is not None:
-                yield out
-
-    def keep(t):
-        if not len(t[0]):
-            return None
-        same = t[0][1:] == t[0][:-1]
-        two = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        return pa.RecordBatch.from_arrays([pa.array(x[two]) for x in t], names=["shingle", "key", "m"]) if two.any() else None
+            same = t[0][1:] == t[0][:-1]
+            two = np.concatenate([same, [False]]) | np.concatenate([[tied], same])
+            held, tied = [x[-1:] for x in t], bool(two[-1])
+            two[-1] = False
+            if two.any():
+                yield batch_of([x[two] for x in t])
+        if tied:
+            yield batch_of(held)
+
+    def batch_of(t):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in t], names=["shingle", "key", "m"])
 
     return rows.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(run, "shingle long, key long, m long")
 
@@ -318,17 +323,25 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     def run(batches):
         bitmap, seen = wanted.value, set()
         for b in batches:
-            ks, ss = [], []
-            for t in b.column("t").to_pylist():
-                s = shingles(t)
+            ks, ss, size = [], [], 0
+            for t in b.column("t"):
+                s = shingles(t.as_py())
                 key = class_key(s)
                 if key in seen or not len(s) or not _in_bitmap(bitmap, np.array([key + 2**63], np.uint64))[0]:
                     continue
                 seen.add(key)
                 ks.append(key)
                 ss.append(s.tobytes())
+                size += len(ss[-1])
+                if size >= RETURNED:
+                    yield batch_of(ks, ss)
+                    ks, ss, size = [], [], 0
             if ks:
-                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(ss, pa.binary())], names=["key", "s"])
+                yield batch_of(ks, ss)
+        pa.default_memory_pool().release_unused()
+
+    def batch_of(ks, ss):
+        return pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(ss, pa.binary())], names=["key", "s"])
 
     found = docs.select(F.coalesce("text", F.lit("")).alias("t")).mapInArrow(run, "key long, s binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
@@ -340,13 +353,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             ok = []
-            for x, y in zip(b.column("s_a").to_pylist(), b.column("s_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(b.column("s_a"), b.column("s_b")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             t = b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
             if t.num_rows:
                 yield t
+        pa.default_memory_pool().release_unused()
 
     left = sets.select(F.col("key").alias("a"), F.col("s").alias("s_a"))
     right = sets.select(F.col("key").alias("b"), F.col("s").alias("s_b"))
@@ -364,7 +378,7 @@ def links_in_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     def compare(t: pa.Table) -> pa.Table:
         key, root, block, n = (t.column(c).to_numpy() for c in ("key", "root", "block", "n"))
-        held = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("s")]
+        held = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("s")]
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         tokens = tokens[counts > 1]
         common = np.zeros((len(held), len(held)), np.float64)

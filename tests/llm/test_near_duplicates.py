@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -178,3 +180,86 @@ def test_an_id_on_two_texts_keeps_both(spark):
         left = corpus_pipeline.one_of_each_group(spark, docs.repartition(parts), SF).collect()
         assert sorted(map(tuple, left), key=repr) == sorted(
             [(7, one), (3, two + " end"), (None, "a text of its own without an id"), (None, ""), (None, ""), (8, None)], key=repr)
+
+
+class _Caught:
+    """Stands for a frame: keeps the functions that would run in tasks."""
+
+    def __init__(self, session=None):
+        self.tasks, self.sparkSession = [], session
+
+    def mapInArrow(self, f, schema):
+        self.tasks.append(f)
+        return self
+
+    def __getattr__(self, name):
+        return lambda *a, **b: self
+
+
+def _peak(task, batches):
+    """Bytes of Python and NumPy that a task holds at most, beside its input."""
+    tracemalloc.start()
+    try:
+        for _ in task(batches):
+            pass
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_tasks_hold_little_of_a_large_batch(spark):
+    """Texts and sets are taken from a batch one by one, and the counts' buffer is sorted in place."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(6000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "t": texts})
+    size = batch.nbytes
+    assert size > 28e6
+    caught = _Caught()
+    jaccard_join.count_shingles(caught, 8)
+    assert _peak(caught.tasks[0], [batch]) < 1.6 * size
+
+    key = jaccard_join.shingles(texts[0]).tobytes()
+    rows = pa.RecordBatch.from_pydict({"a": [1] * 6000, "b": [2] * 6000, "s_a": [key] * 6000, "s_b": [key] * 6000})
+    caught = _Caught()
+    jaccard_join.verified(caught, spark.createDataFrame([(1, b"")], "key long, s binary"), 80)
+    assert _peak(caught.tasks[0], [rows]) < 0.1 * rows.nbytes
+
+
+def test_rows_of_a_frequent_shingle_are_not_held():
+    caught = _Caught()
+    jaccard_join.shared_rows(caught)
+    read = []
+
+    def batches():
+        for i in range(50):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"shingle": [5] * 4, "key": [4 * i, 4 * i + 1, 4 * i + 1, 4 * i + 2], "m": [i] * 4})
+
+    out = caught.tasks[0](batches())
+    first = next(out)
+    assert len(read) == 1
+    got = [x for b in [first, *out] for x in b.column("key").to_pylist()]
+    assert got == [k for i in range(50) for k in (4 * i, 4 * i + 1, 4 * i + 2)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_shared_rows_over_any_batches(seed):
+    rng = random.Random(seed)
+    rows = sorted((rng.randrange(12), rng.randrange(6), 0) for _ in range(40))
+    caught = _Caught()
+    jaccard_join.shared_rows(caught)
+    cuts = [0, *sorted(rng.sample(range(len(rows)), 9)), len(rows)]
+    batches = [pa.RecordBatch.from_pydict({c: pa.array([r[i] for r in rows[a:b]], pa.int64()) for i, c in enumerate(("shingle", "key", "m"))}) for a, b in zip(cuts, cuts[1:])]
+    got = [tuple(r.values()) for b in caught.tasks[0](iter(batches)) for r in b.to_pylist()]
+    distinct = sorted(set(rows))
+    assert got == [r for r in distinct if sum(x[0] == r[0] for x in distinct) > 1]
+
+
+def test_a_set_larger_than_the_buffer(spark, monkeypatch):
+    """Full buffers and sets that are larger than one are shipped as they are."""
+    rows = made_up(6)
+    want = classes(spark, rows)
+    monkeypatch.setattr(jaccard_join, "FLUSH", 50)
+    monkeypatch.setattr(jaccard_join, "RETURNED", 500)
+    assert classes(spark, rows) == want == brute(rows)
