@@ -2,11 +2,12 @@
 
 Columns are binned once; the rows collapse to *cells*, the distinct combinations of bins with their number
 of rows per label and fold (one aggregate over the whole table).  A cell is all that a histogram tree can
-tell about its rows, so training on cells equals training on the rows, and their number is bounded by the
-bins, not by the data (``MAX_CELLS``).  Every (setting, fold) is then a key of its own: Spark deals the
-cells to the keys, each task grows the trees of its keys level by level from histograms, and scores the
-held-out cells while it goes.  Trees of fewer rounds, and forests of less depth, are prefixes of larger
-ones and are scored on the way.  Models are node tables: saved, reread and counted like any DataFrame.
+tell about its rows, so training on cells equals training on the rows; every cell is trained on.  Every
+(setting, fold) is then a key of its own: Spark deals the packed cells to the keys, each task grows the
+trees of its keys level by level from histograms, and scores the held-out cells while it goes.  What cells
+of several folds share (the node they fall into, their score) is kept once a combination of bins.  Trees of
+fewer rounds, and forests of less depth, are prefixes of larger ones and are scored on the way.  Models are
+node tables: saved, reread and counted like any DataFrame.
 
 * ``forest``: gini, bootstrap rows, square root of the columns a node, class weights, smallest split and leaf.
 * ``gradient``: first-order boosting of class residuals (leaf (K-1)/K * sum r / sum |r|(1-|r|)), smallest
@@ -32,8 +33,8 @@ from hotbeat.session import scratch_path, spread_groups
 
 #: Bins of a numeric column.
 BINS = 32
-#: Most cells that are fitted; beyond it, those with the smallest hashes (a documented sample).
-MAX_CELLS = 200_000
+#: Combinations of bins whose class a predicting task remembers; beyond it, it starts anew.
+REMEMBERED = 200_000
 #: Trees of a forest that are grown side by side.
 TREES_TOGETHER = 10
 
@@ -73,30 +74,31 @@ def fit_columns(df: DataFrame, numeric: Sequence[str], categorical: dict[str, Se
     return Columns((*numeric, *categorical), (True,) * len(numeric) + (False,) * len(levels), (*cuts, *levels))
 
 
-def cells(df: DataFrame, columns: Columns, label: str, classes: int, fold: str | None = None,
-          max_cells: int = MAX_CELLS) -> DataFrame:
+def cells(df: DataFrame, columns: Columns, label: str, classes: int, fold: str | None = None) -> DataFrame:
     """(x, fold, w): bins, fold and rows per label of every distinct combination.
 
     Rows without a label 0 .. classes - 1 or with a value that has no bin take no part; a null fold counts
-    as -1.  The result is written by the caller's first use of it; ``max_cells`` bounds it.
+    as -1.
     """
     x = F.array(*[columns.bin_expr(k) for k in range(len(columns.names))])
     d = df.select(x.alias("x"), F.col(label).cast("int").alias("y"), (F.coalesce(F.col(fold).cast("int"), F.lit(-1)) if fold else F.lit(-1)).alias("fold"))
     d = d.where(F.col("y").between(0, classes - 1) & ~F.exists("x", lambda v: v.isNull()))
-    counted = d.groupBy("x", "fold").agg(F.array(*[F.count(F.when(F.col("y") == k, 1)) for k in range(classes)]).alias("w"))
-    order = F.xxhash64("x", "fold")
-    return counted.orderBy(order, "x", "fold").limit(max_cells)
+    return d.groupBy("x", "fold").agg(F.array(*[F.count(F.when(F.col("y") == k, 1)) for k in range(classes)]).alias("w"))
 
 
 # ---------------------------------------------------------------- growing trees from histograms
 
 
-def _histograms(x: np.ndarray, sizes: np.ndarray, key: np.ndarray, keys: int, stats: list[np.ndarray]) -> list[list[np.ndarray]]:
+def _histograms(bins: list[np.ndarray], sizes: np.ndarray, key: np.ndarray, keys: int, stats: list[np.ndarray]) -> list[list[np.ndarray]]:
     """Per column, sums of every statistic by (key, bin); all arrays run over the same rows."""
     out = []
-    for f, b in enumerate(sizes.tolist()):
-        at = key * b + x[:, f]
-        out.append([np.bincount(at, s, keys * b).reshape(keys, b) for s in stats])
+    for x, b in zip(bins, sizes.tolist()):
+        at = key * b + x
+        sums: dict[int, np.ndarray] = {}  # a statistic that is given twice is added up once
+        for s in stats:
+            if id(s) not in sums:
+                sums[id(s)] = np.bincount(at, s, keys * b).reshape(keys, b)
+        out.append([sums[id(s)] for s in stats])
     return out
 
 
@@ -143,10 +145,9 @@ class Growth:
     tried: int | None = None  # random columns a node
 
 
-def _splits_of(x, numeric, key, keys, stats, outputs, rule: Growth, rng, column_of):
+def _best_splits(hist, numeric, outputs, rule: Growth, rng):
     """(total, best gain, column, bin) of every key; gain -inf where no split is allowed."""
-    sizes = column_of["sizes"]
-    hist = _histograms(x, sizes, key, keys, stats)
+    keys = len(hist[0][0])
     total = [s.sum(1) for s in hist[0]]
     left, column, where = _candidates(hist, numeric)
     if not len(column):
@@ -177,36 +178,62 @@ def _goes_right(x: np.ndarray, numeric: np.ndarray, column: np.ndarray, where: n
 
 
 def grow_levels(x, sizes, numeric, stats, outputs, rule: Growth, rng, after_level=None):
+    """``grow_shared`` over cells that share nothing; ``stats``: arrays (trees, cells): outputs, then H, then rows."""
+    return grow_shared(x, np.arange(len(x)), sizes, numeric, len(stats[0]), lambda t: [s[t] for s in stats], outputs, rule, rng, after_level)
+
+
+def grow_shared(x, at, sizes, numeric, trees: int, stats_of, outputs, rule: Growth, rng, after_level=None):
     """Trees side by side, level by level.
 
-    ``stats``: arrays (trees, cells): outputs, then H, then rows.  Returns per level a dict of arrays over
-    nodes (tree, heap number from 1, totals, gain, column, bin) and the final heap number of every (tree,
-    cell); ``after_level(level, heap, nodes)`` sees the trees as they stand when cut at that depth.
+    ``x``: combinations of bins, ``at``: the combination of every cell that has rows, ``stats_of(tree)``:
+    arrays over these cells: outputs, then H, then rows.  Returns per level a dict of arrays over nodes
+    (tree, heap number from 1, totals, gain, column, bin) and the final heap number of every (tree,
+    combination); ``after_level(level, live, place, nodes)`` sees the trees as they stand when cut at that
+    depth: the combinations of a tree that are in nodes of this level, and in which.
     """
-    trees, n = stats[0].shape
     numeric = np.asarray(numeric, bool)
-    heap = np.ones((trees, n), np.int64)
-    live = np.ones((trees, n), bool)  # cells in nodes that may still be split
+    final = np.ones((trees, len(x)), np.int64)
+    live = np.ones((trees, len(x)), bool)
+    place = np.repeat(np.arange(trees)[:, None], len(x), 1)
+    tree, heap = np.arange(trees), np.ones(trees, np.int64)
+    bins = [np.ascontiguousarray(x[:, f])[at] for f in range(x.shape[1])]
     levels = []
     for level in range(rule.depth + 1):
-        who, cell = np.nonzero(live)
-        node = who.astype(np.int64) << 40 | heap[who, cell]
-        names, key = np.unique(node, return_inverse=True)
-        if not len(names):
+        if not live.any():
             break
-        total, gain, column, where = _splits_of(x[cell], numeric, key, len(names), [s[who, cell] for s in stats], outputs, rule, rng, {"sizes": sizes})
-        if level == rule.depth:
-            gain = np.full(len(names), -np.inf)
-        split = np.isfinite(gain)
-        nodes = {"tree": names >> 40, "heap": names & ((1 << 40) - 1), "total": total, "gain": gain, "column": column, "where": where}
+        last, parts = level == rule.depth, []
+        begin = np.searchsorted(tree, np.arange(trees + 1))
+        for t in range(trees):
+            if begin[t] == begin[t + 1]:
+                continue
+            stats, here = stats_of(t), live[t][at]
+            own = slice(None) if here.all() else np.flatnonzero(here)
+            taken = {id(s): s[own] for s in stats}
+            used = bins[:1] if last else bins  # nodes of the last level only need their totals
+            parts.append(_histograms([b[own] for b in used], sizes, place[t][at[own]] - begin[t], int(begin[t + 1] - begin[t]), [taken[id(s)] for s in stats]))
+        hist = [[np.concatenate(s) for s in zip(*column)] for column in zip(*parts)]
+        if last:
+            total, gain = [s.sum(1) for s in hist[0]], np.full(len(tree), -np.inf)
+            column = where = np.zeros(len(tree), int)
+        else:
+            total, gain, column, where = _best_splits(hist, numeric, outputs, rule, rng)
+        nodes = {"tree": tree, "heap": heap, "total": total, "gain": gain, "column": column, "where": where}
         levels.append(nodes)
         if after_level:
-            after_level(level, heap, nodes)
-        right = _goes_right(x[cell], numeric, column[key], where[key])
-        go = split[key]
-        live[who, cell] = go
-        heap[who[go], cell[go]] = 2 * heap[who[go], cell[go]] + right[go]
-    return levels, heap
+            after_level(level, live, place, nodes)
+        who, combination = np.nonzero(live)
+        key = place[who, combination]
+        go = np.isfinite(gain)[key]
+        live[who, combination] = go
+        who, combination, key = who[go], combination[go], key[go]
+        child = 2 * key + _goes_right(x[combination], numeric, column[key], where[key])
+        met = np.zeros(2 * len(tree), bool)
+        met[child] = True
+        names = np.flatnonzero(met)
+        place[who, combination] = (np.cumsum(met) - 1)[child]
+        tree, heap = tree[names >> 1], 2 * heap[names >> 1] + (names & 1)
+        final[who, combination] = heap[place[who, combination]]
+    return levels, final
 
 
 def grow_leaves(x, sizes, numeric, stats, rule: Growth, leaves: int, rng, columns_used):
@@ -224,7 +251,8 @@ def grow_leaves(x, sizes, numeric, stats, rule: Growth, leaves: int, rng, column
 
     def open_node(rows):
         sub = masked[rows]
-        total, gain, column, where = _splits_of(sub, numeric, np.zeros(len(rows), np.int64), 1, [s[rows] for s in stats], 1, rule, rng, {"sizes": used_sizes})
+        hist = _histograms([sub[:, f] for f in range(sub.shape[1])], used_sizes, np.zeros(len(rows), np.int64), 1, [s[rows] for s in stats])
+        total, gain, column, where = _best_splits(hist, numeric, 1, rule, rng)
         nodes.append({"rows": rows, "total": [float(t[0]) for t in total], "gain": float(gain[0]), "column": int(column[0]),
                       "where": int(where[0]), "left": -1, "right": -1})
         leaf[rows] = len(nodes) - 1
@@ -281,8 +309,11 @@ def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, at.ravel()
 
 
-def fit_forest(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
-    """``p``: trees, depths, min_split, min_leaf, balanced, seed; scores every prefix asked for."""
+def fit_forest(x, at, sizes, numeric, fit, held, p: dict, report: Report) -> None:
+    """``p``: trees, depths, min_split, min_leaf, balanced, seed; scores every prefix asked for.
+
+    ``x``: combinations of bins, ``at``: that of every cell, ``fit``: (cells, classes), ``held``: (combinations, classes).
+    """
     classes = fit.shape[1]
     n = int(fit.sum())
     per_class = fit.sum(0)
@@ -291,28 +322,28 @@ def fit_forest(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
     rule = Growth(max(p["depths"]), min_rows=p["min_leaf"], min_split=p["min_split"], tried=max(1, int(np.sqrt(columns))))
     votes = {d: np.zeros((len(x), classes)) for d in p["depths"]}
     share = (fit / max(n, 1)).ravel()
+    some = np.flatnonzero(fit.any(1))
+    kind = np.int32 if n < 2**31 else np.int64
     for first in range(0, max(p["trees"]), TREES_TOGETHER):
         together = range(first, min(first + TREES_TOGETHER, max(p["trees"])))
         rng = np.random.default_rng([p["seed"], first])
-        rows = np.stack([rng.multinomial(n, share).reshape(fit.shape) for _ in together])  # bootstrap, by cell and label
-        g = rows * weight
-        stats = [*np.moveaxis(g, 2, 0), g.sum(2), rows.sum(2).astype(float)]
+        rows = [rng.multinomial(n, share).reshape(fit.shape)[some].astype(kind) for _ in together]  # bootstrap, by cell and label
         value = np.zeros((len(together), len(x), classes))
 
-        def after_level(level, heap, nodes):
+        def stats_of(t):
+            g = rows[t] * weight
+            return [*g.T, g.sum(1), rows[t].sum(1).astype(float)]
+
+        def after_level(level, live, place, nodes):
             dist = np.stack(nodes["total"][:classes], 1)
             dist = dist / np.maximum(dist.sum(1, keepdims=True), 1e-300)
-            names = nodes["tree"] << 40 | nodes["heap"]
-            want = (np.arange(len(together))[:, None] << 40) | heap
-            at = np.minimum(np.searchsorted(names, want), len(names) - 1)
-            hit = names[at] == want
-            value[hit] = dist[at[hit]]
+            value[live] = dist[place[live]]
             reached[0] = level
             if level in votes:
                 votes[level] += value.sum(0)
 
         reached = [0]
-        levels, _ = grow_levels(x, sizes, numeric, stats, classes, rule, rng, after_level)
+        levels, _ = grow_shared(x, at[some], sizes, numeric, len(together), stats_of, classes, rule, rng, after_level)
         for d in votes:  # trees that ended early stay as they are
             if d > reached[0]:
                 votes[d] += value.sum(0)
@@ -323,9 +354,12 @@ def fit_forest(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
                 report.score({"trees": done, "depth": d}, votes[d], held)
 
 
-def fit_boosted(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
-    """``p``: kind (gradient, newton, leafwise), rounds, rate and the kind's own rules."""
+def fit_boosted(x, at, sizes, numeric, fit, held, p: dict, report: Report) -> None:
+    """``p``: kind (gradient, newton, leafwise), rounds, rate and the kind's own rules; the rest as in ``fit_forest``."""
     kind, classes = p["kind"], fit.shape[1]
+    if kind != "leafwise":  # opened leaf by leaf, a tree scores the cells that it is given
+        some = np.flatnonzero(fit.any(1))
+        at, fit = at[some], fit[some]
     rows = fit.sum(1).astype(float)
     n = rows.sum()
     prior = np.log(np.maximum(fit.sum(0) / max(n, 1), 1e-12))
@@ -336,41 +370,39 @@ def fit_boosted(x, sizes, numeric, fit, held, p: dict, report: Report) -> None:
     if kind == "gradient":
         rule.min_weight = p["min_fraction"] * n
     rng = np.random.default_rng([p.get("seed", 42)])
+    cell = x[at] if kind == "leafwise" else None
     if report.keep:  # the start score of each class is a tree of one leaf
         report.nodes += [(-1, k, 0, -1, -1, -1, -1, 0.0, n, [float(score[k, 0]) if len(x) else 0.0]) for k in range(classes)]
     for r in range(max(p["rounds"])):
         prob = _softmax(score)
-        g = fit.T - rows * prob  # residual sums
-        h = np.maximum(curve * prob * (1 - prob), 1e-16) * rows
+        g = fit.T - rows * prob[:, at]  # residual sums
+        h = np.maximum(curve * prob * (1 - prob), 1e-16)[:, at] * rows
         if kind == "leafwise":
             for k in range(classes):
                 used = np.sort(rng.permutation(len(sizes))[:max(1, round(p["column_fraction"] * len(sizes)))])
-                nodes, leaf = grow_leaves(x, sizes, numeric, [g[k], h[k], rows], rule, p["leaves"], rng, used)
+                nodes, leaf = grow_leaves(cell, sizes, numeric, [g[k], h[k], rows], rule, p["leaves"], rng, used)
                 value = np.array([p["rate"] * nd["total"][0] / (nd["total"][1] + ridge) if nd["total"][1] > 0 else 0.0 for nd in nodes])
-                score[k] += value[leaf]
+                added = np.zeros(len(x))
+                added[at] = value[leaf]
+                score[k] += added
                 if report.keep:
                     report.nodes += [(r, k, i, nd["left"], nd["right"], nd["column"] if nd["left"] >= 0 else -1, nd["where"] if nd["left"] >= 0 else -1,
                                       nd["gain"] if nd["left"] >= 0 else 0.0, nd["total"][2], [float(value[i])]) for i, nd in enumerate(nodes)]
         else:
             # first-order trees are split by residual variance (H is the number of rows) and get Newton leaves
-            many = np.repeat(rows[None, :], classes, 0)
-            stats = [g, many, h, many] if kind == "gradient" else [g, h, h, many]
+            def stats_of(k):
+                return [g[k], rows, h[k], rows] if kind == "gradient" else [g[k], h[k], h[k], rows]
 
             def leaf_value(total):
                 with np.errstate(divide="ignore", invalid="ignore"):
                     v = (classes - 1) / classes * total[0] / total[2] if kind == "gradient" else total[0] / (total[2] + ridge)
                 return p["rate"] * np.nan_to_num(v, nan=0.0, posinf=0.0, neginf=0.0)
 
-            levels, heap = grow_levels(x, sizes, numeric, stats, 1, rule, rng)
-            for level in levels:
-                ends = ~np.isfinite(level["gain"])
-                names = level["tree"][ends] << 40 | level["heap"][ends]
-                v = leaf_value([t[ends] for t in level["total"]])
-                want = (np.arange(classes)[:, None] << 40) | heap
-                at = np.minimum(np.searchsorted(names, want), max(len(names) - 1, 0))
-                if len(names):
-                    hit = names[at] == want
-                    score[hit] += v[at[hit]]
+            def after_level(level, live, place, nodes):
+                v = np.where(np.isfinite(nodes["gain"]), 0.0, leaf_value(nodes["total"]))  # nodes that are split add nothing
+                score[live] += v[place[live]]
+
+            levels, _ = grow_shared(x, at, sizes, numeric, classes, stats_of, 1, rule, rng, after_level)
             report.level_nodes(lambda t: (r, t), levels, lambda total: leaf_value(total)[None, :])
         if r + 1 in p["rounds"]:
             report.score({"trees": r + 1}, score.T, held)
@@ -383,6 +415,28 @@ SCORES = "model int, setting string, correct long, held long"
 NODES = "model int, tree int, class int, node long, left long, right long, column int, bin int, gain double, n_rows double, value array<double>"
 
 
+def _packed(batches):
+    """The cells of a batch as one compressed value: every model gets a copy of it."""
+    for b in batches:
+        if b.num_rows:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(b)
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["packed"])
+
+
+def _unpacked(packed: pa.ChunkedArray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bins, fold, rows per label) of all cells, ordered by fold and bins; bins in the least type that holds them."""
+    parts, kind = [], np.min_scalar_type(int(sizes.max()))
+    for v in packed:
+        t = pa.ipc.open_stream(v.as_buffer()).read_all()
+        x, w = (t.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1) for c in ("x", "w"))
+        parts.append((x.astype(kind), t.column("fold").to_numpy(), w.astype(np.int64)))
+    x, fold, w = (np.concatenate(p) for p in zip(*parts))
+    order = np.lexsort([*x.T[::-1], fold])
+    return x[order], fold[order], w[order]
+
+
 def _fit_keys(cells_df: DataFrame, columns: Columns, models: list[dict], keep_nodes: bool) -> DataFrame:
     """One group a model: its cells in, its scores or nodes out.  ``models[i]``: rules, ``fold`` held out."""
     sizes, numeric = columns.sizes(), columns.numeric
@@ -390,14 +444,13 @@ def _fit_keys(cells_df: DataFrame, columns: Columns, models: list[dict], keep_no
     def fit(t: pa.Table) -> pa.Table:
         number = t.column("model")[0].as_py()
         p = models[number]
-        order = np.lexsort([*t.column("x").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1).T[::-1], t.column("fold").to_numpy()])
-        t = t.take(pa.array(order))
-        x = t.column("x").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1).astype(np.int64)
-        w = t.column("w").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1).astype(np.int64)
-        out = t.column("fold").to_numpy() == p["fold"]
-        held = np.where(out[:, None], w, 0)
+        cell, fold, w = _unpacked(t.column("packed"), sizes)
+        x, at = _distinct(cell) if len(np.unique(fold)) > 1 else (cell, np.arange(len(cell)))
+        out = fold == p["fold"]
+        fit_rows = np.where(out[:, None], 0, w)
+        held = np.stack([np.bincount(at[out], c, len(x)) for c in w[out].T], 1)
         report = Report(keep_nodes)
-        (fit_forest if p["kind"] == "forest" else fit_boosted)(x, sizes, numeric, w - held, held, p, report)
+        (fit_forest if p["kind"] == "forest" else fit_boosted)(x, at, sizes, numeric, fit_rows, held, p, report)
         if keep_nodes:
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
             data = list(zip(*report.nodes)) or [()] * len(kinds)
@@ -410,7 +463,7 @@ def _fit_keys(cells_df: DataFrame, columns: Columns, models: list[dict], keep_no
             names = ["model", "setting", "correct", "held"]
         return pa.table(arrays, names=names)
 
-    keyed = cells_df.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(len(models) - 1))))
+    keyed = cells_df.select("x", "fold", "w").mapInArrow(_packed, "packed binary").withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(len(models) - 1))))
     return spread_groups(keyed, ["model"], len(models)).groupBy("model").applyInArrow(fit, NODES if keep_nodes else SCORES)
 
 
@@ -558,7 +611,7 @@ def predict(df: DataFrame, nodes: DataFrame, columns: Columns, model: int, out:
             label = np.zeros(b.num_rows, np.int64)
             if len(rows):
                 x, place = _distinct(b.column("__x").take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1))
-                if len(known) > MAX_CELLS:
+                if len(known) > REMEMBERED:
                     known = {}
                 names_of = [v.tobytes() for v in x]
                 new = [i for i, v in enumerate(names_of) if v not in known]

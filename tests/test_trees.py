@@ -189,6 +189,47 @@ def test_leafwise_growth_opens_the_largest_gain(spark, data):
     assert sum(counts.values()) == sum(r["left"] >= 0 for r in rows) and set(counts) <= {"lat", "month_2", "month_3", "month_4"}
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """262,144 rows, each a cell of its own; the class follows from the first column."""
+    levels = {c: range(64) for c in ("a", "b", "c")}
+    df = spark.range(64**3, numPartitions=8).select(*[(F.col("id") / 64**k % 64).cast("int").alias(c) for k, c in enumerate(levels)],
+                                                    (F.xxhash64("id") % 5 + 5).cast("int").alias("f"))
+    df = df.select("a", "b", "c", F.when(F.col("a") == 7, 1.0).when(F.col("a") == 9, 2.0).otherwise(0.0).alias("label"), (F.col("f") % 5).alias("fold"))
+    columns = trees.fit_columns(df, [], levels)
+    return df, columns, trees.written_cells(df, columns, "label", 3, "fold")
+
+
+def test_no_cell_is_left_out_of_a_search(spark, many):
+    df, columns, c = many
+    assert c.count() == 64**3 and c.agg(F.sum(F.col("w")[1]), F.sum(F.col("w")[2])).first()[:] == (64**2, 64**2)
+    rules = {"kind": "gradient", "rounds": [1, 3], "rate": 1.0, "depth": 3, "min_fraction": 0.0, "fold": 2}
+    got = trees._fit_keys(c, columns, [rules], keep_nodes=False).collect()
+    held = df.where("fold = 2").count()
+    assert {(json.loads(r["setting"])["trees"], r["correct"], r["held"]) for r in got} == {(1, held, held), (3, held, held)}
+
+
+def test_cells_of_several_folds_share_their_combination():
+    """Trees over cells that share combinations are those over the cells taken one by one."""
+    rng = np.random.default_rng(8)
+    x = np.array([(a, b) for a in range(7) for b in range(5)])
+    at = rng.integers(0, len(x), 300)
+    stats = [rng.integers(0, 9, (4, 300)).astype(float) for _ in range(2)]
+    stats += [stats[0] + stats[1], np.ones((4, 300))]
+    rule = trees.Growth(4, min_rows=3)
+    seen = []
+    shared, final = trees.grow_shared(x, at, np.array([7, 5]), [True, False], 4, lambda t: [s[t] for s in stats], 2, rule, rng,
+                                      lambda level, live, place, nodes: seen.append((live.copy(), place.copy())))
+    plain, heap = trees.grow_levels(x[at], np.array([7, 5]), [True, False], stats, 2, rule, rng)
+    assert len(shared) == len(plain) > 2 and (final[:, at] == heap).all()
+    for a, b, (live, place) in zip(shared, plain, seen):
+        assert all((np.asarray(a[k]) == np.asarray(b[k])).all() for k in a)
+        for t in range(4):
+            key = place[t][at[live[t][at]]]
+            rows = np.bincount(key, stats[0][t][live[t][at]], len(a["tree"]))
+            assert (rows[a["tree"] == t] == a["total"][0][a["tree"] == t]).all()
+
+
 def test_registered_search_keeps_the_whole_grids(spark):
     assert [len(trees.grid(f)) for f in ("random_forest", "gradient_boosting", "newton_boosting")] == [48, 36, 18]
     from hotbeat.plans import catalog
