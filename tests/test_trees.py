@@ -209,6 +209,25 @@ def test_no_cell_is_left_out_of_a_search(spark, many):
     assert {(json.loads(r["setting"])["trees"], r["correct"], r["held"]) for r in got} == {(1, held, held), (3, held, held)}
 
 
+def test_refitted_models_learn_from_every_cell(many):
+    """Each family's nodes start from all rows, and the first split has the gain of all rows."""
+    df, columns, c = many
+    chosen = [("random_forest", {"trees": 2, "depth": 1, "min_split": 2, "min_leaf": 1, "balanced": False}),
+              ("gradient_boosting", {"trees": 1, "rate": 0.1, "depth": 1, "min_fraction": 0.0}), ("newton_boosting", {"trees": 1, "rate": 0.1, "depth": 2})]
+    nodes = trees.with_names(trees.fit_nodes(c, columns, chosen), columns).collect()
+    n = 64**3
+    assert {(r["model"], r["n_rows"]) for r in nodes if r["tree"] >= 0 and r["node"] == 1} == {(0, n), (1, n), (2, n)}
+    prior = {r["class"]: r["value"][0] for r in nodes if r["model"] == 1 and r["tree"] < 0}
+    assert [prior[k] for k in range(3)] == pytest.approx(np.log([62 / 64, 1 / 64, 1 / 64]))
+    for model, feature in ((1, "a_7"), (2, "a_7")):  # class 1 against the rest: 4,096 rows of the level, all of the class
+        root = next(r for r in nodes if r["model"] == model and r["class"] == 1 and r["tree"] == 0 and r["node"] == 1)
+        right = next(r for r in nodes if r["model"] == model and r["class"] == 1 and r["tree"] == 0 and r["node"] == 3)
+        assert root["feature"] == feature and right["n_rows"] == 64**2
+    g, h, m = 2 / 3, 4 / 9, 64**2  # newton: residuals of the level's rows, second derivative a row
+    rest = -(n - m) / 3
+    assert root["gain"] == pytest.approx((g * m) ** 2 / (h * m + 1) + rest**2 / (h * (n - m) + 1) - (g * m + rest) ** 2 / (h * n + 1))
+
+
 def test_cells_of_several_folds_share_their_combination():
     """Trees over cells that share combinations are those over the cells taken one by one."""
     rng = np.random.default_rng(8)
